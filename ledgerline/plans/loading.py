@@ -337,9 +337,9 @@ def a32_load_mode(spark, d):
     return L.load_modes(rows, rows.select("table").distinct().withColumn("description", F.lit("History over time")))
 
 
-@query(f"""WITH w AS (SELECT *, median(rows_loaded) OVER (PARTITION BY source ORDER BY loaded_at, id, line ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS typical FROM (SELECT id, line, source, loaded_at, CASE WHEN id % 50 = 0 THEN 0 ELSE rows_loaded END AS rows_loaded FROM ({HISTORY_SQL})))
-SELECT id, line, rows_loaded, typical, CASE WHEN rows_loaded = 0 AND line = 7 THEN 'warning' WHEN rows_loaded = 0 AND typical > 0 THEN 'critical' WHEN rows_loaded / typical < 0.1 THEN 'critical' WHEN line = 7 OR rows_loaded / typical < 0.5 OR rows_loaded / typical > 2 OR line = 6 THEN 'warning' ELSE 'normal' END AS grade FROM w""")
+@query(f"""WITH w AS (SELECT *, median(rows_loaded) OVER (PARTITION BY source ORDER BY loaded_at, id, line, rows_loaded ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS typical FROM (SELECT id, line, source, loaded_at, CASE WHEN id % 50 = 0 THEN 0 ELSE rows_loaded END AS rows_loaded FROM ({HISTORY_SQL})))
+SELECT id, line, rows_loaded, typical, CASE WHEN rows_loaded = 0 AND line = 7 THEN 'warning' WHEN rows_loaded = 0 AND typical > 0 THEN 'critical' WHEN rows_loaded / nullif(typical, 0) < 0.1 THEN 'critical' WHEN line = 7 OR rows_loaded / nullif(typical, 0) < 0.5 OR rows_loaded / nullif(typical, 0) > 2 OR line = 6 THEN 'warning' ELSE 'normal' END AS grade FROM w""")
 def a33_anomaly_grade(spark, d):
     rows = history(spark, d).withColumn("rows_loaded", F.when(F.col("id") % 50 == 0, 0).otherwise(F.col("rows_loaded")))
-    out = L.anomalies(rows, "source", ["loaded_at", "id", "line"], "rows_loaded", F.when(F.col("line") == 6, 5).otherwise(0), F.col("line") == 7)
+    out = L.anomalies(rows, "source", ["loaded_at", "id", "line", "rows_loaded"], "rows_loaded", F.when(F.col("line") == 6, 5).otherwise(0), F.col("line") == 7)
     return out.select("id", "line", "rows_loaded", "typical", "grade")
