@@ -46,7 +46,12 @@ def dictionaries(metadata: DataFrame, by: str) -> DataFrame:
     rows = metadata.select(by, F.struct(group.alias("g"), F.col("column"), line.alias("line")).alias("r"))
     titles = ["Dimensions", "Measures", "Other", "System"]
     packed = rows.groupBy(by).agg(F.array_sort(F.collect_list("r")).alias("rows"))
-    parts = [F.when(F.exists("rows", lambda r, k=k: r["g"] == k), F.concat(F.lit(f"### {t}\n"), F.array_join(F.transform(F.filter("rows", lambda r, k=k: r["g"] == k), lambda r: r["line"]), "\n"))) for k, t in enumerate(titles)]
+
+    def section(k: int, title: str):  # noqa: ANN202
+        own = F.filter("rows", lambda r: r["g"] == k)
+        return F.when(F.size(own) > 0, F.concat(F.lit(f"### {title}\n"), F.array_join(F.transform(own, lambda r: r["line"]), "\n")))
+
+    parts = [section(k, t) for k, t in enumerate(titles)]
     return packed.select(by, F.concat_ws("\n", F.concat(F.lit("# "), by), *parts).alias("markdown"))
 
 
