@@ -3,9 +3,10 @@
 Lines are normalised (lower case, digits alike, white space alike) and hashed. For each host (`source`)
 the distinct documents that hold a line are counted; exact copies of a text count as one document. A line
 is frequent above a limit: `share` of the host's distinct documents, at least `low` and at most `high`.
-A frequent line is removed if it is boilerplate, that is, if on average less than half of the words of
-the documents that hold it are in frequent lines; otherwise it belongs to a family of near copies, which
-is near-duplicate removal's work. A document is depleted if less than `least_left` of its words remain.
+A document is depleted if less than `least_left` of its words are outside frequent lines that are removed.
+A frequent line is removed if it is boilerplate; where the documents that hold it would be depleted on
+average by losing all their frequent lines, it belongs to a family of near copies instead, which is
+near-duplicate removal's work.
 
 Defined cases: a null text is an empty one, which fails the base rules; documents of a null host form a
 host of their own; repeated rows each give a row and count as one document; an empty table gives an empty
@@ -98,7 +99,7 @@ def judged(docs: DataFrame, share: float = 0.01, low: int = 5, high: int = 1000,
     found = checkpointed(held.join(often, (held["line"] == often["common"]) & held["source"].eqNullSafe(often["host"])).drop("host", "common"))
     weight = found.groupBy("source", "digest").agg((F.sum("words") / F.max("n_words")).alias("weight")).withColumnsRenamed({"source": "host", "digest": "text_digest"})
     paired = found.join(weight, (found["digest"] == weight["text_digest"]) & found["source"].eqNullSafe(weight["host"])).drop("host", "text_digest")
-    family = paired.groupBy("source", "line").agg(F.avg("weight").alias("mean")).where("mean >= 0.5").select(F.col("source").alias("host"), F.col("line").alias("common"))
+    family = paired.groupBy("source", "line").agg(F.avg("weight").alias("mean")).where(F.col("mean") > 1 - least_left).select(F.col("source").alias("host"), F.col("line").alias("common"))
     removed = found.join(family, (found["line"] == family["common"]) & found["source"].eqNullSafe(family["host"]), "left_anti").groupBy("source", "digest").agg(F.sum("words").alias("removed")).withColumnsRenamed({"source": "host", "digest": "text_digest"})
     whole = rows.drop("lines", "line_words").join(removed, (rows["digest"] == removed["text_digest"]) & rows["source"].eqNullSafe(removed["host"]), "left")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

@@ -1,0 +1,384 @@
+"""The ten operators against libraries, brute force and round trips, and on awkward rows."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import xxhash
+from conftest import SF
+from ledgerline.llm import byte_bpe, license_index, line_quality, ogg, packing, pii, quality_crf, simhash, token_counts, url_templates
+from ledgerline.llm.queries import queries
+
+WORD_BPE, BYTE_BPE = P.path("word_bpe_49k.json"), P.path("byte_bpe_multi_50k.tiktoken")
+LONG = "word " * 30_000 + "x" * 50_000
+AWKWARD = [
+    None,
+    "",
+    " \t\n\x0b\x0c\r",
+    "one",
+    "one two\n\none two\n",
+    "Ünïcode ß İ ΑΣ ſ K 日本語 😀 é",
+    "<|endoftext|> in <|startoftext|> text <|x",
+    "a\x1cb\x85c　d​e  f   g \n \n h",
+    "it's WE'LL 12３ don't",
+    "mail a.b@c.example.org, 10.0.0.1 and 300.1.1.1, 4111 1111 1111 1111, +1 (555) 010-9999 @ x@y @",
+    "This work is licensed under the GNU General Public License, version 3. Apache license; CC BY 4 cc by MIT License",
+    "http://no",
+    "same text twice",
+    "same text twice",
+    LONG,
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en", "src" if i % 3 else None, 1, "clash", 5) for i, t in enumerate(AWKWARD)] + [(None, "null id", None, None, None, None, None), (3, "one", "en", "src", 1, "clash", 5)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, fp string, rank int").repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def sample(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def texts_of(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+def test_token_counts_equal_the_library(docs, sample):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORD_BPE)
+    for df in (docs, sample):
+        want = Counter((i, len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in texts_of(df))
+        got = token_counts.token_counts(df, WORD_BPE).collect()
+        assert Counter((r["doc_id"], r["n_tokens"]) for r in got) == want
+        assert all(r["over_limit"] == (r["n_tokens"] > 2048) for r in got)
+
+
+def test_byte_bpe_equals_the_library_and_comes_back(docs, sample):
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(BYTE_BPE, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for df in (docs, sample):
+        want = Counter()
+        for i, t in texts_of(df):
+            ids = library.encode_ordinary(t or "")
+            want[i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()] += 1
+        assert Counter(map(tuple, byte_bpe.round_trip(df, BYTE_BPE, P.PATTERN).collect())) == want
+    back = byte_bpe.decode(byte_bpe.encode(docs, BYTE_BPE, P.PATTERN), BYTE_BPE, P.PATTERN)
+    assert Counter((r["doc_id"], bytes(r["content"])) for r in back.collect()) == Counter((i, (t or "").encode()) for i, t in texts_of(docs))
+
+
+def test_perfect_hash_is_minimal_and_refuses_strangers():
+    keys = [f"k{i}".encode() for i in range(997)]
+    index = byte_bpe.PerfectHash(keys)
+    assert sorted(index.key_at) == list(range(997))
+    assert [index.find(k) for k in keys] == list(range(997))
+    assert all(index.find(f"x{i}".encode()) == -1 for i in range(500))
+    assert byte_bpe.PerfectHash([]).find(b"a") == -1
+
+
+def brute_quality(t):
+    t = t or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", t)
+    grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    counts = Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if counts[g] > 1 for k in range(3)}
+    lines, seen, repeats = t.split("\n"), set(), 0
+    for line in lines:
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            repeats += line in seen
+        seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), repeats, len(covered)
+
+
+def test_quality_measures_equal_brute_force(docs, sample):
+    for df in (docs, sample):
+        want = Counter((i, *brute_quality(t)) for i, t in texts_of(df))
+        got = line_quality.judged(df).collect()
+        assert Counter((r["doc_id"], *(r[c] for c in line_quality.STATS)) for r in got) == want
+        assert all(r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]) and not (r["base_failed"] and r["kept"]) for r in got)
+
+
+def test_depleted_documents_go_and_copies_stay(spark):
+    rng = random.Random(3)
+    fresh = lambda n: " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(n))
+    banner = fresh(60)
+    rows = [(i, f"{fresh(70)}\n{banner}", "h") for i in range(40)]
+    rows += [(100 + i, f"{banner}\n{fresh(4)}", "h") for i in range(4)]
+    family = [fresh(30) for _ in range(6)]
+    rows += [(200 + i, "\n".join([*family[: i % 6], fresh(30), *family[i % 6 + 1 :]]), "h") for i in range(30)]
+    rows += [(300 + i, "\n".join(family), "h") for i in range(30)]
+    got = {r["doc_id"]: r["kept"] for r in line_quality.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert not any(got[100 + i] for i in range(4))
+    assert all(kept for i, kept in got.items() if not 100 <= i < 200)
+
+
+def brute_components(texts):
+    def one(t):
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
+        grams = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
+        hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+        return sum(1 << b for b in range(64) if hashes and 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    fps = [one(t) for _, t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 2:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    least = {}
+    for k, (i, _) in enumerate(texts):
+        if i is not None:
+            least[find(k)] = min(i, least.get(find(k), i))
+    return Counter((i, f"{fps[k]:016x}", least.get(find(k))) for k, (i, _) in enumerate(texts))
+
+
+def test_components_equal_brute_force(docs, sample):
+    short = sample.limit(300)
+    for df in (docs.where("length(text) < 1000 or text is null"), short):
+        assert Counter(map(tuple, simhash.near_duplicates(df).collect())) == brute_components(texts_of(df))
+
+
+def test_links_of_dense_groups_are_all_found(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    centre = int(rng.integers(1 << 62))
+    fps = {centre}
+    for _ in range(1500):
+        x = centre
+        for b in rng.choice(64, int(rng.integers(1, 7)), replace=False):
+            x ^= 1 << int(b)
+        fps.add(x)
+    fps |= {int(x) for x in rng.integers(0, 1 << 62, 500)}
+    values = np.array(sorted(fps), np.uint64)
+    root = list(range(len(values)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(values)):
+        for j in np.flatnonzero(np.bitwise_count(values[:i] ^ values[i]) <= 2):
+            a, b = find(i), find(int(j))
+            root[max(a, b)] = min(a, b)
+    want = {frozenset(values[k] for k in range(len(values)) if find(k) == r) for r in set(map(find, range(len(values))))}
+    monkeypatch.setattr(simhash, "HOT", 100)  # deals the dense group anew, three levels deep
+    table = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    got = {}
+    for r in simhash.components(simhash.forest_edges(table, 2)).collect():
+        got.setdefault(r["root"], set()).add(r["node"])
+    groups = {frozenset(np.array(sorted(g), np.int64).view(np.uint64).tolist()) for g in got.values()}
+    assert groups == {frozenset(int(x) for x in g) for g in want if len(g) > 1}
+
+
+def test_long_chains_are_one_component(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "a long, b long")
+    roots = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
+    assert len({roots[i] for i in range(301)}) == 1 and roots[1000] == roots[1001] != roots[0]
+
+
+def test_urls(spark):
+    rows = [(1, "HTTPS://WWW.Example.COM/en/a?x#y"), (2, "http://a.example.com/en/b"), (3, "ftp://x.net/es/1"), (4, "http://x.net/de/1"), (5, None), (6, "no scheme"), (7, "http://com"), (8, "http://examplexcom/en/"), (9, "http://b.com?q"), (None, "http://c.net/fr/#"), (9, "http://b.com?q")]
+    got = Counter((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in url_templates.filtered(spark.createDataFrame(rows, "page_id long, url string")).collect())
+    assert got == Counter([
+        (1, "www.example.com", "/en/a", "www.example.com/en/", "allow"),
+        (2, "a.example.com", "/en/b", "example.com/en/", "block"),
+        (3, "x.net", "/es/1", "net/es/", "block"),
+        (4, "x.net", "/de/1", None, "allow"),
+        (5, "", "", None, "allow"),
+        (6, "", "", None, "allow"),
+        (7, "com", "", None, "allow"),
+        (8, "examplexcom", "/en/", None, "allow"),
+        (9, "b.com", "", None, "allow"),
+        (9, "b.com", "", None, "allow"),
+        (None, "c.net", "/fr/", "net/fr/", "block"),
+    ])
+
+
+def test_templates_are_learnt_from_rules(spark):
+    # numbered children of one branch: those that a rule blocks decide for the branch as a whole
+    rules = (("block", "bad.org/x/1"),)
+    rows = [(i, f"http://bad.org/x/{i}") for i in range(10, 20)] + [(i, f"http://bad.org/x/{i}") for i in range(2, 6)] + [(50, "http://bad.org/y/2")]
+    got = {r["page_id"]: r["verdict"] for r in url_templates.filtered(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert got[3] == "block" and got[50] == "allow"
+
+
+EMAIL, IP = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
+
+
+def brute_spans(t):
+    t = t or ""
+    out = [("email", m.start(), m.end()) for m in re.finditer(EMAIL, t)]
+    out += [("ip", m.start(), m.end()) for m in re.finditer(IP, t) if all(int(p) <= 255 for p in m.group().split("."))]
+    out += [("card", m.start(), m.end()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if pii.fits("card", m.group())]
+    out += [("phone", m.start(), m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if pii.fits("phone", m.group())]
+    return sorted(out, key=lambda s: (s[1], pii.KINDS.index(s[0])))
+
+
+def test_patterns_equal_brute_force():
+    rng = random.Random(1)
+    for _ in range(20_000):
+        t = "".join(rng.choice("ab@.1234567890 +-()@.\n") for _ in range(rng.randrange(60)))
+        assert pii.base_spans(t) == brute_spans(t), t
+    assert pii.base_spans("1" * 200_000 + "@" * 1000 + "a" * 200_000) == []
+
+
+def test_personal_data(docs, sample):
+    for df in (docs, sample):
+        texts = texts_of(df)
+        want = Counter((i, pii.span_text(brute_spans(t))) for i, t in texts if len(t or "") < 50_000)
+        lookup = {hashlib.sha256(s.encode()).hexdigest(): s for _, s in want}
+        rows = [r for r in pii.found(df).collect() if r["base_sha256"] in lookup]
+        assert Counter((r["doc_id"], lookup[r["base_sha256"]]) for r in rows if (r["doc_id"], lookup[r["base_sha256"]]) in want) == want
+        for r in rows:
+            assert set(filter(None, lookup[r["base_sha256"]].split(","))) <= set(r["spans"].split(","))
+
+
+def test_field_finds_other_notations_and_leaves_numbers_alone():
+    field = pii.trained()
+    texts = ["please call (555) 555-0199 at the office", "see 2021-03-04 and 12:30:45 or 3.14 with 1,234,567 items", "in 1999 the order 12345678 came"]
+    spans = [s for _, s in pii.all_spans(texts, field)]
+    assert ("phone", 12, 26) in spans[0] and not spans[1] and not spans[2]
+
+
+def test_redaction(docs):
+    out = {r["doc_id"]: r for r in pii.redacted(docs).collect()}
+    assert out[0]["text"] is None and "<email>" in out[9]["text"] and "<ip>" in out[9]["text"] and "300.1.1.1" in out[9]["text"]
+    assert out[9]["n_chars"] == len(out[9]["text"]) and out[9]["fp"] == "clash"
+
+
+def test_quality_is_learnt(spark, sample):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = quality_crf.scored(sample, labels).join(labels, "doc_id").where("held_out").collect()
+    assert len(rows) > 50
+    assert np.mean([r["predicted"] == r["quality"] for r in rows]) >= 0.95
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in rows)
+
+
+def test_quality_on_awkward_rows(spark, docs):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert {r["score"] for r in quality_crf.scored(docs, none).collect()} == {0.5}
+    some = spark.createDataFrame([(i, i % 2, 0) for i in range(len(AWKWARD))] + [(1, 1, 0), (None, 1, 0), (2, None, 0)], "doc_id long, quality int, toxic int")
+    rows = quality_crf.scored(docs, some).collect()
+    assert len(rows) == len(AWKWARD) + 2 and all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_marginals_equal_enumeration():
+    rng = np.random.default_rng(2)
+    unary, moves = rng.normal(size=5), rng.normal(size=(2, 2))
+    weights = {}
+    for path in np.ndindex(*[2] * 5):
+        weights[path] = np.exp(sum(unary[k] * y for k, y in enumerate(path)) + sum(moves[a, b] for a, b in zip(path, path[1:], strict=False)))
+    want = [sum(w for p, w in weights.items() if p[k]) / sum(weights.values()) for k in range(5)]
+    assert np.allclose(quality_crf.marginals(np.r_[unary, unary[:2]], moves, np.array([5, 2]))[:5], want)
+
+
+def test_packing(docs, sample):
+    for df in (docs, sample):
+        texts = {i: t for i, t in texts_of(df)}
+        rows = packing.packed(df, capacity=200, per_source=3, shard=100).collect()
+        want = Counter()
+        for i, t in texts_of(df):
+            want[i] += len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+        got = Counter()
+        for r in rows:
+            got[r["doc_id"]] += r["n_words"]
+        assert got == +want
+        bins = {}
+        for r in rows:
+            bins.setdefault(r["bin_id"], []).append(r)
+        for pieces in bins.values():
+            pieces.sort(key=lambda r: r["bin_offset"])
+            assert sum(r["n_words"] for r in pieces) <= 200
+            assert all(a["bin_offset"] + a["n_words"] == b["bin_offset"] for a, b in zip(pieces, pieces[1:], strict=False))
+            whole = [texts.get(r["doc_id"]) for r in pieces if r["n_words"] < 200]
+            assert len(whole) == len(set(whole))
+            assert max(Counter(r["source"] for r in pieces).values()) <= 3
+
+
+def test_best_fit_takes_the_tightest_compatible_bin():
+    bins = packing.Bins(10, 2)
+    assert bins.place(6, 1, 0) == (0, 10) and bins.place(7, 2, 0) == (1, 10)
+    assert bins.place(3, 2, 1) == (0, 4)  # the tighter bin 1 holds the cluster already
+    assert bins.place(1, 0, 0) == (0, 1)
+    assert bins.place(3, 0, 1) == (1, 3)
+    assert bins.place(1, 0, 0) == (2, 10)
+
+
+def test_ogg_round_trip_and_damage():
+    for data in (b"", b"a", b"x" * 64, bytes(range(256)) * 700):
+        payload = ogg.padded(data)
+        assert len(payload) % 64 == 0 and len(payload) >= max(64, len(data)) and payload.startswith(data)
+        media = ogg.write_ogg(payload)
+        streams = ogg.read_ogg(media)
+        assert ogg.stored_payload(streams) == payload and len(streams) == 2
+        with pytest.raises(ValueError):
+            ogg.read_ogg(media[:-1] + bytes([media[-1] ^ 1]))
+        with pytest.raises(ValueError):
+            ogg.read_ogg(media[:-1])
+    # by the definition, bit by bit
+    register = 0
+    for byte in b"123456789":
+        register ^= byte << 24
+        for _ in range(8):
+            register = (register << 1 ^ (0x04C11DB7 if register >> 31 else 0)) & 0xFFFFFFFF
+    assert ogg.page_checksum(b"123456789") == register
+
+
+def test_media(docs):
+    want = Counter((i, len((t or "").encode()), hashlib.sha256(ogg.padded((t or "").encode())).hexdigest(), zlib.crc32(ogg.padded((t or "").encode())[-64:])) for i, t in texts_of(docs))
+    rows = ogg.media_digests(docs).collect()
+    assert Counter((r["doc_id"], r["n_bytes"], r["payload_sha256"], r["tail_crc32"]) for r in rows) == want
+    media = {r["doc_id"]: bytes(r["media"]) for r in ogg.write_media(docs).collect()}
+    assert all(hashlib.sha256(media[r["doc_id"]]).hexdigest() == r["media_sha256"] for r in rows if r["doc_id"] not in (None, 3))
+
+
+def brute_licences(t):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(str.maketrans(license_index.UPPER, license_index.LOWER)))
+    at, labels = [], set()
+    for phrase, label in license_index.PHRASES:
+        p = phrase.split()
+        for i in range(len(words) - len(p) + 1):
+            if words[i : i + len(p)] == p:
+                at.append(i)
+                labels.add(label)
+    return len(words), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels))
+
+
+def test_licences(docs, sample):
+    for df in (docs, sample):
+        want = Counter((i, *brute_licences(t)) for i, t in texts_of(df))
+        rows = license_index.scanned(df).collect()
+        assert Counter((r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for r in rows) == want
+        assert all(set(r["base_labels"].split(",")) - {""} <= set(r["labels"].split(",")) and 0 <= r["score"] <= 1 for r in rows)
+
+
+def test_templates_without_their_phrase_are_found_by_position(spark):
+    text = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction"
+    scattered = " x ".join(sorted(text.split()))
+    got = {r["doc_id"]: r for r in license_index.scanned(spark.createDataFrame([(1, text), (2, scattered), (3, "plain")], "doc_id long, text string")).collect()}
+    assert got[1]["labels"] == "mit" and got[1]["base_labels"] == "" and got[1]["score"] > 0.6
+    assert got[2]["labels"] == "" and got[3]["labels"] == ""
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_empty_tables(spark, tmp_path, name):
+    for table, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("labels", "doc_id long, quality int, toxic int"), ("pages", "page_id long, url string, html string")):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{table}.parquet"))
+    assert queries()[name](spark, str(tmp_path)).count() == 0
