@@ -11,15 +11,14 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerline.functions.names import sheet_name
 
 EXTENSIONS = (".xlsx", ".xls", ".zip", ".csv", ".ods")
 DATA_MEMBERS = (".csv", ".xlsx", ".xls")
-EVENT = T.StructType.fromDDL("event_type string, timestamp timestamp, run_id string, level string, publication string, period string, stage string, message string, details map<string,string>")
-MANIFEST = T.StructType.fromDDL("manifest struct<name:string,description:string,created_at:string>, sources array<struct<code:string,name:string,`table`:string,enabled:boolean,files:array<struct<url:string,period:string,mode:string,sheet:string,extract:string>>,columns:array<struct<name:string,original_name:string,description:string,data_type:string>>>>")
+EVENT = "event_type string, timestamp timestamp, run_id string, level string, publication string, period string, stage string, message string, details map<string,string>"
+MANIFEST = "manifest struct<name:string,description:string,created_at:string>, sources array<struct<code:string,name:string,`table`:string,enabled:boolean,files:array<struct<url:string,period:string,mode:string,sheet:string,extract:string>>,columns:array<struct<name:string,original_name:string,description:string,data_type:string>>>>"
 
 
 def unique_names(spark: SparkSession, headers: list[str]) -> list[str]:
