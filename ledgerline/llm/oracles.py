@@ -1,3 +1,55 @@
-"""DuckDB SQL for the operators that SQL can express."""
+"""DuckDB SQL for the operators that SQL can express.
 
-ORACLES: dict[str, str] = {}
+The others have none: token merges (1, 9), XXH64 with a seed and components (3), random fields (5, 6),
+greedy bins (7) and page checksums (8) are held against libraries, brute force and round trips in tests.
+"""
+
+WORD = "[^\\x20\\x09-\\x0D]+"
+
+OP2 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, unnest(regexp_extract_all(t, '{WORD}')) AS w, generate_subscripts(regexp_extract_all(t, '{WORD}'), 1) AS i FROM d),
+g AS (SELECT r, i, w || ' ' || lead(w) OVER x || ' ' || lead(w, 2) OVER x AS g FROM w WINDOW x AS (PARTITION BY r ORDER BY i)),
+again AS (SELECT r, g FROM g WHERE g IS NOT NULL GROUP BY ALL HAVING count(*) > 1),
+covered AS (SELECT r, count(DISTINCT i + k) AS n FROM g JOIN again USING (r, g) CROSS JOIN (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
+sized AS (SELECT r, count(*) AS n, sum(length(w)) AS c FROM w GROUP BY r),
+l AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
+dup AS (SELECT r, sum(n - 1) AS n FROM (SELECT r, line, count(*) AS n FROM l WHERE regexp_matches(line, '{WORD}') GROUP BY ALL) GROUP BY r),
+base AS (SELECT d.r, doc_id, source, t, coalesce(sized.n, 0) AS n_words, coalesce(c, 0) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
+ FROM d LEFT JOIN sized USING (r) LEFT JOIN dup USING (r) LEFT JOIN covered USING (r)),
+texts AS (SELECT coalesce(source, chr(1)) AS host, t, min(r) AS r FROM d GROUP BY ALL),
+lines AS (SELECT host, r, regexp_replace(array_to_string(list_filter(regexp_split_to_array(lower(line), '\\s+'), lambda x: x <> ''), ' '), '[0-9]', '0', 'g') AS line, sum(len(regexp_extract_all(line, '{WORD}'))) AS words
+ FROM texts JOIN l USING (r) WHERE regexp_matches(line, '{WORD}') GROUP BY ALL),
+hosts AS (SELECT host, greatest(5, least(1000, ceil(count(*) * 0.01))) AS most FROM texts GROUP BY 1),
+often AS (SELECT host, line FROM lines JOIN hosts USING (host) GROUP BY host, line, most HAVING count(*) > most),
+found AS (SELECT host, r, line, words FROM lines JOIN often USING (host, line)),
+weight AS (SELECT f.r, sum(f.words) / max(b.n_words) AS weight FROM found f JOIN base b USING (r) GROUP BY 1),
+boiler AS (SELECT host, line FROM found JOIN weight USING (r) GROUP BY ALL HAVING NOT avg(weight) > 1 - 0.3),
+gone AS (SELECT host, t, sum(words) AS n FROM found JOIN boiler USING (host, line) JOIN texts USING (host, r) GROUP BY ALL)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST(coalesce(gone.n, 0) AS BIGINT) AS n_removed_words,
+ n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - coalesce(gone.n, 0) >= 0.3 * n_words AS kept
+FROM base LEFT JOIN gone ON gone.host = coalesce(base.source, chr(1)) AND gone.t = base.t
+"""
+
+OP4 = r"""
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules AS (SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')) r(says, rhost, rpath)),
+k AS (SELECT p.*, (SELECT arg_max(rhost || rpath, length(rhost || rpath)) FROM rules WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS rule FROM p),
+v AS (SELECT k.*, says AS ruling, list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: CASE WHEN regexp_matches(s, '^(?:[0-9][0-9.,_-]*|[0-9a-fA-F]{8,}|[A-Za-z_-]*[0-9]+[A-Za-z_-]+[0-9]+[0-9A-Za-z_-]*|.{41,})(\.[A-Za-z]{1,5})?$')
+ THEN '*' || CASE WHEN regexp_matches(s, '^(?:[0-9][0-9.,_-]*|[0-9a-fA-F]{8,}|[A-Za-z_-]*[0-9]+[A-Za-z_-]+[0-9]+[0-9A-Za-z_-]*)(\.[A-Za-z]{1,5})$') THEN regexp_extract(s, '(\.[A-Za-z]{1,5})$', 1) ELSE '' END ELSE s END) AS shaped FROM k LEFT JOIN rules ON rule = rhost || rpath),
+y AS (SELECT host, shaped, count(*) AS pages, count(*) FILTER (ruling = 'block') AS blocked, count(ruling) AS decided FROM v GROUP BY ALL),
+s AS (SELECT host, shaped, unnest(shaped) AS segment, generate_subscripts(shaped, 1) AS i FROM y),
+crowded AS (SELECT host, above FROM (SELECT DISTINCT host, list_slice(shaped, 1, i - 1) AS above, segment FROM s WHERE NOT starts_with(segment, '*')) GROUP BY ALL HAVING count(*) > 16),
+opened AS (SELECT s.host, s.shaped, list(DISTINCT i) AS o FROM s JOIN crowded c ON c.host = s.host AND c.above = list_slice(s.shaped, 1, i - 1) WHERE NOT starts_with(segment, '*') GROUP BY ALL),
+t AS (SELECT y.*, list_transform(y.shaped, lambda x, i: CASE WHEN list_contains(coalesce(o, []), i) THEN '*' ELSE x END) AS template FROM y LEFT JOIN opened ON opened.host = y.host AND opened.shaped = y.shaped),
+f AS (SELECT host, template, sum(pages) AS pages, sum(blocked) AS blocked, sum(decided) AS decided FROM t GROUP BY ALL),
+b AS (SELECT *, list_transform(template, lambda x, i: CASE WHEN i = coalesce(list_max(list_filter(list_transform(template, lambda z, j: CASE WHEN starts_with(z, '*') THEN 0 ELSE j END), lambda j: j > 0)), 0) THEN '*' ELSE x END) AS branch FROM f),
+c AS (SELECT *, sum(blocked) OVER (PARTITION BY host, branch) / nullif(sum(decided) OVER (PARTITION BY host, branch), 0) AS share FROM b),
+m AS (SELECT *, CASE WHEN decided > 0 AND abs(blocked / decided - share) <= 1.96 * sqrt(share * (1 - share) / decided) THEN branch ELSE template END AS merged FROM c),
+j AS (SELECT *, (sum(blocked) OVER z + 1.0) / (sum(decided) OVER z + 2.0) AS purity, sum(decided) OVER z >= 0.5 * sum(pages) OVER z AS covered FROM m WINDOW z AS (PARTITION BY host, merged))
+SELECT page_id, v.host, path, rule, coalesce(ruling, CASE WHEN purity >= 0.8 AND covered THEN 'block' ELSE 'allow' END) AS verdict, '/' || array_to_string(merged, '/') AS template, purity::DOUBLE AS purity
+FROM v JOIN t ON t.host = v.host AND t.shaped = v.shaped JOIN j ON j.host = t.host AND j.template = t.template
+"""
+
+ORACLES: dict[str, str] = {"op2_quality_rules": OP2, "op4_url_filters": OP4}
