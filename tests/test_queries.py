@@ -2,9 +2,10 @@
 
 import pytest
 from compare import differences, duck
-from conftest import SF
 from ledgerline.plans.registry import load
 
+SF = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -19,4 +20,4 @@ def test_same_rows(spark, con, name):
 
 @pytest.mark.parametrize("name", sorted(n for n, r in load().items() if not r.sql))
 def test_runs(spark, name):
-    assert load()[name].run(spark, "/root/testdata/sf0.001").count() >= 0
+    assert load()[name].run(spark, SF).count() >= 0
