@@ -88,10 +88,10 @@ def n09_moving(spark, d):
     return A.moving(long(spark, d), "day", "n", 3, ("band",))
 
 
-@query(f"""SELECT band, round((pow(last_n / first_n, 1.0 / (k - 1)) - 1) * 100, 4) AS growth_rate_pct FROM (SELECT band, count(*) AS k, CAST(arg_min(n, day) AS DOUBLE) AS first_n, CAST(arg_max(n, day) AS DOUBLE) AS last_n FROM ({LONG}) GROUP BY 1)""")
+@query(f"""SELECT band, round((pow(last_n / nullif(first_n, 0), 1.0 / nullif(k - 1, 0)) - 1) * 100, 4) AS growth_rate_pct FROM (SELECT band, count(*) AS k, CAST(arg_min(n, day) AS DOUBLE) AS first_n, CAST(arg_max(n, day) AS DOUBLE) AS last_n FROM ({LONG}) GROUP BY 1)""")
 def n09_compound_growth(spark, d):
     ends = long(spark, d).groupBy("band").agg(F.count("*").alias("k"), F.min_by("n", "day").alias("first_n"), F.max_by("n", "day").alias("last_n"))
-    return ends.select("band", F.round((F.pow(F.col("last_n") / F.col("first_n"), 1.0 / (F.col("k") - 1)) - 1) * 100, 4).alias("growth_rate_pct"))
+    return ends.select("band", F.round((F.pow(F.try_divide("last_n", "first_n"), F.try_divide(F.lit(1.0), F.col("k") - 1)) - 1) * 100, 4).alias("growth_rate_pct"))
 
 
 @query("""WITH r AS (SELECT o_custkey, o_orderkey, o_orderkey - lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS gap FROM orders)
