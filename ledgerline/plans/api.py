@@ -86,6 +86,16 @@ def kpis(rolled: DataFrame, table: str) -> DataFrame:
     return rolled.where(F.col("table") == table).select(F.explode(F.from_json("kpis", fields)).alias("k")).select("k.*")
 
 
+def list_datasets(sources: DataFrame, history: DataFrame, domain: str | None = None, keyword: str | None = None, min_rows: int = 0, most: int = 50) -> DataFrame:
+    """Registered datasets that fit, by code, with their rows, loads and range of loads."""
+    stats = history.groupBy(F.col("source").alias("code")).agg(F.sum("rows_loaded").alias("total_rows"), F.count("*").alias("loads"), F.min("loaded_at").alias("a"), F.max("loaded_at").alias("b"))
+    span = F.concat(F.date_format("a", "yyyy-MM-dd"), F.lit(" to "), F.date_format("b", "yyyy-MM-dd"))
+    rows = sources.where(F.col("domain") == domain) if domain else sources
+    rows = rows.where(F.contains(F.lower("code"), F.lit(keyword.lower()))) if keyword else rows
+    out = rows.select("code", "domain").join(stats, "code", "left").withColumn("total_rows", F.coalesce("total_rows", F.lit(0)))
+    return out.where(F.col("total_rows") >= min_rows).select("code", "domain", "total_rows", "loads", span.alias("date_range")).orderBy("code").limit(most)
+
+
 def dataset(spark: SparkSession, registry: DataFrame, code: str) -> DataFrame:
     """The table of a registered code (code, path); unknown codes are refused."""
     row = registry.where(F.col("code") == code).select("path").first()

@@ -15,7 +15,7 @@ from ledgerline.streaming import monitor as M
 
 from . import api
 from .inputs import FILES, given, plain
-from .loading import SOURCES, SOURCES_SQL
+from .loading import HISTORY_SQL, SOURCES, SOURCES_SQL, history
 from .registry import query
 from .reports import META_SQL, meta
 from .shared import folder
@@ -187,9 +187,10 @@ def p12_landing_page_periods(spark, d):
 # --- the query API ---------------------------------------------------------------------------------------
 
 
-@query(f"SELECT domain, count(*) AS datasets FROM ({SOURCES_SQL}) GROUP BY 1")
+@query(f"""SELECT s.code, s.domain, h.total_rows, h.loads, h.date_range FROM ({SOURCES_SQL}) s JOIN (SELECT source, CAST(sum(rows_loaded) AS BIGINT) AS total_rows, count(*) AS loads, strftime(min(loaded_at), '%Y-%m-%d') || ' to ' || strftime(max(loaded_at), '%Y-%m-%d') AS date_range FROM ({HISTORY_SQL}) GROUP BY 1) h ON h.source = s.code
+WHERE s.domain = 'BUILDING' AND contains(s.code, 's1') AND total_rows >= 1000 ORDER BY s.code LIMIT 50""")
 def q01_list_datasets(spark, d):
-    return given(spark, d, SOURCES).groupBy("domain").agg(F.count("*").alias("datasets"))
+    return api.list_datasets(given(spark, d, SOURCES), history(spark, d), domain="BUILDING", keyword="s1", min_rows=1000)
 
 
 @query("SELECT 'part' AS code, count(*) AS n_rows, 'p_partkey,p_name,p_brand,p_type,p_size,p_retailprice' AS columns, '0,1,10' AS sample FROM part")
@@ -233,6 +234,14 @@ def q08_search_columns(spark, d):
 LOG = "SELECT CAST(ts AS TIMESTAMP) AS ts, event_type, CASE WHEN event_type = 'error' THEN 'error' ELSE 'info' END AS level FROM {events}"
 
 
+@query("SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, count(*) FILTER (event_type = 'error') AS errors FROM events GROUP BY 1")
+def w13_event_sink(spark, d):
+    path = folder(spark, "w13")
+    M.emitted(given(spark, d, LOG), path)
+    stored = spark.read.schema("event_type string, date string").json(path)
+    return stored.groupBy("date").agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("errors"))
+
+
 @query("SELECT date_trunc('day', ts) AS starts, event_type, count(*) AS events, count(*) FILTER (event_type = 'error') AS errors, round(count(*) FILTER (event_type = 'error') / count(*), 4) AS error_rate FROM events GROUP BY ALL")
 def t02_event_windows(spark, d):
     path = folder(spark, "log")

@@ -28,6 +28,11 @@ def ingested(stream: DataFrame, store: str, ledger: str, checkpoint: str, period
     tagged.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def emitted(events: DataFrame, path: str, at: str = "ts") -> None:
+    """Appends events as JSON lines, in a folder for each date."""
+    events.withColumn("date", F.date_format(at, "yyyy-MM-dd")).write.partitionBy("date").mode("append").json(path)
+
+
 def windowed(events: DataFrame, at: str = "ts", width: str = "1 day", late: str = "1 hour") -> DataFrame:
     """Events, errors and error share by window and type; the same expression serves a stream and a table."""
     counts = events.withWatermark(at, late).groupBy(F.window(at, width).alias("w"), "event_type").agg(F.count("*").alias("events"), F.count_if(F.col("level") == "error").alias("errors"))
