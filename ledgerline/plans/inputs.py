@@ -44,12 +44,12 @@ HEADERS = f"""SELECT DISTINCT h FROM (
  UNION ALL SELECT concat('Q', quarter(o_orderdate), '_', year(o_orderdate)) FROM {{orders}}
  UNION ALL SELECT concat(year(o_orderdate), '-', month(o_orderdate)) FROM {{orders}}
  UNION ALL SELECT concat(year(o_orderdate) % 100, '/', (year(o_orderdate) + 1) % 100) FROM {{orders}}
- UNION ALL SELECT substr(text, 1, 90) FROM {{benchmark}}) u"""
+ UNION ALL SELECT text FROM {{benchmark}}) u"""
 
 CODES = f"""SELECT DISTINCT code FROM (
- SELECT concat(lower(p_type), '_', lower({MONTH}), year(o_orderdate) % 100 + 10, '_data') AS code FROM {{orders}} JOIN {{part}} ON o_orderkey % 100 = p_partkey
- UNION ALL SELECT concat(replace(p_name, ' ', '_'), '_', year(o_orderdate) + 20, '_', substr(concat('0', month(o_orderdate)), -2, 2)) FROM {{orders}} JOIN {{part}} ON o_orderkey % 100 = p_partkey
- UNION ALL SELECT concat(source, '_q', quarter(o_orderdate), '_', lang, '_', day(o_orderdate)) FROM {{documents}} JOIN {{orders}} ON doc_id % 500 = o_orderkey
+ SELECT concat(lower(p_type), '_', lower({MONTH}), year(o_orderdate) % 100 + 10, '_data') AS code FROM {{orders}} JOIN {{lineitem}} ON l_orderkey = o_orderkey JOIN {{part}} ON p_partkey = l_partkey
+ UNION ALL SELECT concat(replace(p_name, ' ', '_'), '_', year(o_orderdate) + 20, '_', substr(concat('0', month(o_orderdate)), -2, 2)) FROM {{orders}} JOIN {{lineitem}} ON l_orderkey = o_orderkey JOIN {{part}} ON p_partkey = l_partkey
+ UNION ALL SELECT concat(source, '_q', doc_id % 4 + 1, '_', lang, '_', doc_id % 28 + 1) FROM {{documents}}
  UNION ALL SELECT concat(lower(c_mktsegment), '_historic_', c_nationkey) FROM {{customer}}) u"""
 
 PERIOD_TEXTS = f"""SELECT DISTINCT t FROM (
@@ -71,12 +71,12 @@ PERIODS = """SELECT DISTINCT code FROM (
 
 FILES = f"""SELECT DISTINCT url FROM (
  SELECT concat('https://files.example.org/', year(o_orderdate), '/Online%20Consultation-', {MONTH}, year(o_orderdate) % 100 + 10, '-XLSX-', 10000 + o_orderkey % 9, '.xlsx') AS url FROM {{orders}}
- UNION ALL SELECT concat('https://files.example.org/', replace(p_name, ' ', '-'), '_', lower({MONTH}), '_', year(o_orderdate), '-revised.csv') FROM {{orders}} JOIN {{part}} ON o_orderkey % 100 = p_partkey
- UNION ALL SELECT concat('https://files.example.org/summary of ', p_type, ' ', year(o_orderdate) + 20, '.zip') FROM {{orders}} JOIN {{part}} ON o_orderkey % 100 = p_partkey
+ UNION ALL SELECT concat('https://files.example.org/', replace(p_name, ' ', '-'), '_', lower({MONTH}), '_', year(o_orderdate), '-revised.csv') FROM {{orders}} JOIN {{lineitem}} ON l_orderkey = o_orderkey JOIN {{part}} ON p_partkey = l_partkey
+ UNION ALL SELECT concat('https://files.example.org/summary of ', p_type, ' ', year(o_orderdate) + 20, '.zip') FROM {{orders}} JOIN {{lineitem}} ON l_orderkey = o_orderkey JOIN {{part}} ON p_partkey = l_partkey
  UNION ALL SELECT url FROM {{pages}}) u"""
 
 VALUES = """SELECT DISTINCT v FROM (
- SELECT CAST(l_extendedprice AS STRING) AS v FROM {lineitem} WHERE l_orderkey % 50 = 0
+ SELECT CAST(l_extendedprice AS STRING) AS v FROM {lineitem}
  UNION ALL SELECT concat(CAST(l_orderkey AS STRING), ',', substr(concat('00', CAST(l_partkey % 1000 AS STRING)), -3, 3)) FROM {lineitem}
  UNION ALL SELECT concat(CAST(CAST(l_quantity AS INT) AS STRING), '%') FROM {lineitem}
  UNION ALL SELECT CASE l_linenumber WHEN 1 THEN '*' WHEN 2 THEN ' [c] ' WHEN 3 THEN 'N/A' WHEN 4 THEN 'Low DQ' WHEN 5 THEN '' WHEN 6 THEN 'yes' ELSE 'No' END FROM {lineitem}

@@ -16,7 +16,7 @@ LEDGER = f"""SELECT concat('m', o_custkey % 40) AS manifest_name, concat('https:
 CASE o_orderstatus WHEN 'F' THEN 'loaded' WHEN 'O' THEN 'pending' ELSE 'failed' END AS status, {PERIOD} AS period, CAST(floor(o_totalprice) AS BIGINT) AS rows_loaded, o_orderdate AS updated_at, o_orderkey AS id FROM {{orders}}"""
 SOURCES = "SELECT c_custkey AS id, concat('s', c_custkey) AS code, concat('tbl_', lower(c_mktsegment), '_', c_custkey) AS table_name, c_mktsegment AS domain, c_acctbal AS weight, c_nationkey AS nation FROM {customer}"
 HISTORY = "SELECT concat('s', l_suppkey) AS source, concat('https://f.example.org/', l_orderkey % 3000, '.csv') AS url, CAST(floor(l_extendedprice) AS BIGINT) AS rows_loaded, l_shipdate AS loaded_at, l_orderkey AS id, l_linenumber AS line FROM {lineitem}"
-COLUMNS = "SELECT DISTINCT concat('t', p_brand) AS \"table\", concat(replace(p_name, ' ', '_'), '_', p_type) AS \"column\", CASE WHEN p_size > 48 THEN 'text' ELSE 'int' END AS type FROM {part} WHERE p_partkey % 3 {0}"
+COLUMNS = "SELECT DISTINCT concat('t', p_brand) AS \"table\", concat(replace(p_name, ' ', '_'), '_', p_type, CASE WHEN p_partkey % 3 {0} END) AS \"column\", CASE WHEN p_size > 48 THEN 'text' ELSE 'int' END AS type FROM {part}"
 SPARK_COLUMNS = COLUMNS.replace('"', "`")
 ONE_TYPE = "SELECT \"table\", \"column\", min(type) AS type FROM ({}) c GROUP BY ALL"
 
@@ -93,11 +93,11 @@ def w10_ledger_upsert(spark, d):
     return L.upserted(rows, ["manifest_name", "file_url"], [F.desc("updated_at"), F.desc("id")], "first_seen", ("last_loaded", F.col("status") == "loaded"))
 
 
-@query("SELECT l_suppkey AS source, p_name AS name FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_suppkey % 2 = 0 GROUP BY ALL UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 2 = 1")
+@query("SELECT l_suppkey AS source, p_name AS name FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal < 5000 GROUP BY ALL UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal < 5000)")
 def w11_metadata_replace(spark, d):
     old = given(spark, d, "SELECT s_suppkey AS source, s_name AS name FROM {supplier}")
-    new = given(spark, d, "SELECT DISTINCT l_suppkey AS source, p_name AS name FROM {lineitem} JOIN {part} ON l_partkey = p_partkey WHERE l_suppkey % 2 = 0")
-    return L.replaced_for(old, new, "source").where("source % 2 = 1 or name not like 'Supplier%'")
+    new = given(spark, d, "SELECT DISTINCT l_suppkey AS source, p_name AS name FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey WHERE s_acctbal < 5000")
+    return L.replaced_for(old, new, "source")
 
 
 @query(f"SELECT s.code, s.domain, h.last_load_at FROM ({SOURCES_SQL}) s LEFT JOIN (SELECT source, max(loaded_at) AS last_load_at FROM ({HISTORY_SQL}) GROUP BY 1) h ON s.code = h.source")
@@ -135,7 +135,7 @@ def w17_json_rows(spark, d):
 
 # --- joins -----------------------------------------------------------------------------------------------
 
-NEW, OLD = "<> 0", "<> 1"
+NEW, OLD = "<> 0 THEN '' ELSE '_new'", "<> 1 THEN '' ELSE '_old'"
 
 
 @query(f"""WITH f AS ({columns_sql(NEW)}), s AS ({columns_sql(OLD)}), b AS (SELECT coalesce(f."table", s."table") AS "table", coalesce(f."column", s."column") AS "column", CASE WHEN s."column" IS NULL THEN 'new_columns' WHEN f."column" IS NULL THEN 'missing_columns' WHEN f.type <> s.type THEN 'type_change' END AS event
@@ -216,8 +216,8 @@ def j12_source_stats(spark, d):
     return given(spark, d, SOURCES).select("code").join(stats, "code", "left").na.fill(0, ["total_rows", "loads"])
 
 
-J14_DRAFT = "SELECT DISTINCT p_brand AS source, concat(p_name, ' ', p_type) AS c FROM {part} WHERE p_partkey % 4 = 0"
-J14_REF = "SELECT DISTINCT p_brand AS source, concat(p_name, ' ', p_type, CASE p_size % 2 WHEN 0 THEN 's' ELSE '' END) AS c FROM {part} WHERE p_partkey % 4 <> 1"
+J14_DRAFT = "SELECT DISTINCT p_brand AS source, concat(p_name, ' ', p_type) AS c FROM {part}"
+J14_REF = "SELECT DISTINCT p_brand AS source, concat(p_name, ' ', p_type, CASE p_size % 2 WHEN 0 THEN 's' ELSE ' old' END) AS c FROM {part}"
 
 
 @query(None)
@@ -234,7 +234,7 @@ J15 = f"SELECT url, concat('sheet', length(url) % 3) AS sheet, concat('m', lengt
 @query(None)
 def j15_matched_sources(spark, d):
     rows = given(spark, d, J15)
-    return M.matched_sources(rows.where("hash(url) % 2 = 0"), rows.withColumn("code", F.md5("url")).where("hash(url) % 3 = 0"))
+    return M.matched_sources(rows, rows.withColumns({"url": F.regexp_replace("url", "(-revised)?\\.csv$", "-final.csv"), "code": F.md5("url")}))
 
 
 def overlap_sql(score, least):
@@ -262,10 +262,10 @@ def j18_fingerprints(spark, d):
     return M.fingerprints(columns(spark, d, NEW), "table", "column")
 
 
-@query(f"""WITH w AS (SELECT DISTINCT source, period FROM ({LEDGER_SQL}) WHERE id % 3 = 0), r AS (SELECT DISTINCT source, period FROM ({LEDGER_SQL}) WHERE status = 'loaded')
+@query(f"""WITH w AS (SELECT DISTINCT source, period FROM ({LEDGER_SQL})), r AS (SELECT DISTINCT source, period FROM ({LEDGER_SQL}) WHERE status = 'loaded')
 SELECT source, period, CASE WHEN period NOT LIKE '%-04' THEN (SELECT max(r.period) FROM r WHERE r.source = w.source AND r.period < w.period) END AS reference FROM w""")
 def j19_reference_before(spark, d):
-    return M.reference_before(ledger(spark, d).where("id % 3 = 0"), ledger(spark, d).where("status = 'loaded'"), "source", "period")
+    return M.reference_before(ledger(spark, d), ledger(spark, d).where("status = 'loaded'"), "source", "period")
 
 
 @query(None)

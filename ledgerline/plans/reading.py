@@ -145,22 +145,31 @@ HREFS = f"SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)href=[\"''](
 ABSOLUTE = f"CASE WHEN regexp_matches(href, '^[a-z]+:') THEN href WHEN href LIKE '//%' THEN regexp_extract(url, '^([a-z]+:)', 1) || href WHEN href LIKE '/%' THEN {SITE} || href ELSE {SITE} || regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '[^/]*$', '') || href END"
 
 
-@query(f"SELECT DISTINCT page_id, {ABSOLUTE} AS link FROM ({HREFS}) WHERE regexp_matches(lower(href), '\\.(xlsx|xls|zip|csv|ods)$')")
+DOWNLOADS = f"SELECT DISTINCT page_id, {ABSOLUTE} AS link FROM ({HREFS}) WHERE regexp_matches(lower(href), '\\.(xlsx|xls|zip|csv|ods)$')"
+
+
+@query(DOWNLOADS)
 def s11_download_links(spark, d):
     return S.download_links(given(spark, d, PAGES))
 
 
-SUBPAGES = f"SELECT DISTINCT page_id, {ABSOLUTE} AS link FROM (SELECT *, rtrim(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/') AS path FROM (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*', 0) || CASE WHEN page_id % 3 = 0 THEN '' ELSE regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) END AS url, href FROM ({HREFS}))) WHERE starts_with(href, path) AND length(href) > length(path) + 1 AND NOT regexp_matches(lower(href), '\\.(xlsx|xls|pdf|zip|csv|ods)$') AND NOT contains(href, '#')"
+def subpages_sql(hrefs):
+    return f"SELECT DISTINCT page_id, {ABSOLUTE} AS link FROM (SELECT *, rtrim(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/') AS path FROM {hrefs}) WHERE starts_with(href, path) AND length(href) > length(path) + 1 AND NOT regexp_matches(lower(href), '\\.(xlsx|xls|pdf|zip|csv|ods)$') AND NOT contains(href, '#')"
+
 
+SHORTER = f"(SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*', 0) || CASE WHEN page_id % 3 = 0 THEN '' ELSE regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) END AS url, href FROM ({HREFS}))"
 
-@query(SUBPAGES)
+
+@query(subpages_sql(SHORTER))
 def s12_subpage_links(spark, d):
     site = F.regexp_extract("url", "^[a-z]+://[^/?#]*", 0)
     path = F.when(F.col("page_id") % 3 == 0, "").otherwise(F.regexp_extract("url", "^[a-z]+://[^/?#]*([^?#]*)", 1))
     return S.subpage_links(given(spark, d, PAGES).withColumn("url", F.concat(site, path)))
 
 
-@query(None)
+@query(f"""WITH direct AS ({DOWNLOADS}), child AS ({subpages_sql(f"({HREFS})")})
+SELECT page_id, link FROM direct UNION ALL
+SELECT DISTINCT c.page_id, d.link FROM child c JOIN pages p ON p.url = c.link JOIN direct d ON d.page_id = p.page_id WHERE c.page_id NOT IN (SELECT page_id FROM direct)""")
 def s13_crawl(spark, d):
     return S.crawl(given(spark, d, PAGES))
 
