@@ -12,8 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 SPACES = " \t\n\x0b\x0c\r"
 
 
+#: Bytes of a table below which its files may be fewer than the cores that could work on it.
+ONE_SPLIT = 128 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The table's rows; those of a small table in few files, which few tasks would read, are dealt to all cores.
+
+    A file's row group goes to one task whole, so that the texts of a small file would pass through one Python worker.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores and int(str(size)) < ONE_SPLIT else rows
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
