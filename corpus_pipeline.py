@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import line_quality, packing, pii, quality_crf, simhash
+from ledgerline.llm import line_quality, near_copies, packing, pii, quality_crf
 from ledgerline.llm.common import checkpointed, table
 
 
@@ -19,8 +19,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest doc_id."""
-    return simhash.deduplicated(docs)
+    """One document of each group of near duplicates by five-word shingles, the one with the smallest doc_id."""
+    return near_copies.deduplicated(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
