@@ -1,8 +1,8 @@
 """Licence scans: given phrases, and a positional rare-token index over licence templates.
 
 Every occurrence in a text of a word of the templates (common words of languages left out) is looked up in
-one pass; the words' document counts over all documents give their inverse document frequency. Each file's
-rarest licence words are looked up in the templates' postings; file and template position of each hit
+one pass; the words' document counts over all documents give their inverse document frequency. Of each
+template's words the rarest in a file are looked up in its postings; file and template position of each hit
 give a relative position, and hits that agree on one belong to the same place. A template is found if
 enough of the looked-up words agree and the file has the template's key phrases.
 
@@ -102,10 +102,10 @@ def scanned(docs: DataFrame, rarest: int = 12, agree: float = 0.6, least: int =
     counts = per_word.groupBy("word").agg(F.count("*").alias("held"))
     rarity = counts.crossJoin(F.broadcast(total)).select("word", F.log((F.col("documents") + 1) / (F.col("held") + 0.5)).alias("idf"))
     table = spark.createDataFrame(postings(), T.StructType.fromDDL("word string, template int, label string, place int"))
-    looked = per_word.join(F.broadcast(table.select("word").distinct()), "word").join(F.broadcast(rarity), "word")
-    by_rarity = Window.partitionBy("row").orderBy(F.desc("idf"), "word")  # at most the vocabulary in a row's group
+    looked = per_word.join(F.broadcast(table.select("word", "template").distinct()), "word").join(F.broadcast(rarity), "word")
+    by_rarity = Window.partitionBy("row", "template").orderBy(F.desc("idf"), "word")  # at most a template's words in a group
     looked = looked.withColumn("rank", F.row_number().over(by_rarity)).where(F.col("rank") <= rarest)
-    pairs = looked.select("row", "word", F.explode("at").alias("at")).join(F.broadcast(table), "word")
+    pairs = looked.select("row", "word", "template", F.explode("at").alias("at")).join(F.broadcast(table), ["word", "template"])
     votes = pairs.groupBy("row", "template", "label", (F.col("at") - F.col("place")).alias("shift")).agg(F.count_distinct("word").alias("votes"))
     best = votes.groupBy("row", "template", "label").agg(F.max("votes").alias("votes"))
     reach = table.select("template", "word").distinct().groupBy("template").agg(F.count("*").alias("words"))

@@ -377,6 +377,12 @@ def test_templates_without_their_phrase_are_found_by_position(spark):
     assert got[2]["labels"] == "" and got[3]["labels"] == ""
 
 
+def test_every_licence_of_a_file_is_found(spark):
+    parts = [text for label, text, _ in license_index.TEMPLATES if label in ("mit", "bsd", "apache")]
+    got = license_index.scanned(spark.createDataFrame([(1, "\n\n".join(parts)), (2, " and ".join(t for _, t, _ in license_index.TEMPLATES)), (3, "plain")], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["labels"] for r in got} == {1: "apache,bsd,mit", 2: "apache,bsd,cc-by,gpl,lgpl,mit,mpl", 3: ""}
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_empty_tables(spark, tmp_path, name):
     for table, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("labels", "doc_id long, quality int, toxic int"), ("pages", "page_id long, url string, html string")):
