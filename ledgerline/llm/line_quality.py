@@ -2,7 +2,7 @@
 
 Lines are normalised (lower case, digits alike, white space alike) and hashed. For each host (`source`)
 the distinct documents that hold a line are counted; exact copies of a text count as one document. A line
-is frequent above a limit: `share` of the host's distinct documents, at least `low` and at most `high`.
+is frequent above a limit: `share` of the host's distinct documents, and at least `low`.
 A document is depleted if less than `least_left` of its words are outside frequent lines that are removed.
 A frequent line is removed if it is boilerplate; where the documents that hold it would be depleted on
 average by losing all their frequent lines, it belongs to a family of near copies instead, which is
@@ -79,22 +79,22 @@ def measured(docs: DataFrame) -> DataFrame:
     return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "source", "text"), batch, schema)
 
 
-def frequent_lines(texts: DataFrame, share: float, low: int, high: int) -> DataFrame:
+def frequent_lines(texts: DataFrame, share: float, low: int) -> DataFrame:
     """source and line of the lines above their host's limit; `texts` has one row for each host and digest."""
     counts = texts.select("source", F.explode("lines").alias("line")).groupBy("source", "line").agg(F.count("*").alias("held"))
     hosts = texts.groupBy("source").agg(F.count("*").alias("documents"))
-    limit = F.greatest(F.lit(low), F.least(F.lit(high), F.ceil(F.col("documents") * share)))
+    limit = F.greatest(F.lit(low), F.ceil(F.col("documents") * share))
     often = counts.where(F.col("held") >= low)
     return often.join(hosts.withColumnRenamed("source", "host"), F.col("source").eqNullSafe(F.col("host"))).where(F.col("held") > limit).select("source", "line")
 
 
-def judged(docs: DataFrame, share: float = 0.01, low: int = 5, high: int = 1000, least_left: float = 0.3, min_words: int = 50) -> DataFrame:
+def judged(docs: DataFrame, share: float = 0.01, low: int = 5, least_left: float = 0.3, min_words: int = 50) -> DataFrame:
     """doc_id, the base measures, n_removed_words, base_failed and kept of every document."""
     rows = checkpointed(measured(docs))
     # equal texts have equal lines: the copies of a text meet as one small row
     texts = rows.groupBy("source", "digest").agg(F.first("n_words").alias("n_words"), F.first("lines").alias("lines"), F.first("line_words").alias("line_words"))
     texts = checkpointed(texts)
-    often = frequent_lines(texts, share, low, high).withColumnsRenamed({"source": "host", "line": "common"})
+    often = frequent_lines(texts, share, low).withColumnsRenamed({"source": "host", "line": "common"})
     held = texts.select("source", "digest", "n_words", F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select("source", "digest", "n_words", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
     found = checkpointed(held.join(often, (held["line"] == often["common"]) & held["source"].eqNullSafe(often["host"])).drop("host", "common"))
     weight = found.groupBy("source", "digest").agg((F.sum("words") / F.max("n_words")).alias("weight")).withColumnsRenamed({"source": "host", "digest": "text_digest"})

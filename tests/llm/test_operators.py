@@ -14,6 +14,7 @@ import xxhash
 from conftest import SF
 from ledgerline.llm import byte_bpe, license_index, line_quality, ogg, packing, pii, quality_crf, simhash, token_counts, url_templates
 from ledgerline.llm.queries import queries
+from pyspark.sql import functions as F
 
 WORD_BPE, BYTE_BPE = P.path("word_bpe_49k.json"), P.path("byte_bpe_multi_50k.tiktoken")
 LONG = "word " * 30_000 + "x" * 50_000
@@ -122,6 +123,13 @@ def test_depleted_documents_go_and_copies_stay(spark):
     assert all(kept for i, kept in got.items() if not 100 <= i < 200)
 
 
+def test_limit_is_the_same_share_of_every_size(spark):
+    for n in (2000, 200_000):  # of which 0.75 % hold line 1 and 1.25 % line 2
+        lines = F.expr(f"array_compact(array(if(id < {n} * 75 div 10000, 1, null), if(id < {n} * 125 div 10000, 2, null), id + 10))")
+        texts = spark.range(n).select(F.lit("h").alias("source"), lines.alias("lines"))
+        assert [r["line"] for r in line_quality.frequent_lines(texts, 0.01, 5).collect()] == [2]
+
+
 def brute_components(texts):
     def one(t):
         words = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
