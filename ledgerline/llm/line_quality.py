@@ -64,19 +64,19 @@ def measures(text: str | None) -> tuple[int, int, int, int, int, list[int], list
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, source, digest of the text, the base measures, lines and line_words."""
+    """doc_id, source, mark and digest of the text, the base measures, lines and line_words."""
 
     def batch(columns: dict[str, list]) -> dict[str, object]:
         values = list(zip(*map(measures, columns["text"]), strict=True))
         return (
-            {"doc_id": pa.array(columns["doc_id"], pa.int64()), "source": pa.array(columns["source"], pa.string())}
+            {"doc_id": pa.array(columns["doc_id"], pa.int64()), "source": pa.array(columns["source"], pa.string()), "mark": pa.array(columns["mark"], pa.string())}
             | {"digest": pa.array([xxhash.xxh3_128_digest(utf8(t)) for t in columns["text"]], pa.binary())}
             | {n: pa.array(v, pa.int64()) for n, v in zip(STATS, values[:5], strict=True)}
             | {"lines": pa.array(values[5], pa.list_(pa.int64())), "line_words": pa.array(values[6], pa.list_(pa.int64()))}
         )
 
-    schema = "doc_id long, source string, digest binary, " + ", ".join(f"{n} long" for n in STATS) + ", lines array<long>, line_words array<long>"
-    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "source", "text"), batch, schema)
+    schema = "doc_id long, source string, mark string, digest binary, " + ", ".join(f"{n} long" for n in STATS) + ", lines array<long>, line_words array<long>"
+    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "source", "md5(text) mark", "text"), batch, schema)
 
 
 def frequent_lines(texts: DataFrame, share: float, low: int) -> DataFrame:
@@ -88,8 +88,13 @@ def frequent_lines(texts: DataFrame, share: float, low: int) -> DataFrame:
     return often.join(hosts.withColumnRenamed("source", "host"), F.col("source").eqNullSafe(F.col("host"))).where(F.col("held") > limit).select("source", "line")
 
 
-def judged(docs: DataFrame, share: float = 0.01, low: int = 5, least_left: float = 0.3, min_words: int = 50) -> DataFrame:
+def judged(docs: DataFrame, **limits: float) -> DataFrame:
     """doc_id, the base measures, n_removed_words, base_failed and kept of every document."""
+    return verdicts(docs, **limits).drop("source", "mark")
+
+
+def verdicts(docs: DataFrame, share: float = 0.01, low: int = 5, least_left: float = 0.3, min_words: int = 50) -> DataFrame:
+    """The columns of `judged`, with source and mark, the text's MD5."""
     rows = checkpointed(measured(docs))
     # equal texts have equal lines: the copies of a text meet as one small row
     texts = rows.groupBy("source", "digest").agg(F.first("n_words").alias("n_words"), F.first("lines").alias("lines"), F.first("line_words").alias("line_words"))
@@ -104,10 +109,11 @@ def judged(docs: DataFrame, share: float = 0.01, low: int = 5, least_left: float
     whole = rows.drop("lines", "line_words").join(removed, (rows["digest"] == removed["text_digest"]) & rows["source"].eqNullSafe(removed["host"]), "left")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     gone = F.coalesce("removed", F.lit(0))
-    return whole.select("doc_id", *STATS, gone.alias("n_removed_words"), failed.alias("base_failed"), (~failed & (F.col("n_words") - gone >= least_left * F.col("n_words"))).alias("kept"))
+    return whole.select("doc_id", "source", "mark", *STATS, gone.alias("n_removed_words"), failed.alias("base_failed"), (~failed & (F.col("n_words") - gone >= least_left * F.col("n_words"))).alias("kept"))
 
 
 def kept_documents(docs: DataFrame, **limits: float) -> DataFrame:
-    """The rows of `docs` that are kept, as they are; rows that repeat a doc_id go if any of them is rejected."""
-    bad = judged(docs, **limits).where(~F.col("kept")).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """The rows of `docs` that are kept, as they are; each row is judged by its own source and text, also where doc_id is null or repeated."""
+    bad = verdicts(docs, **limits).where(~F.col("kept")).select(F.col("doc_id").alias("_bad"), F.col("source").alias("_source"), F.col("mark").alias("_mark")).distinct()
+    same = docs["doc_id"].eqNullSafe(bad["_bad"]) & docs["source"].eqNullSafe(bad["_source"]) & F.md5(docs["text"]).eqNullSafe(bad["_mark"])
+    return docs.join(bad, same, "left_anti")

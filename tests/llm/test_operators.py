@@ -130,6 +130,13 @@ def test_limit_is_the_same_share_of_every_size(spark):
         assert [r["line"] for r in line_quality.frequent_lines(texts, 0.01, 5).collect()] == [2]
 
 
+def test_null_and_repeated_ids_drop_no_row_that_passed(spark):
+    good = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(3)]
+    rows = [(None, good[0], "h"), (None, "", "h"), (None, None, None), (None, good[1], None), (7, good[2], "h"), (7, "short", "h"), (8, None, "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert Counter(map(tuple, line_quality.kept_documents(df).collect())) == Counter([rows[0], rows[3], rows[4]])
+
+
 def brute_components(texts):
     def one(t):
         words = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
