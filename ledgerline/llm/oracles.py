@@ -38,24 +38,27 @@ WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr
 p AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 rules AS (SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')) r(says, rhost, rpath)),
 k AS (SELECT p.*, (SELECT arg_max(rhost || rpath, length(rhost || rpath)) FROM rules WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS rule FROM p),
-v AS (SELECT k.*, says AS ruling, list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: CASE WHEN regexp_matches(s, '^(?:[0-9][0-9.,_-]*|[0-9a-fA-F]{8,}|[A-Za-z_-]*[0-9]+[A-Za-z_-]+[0-9]+[0-9A-Za-z_-]*|.{41,})(\.[A-Za-z]{1,5})?$')
- THEN '*' || CASE WHEN regexp_matches(s, '^(?:[0-9][0-9.,_-]*|[0-9a-fA-F]{8,}|[A-Za-z_-]*[0-9]+[A-Za-z_-]+[0-9]+[0-9A-Za-z_-]*)(\.[A-Za-z]{1,5})$') THEN regexp_extract(s, '(\.[A-Za-z]{1,5})$', 1) ELSE '' END ELSE s END) AS shaped FROM k LEFT JOIN rules ON rule = rhost || rpath),
-y AS (SELECT host, shaped, count(*) AS pages, count(*) FILTER (ruling = 'block') AS blocked, count(ruling) AS decided FROM v GROUP BY ALL),
+v AS (SELECT k.*, says AS ruling, list_filter(string_split(path, '/'), lambda s: s <> '') AS segments FROM k LEFT JOIN rules ON rule = rhost || rpath),
+h AS (SELECT *, list_concat(list_transform(segments[1:8], lambda s: CASE WHEN regexp_matches(s, '^(?:[0-9][0-9.,_-]*|[0-9a-fA-F]{8,}|[A-Za-z_-]*[0-9]+[A-Za-z_-]+[0-9]+[0-9A-Za-z_-]*|.{41,})(\.[A-Za-z]{1,5})?$')
+ THEN '*' || CASE WHEN regexp_matches(s, '^(?:[0-9][0-9.,_-]*|[0-9a-fA-F]{8,}|[A-Za-z_-]*[0-9]+[A-Za-z_-]+[0-9]+[0-9A-Za-z_-]*)(\.[A-Za-z]{1,5})$') THEN regexp_extract(s, '(\.[A-Za-z]{1,5})$', 1) ELSE '' END ELSE s END), CASE WHEN len(segments) > 8 THEN ['**'] ELSE [] END) AS shaped FROM v),
+y AS (SELECT host, shaped, count(*) FILTER (ruling = 'block') AS blocked, count(ruling) AS decided FROM h GROUP BY ALL),
 s AS (SELECT host, shaped, unnest(shaped) AS segment, generate_subscripts(shaped, 1) AS i FROM y),
 crowded AS (SELECT host, above FROM (SELECT DISTINCT host, list_slice(shaped, 1, i - 1) AS above, segment FROM s WHERE NOT starts_with(segment, '*')) GROUP BY ALL HAVING count(*) > 16),
 opened AS (SELECT s.host, s.shaped, list(DISTINCT i) AS o FROM s JOIN crowded c ON c.host = s.host AND c.above = list_slice(s.shaped, 1, i - 1) WHERE NOT starts_with(segment, '*') GROUP BY ALL),
 t AS (SELECT y.*, list_transform(y.shaped, lambda x, i: CASE WHEN list_contains(coalesce(o, []), i) THEN '*' ELSE x END) AS template FROM y LEFT JOIN opened ON opened.host = y.host AND opened.shaped = y.shaped),
-f AS (SELECT host, template, sum(pages) AS pages, sum(blocked) AS blocked, sum(decided) AS decided FROM t GROUP BY ALL),
-b AS (SELECT *, list_transform(template, lambda x, i: CASE WHEN i = coalesce(list_max(list_filter(list_transform(template, lambda z, j: CASE WHEN starts_with(z, '*') THEN 0 ELSE j END), lambda j: j > 0)), 0) THEN '*' ELSE x END) AS branch FROM f),
-c AS (SELECT *, sum(blocked) OVER (PARTITION BY host, branch) / nullif(sum(decided) OVER (PARTITION BY host, branch), 0) AS share FROM b),
-m AS (SELECT *, CASE WHEN decided > 0 AND abs(blocked / decided - share) <= 1.96 * sqrt(share * (1 - share) / decided) THEN branch ELSE template END AS merged FROM c),
-j AS (SELECT *, (sum(blocked) OVER z + 1.0) / (sum(decided) OVER z + 2.0) AS purity, sum(decided) OVER z >= 0.5 * sum(pages) OVER z AS covered FROM m WINDOW z AS (PARTITION BY host, merged))
-SELECT page_id, v.host, path, rule, coalesce(ruling, CASE WHEN purity >= 0.8 AND covered THEN 'block' ELSE 'allow' END) AS verdict, '/' || array_to_string(merged, '/') AS template, purity::DOUBLE AS purity
-FROM v JOIN t ON t.host = v.host AND t.shaped = v.shaped JOIN j ON j.host = t.host AND j.template = t.template
+f AS (SELECT host, template, sum(blocked) AS blocked, sum(decided) AS decided FROM t GROUP BY ALL),
+e AS (SELECT host, template, blocked, decided, generate_subscripts(template, 1) AS i FROM f),
+b AS (SELECT host, list_slice(template, 1, i - 1) AS above, list_slice(template, 1, i) AS branch, sum(blocked) AS blocked, sum(decided) AS decided FROM e GROUP BY ALL),
+g AS (SELECT *, sum(blocked) OVER a AS all_blocked, sum(decided) OVER a AS all_decided, count(*) FILTER (decided > 0) OVER a AS voters, coalesce(sum((blocked + 1.0::DOUBLE) / (decided + 2.0::DOUBLE)) FILTER (decided > 0) OVER a, 0) AS votes FROM b WINDOW a AS (PARTITION BY host, above)),
+r AS (SELECT host, branch, voters, votes, coalesce(decided > 0 AND decided < all_decided AND abs(blocked / nullif(decided, 0) - all_blocked / nullif(all_decided, 0)) <= 1.96 * sqrt(all_blocked / nullif(all_decided, 0) * (1 - all_blocked / nullif(all_decided, 0)) / nullif(decided, 0)), false) AS alike FROM g),
+w AS (SELECT e.host, e.template, list(alike ORDER BY i) AS alike, list({'votes': votes, 'voters': CAST(voters AS DOUBLE), 'p': 0.0::DOUBLE} ORDER BY i) AS way FROM e JOIN r ON r.host = e.host AND r.branch = list_slice(e.template, 1, i) GROUP BY ALL),
+m AS (SELECT f.*, list_transform(f.template, lambda x, i: CASE WHEN alike[i] THEN '+' ELSE x END) AS merged, list_reduce(list_prepend({'votes': 0.0::DOUBLE, 'voters': 0.0::DOUBLE, 'p': 0.5::DOUBLE}, coalesce(way, [])), lambda a, x: {'votes': 0.0::DOUBLE, 'voters': 0.0::DOUBLE, 'p': (x.votes + 2 * a.p) / (x.voters + 2)}).p AS told FROM f LEFT JOIN w ON w.host = f.host AND w.template = f.template),
+j AS (SELECT host, template, merged, round((sum(blocked) OVER z + 2 * told) / (sum(decided) OVER z + 2), 6) AS purity FROM m WINDOW z AS (PARTITION BY host, merged))
+SELECT page_id, h.host, path, rule, coalesce(ruling, CASE WHEN purity >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict, '/' || array_to_string(merged, '/') AS template, purity::DOUBLE AS purity, CASE WHEN purity >= 0.8 THEN 'block' ELSE 'allow' END AS judgement
+FROM h JOIN t ON t.host = h.host AND t.shaped = h.shaped JOIN j ON j.host = t.host AND j.template = t.template
 """
 
 
-
 def rows(values: list[tuple]) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in values) + ")"
 

@@ -1,11 +1,17 @@
 """URL filters: given rules, and a path-template tree for each host that judges what no rule decides.
 
-Segments of a path that vary by their shape (numbers, hexadecimal strings, mixed codes) become wildcards;
-so do all segments below a branch that has too many children. Pages with equal templates meet in one row,
-so that the tree is built on templates, not on pages. Sibling branches (templates that differ in their
-last fixed segment only) are merged where a two-proportion test does not tell their blocked shares apart
-from the siblings' together. A template is rejected if enough of its pages are decided by rules and the
-smoothed share of blocked pages among those is high; otherwise it is allowed.
+Segments of a path that vary by their shape (numbers, hexadecimal strings, mixed codes, more than 40
+characters) become wildcards, `*`; so do all segments below a branch that has more than `max_children`
+children; what lies below `depth` segments becomes one `**`. Pages with equal templates meet in one row, so
+that the tree is built on templates, not on pages.
+
+Labels are the rules' verdicts. Branches below one node whose blocked shares a two-proportion test does not
+tell apart from their siblings' together are merged, `+`, at every level: a branch's counts are those of all
+templates below it, whatever is merged there, so that all levels are decided in one pass. A template's
+purity is the share of blocked pages among the labelled ones of what it was merged with, smoothed towards
+what the branches above it say. There each branch with labels has one smoothed vote, from the root down to
+the template's own level; so a branch without labels takes over its siblings' verdict once enough of them
+agree, and its pages' number doesn't matter. A template of at least `purity` is rejected.
 
 All of it is DataFrame operations on the main path.
 
@@ -22,6 +28,7 @@ from pyspark.sql import functions as F
 #: (verdict, rule) with the rule's host before its first slash and its path from there.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+COUNTS = ("pages", "blocked", "decided")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -42,15 +49,16 @@ def ruled(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, Col
     return rule, verdict
 
 
-def generalised(path: Column) -> Column:
-    """The path's segments with those that vary by shape as wildcards, an extension kept."""
+def generalised(path: Column, depth: int) -> Column:
+    """The path's segments with those that vary by shape as wildcards, an extension kept, and one for all below `depth`."""
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
     varies = r"^(?:[0-9][0-9.,_-]*|[0-9a-fA-F]{8,}|[A-Za-z_-]*[0-9]+[A-Za-z_-]+[0-9]+[0-9A-Za-z_-]*|.{41,})(\.[A-Za-z]{1,5})?$"
-    return F.transform(segments, lambda s: F.when(s.rlike(varies), F.concat(F.lit("*"), F.regexp_extract(s, varies, 1))).otherwise(s))
+    shaped = F.transform(F.slice(segments, 1, depth), lambda s: F.when(s.rlike(varies), F.concat(F.lit("*"), F.regexp_extract(s, varies, 1))).otherwise(s))
+    return F.when(F.size(segments) > depth, F.concat(shaped, F.array(F.lit("**")))).otherwise(shaped)
 
 
 def templates(known: DataFrame, max_children: int) -> DataFrame:
-    """host, shaped (segments after shapes), template (after crowded branches), pages, blocked, decided."""
+    """host, shaped (segments after shapes), template (after crowded branches) and COUNTS."""
     tallied = known.groupBy("host", "shaped").agg(F.count("*").alias("pages"), F.count(F.when(F.col("ruling") == "block", 1)).alias("blocked"), F.count("ruling").alias("decided"))
     steps = tallied.select("host", "shaped", F.posexplode("shaped").alias("at", "segment"))
     steps = steps.where(~F.startswith("segment", F.lit("*"))).withColumn("above", F.slice("shaped", F.lit(1), F.col("at")))
@@ -60,36 +68,46 @@ def templates(known: DataFrame, max_children: int) -> DataFrame:
     return tallied.join(opened, ["host", "shaped"], "left").withColumn("template", template).drop("open")
 
 
-def verdicts(tree: DataFrame, prior: float, purity: float, coverage: float, z: float) -> DataFrame:
-    """host, template, its merged branch, purity and verdict."""
-    leaves = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("pages", "blocked", "decided")])
-    fixed = F.filter(F.transform("template", lambda s, i: F.when(F.startswith(s, F.lit("*")), -1).otherwise(i)), lambda i: i >= 0)
-    last = F.coalesce(F.array_max(fixed), F.lit(-1))
-    leaves = leaves.withColumn("last", last).withColumn("branch", F.transform("template", lambda s, i: F.when(i == F.col("last"), "*").otherwise(s))).drop("last")
-    together = leaves.groupBy("host", "branch").agg(F.try_divide(F.sum("blocked"), F.sum("decided")).alias("share"))
-    rated = leaves.join(together, ["host", "branch"])
-    error = F.sqrt(F.try_divide(F.col("share") * (1 - F.col("share")), F.col("decided")))
-    like = (F.col("decided") > 0) & (F.abs(F.try_divide("blocked", "decided") - F.col("share")) <= z * error)
-    rated = rated.withColumn("merged", F.when(F.coalesce(like, F.lit(False)), F.col("branch")).otherwise(F.col("template"))).drop("share")
-    pooled = rated.groupBy("host", "merged").agg(*[F.sum(c).alias("all_" + c) for c in ("pages", "blocked", "decided")])
-    clean = (F.col("all_blocked") + prior) / (F.col("all_decided") + 2 * prior)
+def verdicts(tree: DataFrame, prior: float, purity: float, z: float) -> DataFrame:
+    """host, template, what it was merged to, its purity and judgement."""
+    leaves = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    steps = leaves.select("host", "template", "blocked", "decided", F.posexplode("template").alias("at", "_")).drop("_")
+    steps = steps.withColumns({"above": F.slice("template", F.lit(1), F.col("at")), "branch": F.slice("template", F.lit(1), F.col("at") + 1)})
+    branches = steps.groupBy("host", "above", "branch").agg(F.sum("blocked").alias("blocked"), F.sum("decided").alias("decided"))
+    vote = F.when(F.col("decided") > 0, (F.col("blocked") + prior) / (F.col("decided") + 2 * prior))
+    together = branches.groupBy("host", "above").agg(F.sum("blocked").alias("all_blocked"), F.sum("decided").alias("all_decided"), F.count(vote).alias("voters"), F.coalesce(F.sum(vote), F.lit(0.0)).alias("votes"))
+    share = F.try_divide("all_blocked", "all_decided")
+    error = F.sqrt(F.try_divide(share * (1 - share), F.col("decided")))
+    like = (F.col("decided") > 0) & (F.col("decided") < F.col("all_decided")) & (F.abs(F.try_divide("blocked", "decided") - share) <= z * error)
+    rated = branches.join(together, ["host", "above"]).select("host", "branch", F.coalesce(like, F.lit(False)).alias("like"), "voters", "votes")
+    # a template has as many rows here as segments
+    ways = steps.select("host", "template", "at", "branch").join(rated, ["host", "branch"]).groupBy("host", "template").agg(F.array_sort(F.collect_list(F.struct("at", "like", "voters", "votes"))).alias("way"))
+    way = F.coalesce("way", F.array().cast("array<struct<at:int,like:boolean,voters:bigint,votes:double>>"))
+    merged = F.transform("template", lambda s, i: F.when(F.get("way", i)["like"], "+").otherwise(s))
+    told = F.aggregate("way", F.lit(0.5), lambda p, x: (x["votes"] + 2 * prior * p) / (x["voters"] + 2 * prior))
+    rated = leaves.join(ways, ["host", "template"], "left").withColumn("way", way).withColumns({"merged": merged, "told": told}).drop("way")
+    pooled = rated.groupBy("host", "merged").agg(F.sum("blocked").alias("all_blocked"), F.sum("decided").alias("all_decided"))
+    clean = F.round((F.col("all_blocked") + 2 * prior * F.col("told")) / (F.col("all_decided") + 2 * prior), 6)
     judged = rated.join(pooled, ["host", "merged"]).withColumn("purity", clean)
-    bad = (F.col("purity") >= purity) & (F.col("all_decided") >= coverage * F.col("all_pages"))
-    return judged.select("host", "template", "merged", "purity", F.when(bad, "block").otherwise("allow").alias("judgement"))
+    return judged.select("host", "template", "merged", "purity", F.when(F.col("purity") >= purity, "block").otherwise("allow").alias("judgement"))
 
 
-def filtered(pages: DataFrame, rules: tuple = RULES, max_children: int = 16, prior: float = 1.0, purity: float = 0.8, coverage: float = 0.5, z: float = 1.96) -> DataFrame:
-    """page_id, host, path, rule, verdict, template and purity of every page."""
+def filtered(pages: DataFrame, rules: tuple = RULES, max_children: int = 16, depth: int = 8, prior: float = 1.0, purity: float = 0.8, z: float = 1.96, labelled: Column | None = None) -> DataFrame:
+    """page_id, host, path, rule, verdict, template, purity and judgement (the method's verdict) of every page.
+
+    Where `labelled` is given, only its pages' rules are labels: so the others measure the method.
+    """
     host, path = host_and_path(F.col("url"))
-    known = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
+    use = (F.lit(True) if labelled is None else labelled).alias("use")
+    known = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"), use)
     rule, ruling = ruled(F.col("host"), F.col("path"), rules)
-    known = known.withColumns({"rule": rule, "ruling": ruling, "shaped": generalised(F.col("path"))})
+    known = known.withColumns({"rule": rule, "says": ruling, "shaped": generalised(F.col("path"), depth)}).withColumn("ruling", F.when(F.col("use"), F.col("says")))
     tree = templates(known, max_children)
-    judged = tree.select("host", "shaped", "template").join(verdicts(tree, prior, purity, coverage, z), ["host", "template"])
+    judged = tree.select("host", "shaped", "template").join(verdicts(tree, prior, purity, z), ["host", "template"])
     judged = judged.select("host", "shaped", F.concat(F.lit("/"), F.array_join("merged", "/")).alias("template"), "purity", "judgement")
     # a template that many pages share is a large key on one side only, which adaptive execution splits
     out = known.join(judged, ["host", "shaped"], "left")
-    return out.select("page_id", "host", "path", "rule", F.coalesce("ruling", "judgement").alias("verdict"), "template", "purity")
+    return out.select("page_id", "host", "path", "rule", F.coalesce("says", "judgement").alias("verdict"), "template", "purity", "judgement")
 
 
 def allowed(pages: DataFrame, **settings: float) -> DataFrame:

@@ -234,6 +234,83 @@ def test_templates_are_learnt_from_rules(spark):
     assert got[3] == "block" and got[50] == "allow"
 
 
+def brute_tree(pages, rules, max_children=16, depth=8, prior=1.0, purity=0.8, z=1.96):
+    """{(host, path): (template, purity, judgement)} by walking each host's tree."""
+    varies = re.compile(r"(?:[0-9][0-9.,_-]*|[0-9a-fA-F]{8,}|[A-Za-z_-]*[0-9]+[A-Za-z_-]+[0-9]+[0-9A-Za-z_-]*|.{41,})(\.[A-Za-z]{1,5})?")
+
+    def says(host, path):
+        fit = [(len(r), v) for v, r in rules if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[len(r.split("/")[0]) :])]
+        return max(fit)[1] if fit else None
+
+    def shaped(path):
+        parts = [p for p in path.split("/") if p]
+        own = [("*" + (m.group(1) or "")) if (m := varies.fullmatch(p)) else p for p in parts[:depth]]
+        return (*own, "**") if len(parts) > depth else tuple(own)
+
+    out = {}
+    for host in {h for h, _ in pages}:
+        paths = [p for h, p in pages if h == host]
+        kids = {}
+        for s in map(shaped, paths):
+            for i, x in enumerate(s):
+                if not x.startswith("*"):
+                    kids.setdefault(s[:i], set()).add(x)
+        place = {p: tuple("*" if len(kids.get(shaped(p)[:i], ())) > max_children and not x.startswith("*") else x for i, x in enumerate(shaped(p))) for p in set(paths)}
+        totals, below = {}, {}
+        for p in paths:
+            t, v = place[p], says(host, p)
+            for i in range(len(t) + 1):
+                b, d = totals.get(t[:i], (0, 0))
+                totals[t[:i]] = b + (v == "block"), d + (v is not None)
+                if i:
+                    below.setdefault(t[: i - 1], set()).add(t[:i])
+        merged, told, pooled = {}, {}, {}
+        for t in set(place.values()):
+            way, p = [], 0.5
+            for i, x in enumerate(t):
+                kin = [totals[k] for k in below[t[:i]]]
+                (b, d), votes = totals[t[: i + 1]], [(kb + prior) / (kd + 2 * prior) for kb, kd in kin if kd]
+                all_b, all_d = sum(k[0] for k in kin), sum(k[1] for k in kin)
+                alike = 0 < d < all_d and abs(b / d - all_b / all_d) <= z * (all_b / all_d * (1 - all_b / all_d) / d) ** 0.5
+                way.append("+" if alike else x)
+                p = (sum(votes) + 2 * prior * p) / (len(votes) + 2 * prior)
+            merged[t], told[t] = tuple(way), p
+        leaves = Counter()
+        for p in paths:
+            v = says(host, p)
+            leaves[merged[place[p]], "b"] += v == "block"
+            leaves[merged[place[p]], "d"] += v is not None
+        for p in paths:
+            t = place[p]
+            clean = round((leaves[merged[t], "b"] + 2 * prior * told[t]) / (leaves[merged[t], "d"] + 2 * prior), 6)
+            out[host, p] = "/" + "/".join(merged[t]), clean, "block" if clean >= purity else "allow"
+    return out
+
+
+def test_tree_equals_brute_force(spark):
+    rng = random.Random(11)
+    rules = (("block", "a.net/x/"), ("allow", "a.net/y/"), ("block", "net/z/q"), ("block", "b.net/d/x/u"), ("allow", "net/d/"))
+    names = ["x", "y", "z", "q", "d", "u", "12", "deadbeef99", "7.html", "n" * 50]
+    urls = [f"http://{rng.choice(['a.net', 'b.net', 'c.org'])}/" + "/".join(rng.choice(names) for _ in range(rng.randrange(5))) for _ in range(1500)]
+    urls += [f"http://a.net/w/t{i}x/u" for i in range(30)] + ["http://b.net/" + "/".join("abcdefghijkl"), "http://b.net" + "/s" * 3000, "http://c.org/" + "v" * 100_000]
+    df = spark.createDataFrame([(i, u, "clash", "clash") for i, u in enumerate(urls)], "page_id long, url string, host string, template string")
+    rows = url_templates.filtered(df, rules).collect()
+    want = brute_tree([(r["host"], r["path"]) for r in rows], rules)
+    assert len(rows) == len(urls)
+    for r in rows:
+        template, clean, judgement = want[r["host"], r["path"]]
+        assert (r["template"], r["judgement"]) == (template, judgement) and abs(r["purity"] - clean) < 2e-6, r
+    assert len({r["purity"] for r in rows if r["rule"] is None}) > 3
+
+
+def test_branches_without_labels_take_over_what_their_siblings_agree_on(spark):
+    rules = tuple(("block", f"h.net/{k}/") for k in "abcdef")
+    rows = [(i, f"http://h.net/{k}/{i}") for i, k in enumerate("abcdef" * 20)] + [(500, "http://h.net/new/1"), (501, "http://other.net/new/1")]
+    got = {r["page_id"]: r for r in url_templates.filtered(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert got[500]["verdict"] == "block" and got[500]["rule"] is None and got[500]["purity"] != 0.5
+    assert got[501]["verdict"] == "allow" and got[501]["purity"] == 0.5
+
+
 EMAIL, IP = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
 
 
