@@ -3,10 +3,9 @@
 Lines are normalised (lower case, digits alike, white space alike) and hashed. For each host (`source`)
 the distinct documents that hold a line are counted; exact copies of a text count as one document. A line
 is frequent above a limit: `share` of the host's distinct documents, and at least `low`.
-A document is depleted if less than `least_left` of its words are outside frequent lines that are removed.
-A frequent line is removed if it is boilerplate; where the documents that hold it would be depleted on
-average by losing all their frequent lines, it belongs to a family of near copies instead, which is
-near-duplicate removal's work.
+Frequent lines are removed, and a document is depleted if less than `least_left` of its words are left. So a
+family of near copies in one host, above the limit, goes as a whole: what its members share is what the host
+repeats. Removing copies first is another operator's work.
 
 Defined cases: a null text is an empty one, which fails the base rules; documents of a null host form a
 host of their own; repeated rows each give a row and count as one document; an empty table gives an empty
@@ -97,15 +96,12 @@ def verdicts(docs: DataFrame, share: float = 0.01, low: int = 5, least_left: flo
     """The columns of `judged`, with source and mark, the text's MD5."""
     rows = checkpointed(measured(docs))
     # equal texts have equal lines: the copies of a text meet as one small row
-    texts = rows.groupBy("source", "digest").agg(F.first("n_words").alias("n_words"), F.first("lines").alias("lines"), F.first("line_words").alias("line_words"))
+    texts = rows.groupBy("source", "digest").agg(F.first("lines").alias("lines"), F.first("line_words").alias("line_words"))
     texts = checkpointed(texts)
     often = frequent_lines(texts, share, low).withColumnsRenamed({"source": "host", "line": "common"})
-    held = texts.select("source", "digest", "n_words", F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select("source", "digest", "n_words", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
-    found = checkpointed(held.join(often, (held["line"] == often["common"]) & held["source"].eqNullSafe(often["host"])).drop("host", "common"))
-    weight = found.groupBy("source", "digest").agg((F.sum("words") / F.max("n_words")).alias("weight")).withColumnsRenamed({"source": "host", "digest": "text_digest"})
-    paired = found.join(weight, (found["digest"] == weight["text_digest"]) & found["source"].eqNullSafe(weight["host"])).drop("host", "text_digest")
-    family = paired.groupBy("source", "line").agg(F.avg("weight").alias("mean")).where(F.col("mean") > 1 - least_left).select(F.col("source").alias("host"), F.col("line").alias("common"))
-    removed = found.join(family, (found["line"] == family["common"]) & found["source"].eqNullSafe(family["host"]), "left_anti").groupBy("source", "digest").agg(F.sum("words").alias("removed")).withColumnsRenamed({"source": "host", "digest": "text_digest"})
+    held = texts.select("source", "digest", F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select("source", "digest", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
+    found = held.join(often, (held["line"] == often["common"]) & held["source"].eqNullSafe(often["host"])).drop("host", "common")
+    removed = found.groupBy("source", "digest").agg(F.sum("words").alias("removed")).withColumnsRenamed({"source": "host", "digest": "text_digest"})
     whole = rows.drop("lines", "line_words").join(removed, (rows["digest"] == removed["text_digest"]) & rows["source"].eqNullSafe(removed["host"]), "left")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     gone = F.coalesce("removed", F.lit(0))

@@ -22,12 +22,9 @@ base AS (SELECT d.r, doc_id, source, t, coalesce(sized.n, 0) AS n_words, coalesc
 texts AS (SELECT coalesce(source, chr(1)) AS host, t, min(r) AS r FROM d GROUP BY ALL),
 lines AS (SELECT host, r, regexp_replace(array_to_string(list_filter(regexp_split_to_array(lower(line), '\\s+'), lambda x: x <> ''), ' '), '[0-9]', '0', 'g') AS line, sum(len(regexp_extract_all(line, '{WORD}'))) AS words
  FROM texts JOIN l USING (r) WHERE regexp_matches(line, '{WORD}') GROUP BY ALL),
-hosts AS (SELECT host, greatest(5, least(1000, ceil(count(*) * 0.01))) AS most FROM texts GROUP BY 1),
+hosts AS (SELECT host, greatest(5, ceil(count(*) * 0.01)) AS most FROM texts GROUP BY 1),
 often AS (SELECT host, line FROM lines JOIN hosts USING (host) GROUP BY host, line, most HAVING count(*) > most),
-found AS (SELECT host, r, line, words FROM lines JOIN often USING (host, line)),
-weight AS (SELECT f.r, sum(f.words) / max(b.n_words) AS weight FROM found f JOIN base b USING (r) GROUP BY 1),
-boiler AS (SELECT host, line FROM found JOIN weight USING (r) GROUP BY ALL HAVING NOT avg(weight) > 1 - 0.3),
-gone AS (SELECT host, t, sum(words) AS n FROM found JOIN boiler USING (host, line) JOIN texts USING (host, r) GROUP BY ALL)
+gone AS (SELECT host, t, sum(words) AS n FROM lines JOIN often USING (host, line) JOIN texts USING (host, r) GROUP BY ALL)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, CAST(coalesce(gone.n, 0) AS BIGINT) AS n_removed_words,
  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - coalesce(gone.n, 0) >= 0.3 * n_words AS kept
 FROM base LEFT JOIN gone ON gone.host = coalesce(base.source, chr(1)) AND gone.t = base.t
