@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,34 +13,46 @@ from pyspark.sql import DataFrame, SparkSession
 SPACES = " \t\n\x0b\x0c\r"
 
 
-#: Bytes of a table below which its files may be fewer than the cores that could work on it.
-ONE_SPLIT = 128 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table's rows; those of a small table in few files, which few tasks would read, are dealt to all cores.
+    """The table's rows; where its files give fewer splits than there are cores, dealt to all cores.
 
-    A file's row group goes to one task whole, so that the texts of a small file would pass through one Python worker.
+    A file's row group goes to one task whole, so that otherwise few Python workers would see all texts.
     """
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return rows.repartition(cores) if len(rows.inputFiles()) < cores and int(str(size)) < ONE_SPLIT else rows
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` computed once and written below spark.checkpoint.dir, which every executor can read.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which every executor can reach.
 
-    Only where that setting is absent, as in tests on one machine, a folder of our own is used.
+    Only where that setting is absent and all runs on one machine, as in tests, a folder of our own is used.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="ledgerline-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """`df` computed once and kept in the shared folder, so that a lost executor costs no more than its tasks."""
+    context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="ledgerline-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written to a table in the shared folder and read from there: only the columns in use are read again,
+    and the optimizer knows its size, so that it broadcasts the table only where that is small."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, object]], schema: str) -> DataFrame:
     """Apply `fn` to each Arrow batch of `df`, given and returned as columns by name."""
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, map_batches, utf8
+from .common import checkpointed, map_batches, stored, utf8
 
 SYMBOLS = "#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -68,14 +68,14 @@ def measured(docs: DataFrame) -> DataFrame:
     def batch(columns: dict[str, list]) -> dict[str, object]:
         values = list(zip(*map(measures, columns["text"]), strict=True))
         return (
-            {"doc_id": pa.array(columns["doc_id"], pa.int64()), "source": pa.array(columns["source"], pa.string()), "mark": pa.array(columns["mark"], pa.string())}
+            {"doc_id": pa.array(columns["doc_id"], pa.int64()), "source": pa.array(columns["source"], pa.string()), "mark": pa.array(columns["mark"], pa.int64())}
             | {"digest": pa.array([xxhash.xxh3_128_digest(utf8(t)) for t in columns["text"]], pa.binary())}
             | {n: pa.array(v, pa.int64()) for n, v in zip(STATS, values[:5], strict=True)}
             | {"lines": pa.array(values[5], pa.list_(pa.int64())), "line_words": pa.array(values[6], pa.list_(pa.int64()))}
         )
 
-    schema = "doc_id long, source string, mark string, digest binary, " + ", ".join(f"{n} long" for n in STATS) + ", lines array<long>, line_words array<long>"
-    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "source", "md5(text) mark", "text"), batch, schema)
+    schema = "doc_id long, source string, mark long, digest binary, " + ", ".join(f"{n} long" for n in STATS) + ", lines array<long>, line_words array<long>"
+    return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "source", "xxhash64(text) mark", "text"), batch, schema)
 
 
 def frequent_lines(texts: DataFrame, share: float, low: int) -> DataFrame:
@@ -93,7 +93,7 @@ def judged(docs: DataFrame, **limits: float) -> DataFrame:
 
 
 def verdicts(docs: DataFrame, share: float = 0.01, low: int = 5, least_left: float = 0.3, min_words: int = 50) -> DataFrame:
-    """The columns of `judged`, with source and mark, the text's MD5."""
+    """The columns of `judged`, with source and mark, the text's hash."""
     rows = checkpointed(measured(docs))
     # equal texts have equal lines: the copies of a text meet as one small row
     texts = rows.groupBy("source", "digest").agg(F.first("lines").alias("lines"), F.first("line_words").alias("line_words"))
@@ -111,5 +111,6 @@ def verdicts(docs: DataFrame, share: float = 0.01, low: int = 5, least_left: flo
 def kept_documents(docs: DataFrame, **limits: float) -> DataFrame:
     """The rows of `docs` that are kept, as they are; each row is judged by its own source and text, also where doc_id is null or repeated."""
     bad = verdicts(docs, **limits).where(~F.col("kept")).select(F.col("doc_id").alias("_bad"), F.col("source").alias("_source"), F.col("mark").alias("_mark")).distinct()
-    same = docs["doc_id"].eqNullSafe(bad["_bad"]) & docs["source"].eqNullSafe(bad["_source"]) & F.md5(docs["text"]).eqNullSafe(bad["_mark"])
+    bad = stored(bad)
+    same = docs["doc_id"].eqNullSafe(bad["_bad"]) & docs["source"].eqNullSafe(bad["_source"]) & F.xxhash64(docs["text"]).eqNullSafe(bad["_mark"])
     return docs.join(bad, same, "left_anti")

@@ -1,13 +1,15 @@
-"""Near copies: texts whose sets of five-word shingles are alike, linked into components.
+"""Near copies: SimHash near-duplicates at the width that texts of similar shingle sets need, with an exact check.
 
-Each distinct text has 128 minima of its shingles' hashes (a sketch), dealt into 32 bands of four. Two texts of
-similarity 0.8 share no band with a probability of (1 - 0.8^4)^32, about 5 in 10^8. Texts that share one are
-compared: a pair is linked if the exact similarity of the shingle sets is `alike` or more.
+Sets of five-word shingles that are 0.8 alike have fingerprints (bitwise majorities of the shingles' hashes)
+some ten bits apart, and far more than two at times. At such a width no fields of a fingerprint must be equal,
+so texts are dealt to groups by minima of their shingles' hashes instead: 16 keys of three minima each. Texts
+of similarity 0.8 share no key with a probability of (1 - 0.8^3)^16, one in 10^5.
 
-Comparing all pairs of a band's texts would grow with the square of a family of copies. So texts are first
-compared with one text of each group only, and components are formed; then all pairs of a group that are not
-in one component yet are compared by sketch, and those not surely apart exactly. Links within a component would not change it.
-Groups of more than BLOCK texts that are left are dealt as pairs of blocks, so that tasks are of bounded size.
+In a group, simhash's Gray-order hierarchical index searches for fingerprints within `distance` bits, and what it
+links forms smaller groups; equal groups of several keys are one. Only their members' shingles are gathered.
+There the index searches again, and each pair that it finds is linked if the exact similarity of the two sets
+is `alike` or more. Tasks pass on a spanning forest of the links, never the pairs; simhash.components joins
+the forests. A group of more than BLOCK texts is dealt as pairs of blocks, so that tasks are of bounded size.
 
 Defined cases: words are those of simhash.fingerprint; fewer words than a shingle form one shingle; null and
 wordless texts have an empty set and equal one another; rows without a doc_id stay; repeated doc_ids stay or
@@ -16,7 +18,7 @@ go together; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -25,13 +27,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, map_batches, utf8
-from .simhash import components
+from .common import map_batches, stored, utf8
+from .simhash import BITS, components, gray_rank, linked_pairs, spanning
 
-BANDS, ROWS, BLOCK, STARS = 32, 4, 2000, 1
-#: Five standard deviations of the similarity that a sketch shows at 0.8.
-SLACK = 0.18
-_DRAWN = np.random.default_rng(20).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
+KEYS, MINIMA, BLOCK = 16, 3, 2000
+#: Rows of whole groups that a task searches at once.
+CHUNK = 20_000
+#: Bytes of shared shingles, as bits for each text, that a task holds at a time.
+TABLE = 64 << 20
+_DRAWN = np.random.default_rng(20).integers(0, 1 << 64, (2, KEYS * MINIMA), np.uint64)
 FACTORS, ADDENDS = _DRAWN[0] | np.uint64(1), _DRAWN[1]
 
 
@@ -44,118 +48,185 @@ def shingle_set(text: str | None, shingle: int = 5, seed: int = 42) -> np.ndarra
     return np.unique(np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, repeat(seed))), ">u8").astype(np.uint64))
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    either = len(a) + len(b) - both
-    return both / either if either else 1.0
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of a set of hashes, as a signed number."""
+    counts = np.zeros(BITS, np.int64)
+    for start in range(0, len(hashes), 1 << 16):  # bounds the unpacked bits of very long texts
+        counts += np.unpackbits(hashes[start : start + (1 << 16), None].view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes)).view(np.int64)[0])
 
 
-def minima(hashes: np.ndarray) -> np.ndarray:
-    least = np.full(BANDS * ROWS, ~np.uint64(0))
-    for start in range(0, len(hashes), 1024):  # bounds what long texts take
-        np.minimum(least, (hashes[start : start + 1024, None] * FACTORS + ADDENDS).min(axis=0), out=least)
-    return least
+def keys_of(hashes: np.ndarray) -> list[int]:
+    least = np.full(KEYS * MINIMA, ~np.uint64(0))
+    for start in range(0, len(hashes), 4096):
+        np.minimum(least, (hashes[start : start + 4096, None] * FACTORS + ADDENDS).min(axis=0), out=least)
+    return [xxhash.xxh3_64_intdigest(least[k * MINIMA : (k + 1) * MINIMA].tobytes(), k) - (1 << 63) for k in range(KEYS)]
 
 
-def sketched(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, key (of the text), bands and sketch (a byte of each minimum)."""
+def marked(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, key (of the text), fp, groups and shingles of every row."""
 
     def batch(columns: dict[str, list]) -> dict[str, object]:
-        least = [minima(shingle_set(t, shingle)) for t in columns["text"]]
-        bands = [[xxhash.xxh64_intdigest(m[k * ROWS : (k + 1) * ROWS].tobytes(), k) - (1 << 63) for k in range(BANDS)] for m in least]
-        sketches = [(m >> np.uint64(56)).astype(np.uint8).tobytes() for m in least]
-        return {"doc_id": pa.array(columns["doc_id"], pa.int64()), "key": pa.array(columns["key"], pa.int64()), "bands": pa.array(bands, pa.list_(pa.int64())), "sketch": pa.array(sketches, pa.binary())}
+        sets = [shingle_set(t, shingle) for t in columns["text"]]
+        return {
+            "doc_id": pa.array(columns["doc_id"], pa.int64()),
+            "key": pa.array(columns["key"], pa.int64()),
+            "fp": pa.array(list(map(majority, sets)), pa.int64()),
+            "groups": pa.array(list(map(keys_of, sets)), pa.list_(pa.int64())),
+            "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
+        }
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
-    return map_batches(rows, batch, "doc_id long, key long, bands array<long>, sketch binary")
+    return map_batches(rows, batch, "doc_id long, key long, fp long, groups array<long>, shingles binary")
 
 
-def linked(docs: DataFrame, pairs: DataFrame, alike: float, shingle: int) -> DataFrame:
-    """Those of `pairs` (a, b) whose texts are alike."""
+def by_group(df: DataFrame, group: list[str], columns: list[str], fn: Callable[..., dict[str, object] | None], schema: str) -> DataFrame:
+    """`fn` of each group's columns as arrays; many small groups pass through one task without a job each."""
 
-    def batch(columns: dict[str, list]) -> dict[str, object]:
-        sets, keep = {}, []
-        for a, b, x, y in zip(columns["a"], columns["b"], columns["x"], columns["y"], strict=True):
-            if len(sets) > 200:
-                sets.clear()
-            for key, text in ((a, x), (b, y)):
-                if key not in sets:
-                    sets[key] = shingle_set(text, shingle)
-            keep.append(similarity(sets[a], sets[b]) >= alike)
-        return {n: pa.array([v for v, k in zip(columns[n], keep, strict=True) if k], pa.int64()) for n in ("a", "b")}
-
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    texts = docs.select(F.xxhash64("text").alias("key"), "text").join(ends, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-    both = pairs.join(texts.withColumnsRenamed({"key": "a", "text": "x"}), "a").join(texts.withColumnsRenamed({"key": "b", "text": "y"}), "b")
-    return checkpointed(map_batches(both.select("a", "b", "x", "y"), batch, "a long, b long"))
-
-
-def several(members: DataFrame) -> DataFrame:
-    """Rows (value, key, root) of the groups that have more than one root."""
-    groups = members.groupBy("value").agg(F.min("root").alias("_one"), F.max("root").alias("_other"), F.count("*").alias("size")).where("_one <> _other")
-    return checkpointed(members.select("value", "key", "root").join(groups.select("value", "size"), "value"))
-
-
-def star_pairs(members: DataFrame, number: int) -> DataFrame:
-    """Each group's texts with the group's first one in an order drawn for this round."""
-    first = members.groupBy("value").agg(F.min(F.struct(F.xxhash64(F.lit(number), "key").alias("rank"), F.col("key").alias("b"), F.col("root").alias("at"))).alias("f"))
-    pairs = members.join(first.select("value", "f.b", "f.at"), "value").where("root <> at")
-    return pairs.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct()
-
-
-def left_pairs(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """All pairs of a group's texts in different components whose sketches agree in a share of `least`."""
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple | None = None
-        keys, roots, sketches = [], [], []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
         for batch in batches:
-            for value, x, y, key, root, sketch in zip(*(batch.column(n).to_pylist() for n in ("value", "x", "y", "key", "root", "sketch")), strict=True):
-                if held != (value, x, y):
-                    yield from compared(keys, roots, sketches)
-                    held, keys, roots, sketches = (value, x, y), [], [], []
-                keys.append(key)
-                roots.append(root)
-                sketches.append(sketch)
-        yield from compared(keys, roots, sketches)
-
-    def compared(keys: list[int], roots: list[int], sketches: list[bytes]) -> Iterator[pa.RecordBatch]:
-        key, root = np.array(keys, np.int64), np.array(roots, np.int64)
-        table = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, BANDS * ROWS)
-        for i in range(len(key) - 1):
-            after = i + 1 + np.flatnonzero(root[i + 1 :] != root[i])
-            near = after[(table[after] == table[i]).mean(axis=1) >= least]
-            if len(near):
-                yield pa.RecordBatch.from_pydict({"a": np.minimum(key[i], key[near]), "b": np.maximum(key[i], key[near])})
-
+            names = [batch.column(n).to_numpy(zero_copy_only=False) for n in group]
+            cuts = np.flatnonzero(np.logical_or.reduce([n[1:] != n[:-1] for n in names])) + 1 if batch.num_rows else []
+            for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                if start == end:
+                    continue
+                own = tuple(n[start] for n in names)
+                if last is not None and own != last:
+                    yield from done(held)
+                    held = []
+                held.append(batch.slice(start, end - start))
+                last = own
+        if held:
+            yield from done(held)
+
+    def done(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        out = fn(*(table.column(n) for n in columns))
+        if out:
+            yield pa.RecordBatch.from_pydict(out)
+
+    return df.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, schema)
+
+
+def in_gray_order(fps: np.ndarray) -> np.ndarray:
+    return np.argsort(gray_rank(fps), kind="stable")
+
+
+def searched(fps: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    return linked_pairs(fps, np.zeros(len(fps), np.int64), distance)
+
+
+def near_groups(members: DataFrame, distance: int) -> DataFrame:
+    """value and key: the texts of one value that chains of near fingerprints link, two or more; equal groups are one."""
+
+    def split(values: np.ndarray, keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((gray_rank(fps), values))
+        values, keys, fps = values[order], keys[order], fps[order]
+        root = spanning(len(fps), linked_pairs(fps, np.cumsum(np.r_[0, values[1:] != values[:-1]]), distance))
+        order = np.lexsort((keys, root))
+        keys, root = keys[order], root[order]
+        starts = np.flatnonzero(np.r_[True, root[1:] != root[:-1]])
+        sizes = np.diff(np.r_[starts, len(root)])
+        several = sizes > 1
+        names = [xxhash.xxh3_64_intdigest(keys[a : a + n].tobytes()) - (1 << 63) for a, n in zip(starts[several].tolist(), sizes[several].tolist(), strict=True)]
+        return pa.RecordBatch.from_pydict({"value": pa.array(np.repeat(np.array(names, np.int64), sizes[several])), "key": pa.array(keys[np.repeat(several, sizes)])})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append([batch.column(n).to_numpy() for n in ("value", "key", "fp")])
+            rows += batch.num_rows
+            if rows >= CHUNK:
+                value, key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
+                cut = int(np.flatnonzero(value != value[-1]).max(initial=-1)) + 1  # the last group may go on in the next batch
+                if cut:
+                    yield split(value[:cut], key[:cut], fp[:cut].view(np.uint64))
+                    held, rows = [[value[cut:], key[cut:], fp[cut:]]], rows - cut
+        if rows:
+            value, key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
+            yield split(value, key, fp.view(np.uint64))
+
+    return members.select("value", "key", "fp").repartition("value").sortWithinPartitions("value").mapInArrow(run, "value long, key long").distinct()
+
+
+def verified(sets: list[np.ndarray], fps: np.ndarray, distance: int, alike: float) -> np.ndarray:
+    """For each text the first of those that links reach; `fps` are in Gray order."""
+    n, sizes = len(sets), np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(n), sizes)
+    _, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1  # a shingle that only one text has adds to no intersection
+    shared = times[number] > 1
+    owner, number, width = owner[shared], column[number[shared]], int((times > 1).sum())
+    step = max(64, TABLE // max(n, 1))
+    tables = []
+    for start in range(0, width, step):
+        cells = np.zeros((n, min(step, width - start)), bool)
+        inside = (number >= start) & (number < start + step)
+        cells[owner[inside], number[inside] - start] = True
+        bits = np.packbits(cells, axis=1)
+        tables.append(np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.uint64))
+    links = []
+    root = np.arange(n)
+    for a, b in searched(fps, distance):
+        for at in range(0, len(a), 200_000):
+            x, y = a[at : at + 200_000], b[at : at + 200_000]
+            differ = root[x] != root[y]
+            x, y = x[differ], y[differ]
+            both = np.zeros(len(x), np.int64)
+            for bits in tables:
+                for begin in range(0, len(x), max(1, TABLE // (8 * bits.shape[1]))):
+                    part = slice(begin, begin + max(1, TABLE // (8 * bits.shape[1])))
+                    both[part] += np.bitwise_count(bits[x[part]] & bits[y[part]]).sum(axis=1, dtype=np.int64)
+            either = sizes[x] + sizes[y] - both
+            link = np.where(either > 0, both / np.maximum(either, 1), 1.0) >= alike
+            if link.any():
+                links.append((x[link], y[link]))
+                root = spanning(n, iter(links))
+                links = [(np.arange(n), root)]
+    return root
+
+
+def links(members: DataFrame, distance: int, alike: float) -> DataFrame:
+    """Edges (a, b) of a spanning forest of the links in each group."""
+
+    def check(key: pa.ChunkedArray, fp: pa.ChunkedArray, shingles: pa.ChunkedArray) -> dict[str, object] | None:
+        fps = fp.to_numpy().view(np.uint64)
+        order = in_gray_order(fps)
+        sets = [np.frombuffer(s, np.uint64) for s in shingles.to_pylist()]
+        root = verified([sets[i] for i in order], fps[order], distance, alike)
+        inner = root != np.arange(len(root))
+        keys = key.to_numpy()[order]
+        return {"a": pa.array(keys[inner]), "b": pa.array(keys[root[inner]])} if inner.any() else None
+
+    return by_group(members, ["value", "x", "y"], ["key", "fp", "shingles"], check, "a long, b long").distinct()
+
+
+def near_copies(docs: DataFrame, alike: float = 0.8, shingle: int = 5, distance: int = 24) -> DataFrame:
+    """doc_id and component_id, the smallest doc_id of the component, of every document."""
+    rows = stored(marked(docs, shingle))
+    texts = rows.select(F.explode("groups").alias("value"), "key", "fp").groupBy("value", "key").agg(F.first("fp").alias("fp"))
+    sizes = texts.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
+    members = stored(texts.join(sizes, "value"))
+    small = near_groups(members.where(F.col("size") <= BLOCK), distance)
+    groups = small.select("value", "key", F.lit(0).alias("x"), F.lit(0).alias("y"))
+    # a large group's texts meet block by block, in as many tasks as there are pairs of blocks
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("key"), blocks).cast("int")
-    dealt = members.select("value", "key", "root", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("with"))
-    dealt = dealt.select("value", "key", "root", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y")).join(texts.select("key", "sketch"), "key")
-    return dealt.repartition("value", "x", "y").sortWithinPartitions("value", "x", "y").mapInArrow(search, "a long, b long").distinct()
-
-
-def near_copies(docs: DataFrame, alike: float = 0.8, shingle: int = 5) -> DataFrame:
-    """doc_id and component_id, the smallest doc_id of the component, of every document."""
-    marked = checkpointed(sketched(docs, shingle))
-    texts = checkpointed(marked.groupBy("key").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
-    members = several(texts.select(F.explode("bands").alias("value"), "key", F.col("key").alias("root")))
-    edges = docs.sparkSession.createDataFrame([], "a long, b long")
-    roots = components(edges)
-    for number in range(STARS + 1):
-        if members.isEmpty():
-            break
-        pairs = checkpointed(star_pairs(members, number) if number < STARS else left_pairs(members, texts, alike - SLACK))
-        edges = edges.unionByName(linked(docs, pairs, alike, shingle))
-        roots = checkpointed(components(edges))
-        if number < STARS:
-            members = several(members.select("value", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").select("value", "key", F.coalesce("root", "key").alias("root")))
-    placed = texts.select("key", "least").join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root"))
+    large = members.where(F.col("size") > BLOCK).select("value", "key", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("with"))
+    groups = stored(groups.unionByName(large.select("value", "key", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"))))
+    needed = groups.select("key").distinct()
+    sets = rows.select("key", "fp", "shingles").join(needed, "key", "left_semi").groupBy("key").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles"))
+    edges = stored(links(groups.join(sets, "key"), distance, alike))
+    roots = stored(components(edges))
+    least = rows.groupBy("key").agg(F.min("doc_id").alias("least"))
+    placed = least.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root"))
     named = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("key", "component_id")
-    return marked.select("doc_id", "key").join(checkpointed(named), "key").select("doc_id", "component_id")
+    return rows.select("doc_id", "key").join(stored(named), "key").select("doc_id", "component_id")
 
 
-def deduplicated(docs: DataFrame, alike: float = 0.8, shingle: int = 5) -> DataFrame:
+def deduplicated(docs: DataFrame, alike: float = 0.8, shingle: int = 5, distance: int = 24) -> DataFrame:
     """The rows of `docs` whose doc_id is the smallest of its component; rows without a doc_id stay."""
-    gone = near_copies(docs, alike, shingle).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = stored(near_copies(docs, alike, shingle, distance).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -58,9 +58,8 @@ def texts():
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize(("stars", "block"), [(1, 2000), (0, 7)])
-def test_components_equal_brute_force(spark, monkeypatch, texts, stars, block):
-    monkeypatch.setattr(near_copies, "STARS", stars)
+@pytest.mark.parametrize("block", [2000, 7])
+def test_components_equal_brute_force(spark, monkeypatch, texts, block):
     monkeypatch.setattr(near_copies, "BLOCK", block)
     df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(df).collect()}

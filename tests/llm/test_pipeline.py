@@ -3,7 +3,8 @@
 import corpus_pipeline
 import pytest
 from conftest import SF
-from ledgerline.llm import line_quality, pii, quality_crf, simhash
+from ledgerline.llm import line_quality, pii, quality_crf
+from test_near_copies import brute
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +26,7 @@ def test_each_stage_does_its_part(spark, stages):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     assert ids(good) == {r["doc_id"] for r in quality_crf.scored(docs, labels).where("predicted = 1").collect()}
     assert ids(ruled) == {r["doc_id"] for r in line_quality.judged(good).where("kept").collect()}
-    assert ids(single) == {r["component_id"] for r in simhash.near_duplicates(ruled).collect()}
+    assert ids(single) == set(brute([(r["doc_id"], r["text"]) for r in ruled.collect()]).values())
     assert ids(clean) == ids(single)
     assert all(not pii.base_spans(r["text"]) for r in clean.collect())
     assert ids(packed) == ids(clean)
