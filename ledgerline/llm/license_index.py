@@ -1,12 +1,13 @@
-"""Licence scans: given phrases, and a positional rare-token index over licence templates.
+"""Licence scans: given phrases, and a positional rare-token index over licence texts.
 
-Every occurrence in a text of a word of the templates (common words of languages left out) is looked up in
-one pass; the words' document counts over all documents give their inverse document frequency. Of each
-template's words the rarest in a file are looked up in its postings; file and template position of each hit
-give a relative position, and hits that agree on one belong to the same place. A template is found if
-enough of the looked-up words agree and the file has the template's key phrases.
+The words of all licence texts are counted over all documents, which gives their inverse document frequency. Of each
+licence text the `rarest` words, those in more than a share `common` of the documents left out, make the index:
+word, text and position. A file's occurrences of indexed words are looked up; file and text position of each hit
+give a relative position, and hits that agree on one belong to the same place. A text is found if enough of its
+words agree and the file has its key phrases, whose words stand consecutively.
 
-All of it is DataFrame operations on the main path. The templates, a few hundred words, are broadcast.
+All of it is DataFrame operations on the main path. A file's words are filtered within its row, so that only hits
+become rows. What the driver sees are the counts of the licence texts' words, some seven hundred numbers.
 
 Defined cases: a null or wordless text has no places and null positions, no labels and score 0; repeated
 rows each give a row and, having equal texts, the same values; the length of a text is not limited; an empty
@@ -15,116 +16,121 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from .common import checkpointed
+from .common import stored
+from .license_texts import PHRASES, TEMPLATES
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What separates words, in texts that have not been lower-cased yet.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Documents that a word's share is measured on in addition, without the word: so no word of a small table is common.
+PRIOR = 50
+
+
+def words_in(text: str) -> list[str]:
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(str.maketrans(UPPER, LOWER)))
+
+
+def licence_words() -> list[str]:
+    return sorted({w for _, text, _ in TEMPLATES for w in words_in(text)})
+
+
+def places() -> list[tuple[str, int, int]]:
+    """(word, number of the licence text, position) of every word of every licence text."""
+    return [(w, k, i) for k, (_, text, _) in enumerate(TEMPLATES) for i, w in enumerate(words_in(text))]
+
+
+def key_phrases() -> list[str]:
+    return sorted({p for _, _, phrases in TEMPLATES for p in phrases} | {p for p, _ in PHRASES})
+
+
+def pieces_of(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), BETWEEN)
+
+
+def plain(word: Column, words: list[str]) -> Column:
+    """Whether `word`, its A-Z lower-cased, is one of `words`: lower() changes more than A-Z, but is quick to leave most words out."""
+    return F.lower(word).isin(words) & (F.lower(word) == F.translate(word, UPPER, LOWER))
+
+
+def counted(docs: DataFrame) -> tuple[int, dict[str, int]]:
+    """The number of documents, and of those that hold each word of the licence texts."""
+    words = licence_words()
+    held = F.array_distinct(F.transform(F.filter(pieces_of(F.col("text")), lambda w: plain(w, words)), F.lower))
+    # one row more for each document counts the documents
+    rows = docs.select(F.explode(F.concat(held, F.array(F.lit("")))).alias("word")).groupBy("word").count().collect()
+    counts = {r["word"]: r["count"] for r in rows}
+    return counts.pop("", 0), counts
+
+
+def indexed(total: int, held: dict[str, int], rarest: int, common: float) -> dict[int, list[str]]:
+    """The words of each licence text that are looked up, rarest first."""
+    out = {}
+    for k, (_, text, _) in enumerate(TEMPLATES):
+        rare = {w for w in words_in(text) if held.get(w, 0) <= common * (total + PRIOR)}
+        out[k] = sorted(rare, key=lambda w: (held.get(w, 0), w))[:rarest]
+    return out
+
+
+def starts_of(phrase: str, pieces: Column, near: Column) -> Column:
+    """Those of the positions `near` where the phrase's words stand."""
+    words = phrase.split()
+
+    def fits(i: Column) -> Column:
+        out = F.translate(F.get(pieces, i), UPPER, LOWER) == words[0]
+        for k, word in enumerate(words[1:], 1):
+            out = out & (F.coalesce(F.translate(F.get(pieces, i + k), UPPER, LOWER), F.lit("")) == word)
+        return out
+
+    return F.filter(near, fits)
+
+
+def looked_up(docs: DataFrame, words: list[str]) -> DataFrame:
+    """row (a number), doc_id, n_words, hits (position and word of each indexed word) and the positions of each phrase, s0 and so on."""
+    phrases = key_phrases()
+    wanted = sorted({p.split()[0] for p in phrases} | set(words))
+    first, last = F.element_at("pieces", 1), F.element_at("pieces", -1)
+    lead = F.when(first == "", 1).otherwise(0)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), pieces_of(F.col("text")).alias("pieces"))
+    near = F.filter(F.sequence(F.lit(0), F.size("pieces") - 1), lambda i: plain(F.get("pieces", i), wanted))
+    rows = rows.select("doc_id", "pieces", near.alias("near"), lead.alias("lead"), (F.size("pieces") - lead - F.when((F.size("pieces") > 1) & (last == ""), 1).otherwise(0)).cast("long").alias("n_words"))
+    hits = F.filter(F.transform("near", lambda i: F.struct((i - F.col("lead")).alias("at"), F.lower(F.get("pieces", i)).alias("word"))), lambda h: h["word"].isin(words) if words else F.lit(False))
+    spots = [F.transform(starts_of(p, F.col("pieces"), F.col("near")), lambda i: i - F.col("lead")).alias(f"s{k}") for k, p in enumerate(phrases)]
+    return stored(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "n_words", hits.alias("hits"), *spots))
+
 
-# Phrases with their labels, and templates with label, wording and key phrases.
-PHRASES = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
-TEMPLATES = (
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", ("general public license",)),
-    ("gpl", "this work is licensed under the gnu general public license version", ("general public license",)),
-    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation", ("lesser general public license",)),
-    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at", ("apache license",)),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction", ("permission is hereby granted",)),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice", ("redistribution and use in source and binary forms",)),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license", ("creative commons attribution",)),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file", ("mozilla public license",)),
-)
-#: Words too common in running text to be looked up.
-COMMON = frozenset("a above an and any are as at be by can charge code conditions copy deal file files following form forms free if in is it may met must no not of or other out person provided source subject that the this to under up use v was with without work you your 0 2 4".split())
-
-
-def words_of(text: Column) -> Column:
-    """The words in order, the first and last piece of the split left out where they are empty."""
-    pieces = F.split(F.coalesce(text, F.lit("")), BETWEEN)
-    first = F.when(F.element_at(pieces, 1) == "", 2).otherwise(1)
-    last = F.size(pieces) - F.when(F.element_at(pieces, -1) == "", 1).otherwise(0)
-    return F.slice(pieces, first, F.greatest(F.lit(0), last - first + 1))
-
-
-def vocabulary() -> list[str]:
-    looked_up = {w for _, text, _ in TEMPLATES for w in text.split()} - COMMON
-    keys = {w for _, _, phrases in TEMPLATES for p in phrases for w in p.split()}
-    return sorted(looked_up | keys | {w for phrase, _ in PHRASES for w in phrase.split()})
-
-
-def postings() -> list[tuple[str, int, str, int]]:
-    """(word, template, label, position) of the words that are looked up."""
-    return [(w, k, label, i) for k, (label, text, _) in enumerate(TEMPLATES) for i, w in enumerate(text.split()) if w not in COMMON]
-
-
-def places(hits: DataFrame, phrases: list[tuple[str, str]]) -> DataFrame:
-    """row, phrase, label and start of every place where a phrase's words stand consecutively."""
-    order = Window.partitionBy("row").orderBy("at")
-    longest = max(len(p.split()) for p, _ in phrases)
-    words = hits.groupBy("row", "at").agg(F.first("word").alias("word"))
-    for k in range(1, longest):
-        words = words.withColumn(f"w{k}", F.when(F.lead("at", k).over(order) == F.col("at") + k, F.lead("word", k).over(order)))
-    found = F.lit(None).cast("array<struct<phrase:string,label:string>>")
-    options = []
-    for phrase, label in phrases:
-        first, *rest = phrase.split()
-        fits = F.col("word") == first
-        for k, word in enumerate(rest, 1):
-            fits = fits & (F.col(f"w{k}") == word)
-        options.append(F.when(fits, F.struct(F.lit(phrase).alias("phrase"), F.lit(label).alias("label"))))
-    found = F.array_compact(F.array(*options))
-    return words.select("row", F.col("at").alias("start"), F.explode(found).alias("f")).select("row", "start", "f.phrase", "f.label")
-
-
-def scanned(docs: DataFrame, rarest: int = 12, agree: float = 0.6, least: int = 3) -> DataFrame:
+def scanned(docs: DataFrame, rarest: int = 12, common: float = 0.2, agree: float = 0.6, least: int = 3) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every document."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.concat_ws(":", F.col("doc_id"), F.xxhash64("text")).alias("row"))
-    listed = F.array(*[F.lit(w) for w in vocabulary()])
-    known = spark.range(1).select(F.explode(listed).alias("word"))
-    # lower() differs from A-Z only on letters that no word of the vocabulary can come from, but for two
-    each = rows.select("row", F.posexplode(words_of(F.col("text"))).alias("at", "raw")).withColumn("word", F.lower("raw"))
-    hits = each.join(F.broadcast(known), "word").where(F.translate("raw", UPPER, LOWER) == F.col("word")).select("row", "at", "word")
-    sizes = rows.select("doc_id", "row", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    hits, sizes = checkpointed(hits), checkpointed(sizes)
-
-    keys = sorted({(p, f"key{k}") for k, (_, _, phrases) in enumerate(TEMPLATES) for p in phrases})
-    spots = checkpointed(places(hits, [*PHRASES, *keys]))
-    base_labels = F.array_distinct(F.array_sort(F.collect_set("label")))
-    base = spots.where(~F.startswith("label", F.lit("key"))).groupBy("row").agg(F.count("*").alias("n_base"), F.min("start").alias("first_word"), F.max("start").alias("last_word"), base_labels.alias("base"))
-
-    total = sizes.agg(F.count("*").alias("documents"))
-    per_word = hits.groupBy("row", "word").agg(F.collect_set("at").alias("at"))
-    counts = per_word.groupBy("word").agg(F.count("*").alias("held"))
-    rarity = counts.crossJoin(F.broadcast(total)).select("word", F.log((F.col("documents") + 1) / (F.col("held") + 0.5)).alias("idf"))
-    table = spark.createDataFrame(postings(), T.StructType.fromDDL("word string, template int, label string, place int"))
-    looked = per_word.join(F.broadcast(table.select("word", "template").distinct()), "word").join(F.broadcast(rarity), "word")
-    by_rarity = Window.partitionBy("row", "template").orderBy(F.desc("idf"), "word")  # at most a template's words in a group
-    looked = looked.withColumn("rank", F.row_number().over(by_rarity)).where(F.col("rank") <= rarest)
-    pairs = looked.select("row", "word", "template", F.explode("at").alias("at")).join(F.broadcast(table), ["word", "template"])
-    votes = pairs.groupBy("row", "template", "label", (F.col("at") - F.col("place")).alias("shift")).agg(F.count_distinct("word").alias("votes"))
-    best = votes.groupBy("row", "template", "label").agg(F.max("votes").alias("votes"))
-    reach = table.select("template", "word").distinct().groupBy("template").agg(F.count("*").alias("words"))
-    best = best.join(F.broadcast(reach), "template").withColumn("share", F.col("votes") / F.least("words", F.lit(rarest)))
-    verified = spots.where(F.startswith("label", F.lit("key"))).select("row", F.substr("label", F.lit(4)).cast("int").alias("template"), "phrase").distinct().groupBy("row", "template").count()
-    needed = F.array(*[F.lit(len(p)) for _, _, p in TEMPLATES])
-    sure = best.where((F.col("votes") >= least) & (F.col("share") >= agree)).join(verified, ["row", "template"]).where(F.col("count") >= F.element_at(needed, F.col("template") + 1))
-    method = sure.groupBy("row").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
-
-    none = F.array().cast("array<string>")
-    out = sizes.join(base, "row", "left").join(method, "row", "left")
-    labels = F.array_sort(F.array_union(F.coalesce("base", none), F.coalesce("more", none)))
+    index = indexed(*counted(docs), rarest, common)
+    rows = looked_up(docs, sorted({w for words in index.values() for w in words}))
+    at = {p: F.col(f"s{k}") for k, p in enumerate(key_phrases())}
+    labels = [label for label, _, _ in TEMPLATES]
+
+    # a few words for each of some twenty licence texts: small whatever the documents are
+    table = spark.createDataFrame([(w, k, i, len(index[k])) for w, k, i in places() if w in index[k]], "word string, text int, place int, reach int")
+    found = F.array(*[F.forall(F.array(*[F.size(at[p]) for p in phrases]), lambda n: n > 0) for _, _, phrases in TEMPLATES])
+    pairs = rows.select("row", found.alias("found"), F.explode("hits").alias("h")).join(F.broadcast(table), F.col("h.word") == F.col("word")).where(F.get("found", F.col("text")))
+    votes = pairs.groupBy("row", "text", "reach", (F.col("h.at") - F.col("place")).alias("shift")).agg(F.count_distinct("word").alias("votes"))
+    sure = votes.where((F.col("votes") >= least) & (F.col("votes") >= agree * F.col("reach")))
+    names = F.array(*[F.lit(x) for x in labels])
+    method = sure.groupBy("row").agg(F.collect_set(F.get(names, F.col("text"))).alias("more"), F.max(F.col("votes") / F.col("reach")).alias("share"))
+
+    starts = F.concat(*[at[p] for p, _ in PHRASES])
+    base = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(F.size(at[p]) > 0, label) for p, label in PHRASES]))))
+    out = rows.join(method, "row", "left")
+    both = F.array_sort(F.array_union(base, F.coalesce("more", F.array().cast("array<string>"))))
     return out.select(
         "doc_id",
         "n_words",
-        F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),
-        F.col("first_word").cast("long").alias("first_word"),
-        F.col("last_word").cast("long").alias("last_word"),
-        F.array_join(F.coalesce("base", none), ",").alias("base_labels"),
-        F.array_join(labels, ",").alias("labels"),
-        F.greatest(F.coalesce("share", F.lit(0.0)), F.when(F.col("n_base") > 0, 0.5).otherwise(0.0)).alias("score"),
+        F.size(starts).cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"),
+        F.array_max(starts).cast("long").alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join(both, ",").alias("labels"),
+        F.greatest(F.coalesce("share", F.lit(0.0)), F.when(F.size(starts) > 0, 0.5).otherwise(0.0)).alias("score"),
     )

@@ -4,7 +4,8 @@ The others have none: token merges (1, 9), XXH64 with a seed and components (3),
 greedy bins (7) and page checksums (8) are held against libraries, brute force and round trips in tests.
 """
 
-from .license_index import LOWER, PHRASES, TEMPLATES, UPPER, postings
+from .license_index import LOWER, UPPER, key_phrases, places
+from .license_texts import PHRASES, TEMPLATES
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -60,23 +61,22 @@ def rows(values: list[tuple]) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")" for row in values) + ")"
 
 
-KEYS = [(p, f"key{k}") for k, (_, _, phrases) in enumerate(TEMPLATES) for p in phrases]
-NEEDED = [(k, len(phrases)) for k, (_, _, phrases) in enumerate(TEMPLATES)]
+KEYS = [(k, p) for k, (_, _, phrases) in enumerate(TEMPLATES) for p in phrases]
+LABELS = [(k, label, len(phrases)) for k, (label, _, phrases) in enumerate(TEMPLATES)]
+ALL = [(p,) for p in key_phrases()]
 OP10 = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
 w AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
-phrases AS (SELECT phrase, label, string_split(phrase, ' ')[1] AS first, len(string_split(phrase, ' ')) AS n FROM {rows([*PHRASES, *KEYS])} x(phrase, label)),
-spots AS (SELECT w.r, i - 1 AS start, phrase, label FROM w JOIN phrases ON word = first JOIN d ON d.r = w.r WHERE array_to_string(list_slice(words, i, i + n - 1), ' ') = phrase),
-base AS (SELECT r, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, list_sort(list_distinct(list(label))) AS base FROM spots WHERE label NOT LIKE 'key%' GROUP BY 1),
-postings AS (SELECT * FROM {rows(postings())} x(word, template, label, place)),
-hits AS (SELECT r, word, i - 1 AS pos FROM w WHERE word IN (SELECT word FROM postings)),
-idf AS (SELECT word, ln(((SELECT count(*) FROM d) + 1) / (count(DISTINCT r) + 0.5)) AS idf FROM hits GROUP BY 1),
-looked AS (SELECT r, word FROM (SELECT DISTINCT r, word FROM hits) JOIN idf USING (word) QUALIFY row_number() OVER (PARTITION BY r ORDER BY idf DESC, word) <= 12),
-votes AS (SELECT r, template, p.label, pos - place AS shift, count(DISTINCT word) AS votes FROM looked JOIN hits USING (r, word) JOIN postings p USING (word) GROUP BY ALL),
-best AS (SELECT r, template, label, max(votes) AS votes FROM votes GROUP BY ALL),
-reach AS (SELECT template, count(DISTINCT word) AS words FROM postings GROUP BY 1),
-verified AS (SELECT r, CAST(substr(label, 4) AS INT) AS template, count(DISTINCT phrase) AS found FROM spots WHERE label LIKE 'key%' GROUP BY ALL),
-method AS (SELECT r, list_distinct(list(label)) AS more, max(votes / least(words, 12)) AS share FROM best JOIN reach USING (template) JOIN verified USING (r, template) JOIN {rows(NEEDED)} n(template, needed) USING (template) WHERE votes >= 3 AND votes / least(words, 12) >= 0.6 AND found >= needed GROUP BY 1)
+phrases AS (SELECT phrase, string_split(phrase, ' ')[1] AS first, len(string_split(phrase, ' ')) AS n FROM {rows(ALL)} x(phrase)),
+spots AS (SELECT w.r, i - 1 AS start, phrase FROM w JOIN phrases ON word = first JOIN d ON d.r = w.r WHERE array_to_string(list_slice(words, i, i + n - 1), ' ') = phrase),
+base AS (SELECT r, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, list_sort(list_distinct(list(label))) AS base FROM spots JOIN {rows(list(PHRASES))} b(phrase, label) USING (phrase) GROUP BY 1),
+places AS (SELECT * FROM {rows(places())} x(word, k, place)),
+held AS (SELECT word, count(DISTINCT r) AS held FROM w WHERE word IN (SELECT word FROM places) GROUP BY 1),
+index AS (SELECT k, word FROM (SELECT DISTINCT k, word FROM places) LEFT JOIN held USING (word) WHERE coalesce(held, 0) <= 0.2 * ((SELECT count(*) FROM d) + 50) QUALIFY row_number() OVER (PARTITION BY k ORDER BY coalesce(held, 0), word) <= 12),
+reach AS (SELECT k, count(*) AS reach FROM index GROUP BY 1),
+votes AS (SELECT r, k, i - 1 - place AS shift, count(DISTINCT word) AS votes FROM w JOIN places USING (word) JOIN index USING (k, word) GROUP BY ALL),
+verified AS (SELECT r, k FROM (SELECT DISTINCT r, phrase FROM spots) JOIN {rows(KEYS)} y(k, phrase) USING (phrase) JOIN {rows(LABELS)} l(k, label, needed) USING (k) GROUP BY r, k, needed HAVING count(*) = needed),
+method AS (SELECT r, list_distinct(list(label)) AS more, max(votes / reach) AS share FROM votes JOIN reach USING (k) JOIN verified USING (r, k) JOIN {rows(LABELS)} l(k, label, needed) USING (k) WHERE votes >= 3 AND votes >= 0.6 * reach GROUP BY 1)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(base, ','), '') AS base_labels, coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(more, [])))), ','), '') AS labels,
  greatest(coalesce(share, 0), CASE WHEN n_base > 0 THEN 0.5 ELSE 0 END)::DOUBLE AS score FROM d LEFT JOIN base USING (r) LEFT JOIN method USING (r)
 """

@@ -12,7 +12,7 @@ import public_tokenizers as P
 import pytest
 import xxhash
 from conftest import SF
-from ledgerline.llm import byte_bpe, license_index, line_quality, ogg, packing, pii, quality_crf, simhash, token_counts, url_templates
+from ledgerline.llm import byte_bpe, license_index, license_texts, line_quality, ogg, packing, pii, quality_crf, simhash, token_counts, url_templates
 from ledgerline.llm.queries import queries
 from pyspark.sql import functions as F
 
@@ -443,7 +443,7 @@ def test_media(docs):
 def brute_licences(t):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(str.maketrans(license_index.UPPER, license_index.LOWER)))
     at, labels = [], set()
-    for phrase, label in license_index.PHRASES:
+    for phrase, label in license_texts.PHRASES:
         p = phrase.split()
         for i in range(len(words) - len(p) + 1):
             if words[i : i + len(p)] == p:
@@ -469,9 +469,23 @@ def test_templates_without_their_phrase_are_found_by_position(spark):
 
 
 def test_every_licence_of_a_file_is_found(spark):
-    parts = [text for label, text, _ in license_index.TEMPLATES if label in ("mit", "bsd", "apache")]
-    got = license_index.scanned(spark.createDataFrame([(1, "\n\n".join(parts)), (2, " and ".join(t for _, t, _ in license_index.TEMPLATES)), (3, "plain")], "doc_id long, text string")).collect()
-    assert {r["doc_id"]: r["labels"] for r in got} == {1: "apache,bsd,mit", 2: "apache,bsd,cc-by,gpl,lgpl,mit,mpl", 3: ""}
+    parts = [text for label, text, _ in license_texts.TEMPLATES if label in ("mit", "bsd", "apache")]
+    rows = [(1, "\n\n".join(parts)), (2, " and ".join(t for _, t, _ in license_texts.TEMPLATES)), (3, "plain"), *((10 + k, t) for k, (_, t, _) in enumerate(license_texts.TEMPLATES))]
+    got = {r["doc_id"]: r["labels"] for r in license_index.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == "apache,bsd,mit" and got[3] == ""
+    assert got[2] == ",".join(sorted({label for label, _, _ in license_texts.TEMPLATES}))
+    for k, (label, text, phrases) in enumerate(license_texts.TEMPLATES):
+        whole = all(p in " ".join(license_index.words_in(text)) for p in phrases)
+        assert (label in got[10 + k].split(",")) == whole, label
+
+
+def test_common_words_are_told_by_their_document_frequency(spark):
+    rows = [(i, "the licensed under version of a software" if i % 2 else "x") for i in range(400)] + [(1000, "Licensed under the Apache License, Version 2.0."), (1000, "Licensed under the Apache License, Version 2.0.")]
+    total, held = license_index.counted(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert total == 402 and held["the"] == 202 and held["apache"] == 2 and "mozilla" not in held
+    index = license_index.indexed(total, held, 12, 0.2)
+    words = {w for k, found in index.items() for w in found}
+    assert "apache" in words and not {"the", "under", "licensed"} & words and all(len(x) <= 12 for x in index.values())
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
