@@ -36,7 +36,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return packing.packed(docs, clusters=simhash.near_duplicates(docs))
 
 
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -436,6 +436,53 @@ def test_best_fit_takes_the_tightest_compatible_bin():
     assert bins.place(1, 0, 0) == (2, 10)
 
 
+def naive_packing(rows, capacity, per_source):
+    """{(bin, offset): (doc_id, piece, n)} of one shard, looking through all bins for each piece."""
+    out, bins = Counter(), []
+    for doc_id, source, cluster, n in sorted(rows, key=lambda r: (-(r[3] % capacity), r[0] is None, r[0] or 0, r[1] or "", r[2])):
+        for piece in range(n // capacity):
+            out["whole", doc_id, source, piece, piece * capacity, capacity, 0] += 1
+        if n % capacity:
+            fit = [b for b in bins if b["room"] >= n % capacity and cluster not in b["clusters"] and b["sources"][source] < per_source]
+            if fit:
+                use = min(fit, key=lambda b: (b["room"], b["number"]))
+            else:
+                use = {"room": capacity, "number": len(bins), "clusters": set(), "sources": Counter()}
+                bins.append(use)
+            out[use["number"], doc_id, source, n // capacity, n // capacity * capacity, n % capacity, capacity - use["room"]] += 1
+            use["room"] -= n % capacity
+            use["clusters"].add(cluster)
+            use["sources"][source] += 1
+    return out
+
+
+def numbered(rows):
+    return Counter(("whole" if "-w" in r[0] else int(r[0].split("-")[1]), *r[1:]) for r in map(tuple, rows))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_packing_equals_a_naive_packer(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, *range(150)]), rng.choice([None, "a", "b"]), rng.randrange(40), rng.choice([1, 3, 5, 10, 17, 30, 64, 100, 130])) for _ in range(300)]  # ties and repeats
+    assert numbered(packing.pack_shard(rows, 0, 64, 3)) == naive_packing(rows, 64, 3)
+    df = spark.createDataFrame([(i, s, f"t{c}", n) for i, s, c, n in rows], "doc_id long, source string, text string, n_tokens int").repartition(3)
+    hashes = {r["text"]: r["h"] for r in df.select("text", F.xxhash64("text").alias("h")).distinct().collect()}
+    got = packing.packed(df, capacity=64, per_source=3, shards=1, length="n_tokens").collect()
+    assert numbered(got) == naive_packing([(i, s, hashes[f"t{c}"], n) for i, s, c, n in rows], 64, 3)
+
+
+def test_packing_of_clusters_copies_and_wordless_rows(spark):
+    rows = [(1, "a b", "s"), (2, "c d", "s"), (3, "e f", "s"), (None, "g h", "s"), (4, "", "s"), (5, None, None), *[(7, "same text", "t")] * 5]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    near = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (None, 1)], "doc_id long, component_id long")
+    got = packing.packed(df, capacity=8, shards=1, clusters=near).collect()
+    at = {r["doc_id"]: r["bin_id"] for r in got}
+    assert at[1] != at[2] and at[4] is None and at[5] is None and len(got) == len(rows)
+    assert len({r["bin_id"] for r in got if r["doc_id"] == 7}) == 5
+    many = packing.packed(df, capacity=8, shard=2).where("doc_id = 7").selectExpr("split(bin_id, '-')[0] shard").distinct().count()
+    assert many > 1  # copies of one row are dealt to several shards
+
+
 def test_ogg_round_trip_and_damage():
     for data in (b"", b"a", b"x" * 64, bytes(range(256)) * 700):
         payload = ogg.padded(data)
