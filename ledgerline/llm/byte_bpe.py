@@ -161,13 +161,21 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """doc_id and content binary of every row of identifiers; null identifiers give empty content."""
+    """doc_id, content binary and error of every row of identifiers.
+
+    Null identifiers give empty content; a row with one that is null or outside the vocabulary has null content and an error.
+    """
+
+    def one(use: Codec, ids: list | None) -> tuple[bytes | None, str | None]:
+        strange = [i for i in ids or () if i is None or i not in use.tokens]
+        return (None, f"no token {strange[0]}") if strange else (b"".join(map(use.tokens.__getitem__, ids or ())), None)
 
     def batch(columns: dict[str, list]) -> dict[str, object]:
         use = codec(vocabulary, pattern)
-        return {"doc_id": pa.array(columns["doc_id"], pa.int64()), "content": pa.array([use.decode(np.array(x or [], "<i4").tobytes()) for x in columns["ids"]], pa.binary())}
+        content, error = zip(*(one(use, x) for x in columns["ids"]), strict=True)
+        return {"doc_id": pa.array(columns["doc_id"], pa.int64()), "content": pa.array(content, pa.binary()), "error": pa.array(error, pa.string())}
 
-    return map_batches(encoded.select("doc_id", "ids"), batch, "doc_id long, content binary")
+    return map_batches(encoded.select("doc_id", "ids"), batch, "doc_id long, content binary, error string")
 
 
 def round_trip(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:

@@ -1,12 +1,15 @@
 """Ogg columns: texts stored as 8-bit samples in Ogg pages, and the reader that gets them back.
 
-The writer interleaves two logical streams: a head stream with one packet of metadata and a stream of
-sample packets. The reader verifies each page's checksum, reassembles packets from the lacing values
-across pages, separates the streams by serial number and derives times from granule positions.
+The writer interleaves two logical streams page by page: samples, and a head stream that begins with a packet of
+metadata and has a packet with a checksum of the samples for each of their pages. The reader verifies each page's
+checksum, reassembles packets from the lacing values across pages, separates the streams by serial number and
+derives every packet's time: a page's granule position is where its last whole packet ends, and the samples of
+that packet and of those before it lead back from there.
 
 Defined cases: a null text is stored as an empty one (64 zero samples); equal texts give equal values;
 repeated rows each give a row; the length of a text is not limited; an empty table gives an empty
-result; other columns are ignored. A page whose checksum or sequence is wrong raises ValueError.
+result; other columns are ignored. read_ogg raises ValueError at a page whose checksum or sequence is wrong;
+read_media gives such a row, as one without media, a null payload and the reason as `error`.
 """
 
 from __future__ import annotations
@@ -67,13 +70,32 @@ def stream_pages(serial: int, packets: list[tuple[bytes, int]]) -> list[bytes]:
     return pages
 
 
+def page_end(one: bytes) -> int:
+    return HEAD.unpack_from(one)[3]
+
+
 def write_ogg(payload: bytes) -> bytes:
     serial = zlib.crc32(payload) & 0x7FFFFFFE
     samples = [(payload[i : i + PACKET], min(i + PACKET, len(payload))) for i in range(0, len(payload), PACKET)]
-    head = b"pcm8head" + struct.pack("<IQI", RATE, len(payload), PACKET)
     data = stream_pages(serial, samples)
-    # each stream's first page comes before any other page
-    return b"".join([*stream_pages(serial + 1, [(head, 0)]), *data])
+    head = b"pcm8head" + struct.pack("<IQI", RATE, len(payload), PACKET)
+    # a mark goes up to where the last whole packet of its page of samples ends; pages without one have no mark
+    out, first, marks, done = [], data[0], [], 0
+    ends = [page_end(p) for p in data]
+    for end in ends:
+        if end >= 0:
+            marks.append((b"pcm8mark" + struct.pack("<QI", end, zlib.crc32(payload[done:end])), end))
+            done = end
+    # one page for each packet of the head stream, numbered and flagged as a stream
+    heads = [page(serial + 1, k, (FIRST if k == 0 else 0) | (LAST if k == len(marks) else 0), end, bytes([len(packet)]), packet) for k, (packet, end) in enumerate([(head, 0), *marks])]
+    out, number = [heads[0], first], 1  # each stream's first page comes before any other page
+    for k, one in enumerate(data):
+        if k:
+            out.append(one)
+        if ends[k] >= 0:
+            out.append(heads[number])
+            number += 1
+    return b"".join(out)
 
 
 @dataclass
@@ -87,7 +109,7 @@ class Stream:
 
 
 def read_ogg(data: bytes) -> dict[int, Stream]:
-    """Logical streams by serial number; times are the seconds at which a page's last packet ends, else null."""
+    """Logical streams by serial number, with the seconds at which each packet ends; null where no page says so."""
     streams: dict[int, Stream] = {}
     at = 0
     while at < len(data):
@@ -115,7 +137,10 @@ def read_ogg(data: bytes) -> dict[int, Stream]:
                 stream.times.append(None)
                 packet = None
         if len(stream.packets) > before and granule >= 0:
-            stream.times[-1] = granule / RATE
+            end, sound = granule, not stream.packets[0].startswith(b"pcm8head")
+            for k in range(len(stream.packets) - 1, before - 1, -1):
+                stream.times[k] = end / RATE
+                end -= len(stream.packets[k]) if sound else 0
         stream.part, stream.pages, stream.ended = packet, stream.pages + 1, bool(flags & LAST)
     return streams
 
@@ -137,9 +162,17 @@ def stored_payload(streams: dict[int, Stream]) -> bytes:
     sounds = [s for s in streams.values() if s not in heads]
     if len(heads) != 1 or len(sounds) != 1:
         raise ValueError("one head and one sample stream are expected")
-    payload = b"".join(sounds[0].packets)
-    if struct.unpack_from("<IQ", heads[0].packets[0], 8) != (RATE, len(payload)):
+    payload, (head, *marks) = b"".join(sounds[0].packets), heads[0].packets
+    if struct.unpack_from("<IQ", head, 8) != (RATE, len(payload)):
         raise ValueError("the head does not fit the samples")
+    done = 0
+    for mark in marks:
+        end, check = struct.unpack_from("<QI", mark, 8)
+        if zlib.crc32(payload[done:end]) != check:
+            raise ValueError(f"the samples up to {end} do not fit their mark")
+        done = end
+    if done != len(payload) or not all(s.ended and s.part is None for s in streams.values()):
+        raise ValueError("a stream is cut off")
     return payload
 
 
@@ -152,6 +185,27 @@ def write_media(docs: DataFrame) -> DataFrame:
     return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "text"), batch, "doc_id long, media binary")
 
 
+def read_media(stored: DataFrame) -> DataFrame:
+    """doc_id, payload, packets, seconds and error of each row's `media`."""
+
+    def one(media: bytes | None) -> tuple:
+        if media is None:
+            return None, None, None, "no media"
+        try:
+            streams = read_ogg(media)
+            payload = stored_payload(streams)
+        except (ValueError, struct.error, IndexError) as e:
+            return None, None, None, str(e)
+        sound = next(s for s in streams.values() if not s.packets[0].startswith(b"pcm8head"))
+        return payload, len(sound.packets), sound.times[-1], None
+
+    def batch(columns: dict[str, list]) -> dict[str, object]:
+        payload, packets, seconds, error = zip(*map(one, columns["media"]), strict=True)
+        return {"doc_id": pa.array(columns["doc_id"], pa.int64()), "payload": pa.array(payload, pa.binary()), "packets": pa.array(packets, pa.int64()), "seconds": pa.array(seconds, pa.float64()), "error": pa.array(error, pa.string())}
+
+    return map_batches(stored.selectExpr("cast(doc_id as long) doc_id", "media"), batch, "doc_id long, payload binary, packets long, seconds double, error string")
+
+
 def media_digests(docs: DataFrame) -> DataFrame:
     """Store each text, read the stored bytes back, and describe both forms."""
 

@@ -511,6 +511,45 @@ def test_media(docs):
     assert all(hashlib.sha256(media[r["doc_id"]]).hexdigest() == r["media_sha256"] for r in rows if r["doc_id"] not in (None, 3))
 
 
+def test_ogg_pages_interleave_and_every_packet_has_its_time():
+    payload = ogg.padded(bytes(range(256)) * 900)
+    media, at, pages = ogg.write_ogg(payload), 0, []
+    while at < len(media):
+        _, _, flags, granule, serial, sequence, _, n = ogg.HEAD.unpack_from(media, at)
+        lacing = media[at + ogg.HEAD.size : at + ogg.HEAD.size + n]
+        pages.append((serial, sequence, flags, granule, lacing))
+        at += ogg.HEAD.size + n + sum(lacing)
+    serials = [p[0] for p in pages]
+    assert len(set(serials)) == 2 and sum(a != b for a, b in zip(serials, serials[1:], strict=False)) >= 6
+    for serial in set(serials):
+        own = [p for p in pages if p[0] == serial]
+        assert [p[1] for p in own] == list(range(len(own)))
+        assert [bool(p[2] & ogg.FIRST) for p in own] == [True] + [False] * (len(own) - 1)
+        assert [bool(p[2] & ogg.LAST) for p in own] == [False] * (len(own) - 1) + [True]
+        assert [bool(p[2] & ogg.CONTINUED) for p in own] == [False] + [p[4][-1] == 255 for p in own[:-1]]
+    streams = ogg.read_ogg(media)
+    sound = next(s for s in streams.values() if not s.packets[0].startswith(b"pcm8head"))
+    assert sound.times == [min((k + 1) * ogg.PACKET, len(payload)) / ogg.RATE for k in range(len(sound.packets))]
+    codes = list(payload)
+    mean, rms = sum(codes) / len(codes), (sum((c - 128) ** 2 for c in codes) / len(codes)) ** 0.5
+    crossings = sum((a < 128) != (b < 128) for a, b in zip(codes, codes[1:], strict=False))
+    assert ogg.features(streams, payload) == f"streams=2;pages={len(pages)};packets={len(sound.packets)};seconds={len(payload) / ogg.RATE:.4f};mean={mean:.3f};rms={rms:.3f};peak=255;crossings={crossings}"
+
+
+def test_damaged_media_and_strange_tokens_spoil_only_their_row(spark):
+    good = ogg.write_ogg(ogg.padded(b"text" * 9000))
+    data = ogg.write_ogg(ogg.padded(b"a"))
+    rows = [(1, good), (2, good[:-1]), (3, good[:100] + b"x" + good[101:]), (4, None), (5, b""), (6, b"OggS"), (7, good[: len(good) // 2]), (None, data)]
+    got = {r["doc_id"]: r for r in ogg.read_media(spark.createDataFrame(rows, "doc_id long, media binary")).collect()}
+    assert bytes(got[1]["payload"]) == ogg.padded(b"text" * 9000) and got[1]["error"] is None and got[1]["seconds"] > 4
+    assert bytes(got[None]["payload"]) == ogg.padded(b"a")
+    assert all(got[k]["payload"] is None and got[k]["error"] for k in range(2, 8))
+    ids = spark.createDataFrame([(1, [0, 1]), (2, [0, 99_999_999]), (3, None), (4, [None]), (5, [-1])], "doc_id long, ids array<int>")
+    back = {r["doc_id"]: r for r in byte_bpe.decode(ids, BYTE_BPE, P.PATTERN).collect()}
+    assert back[1]["error"] is None and len(back[1]["content"]) >= 2 and bytes(back[3]["content"]) == b""
+    assert all(back[k]["content"] is None and back[k]["error"] for k in (2, 4, 5))
+
+
 def brute_licences(t):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(str.maketrans(license_index.UPPER, license_index.LOWER)))
     at, labels = [], set()
