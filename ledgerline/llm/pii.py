@@ -176,8 +176,9 @@ class Field:
         lengths = np.array([len(s) for s in sequences])
         for size in np.unique(lengths):
             where = np.flatnonzero(lengths == size)
-            for part in np.array_split(where, max(1, len(where) * size // 50_000)):
-                emit = self.weights[np.stack([sequences[k] for k in part])].sum(axis=2)
+            for part in np.array_split(where, min(len(where), max(1, len(where) * size // 50_000))):
+                # in slices, so that one very long sequence doesn't gather all its weights at once
+                emit = np.stack([np.concatenate([self.weights[sequences[k][i : i + 50_000]].sum(axis=1) for i in range(0, size, 50_000)]) for k in part])
                 best, came = emit[:, 0], np.zeros((len(part), size, len(LABELS)), np.int8)
                 for t in range(1, size):
                     via = best[:, :, None] + self.moves

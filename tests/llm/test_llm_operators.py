@@ -164,8 +164,7 @@ def brute_components(texts):
 
 
 def test_components_equal_brute_force(docs, sample):
-    short = sample.limit(300)
-    for df in (docs.where("length(text) < 1000 or text is null"), short):
+    for df in (docs.where("length(text) < 1000 or text is null"), sample):
         assert Counter(map(tuple, simhash.near_duplicates(df).collect())) == brute_components(texts_of(df))
 
 
@@ -394,6 +393,34 @@ def test_quality_on_awkward_rows(spark, docs):
     assert len(rows) == len(AWKWARD) + 2 and all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_training_takes_bounded_stretches_and_one_text_a_document(spark):
+    rng = random.Random(2)
+    good = lambda n: "\n".join("A plain sentence with words, and an end." for _ in range(n))
+    bad = lambda n: "\n".join("BUY ### $$$ | !!!" for _ in range(n))
+    rows = [(i, good(rng.randrange(1, 9)) if i % 2 else bad(rng.randrange(1, 9)), "clash") for i in range(80)] + [(1, good(30_000), "clash")] * 3 + [(2, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2, 0, "clash") for i in range(80)] + [(1, 1, 0, None)], "doc_id long, quality int, toxic int, text string")
+    got = quality_crf.scored(docs, labels, sample=60).collect()
+    assert len(got) == len(rows) and all(r["predicted"] == r["doc_id"] % 2 for r in got if r["doc_id"] != 2)
+    own = np.arange(1000)
+    part = quality_crf.stretch(own, "a text", 100)
+    assert len(part) == 100 and (np.diff(part) == 1).all() and len(quality_crf.stretch(own[:50], "a text", 100)) == 50
+    assert not np.array_equal(part, quality_crf.stretch(own, "another", 100))
+
+
+def test_line_features_are_what_they_say():
+    text = "AAA bb\n\nAAA bb\nx, x, x"
+    rows, sizes = quality_crf.line_features(text)
+    assert sizes.tolist() == [7, 1, 7, 7] and rows.shape == (4, quality_crf.OWN)
+    assert np.isclose(rows[0, 0], (3 / 7) ** 0.5) and np.isclose(rows[0, 1], (2 / 7) ** 0.5)
+    repeat, blank = rows[:, quality_crf.CLASSES + 5], rows[:, quality_crf.CLASSES + 6]
+    assert repeat.tolist() == [0, 0, 1, 0] and blank.tolist() == [0, 1, 0, 0]
+    assert np.isclose(rows[3, quality_crf.CLASSES + 1], 1 - 2 / 3) and np.isclose(rows[3, quality_crf.CLASSES + 2], 1 / 3)
+    wide = quality_crf.neighboured(rows)
+    own = quality_crf.OWN
+    assert np.array_equal(wide[1, own : 2 * own], rows[0]) and np.array_equal(wide[1, 2 * own : 3 * own], rows[2]) and wide[0, -2] == 1 and wide[3, -1] == 1
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(2)
     unary, moves = rng.normal(size=5), rng.normal(size=(2, 2))
