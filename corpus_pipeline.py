@@ -1,4 +1,11 @@
-"""From documents to packed training sequences: five stages, each over all that the one before it kept."""
+"""From documents to packed training sequences: five stages, each over all that the one before it kept.
+
+Defined cases, beyond those of the operators: every row is judged by its own text and source, also where its doc_id
+is null or repeated. A null or empty text is scored like any other and fails the quality rules. Near-duplicate removal
+keeps the row with the smallest doc_id of a group, with its repetitions, and all rows without a doc_id. Very long texts pass
+whole. Other columns pass through all stages but the last, whatever their names; the last has columns of its own.
+An empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
