@@ -5,11 +5,12 @@ some ten bits apart, and far more than two at times. At such a width no fields o
 so texts are dealt to groups by minima of their shingles' hashes instead: 16 keys of three minima each. Texts
 of similarity 0.8 share no key with a probability of (1 - 0.8^3)^16, one in 10^5.
 
-In a group, simhash's Gray-order hierarchical index searches for fingerprints within `distance` bits, and what it
-links forms smaller groups; equal groups of several keys are one. Only their members' shingles are gathered.
-There the index searches again, and each pair that it finds is linked if the exact similarity of the two sets
-is `alike` or more. Tasks pass on a spanning forest of the links, never the pairs; simhash.components joins
-the forests. A group of more than BLOCK texts is dealt as pairs of blocks, so that tasks are of bounded size.
+In a group, simhash's Gray-order hierarchical index searches for fingerprints within `distance` bits; of the pairs
+it finds those are near that agree in half of the 48 minima, which one in 10^6 texts of similarity 0.8 don't. Texts
+that chains of near pairs join are gathered once, with their shingles. There the index searches again, and a pair
+is linked if the exact similarity of the two sets is `alike` or more. Tasks pass on a spanning forest of what they
+find, never the pairs; simhash.components joins the forests. A group of more texts than BLOCK (SETS where shingles
+come along) is dealt as pairs of blocks, so that tasks are of bounded size.
 
 Defined cases: words are those of simhash.fingerprint; fewer words than a shingle form one shingle; null and
 wordless texts have an empty set and equal one another; rows without a doc_id stay; repeated doc_ids stay or
@@ -30,11 +31,9 @@ from pyspark.sql import functions as F
 from .common import map_batches, stored, utf8
 from .simhash import BITS, components, gray_rank, linked_pairs, spanning
 
-KEYS, MINIMA, BLOCK = 16, 3, 2000
-#: Rows of whole groups that a task searches at once.
-CHUNK = 20_000
-#: Bytes of shared shingles, as bits for each text, that a task holds at a time.
-TABLE = 64 << 20
+KEYS, MINIMA, BLOCK, SETS = 16, 3, 8000, 4000
+#: Minima in which near texts agree; rows of whole groups that a task searches at once; bytes of a table of shingles and of what is looked up in it.
+AGREE, CHUNK, TABLE = 24, 20_000, 16 << 20
 _DRAWN = np.random.default_rng(20).integers(0, 1 << 64, (2, KEYS * MINIMA), np.uint64)
 FACTORS, ADDENDS = _DRAWN[0] | np.uint64(1), _DRAWN[1]
 
@@ -56,172 +55,173 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes)).view(np.int64)[0])
 
 
-def keys_of(hashes: np.ndarray) -> list[int]:
+def minima(hashes: np.ndarray) -> np.ndarray:
     least = np.full(KEYS * MINIMA, ~np.uint64(0))
     for start in range(0, len(hashes), 4096):
         np.minimum(least, (hashes[start : start + 4096, None] * FACTORS + ADDENDS).min(axis=0), out=least)
+    return least
+
+
+def keys_of(least: np.ndarray) -> list[int]:
     return [xxhash.xxh3_64_intdigest(least[k * MINIMA : (k + 1) * MINIMA].tobytes(), k) - (1 << 63) for k in range(KEYS)]
 
 
 def marked(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, key (of the text), fp, groups and shingles of every row."""
+    """doc_id, key (of the text), fp, groups and sketch (a byte of each minimum) of every row."""
+
+    def batch(columns: dict[str, list]) -> dict[str, object]:
+        fps, groups, sketches = [], [], []
+        for text in columns["text"]:
+            hashes = shingle_set(text, shingle)
+            least = minima(hashes)
+            fps.append(majority(hashes))
+            groups.append(keys_of(least))
+            sketches.append((least >> np.uint64(56)).astype(np.uint8).tobytes())
+        return {"doc_id": pa.array(columns["doc_id"], pa.int64()), "key": pa.array(columns["key"], pa.int64()), "fp": pa.array(fps, pa.int64()), "groups": pa.array(groups, pa.list_(pa.int64())), "sketch": pa.array(sketches, pa.binary())}
+
+    return map_batches(keyed(docs), batch, "doc_id long, key long, fp long, groups array<long>, sketch binary")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
+
+
+def shingled(docs: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
+    """key, fp and shingles of the texts whose key is `needed`."""
 
     def batch(columns: dict[str, list]) -> dict[str, object]:
         sets = [shingle_set(t, shingle) for t in columns["text"]]
-        return {
-            "doc_id": pa.array(columns["doc_id"], pa.int64()),
-            "key": pa.array(columns["key"], pa.int64()),
-            "fp": pa.array(list(map(majority, sets)), pa.int64()),
-            "groups": pa.array(list(map(keys_of, sets)), pa.list_(pa.int64())),
-            "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
-        }
+        return {"key": pa.array(columns["key"], pa.int64()), "fp": pa.array(list(map(majority, sets)), pa.int64()), "shingles": pa.array([s.tobytes() for s in sets], pa.binary())}
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
-    return map_batches(rows, batch, "doc_id long, key long, fp long, groups array<long>, shingles binary")
+    rows = keyed(docs).select("key", "text").join(needed, "key", "left_semi")
+    return map_batches(rows, batch, "key long, fp long, shingles binary").groupBy("key").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles"))
 
 
-def by_group(df: DataFrame, group: list[str], columns: list[str], fn: Callable[..., dict[str, object] | None], schema: str) -> DataFrame:
-    """`fn` of each group's columns as arrays; many small groups pass through one task without a job each."""
+def in_blocks(members: DataFrame, block: int) -> DataFrame:
+    """`members` (value, key and more) with x and y: 0 in groups of up to `block` texts, else each pair of blocks that a text belongs to."""
+    sizes = members.groupBy("value").agg(F.count("*").alias("size")).where(F.col("size") > block)
+    blocks = F.ceil(F.coalesce("size", F.lit(1)) / block).cast("int")
+    dealt = members.join(stored(sizes), "value", "left").withColumns({"_own": F.pmod(F.xxhash64("key"), blocks).cast("int"), "_with": F.explode(F.sequence(F.lit(0), blocks - 1))})
+    return dealt.withColumns({"x": F.least("_own", "_with"), "y": F.greatest("_own", "_with")}).drop("size", "_own", "_with")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        last = None
-        for batch in batches:
-            names = [batch.column(n).to_numpy(zero_copy_only=False) for n in group]
-            cuts = np.flatnonzero(np.logical_or.reduce([n[1:] != n[:-1] for n in names])) + 1 if batch.num_rows else []
-            for start, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
-                if start == end:
-                    continue
-                own = tuple(n[start] for n in names)
-                if last is not None and own != last:
-                    yield from done(held)
-                    held = []
-                held.append(batch.slice(start, end - start))
-                last = own
-        if held:
-            yield from done(held)
-
-    def done(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held)
-        out = fn(*(table.column(n) for n in columns))
-        if out:
-            yield pa.RecordBatch.from_pydict(out)
-
-    return df.repartition(*group).sortWithinPartitions(*group).mapInArrow(run, schema)
-
-
-def in_gray_order(fps: np.ndarray) -> np.ndarray:
-    return np.argsort(gray_rank(fps), kind="stable")
-
-
-def searched(fps: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    return linked_pairs(fps, np.zeros(len(fps), np.int64), distance)
-
-
-def near_groups(members: DataFrame, distance: int) -> DataFrame:
-    """value and key: the texts of one value that chains of near fingerprints link, two or more; equal groups are one."""
-
-    def split(values: np.ndarray, keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((gray_rank(fps), values))
-        values, keys, fps = values[order], keys[order], fps[order]
-        root = spanning(len(fps), linked_pairs(fps, np.cumsum(np.r_[0, values[1:] != values[:-1]]), distance))
-        order = np.lexsort((keys, root))
-        keys, root = keys[order], root[order]
-        starts = np.flatnonzero(np.r_[True, root[1:] != root[:-1]])
-        sizes = np.diff(np.r_[starts, len(root)])
-        several = sizes > 1
-        names = [xxhash.xxh3_64_intdigest(keys[a : a + n].tobytes()) - (1 << 63) for a, n in zip(starts[several].tolist(), sizes[several].tolist(), strict=True)]
-        return pa.RecordBatch.from_pydict({"value": pa.array(np.repeat(np.array(names, np.int64), sizes[several])), "key": pa.array(keys[np.repeat(several, sizes)])})
+
+def by_groups(df: DataFrame, columns: list[str], chunk: int, fn: Callable[..., tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """Edges (a, b) that `fn` gives for the numbers of the groups (value, x, y), the keys and `columns`, of about `chunk` rows of whole groups at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
+        held: list[pa.RecordBatch] = []
+        rows = 0
         for batch in batches:
-            held.append([batch.column(n).to_numpy() for n in ("value", "key", "fp")])
+            held.append(batch)
             rows += batch.num_rows
-            if rows >= CHUNK:
-                value, key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
-                cut = int(np.flatnonzero(value != value[-1]).max(initial=-1)) + 1  # the last group may go on in the next batch
+            if rows >= chunk:
+                table = pa.Table.from_batches(held).combine_chunks()
+                new = begins(table)
+                cut = int(new[-1])  # the last group may go on in the next batch
                 if cut:
-                    yield split(value[:cut], key[:cut], fp[:cut].view(np.uint64))
-                    held, rows = [[value[cut:], key[cut:], fp[cut:]]], rows - cut
+                    yield edges(table.slice(0, cut), new[:-1])
+                    table = table.slice(cut)
+                held, rows = table.to_batches(), table.num_rows
         if rows:
-            value, key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
-            yield split(value, key, fp.view(np.uint64))
+            table = pa.Table.from_batches(held).combine_chunks()
+            yield edges(table, begins(table))
+
+    def begins(table: pa.Table) -> np.ndarray:
+        names = [table.column(n).to_numpy() for n in ("value", "x", "y")]
+        return np.flatnonzero(np.r_[True, np.logical_or.reduce([n[1:] != n[:-1] for n in names])])
+
+    def edges(table: pa.Table, new: np.ndarray) -> pa.RecordBatch:
+        number = np.repeat(np.arange(len(new)), np.diff(np.r_[new, table.num_rows]))
+        several = np.bincount(number)[number] > 1
+        table, number = table.filter(pa.array(several)), number[several]
+        if not table.num_rows:
+            return pa.RecordBatch.from_pydict({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        a, b = fn(number, table.column("key").to_numpy(), *(table.column(n) for n in columns))
+        return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    wanted = df.select("value", "x", "y", "key", *columns)
+    return wanted.repartition("value", "x", "y").sortWithinPartitions("value", "x", "y").mapInArrow(run, "a long, b long").distinct()
+
+
+def joined(fps: np.ndarray, number: np.ndarray, distance: int, test: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """For each text the first of those that pairs of a group join, which the index finds and `test` confirms; in Gray order by group."""
+    root = np.arange(len(fps))
+    for a, b in linked_pairs(fps, number, distance):
+        for at in range(0, len(a), 200_000):
+            x, y = a[at : at + 200_000], b[at : at + 200_000]
+            differ = root[x] != root[y]  # what is joined already needs no test
+            x, y = x[differ], y[differ]
+            good = test(x, y)
+            if good.any():
+                root = spanning(len(fps), iter([(np.arange(len(fps)), root), (x[good], y[good])]))
+    return root
+
+
+def near_pairs(members: DataFrame, distance: int) -> DataFrame:
+    """Edges (a, b) between texts of a group whose fingerprints and sketches are near."""
+
+    def search(number: np.ndarray, keys: np.ndarray, fp: pa.ChunkedArray, sketch: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+        fps = fp.to_numpy().view(np.uint64)
+        order = np.lexsort((gray_rank(fps), number))
+        table = np.frombuffer(b"".join(sketch.to_pylist()), np.uint8).reshape(len(fps), -1)[order]
+        root = joined(fps[order], number[order], distance, lambda x, y: (table[x] == table[y]).sum(axis=1) >= AGREE)
+        inner, keys = root != np.arange(len(root)), keys[order]
+        return keys[inner], keys[root[inner]]
 
-    return members.select("value", "key", "fp").repartition("value").sortWithinPartitions("value").mapInArrow(run, "value long, key long").distinct()
+    return by_groups(members, ["fp", "sketch"], CHUNK, search)
 
 
-def verified(sets: list[np.ndarray], fps: np.ndarray, distance: int, alike: float) -> np.ndarray:
-    """For each text the first of those that links reach; `fps` are in Gray order."""
-    n, sizes = len(sets), np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(n), sizes)
+def tables_of(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """The sets as rows of bits, in tables of some columns each; a shingle that only one text has is in no intersection and left out."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     _, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    column = np.cumsum(times > 1) - 1  # a shingle that only one text has adds to no intersection
     shared = times[number] > 1
-    owner, number, width = owner[shared], column[number[shared]], int((times > 1).sum())
-    step = max(64, TABLE // max(n, 1))
-    tables = []
+    owner, number, width = owner[shared], (np.cumsum(times > 1) - 1)[number[shared]], int((times > 1).sum())
+    step = max(64, TABLE // len(sets) // 64 * 64)
+    out = []
     for start in range(0, width, step):
-        cells = np.zeros((n, min(step, width - start)), bool)
+        cells = np.zeros((len(sets), min(step, -(-(width - start) // 64) * 64)), bool)
         inside = (number >= start) & (number < start + step)
         cells[owner[inside], number[inside] - start] = True
-        bits = np.packbits(cells, axis=1)
-        tables.append(np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.uint64))
-    links = []
-    root = np.arange(n)
-    for a, b in searched(fps, distance):
-        for at in range(0, len(a), 200_000):
-            x, y = a[at : at + 200_000], b[at : at + 200_000]
-            differ = root[x] != root[y]
-            x, y = x[differ], y[differ]
-            both = np.zeros(len(x), np.int64)
-            for bits in tables:
-                for begin in range(0, len(x), max(1, TABLE // (8 * bits.shape[1]))):
-                    part = slice(begin, begin + max(1, TABLE // (8 * bits.shape[1])))
-                    both[part] += np.bitwise_count(bits[x[part]] & bits[y[part]]).sum(axis=1, dtype=np.int64)
-            either = sizes[x] + sizes[y] - both
-            link = np.where(either > 0, both / np.maximum(either, 1), 1.0) >= alike
-            if link.any():
-                links.append((x[link], y[link]))
-                root = spanning(n, iter(links))
-                links = [(np.arange(n), root)]
-    return root
+        out.append(np.packbits(cells, axis=1).view(np.uint64))
+    return out
 
 
 def links(members: DataFrame, distance: int, alike: float) -> DataFrame:
     """Edges (a, b) of a spanning forest of the links in each group."""
 
-    def check(key: pa.ChunkedArray, fp: pa.ChunkedArray, shingles: pa.ChunkedArray) -> dict[str, object] | None:
+    def check(number: np.ndarray, keys: np.ndarray, fp: pa.ChunkedArray, shingles: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
         fps = fp.to_numpy().view(np.uint64)
-        order = in_gray_order(fps)
-        sets = [np.frombuffer(s, np.uint64) for s in shingles.to_pylist()]
-        root = verified([sets[i] for i in order], fps[order], distance, alike)
-        inner = root != np.arange(len(root))
-        keys = key.to_numpy()[order]
-        return {"a": pa.array(keys[inner]), "b": pa.array(keys[root[inner]])} if inner.any() else None
+        order = np.lexsort((gray_rank(fps), number))
+        given = shingles.to_pylist()
+        sets = [np.frombuffer(given[i], np.uint64) for i in order]
+        sizes, tables = np.array([len(s) for s in sets]), tables_of(sets)
+
+        def similar(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            both = np.zeros(len(x), np.int64)
+            for bits in tables:
+                step = max(1, TABLE // (8 * bits.shape[1]))
+                for at in range(0, len(x), step):
+                    both[at : at + step] += np.bitwise_count(bits[x[at : at + step]] & bits[y[at : at + step]]).sum(axis=1, dtype=np.int64)
+            either = sizes[x] + sizes[y] - both
+            return np.where(either > 0, both / np.maximum(either, 1), 1.0) >= alike
+
+        root = joined(fps[order], number[order], distance, similar)
+        inner, keys = root != np.arange(len(root)), keys[order]
+        return keys[inner], keys[root[inner]]
 
-    return by_group(members, ["value", "x", "y"], ["key", "fp", "shingles"], check, "a long, b long").distinct()
+    return by_groups(members, ["fp", "shingles"], SETS, check)
 
 
 def near_copies(docs: DataFrame, alike: float = 0.8, shingle: int = 5, distance: int = 24) -> DataFrame:
     """doc_id and component_id, the smallest doc_id of the component, of every document."""
     rows = stored(marked(docs, shingle))
-    texts = rows.select(F.explode("groups").alias("value"), "key", "fp").groupBy("value", "key").agg(F.first("fp").alias("fp"))
-    sizes = texts.groupBy("value").agg(F.count("*").alias("size")).where("size > 1")
-    members = stored(texts.join(sizes, "value"))
-    small = near_groups(members.where(F.col("size") <= BLOCK), distance)
-    groups = small.select("value", "key", F.lit(0).alias("x"), F.lit(0).alias("y"))
-    # a large group's texts meet block by block, in as many tasks as there are pairs of blocks
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("key"), blocks).cast("int")
-    large = members.where(F.col("size") > BLOCK).select("value", "key", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("with"))
-    groups = stored(groups.unionByName(large.select("value", "key", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"))))
-    needed = groups.select("key").distinct()
-    sets = rows.select("key", "fp", "shingles").join(needed, "key", "left_semi").groupBy("key").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles"))
-    edges = stored(links(groups.join(sets, "key"), distance, alike))
-    roots = stored(components(edges))
-    least = rows.groupBy("key").agg(F.min("doc_id").alias("least"))
-    placed = least.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root"))
+    texts = stored(rows.groupBy("key").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("fp", "groups", "sketch")]))
+    members = texts.select(F.explode("groups").alias("value"), "key", "fp", "sketch")
+    near = stored(components(stored(near_pairs(in_blocks(members, BLOCK), distance))).select(F.col("root").alias("value"), F.col("node").alias("key")))
+    sets = shingled(docs, near.select("key"), shingle)
+    roots = stored(components(stored(links(in_blocks(near, SETS).join(sets, "key"), distance, alike))))
+    placed = texts.select("key", "least").join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root"))
     named = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("key", "component_id")
     return rows.select("doc_id", "key").join(stored(named), "key").select("doc_id", "component_id")
 

@@ -110,8 +110,8 @@ def described(token: str) -> tuple[str, ...]:
 
 
 #: What is remembered changes no result: longer tokens are described anew each time.
-own_features = Memo(described, 100_000).__getitem__
-hashed = Memo(lambda feature: xxhash.xxh3_64_intdigest(feature) % FEATURES, 200_000).__getitem__
+own_features = Memo(described, 20_000).__getitem__
+hashed = Memo(lambda feature: xxhash.xxh3_64_intdigest(feature) % FEATURES, 50_000).__getitem__
 
 
 def sequence_features(tokens: list[str]) -> np.ndarray:

@@ -61,6 +61,7 @@ def texts():
 @pytest.mark.parametrize("block", [2000, 7])
 def test_components_equal_brute_force(spark, monkeypatch, texts, block):
     monkeypatch.setattr(near_copies, "BLOCK", block)
+    monkeypatch.setattr(near_copies, "SETS", block)
     df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(df).collect()}
     assert got == brute(texts)
