@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import map_batches, stored, utf8
 from .simhash import BITS, components, gray_rank, linked_pairs, spanning
 
-KEYS, MINIMA, BLOCK, SETS = 16, 3, 8000, 4000
+KEYS, MINIMA, BLOCK, SETS = 16, 3, 8000, 1000
 #: Minima in which near texts agree; rows of whole groups that a task searches at once; bytes of a table of shingles and of what is looked up in it.
 AGREE, CHUNK, TABLE = 24, 20_000, 16 << 20
 _DRAWN = np.random.default_rng(20).integers(0, 1 << 64, (2, KEYS * MINIMA), np.uint64)
