@@ -24,25 +24,34 @@ def fingerprints(columns: DataFrame, by: str, column: str) -> DataFrame:
     return out.select(by, F.size("names").alias("n_columns"), F.md5(joined).alias("fingerprint"), F.substring(F.md5(F.concat(F.size("names").cast("string"), F.lit("|"), joined)), 1, 12).alias("sheet_fingerprint"))
 
 
-def overlaps(draft: DataFrame, reference: DataFrame) -> DataFrame:
+def overlaps(draft: DataFrame, reference: DataFrame, least: float) -> DataFrame:
     """(draft, reference, shared, n_draft, n_reference) of tables that share columns; both have table and column.
 
-    Tables meet through the columns they share, so that no pair without a common column is formed.
+    Whole are the rows of references that have a part `least` of the draft's columns. Such a reference has one of the draft's rarest
+    columns, more than a part of 1 - `least` of them: through those tables meet, so that a name that all tables have
+    forms no pairs unless a draft has hardly any other.
     """
     d, r = (t.select("table", F.lower("column").alias("column")).distinct() for t in (draft, reference))
     sizes = [t.groupBy("table").agg(F.count("*").alias("n")) for t in (d, r)]
-    shared = d.withColumnRenamed("table", "draft").join(r.withColumnRenamed("table", "reference"), "column").groupBy("draft", "reference").agg(F.count("*").alias("shared"))
+    held = r.groupBy("column").agg(F.count("*").alias("held"))
+    order = Window.partitionBy("table").orderBy("held", "column")  # one table's columns
+    ranked = d.join(held, "column", "left").na.fill(0, ["held"]).withColumn("k", F.row_number().over(order)).join(sizes[0], "table")
+    # a part of a thousandth is taken off, against rounding
+    rare = ranked.where(F.col("k") <= F.col("n") - F.ceil(F.col("n") * (least - 0.001)) + 1).select(F.col("table").alias("draft"), "column")
+    r = r.withColumnRenamed("table", "reference")
+    pairs = rare.join(r, "column").select("draft", "reference").distinct()
+    shared = pairs.join(d.withColumnRenamed("table", "draft"), "draft").join(r, ["reference", "column"]).groupBy("draft", "reference").agg(F.count("*").alias("shared"))
     return shared.join(sizes[0].toDF("draft", "n_draft"), "draft").join(sizes[1].toDF("reference", "n_reference"), "reference")
 
 
 def best_overlap(draft: DataFrame, reference: DataFrame, least: float = 0.7) -> DataFrame:
     """For each draft table the reference with the greatest part of its columns, if that is enough; the first by name of equals."""
-    scored = overlaps(draft, reference).withColumn("score", F.col("shared") / F.col("n_draft"))
+    scored = overlaps(draft, reference, least).withColumn("score", F.col("shared") / F.col("n_draft"))
     return first_by(scored.where(F.col("score") >= least), ["draft"], F.desc("score"), F.col("reference")).select("draft", "reference", "score")
 
 
 def best_jaccard(draft: DataFrame, reference: DataFrame, least: float = 0.8) -> DataFrame:
-    scored = overlaps(draft, reference).withColumn("score", F.col("shared") / (F.col("n_draft") + F.col("n_reference") - F.col("shared")))
+    scored = overlaps(draft, reference, least).withColumn("score", F.col("shared") / (F.col("n_draft") + F.col("n_reference") - F.col("shared")))
     return first_by(scored.where(F.col("score") >= least), ["draft"], F.desc("score"), F.col("reference")).select("draft", "reference", "score")
 
 
@@ -62,32 +71,48 @@ def forgiving(columns: DataFrame, metadata: DataFrame) -> DataFrame:
 def matched_columns(draft: DataFrame, reference: DataFrame, by: str = "source", least: float = 0.8) -> DataFrame:
     """(source, column, reference, score): equal names first, then the most similar unused reference, in draft order.
 
-    Equal names meet by a join; what is left of one source, a sheet's columns, is assigned in one task.
+    Equal names meet by a join, similar ones through letters that they share; the pairs of one source, a sheet's columns, are assigned in one task.
     """
     d = draft.select(by, "position", "column", names.matching_name(F.col("column")).alias("key"))
     r = reference.select(by, F.col("column").alias("reference"), names.matching_name(F.col("column")).alias("key"))
     once = first_by(r, [by, "key"], F.col("reference"))
     exact = first_by(d.join(once, [by, "key"]), [by, "key"], F.col("position")).select(by, "position", "column", "reference", F.lit(1.0).alias("score"))
-    rest_d = d.join(exact.select(by, "position"), [by, "position"], "left_anti").select(by, "position", F.col("column").alias("own"), "key", F.lit(0).alias("side"))
-    rest_r = r.join(exact.select(by, "reference"), [by, "reference"], "left_anti").select(by, F.lit(0).alias("position"), F.col("reference").alias("own"), "key", F.lit(1).alias("side"))
     kind = dict(draft.dtypes)[by]
+    left = d.join(exact.select(by, "position"), [by, "position"], "left_anti").select(by, "position", "column", "key")
+    free = r.join(exact.select(by, "reference"), [by, "reference"], "left_anti").select(by, "reference", F.col("key").alias("other"))
+    scored = similar_names(left, free, by, least)
 
     def assign(frame: pd.DataFrame) -> pd.DataFrame:
-        wanted = frame[frame["side"] == 0].sort_values(["position", "own"])
-        free = dict(frame[frame["side"] == 1].sort_values("own")[["own", "key"]].itertuples(index=False))
-        rows = []
-        for row in wanted.itertuples(index=False):
-            scores = [(SequenceMatcher(None, row.key, key).ratio(), own) for own, key in free.items()]
-            score, own = max(scores, key=lambda s: s[0], default=(0.0, None))
-            if score >= least:
-                del free[own]
-                rows.append((getattr(row, by), row.position, row.own, own, score))
+        taken, rows = set(), []
+        for row in frame.sort_values(["position", "column", "score", "reference"], ascending=[True, True, False, True]).itertuples(index=False):
+            if (own := (row.position, row.column)) not in taken and row.reference not in taken:
+                taken |= {own, row.reference}
+                rows.append((getattr(row, by), row.position, row.column, row.reference, row.score))
         return pd.DataFrame(rows, columns=[by, "position", "column", "reference", "score"])
 
-    fuzzy = rest_d.unionByName(rest_r).groupBy(by).applyInPandas(assign, f"{by} {kind}, position long, column string, reference string, score double")
+    fuzzy = scored.groupBy(by).applyInPandas(assign, f"{by} {kind}, position long, column string, reference string, score double")
     return exact.withColumn("position", F.col("position").cast("long")).unionByName(fuzzy)
 
 
+def similar_names(left: DataFrame, free: DataFrame, by: str, least: float) -> DataFrame:
+    """Pairs of `left` (key) and `free` (other) of one source whose names are at least `least` similar, with the score.
+
+    Names meet if they share two letters in a row, or one where they are short, and their lengths allow the score: similar ones do.
+    """
+
+    def parts(key: Column) -> Column:
+        pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(key) - 1, F.lit(1))), lambda i: F.substring(key, i, 2))
+        return F.array_distinct(F.when(F.length(key) <= 4, F.concat(pairs, F.split(key, ""))).otherwise(pairs))
+
+    @F.pandas_udf("double")
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    mine, theirs = left.withColumn("part", F.explode(parts(F.col("key")))), free.withColumn("part", F.explode(parts(F.col("other"))))
+    met = mine.join(theirs, [by, "part"]).where(2 * F.least(F.length("key"), F.length("other")) >= least * (F.length("key") + F.length("other"))).drop("part").distinct()
+    return met.withColumn("score", ratio("key", "other")).where(F.col("score") >= least).select(by, F.col("position").cast("long").alias("position"), "column", "reference", "score")
+
+
 def matched_sources(draft: DataFrame, reference: DataFrame) -> DataFrame:
     """Each draft file (url, sheet, member) with the reference source found by the first of: file, pattern and sheet, pattern and member, pattern."""
 

@@ -55,8 +55,10 @@ def ask(df: DataFrame, question: str, most: int = 10_000) -> DataFrame:
 
 def metadata(df: DataFrame, code: str) -> DataFrame:
     """One row: columns, rows and a sample."""
-    first = F.slice(F.array_sort(F.collect_set(F.col(df.columns[0]).cast("string"))), 1, 3)
-    return df.agg(F.count("*").alias("n_rows"), first.alias("sample")).select(F.lit(code).alias("code"), "n_rows", F.lit(",".join(df.columns)).alias("columns"), F.array_join("sample", ",").alias("sample"))
+    value = F.col(df.columns[0]).cast("string")
+    few = df.select(value.alias("v")).where("v is not null").distinct().orderBy("v").limit(3)  # a top three, no list of all values
+    sample = few.agg(F.array_join(F.array_sort(F.collect_list("v")), ",").alias("sample"))
+    return df.agg(F.count("*").alias("n_rows")).crossJoin(sample).select(F.lit(code).alias("code"), "n_rows", F.lit(",".join(df.columns)).alias("columns"), "sample")
 
 
 def discover(columns: DataFrame, keywords: list[str], most: int = 50) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Where queries that write keep their files: below the folder that the cluster shares, if it names one."""
+"""Where queries that write keep their files: below the folder that the cluster shares."""
 
 from __future__ import annotations
 
@@ -9,5 +9,10 @@ from pyspark.sql import SparkSession
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerline-")
+    """A new folder below spark.checkpoint.dir; one of our own only where that is unset and all runs on one machine, as in tests."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="ledgerline-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.functions.names import sheet_name
+from ledgerline.functions.periods import period_of
 
 EXTENSIONS = (".xlsx", ".xls", ".zip", ".csv", ".ods")
 DATA_MEMBERS = (".csv", ".xlsx", ".xls")
@@ -46,8 +47,8 @@ def inferred_types(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*tests).alias("t")).select(F.explode("t").alias("t")).select("t.*")
 
 
-def zip_members(spark: SparkSession, path: str) -> DataFrame:
-    """archive, member, size and content of the data files in a folder of archives; a bad archive is an error."""
+def archive_members(files: DataFrame) -> DataFrame:
+    """(archive, member, size, content) of the data members of archives (path, content); one member at a time is held."""
 
     def members(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -57,10 +58,14 @@ def zip_members(spark: SparkSession, path: str) -> DataFrame:
                         if not info.is_dir() and info.filename.lower().endswith(DATA_MEMBERS):
                             yield pd.DataFrame([(row.path, info.filename, info.file_size, archive.read(info))], columns=["archive", "member", "size", "content"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
     return files.mapInPandas(members, "archive string, member string, size long, content binary")
 
 
+def zip_members(spark: SparkSession, path: str) -> DataFrame:
+    """The data members of every archive in a folder."""
+    return archive_members(spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content"))
+
+
 def zip_member(spark: SparkSession, path: str, name: str) -> DataFrame:
     """The members of that name; without one the error lists up to five that there are."""
     found = zip_members(spark, path)
@@ -101,8 +106,8 @@ def workbook_cells(content: bytes) -> Iterator[tuple[str, int, int, str, str]]:
                     cell.clear()
 
 
-def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    """The cells of every sheet of every workbook in a folder, each file read once."""
+def cells_of(files: DataFrame) -> DataFrame:
+    """The cells of workbooks (path, content), some thousands at a time."""
 
     def cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["file", "sheet", "row", "col", "value", "ctype"]
@@ -116,10 +121,14 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
                         held = []
                 yield pd.DataFrame(held, columns=names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", "content")
     return files.mapInPandas(cells, "file string, sheet string, row int, col int, value string, ctype string")
 
 
+def read_cells(spark: SparkSession, path: str) -> DataFrame:
+    """The cells of every sheet of every workbook in a folder, each file read once."""
+    return cells_of(spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", "content"))
+
+
 def as_view(df: DataFrame, sql: str) -> DataFrame:
     """The rows of `sql` over `df`, which it names {data}."""
     return df.sparkSession.sql(sql, data=df)
@@ -178,6 +187,19 @@ def subpage_links(pages: DataFrame) -> DataFrame:
     return rows.where(keep).select("page_id", absolute(F.col("url"), F.col("href")).alias("link")).distinct()
 
 
+def landing_periods(pages: DataFrame) -> DataFrame:
+    """(page_id, code, sort_key, link): the periods that each page's links name, one link for each.
+
+    Files count where at least as many of them as of the sub-pages name a period, else the sub-pages do.
+    """
+    both = download_links(pages).withColumn("file", F.lit(True)).unionByName(subpage_links(pages).withColumn("file", F.lit(False)))
+    # through explode the long expression is worked out once, not once for each field
+    read = both.select("page_id", "link", "file", F.explode(F.array(period_of(F.regexp_extract("link", "([^/]*)/*$", 1)))).alias("p")).select("page_id", "link", "file", "p.*").where("code is not null")
+    sides = read.groupBy("page_id").agg((F.count_if("file") >= F.count_if(~F.col("file"))).alias("by_file"))
+    used = read.join(sides, "page_id").where("file = by_file")
+    return used.groupBy("page_id", "code").agg(F.max("sort_key").alias("sort_key"), F.min("link").alias("link")).orderBy("page_id", "sort_key", "code")
+
+
 def crawl(pages: DataFrame) -> DataFrame:
     """Each page's file links, or, where it has none, those of the pages that it leads to."""
     direct = download_links(pages)
@@ -187,6 +209,14 @@ def crawl(pages: DataFrame) -> DataFrame:
     return direct.unionByName(below.join(direct, "page_id").select(F.col("parent").alias("page_id"), "link").distinct())
 
 
+def registry_columns(datasets: DataFrame, code: str | None = None) -> DataFrame:
+    """(code, column, description) of registered datasets, whose `columns` are JSON by name; an unknown `code` is refused."""
+    rows = datasets if code is None else datasets.where(F.col("code") == code)
+    if code is not None and rows.isEmpty():
+        raise ValueError(f"no dataset {code}")
+    return rows.select("code", F.explode(F.from_json("columns", "map<string,string>")).alias("column", "description"))
+
+
 def listed_columns(tables: dict[str, DataFrame]) -> DataFrame:
     """(table, column, type, position) of all tables, as a table."""
     rows = [(t, n, kind, k) for t, df in sorted(tables.items()) for k, (n, kind) in enumerate(df.dtypes, 1)]

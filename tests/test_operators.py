@@ -220,3 +220,73 @@ def test_cascade_leaves_other_sources(spark):
     counts, kept = ops.cascade(sources, {"ledger": spark.createDataFrame([("a",), ("b",), ("b",)], "source string")}, "tbl_y")
     assert {r["what"]: r["n"] for r in counts.collect()} == {"sources": 1, "ledger": 2}
     assert kept["ledger"].count() == 1 and kept["sources"].count() == 1
+
+
+def test_matched_columns_equal_a_naive_match(spark):
+    """Every draft column in turn against every unused reference, on the registered query's own rows."""
+    from difflib import SequenceMatcher
+
+    from ledgerline.functions import names
+    from ledgerline.plans.inputs import given
+    from ledgerline.plans.loading import J14_DRAFT, J14_REF
+    from ledgerline.plans.registry import load
+
+    sf = "/root/testdata/sf0.001"
+    draft, reference = ([(r["source"], r["c"], r["k"]) for r in given(spark, sf, sql).withColumn("k", names.matching_name(F.col("c"))).collect()] for sql in (J14_DRAFT, J14_REF))
+    want = set()
+    for source in {s for s, _, _ in draft}:
+        mine = [(k, c, key) for k, (c, key) in enumerate(sorted((c, key) for s, c, key in draft if s == source), 1)]
+        free = dict(sorted((c, key) for s, c, key in reference if s == source))
+        first: dict[str, str] = {}
+        for c, key in free.items():
+            first.setdefault(key, c)
+        left, used = [], set()
+        for k, c, key in mine:
+            if key in first and key not in used:
+                used.add(key)
+                want.add((source, k, c, first[key], 1.0))
+            else:
+                left.append((k, c, key))
+        free = {c: key for c, key in free.items() if not (key in used and first[key] == c)}
+        for k, c, key in left:
+            score, best = max(((SequenceMatcher(None, key, other).ratio(), own) for own, other in free.items()), key=lambda x: x[0], default=(0.0, None))
+            if score >= 0.8:
+                del free[best]
+                want.add((source, k, c, best, round(score, 9)))
+    got = {(r["source"], r["position"], r["column"], r["reference"], round(r["score"], 9)) for r in load()["j14_matched_columns"].run(spark, sf).collect()}
+    assert got == want and any(x[4] < 1 for x in want)
+
+
+def test_similar_names_of_any_length_meet(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    from ledgerline.operators.match import similar_names
+
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choices("abc_", k=rng.randrange(1, 9))) for _ in range(150)})
+    a, b = words[::2], words[1::2]
+    left = spark.createDataFrame([("s", k, w, w) for k, w in enumerate(a)], "source string, position int, column string, key string")
+    free = spark.createDataFrame([("s", w, w) for w in b], "source string, reference string, other string")
+    got = {(r["column"], r["reference"]) for r in similar_names(left, free, "source", 0.8).collect()}
+    assert got == {(x, y) for x in a for y in b if SequenceMatcher(None, x, y).ratio() >= 0.8} and got
+
+
+def test_a_true_reference_is_found_among_tables_that_share_common_names(spark):
+    from ledgerline.operators.match import best_jaccard, best_overlap
+
+    common = ["name", "date", "code"]
+    draft = spark.createDataFrame([(f"d{t}", c) for t in range(30) for c in [*common, f"own{t}", f"other{t}"]], "table string, column string")
+    reference = spark.createDataFrame([(f"r{t}", c) for t in range(30) for c in [*common, f"own{t}", f"other{t}"]] + [("bare", c) for c in common], "table string, column string")
+    assert {(r["draft"], r["reference"], r["score"]) for r in best_overlap(draft, reference, 0.8).collect()} == {(f"d{t}", f"r{t}", 1.0) for t in range(30)}
+    assert {(r["draft"], r["reference"]) for r in best_jaccard(draft, reference, 0.8).collect()} == {(f"d{t}", f"r{t}") for t in range(30)}
+    assert best_overlap(draft.where("table = 'd1'"), reference.where("table = 'bare'"), 0.6).collect()[0]["score"] == 0.6
+
+
+def test_unknown_registry_codes_are_refused(spark):
+    from ledgerline.sources.files import registry_columns
+
+    rows = spark.createDataFrame([("a", '{"x": "first"}')], "code string, columns string")
+    assert [tuple(r) for r in registry_columns(rows, "a").collect()] == [("a", "x", "first")]
+    with pytest.raises(ValueError):
+        registry_columns(rows, "b")
