@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerline.functions import names
 from ledgerline.operators import load as L
 from ledgerline.operators import match as M
 
 from .inputs import CODES, FILES, given, plain
 from .registry import query
+from .scalar import stable_sql
 from .shared import folder
 
 PERIOD = "concat(year(o_orderdate), '-', substr(concat('0', month(o_orderdate)), -2, 2))"
@@ -59,13 +61,22 @@ def w02_replace_period(spark, d):
     return stored.groupBy(F.col("_period").cast("string").alias("_period")).agg(F.count("*").alias("n"), F.sum("rows_loaded").alias("total"))
 
 
-@query(None)
+STAGED = "p_partkey:bigint p_name:string p_brand:string p_type:string p_size:int p_retailprice:decimal(18,6) _load_id:int _loaded_at:timestamp _period:string _period_start:date _period_end:date _manifest_file_id:int"
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{t}', {k}, 0)" for k, (n, t) in enumerate((x.split(":") for x in STAGED.split()), 1)) + ") t(column_name, type, position, n_rows)")
 def w03_staging_schema(spark, d):
+    """The columns of a staging table that is made from the types inferred of all parts."""
     from ledgerline.functions.clean import stored_types
 
-    types = stored_types(given(spark, d, "SELECT * FROM {part}"))
-    schema = L.staging_schema([("p_partkey", "BIGINT"), ("p_name", "VARCHAR(50)"), ("p_retailprice", "NUMERIC(18,6)")])
-    return types.withColumn("staging_columns", F.lit(len(schema)))
+    # one row for each column
+    types = {r["column_name"]: r["stored_type"] for r in stored_types(given(spark, d, "SELECT * FROM {part}")).collect()}
+    made = L.staging_schema([(n, types[n]) for n in given(spark, d, "SELECT * FROM {part}").columns])
+    path = folder(spark, "w03")
+    spark.createDataFrame([], made).write.parquet(path)
+    stored = spark.read.parquet(path)
+    columns = spark.createDataFrame([(n, t, k) for k, (n, t) in enumerate(stored.dtypes, 1)], "column_name string, type string, position int")
+    return columns.crossJoin(stored.agg(F.count("*").cast("int").alias("n_rows")))
 
 
 @query("SELECT c_custkey AS id, c_acctbal AS balance, CAST(NULL AS VARCHAR) AS note FROM customer UNION ALL SELECT s_suppkey, NULL, s_name FROM supplier")
@@ -231,7 +242,17 @@ def j14_matched_columns(spark, d):
 J15 = f"SELECT url, concat('sheet', length(url) % 3) AS sheet, concat('m', length(url) % 2) AS member FROM ({FILES}) x"
 
 
-@query(None)
+def file_keys(url):
+    return f"regexp_extract({url}, '([^/]*)$', 1) AS file, {stable_sql()} AS pattern"
+
+
+J15_WAYS = (("file",), ("pattern", "sheet"), ("pattern", "member"), ("pattern",))
+J15_SQL = f"""WITH d AS (SELECT *, {file_keys('url')} FROM ({plain(J15)})), r AS (SELECT *, {file_keys('url')} FROM (SELECT md5(url) AS code, sheet, member, regexp_replace(url, '(-revised)?\\.csv$', '-final.csv') AS url FROM ({plain(J15)}))),
+h AS ({' UNION ALL '.join(f"SELECT url, x.code, {k} AS priority FROM d JOIN (SELECT {', '.join(w)}, min(code) AS code FROM r GROUP BY ALL) x USING ({', '.join(w)})" for k, w in enumerate(J15_WAYS))})
+SELECT DISTINCT url, code, priority FROM h QUALIFY row_number() OVER (PARTITION BY url ORDER BY priority, code) = 1"""
+
+
+@query(J15_SQL)
 def j15_matched_sources(spark, d):
     rows = given(spark, d, J15)
     return M.matched_sources(rows, rows.withColumns({"url": F.regexp_replace("url", "(-revised)?\\.csv$", "-final.csv"), "code": F.md5("url")}))
@@ -268,7 +289,14 @@ def j19_reference_before(spark, d):
     return M.reference_before(ledger(spark, d), ledger(spark, d).where("status = 'loaded'"), "source", "period")
 
 
-@query(None)
+NAMED = "|".join(names.MONTHS_LONG + names.MONTHS_SHORT)
+SPELT = ("%b%y", "%b%Y", "%B-%Y", "%B_%Y", "%B %Y", "%b %Y", "%b-%Y", "%Y%m", "%Y-%m", "%Y_%m", "%m-%Y")
+
+
+@query(f"""WITH p AS (SELECT url, lower(unnest(regexp_extract_all(url, '(?i)((?:{NAMED})[-_ ]?(?:\\d{{4}}|\\d{{2}})|\\d{{4}}[-_]?\\d{{2}}|\\d{{2}}-\\d{{4}})', 1))) AS part FROM ({plain(FILES)})),
+w AS (SELECT DISTINCT period AS code, CAST(period || '-01' AS DATE) AS s FROM ({LEDGER_SQL})), k AS (SELECT DISTINCT code, lower(unnest([{', '.join(f"strftime(s, '{x}')" for x in SPELT)}])) AS part FROM w),
+h AS (SELECT DISTINCT code, url FROM p JOIN k USING (part))
+SELECT code, url FROM h QUALIFY row_number() OVER (PARTITION BY code ORDER BY contains(lower(url), 'prov'), length(url), url) = 1""")
 def j20_url_for_period(spark, d):
     return M.urls_by_period(given(spark, d, FILES), ledger(spark, d).select(F.col("period").alias("code")).distinct())
 

@@ -8,7 +8,6 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ledgerline.functions import periods
 from ledgerline.operators import metadata as MD
 from ledgerline.sources import files as S
 from ledgerline.streaming import monitor as M
@@ -17,7 +16,7 @@ from . import api
 from .inputs import FILES, given, plain
 from .loading import HISTORY_SQL, SOURCES, SOURCES_SQL, history
 from .registry import query
-from .reports import META_SQL, meta
+from .reports import META_SQL, TOLD, meta
 from .shared import folder
 
 PARTS = "SELECT p_partkey, p_name, p_size, CAST(p_retailprice AS DECIMAL(18,2)) AS price FROM {part}"
@@ -39,39 +38,40 @@ def s02_inferred_types(spark, d):
     return S.inferred_types(S.read_csv(spark, csv_folder(spark, d)))
 
 
+#: Parts of one file at most: files grow in number with the table, not in size.
+A_FILE = 1000
+
+
 def packed(spark, d, suffix, make):
-    """A folder with a file for each brand, made of its parts on the executors."""
+    """Files (path, content) with the parts of a brand, A_FILE keys each, made on the executors."""
     path = folder(spark, suffix)
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"name": [frame["p_brand"].iloc[0].replace("#", "")], "content": [make(frame.sort_values("p_partkey"))]})
+        return pd.DataFrame({"path": [frame["p_brand"].iloc[0].replace("#", "") + f"-{frame['block'].iloc[0]}"], "content": [make(frame.sort_values("p_partkey"))]})
 
-    built = given(spark, d, "SELECT p_brand, p_partkey, p_name, p_size FROM {part}").groupBy("p_brand").applyInPandas(build, "name string, content binary")
-    built.write.parquet(path)
+    parts = given(spark, d, f"SELECT p_brand, p_partkey, p_name, p_size, floor(p_partkey / {A_FILE}) AS block FROM {{part}}")
+    parts.groupBy("p_brand", "block").applyInPandas(build, "path string, content binary").write.parquet(path)
     return spark.read.parquet(path)
 
 
 def archive(frame):
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:
-        z.writestr("data.csv", frame.to_csv(index=False))
+        z.writestr("data.csv", frame[["p_brand", "p_partkey", "p_name", "p_size"]].to_csv(index=False))
         z.writestr("readme.txt", "no data")
     return out.getvalue()
 
 
-@query("SELECT replace(p_brand, '#', '') AS name, count(*) AS n_parts FROM part GROUP BY 1")
+@query(f"SELECT replace(p_brand, '#', '') AS name, count(DISTINCT p_partkey // {A_FILE}) AS members, count(*) AS n_parts FROM part GROUP BY 1")
 def s03_zip_members(spark, d):
-    """The members of archives that hold each brand's parts: the reader's own step, on contents in a table."""
+    """The data members of archives that hold each brand's parts, and the rows in them."""
 
     def rows(frames):
         for frame in frames:
-            for name, content in zip(frame["name"], frame["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for info in z.infolist():
-                        if info.filename.lower().endswith(S.DATA_MEMBERS):
-                            yield pd.DataFrame([(name, len(pd.read_csv(io.BytesIO(z.read(info)))))], columns=["name", "n_parts"])
+            yield pd.DataFrame({"archive": frame["archive"], "n": [len(pd.read_csv(io.BytesIO(c))) for c in frame["content"]]})
 
-    return packed(spark, d, "zip", archive).mapInPandas(rows, "name string, n_parts long")
+    counted = S.archive_members(packed(spark, d, "zip", archive)).mapInPandas(rows, "archive string, n long")
+    return counted.groupBy(F.split_part("archive", F.lit("-"), F.lit(1)).alias("name")).agg(F.count("*").alias("members"), F.sum("n").alias("n_parts"))
 
 
 def workbook(frame):
@@ -86,15 +86,10 @@ def workbook(frame):
     return out.getvalue()
 
 
-@query("SELECT replace(p_brand, '#', '') AS file, count(*) * 3 + 3 AS cells, count(*) * 2 AS numbers, CAST(max(p_size) AS INT) AS largest FROM part GROUP BY 1")
+@query(f"SELECT replace(p_brand, '#', '') AS file, count(*) * 3 + 3 * count(DISTINCT p_partkey // {A_FILE}) AS cells, count(*) * 2 AS numbers, CAST(max(p_size) AS INT) AS largest FROM part GROUP BY 1")
 def s04_workbook_cells(spark, d):
-    def cells(frames):
-        for frame in frames:
-            for name, content in zip(frame["name"], frame["content"], strict=True):
-                yield pd.DataFrame([(name, *c) for c in S.workbook_cells(content)], columns=["file", "sheet", "row", "col", "value", "ctype"])
-
-    rows = packed(spark, d, "xlsx", workbook).mapInPandas(cells, "file string, sheet string, row int, col int, value string, ctype string")
-    return rows.groupBy("file").agg(F.count("*").alias("cells"), F.count_if(F.col("ctype") == "n").alias("numbers"), F.max(F.when((F.col("col") == 3) & (F.col("ctype") == "n"), F.col("value").cast("int"))).alias("largest"))
+    cells = S.cells_of(packed(spark, d, "xlsx", workbook))
+    return cells.groupBy(F.split_part("file", F.lit("-"), F.lit(1)).alias("file")).agg(F.count("*").alias("cells"), F.count_if(F.col("ctype") == "n").alias("numbers"), F.max(F.when((F.col("col") == 3) & (F.col("ctype") == "n"), F.col("value").cast("int"))).alias("largest"))
 
 
 @query("SELECT p_type, count(*) AS n FROM part GROUP BY 1")
@@ -118,8 +113,9 @@ def s08_event_log(spark, d):
 
 @query("SELECT 'm' || (o_custkey % 40) AS manifest_name, 's' || o_custkey AS code, 'u' || o_orderkey AS url FROM orders")
 def s09_manifest_files(spark, d):
-    files = given(spark, d, "SELECT concat('m', o_custkey % 40) AS m, concat('s', o_custkey) AS code, concat('u', o_orderkey) AS url FROM {orders}").groupBy("m", "code").agg(F.collect_list(F.struct("url")).alias("files"))
-    whole = files.groupBy("m").agg(F.collect_list(F.struct("code", "files")).alias("sources")).select(F.struct(F.col("m").alias("name")).alias("manifest"), "sources")
+    # a manifest holds the files of few customers
+    files = given(spark, d, "SELECT concat('m', o_custkey % 40) AS m, floor(o_custkey / 1000) AS block, concat('s', o_custkey) AS code, concat('u', o_orderkey) AS url FROM {orders}").groupBy("m", "block", "code").agg(F.collect_list(F.struct("url")).alias("files"))
+    whole = files.groupBy("m", "block").agg(F.collect_list(F.struct("code", "files")).alias("sources")).select(F.struct(F.col("m").alias("name")).alias("manifest"), "sources")
     path = folder(spark, "manifests")
     whole.write.json(path)
     return S.manifest_files(spark.read.schema(S.MANIFEST).json(path)).select("manifest_name", "code", "url")
@@ -174,7 +170,14 @@ def s13_crawl(spark, d):
     return S.crawl(given(spark, d, PAGES))
 
 
-@query(None)
+LISTED = {
+    "customer": "c_custkey:bigint c_name:string c_nationkey:int c_acctbal:double c_mktsegment:string",
+    "orders": "o_orderkey:bigint o_custkey:bigint o_orderstatus:string o_totalprice:double o_orderdate:timestamp_ntz o_orderpriority:string",
+    "part": "p_partkey:bigint p_name:string p_brand:string p_type:string p_size:int p_retailprice:double",
+}
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{t}', '{n}', '{kind}', {k})" for t, names in LISTED.items() for k, (n, kind) in enumerate((x.split(":") for x in names.split()), 1)) + ") t(\"table\", \"column\", type, position)")
 def s14_listed_columns(spark, d):
     return S.listed_columns({t: given(spark, d, f"SELECT * FROM {{{t}}}") for t in ("part", "orders", "customer")})
 
@@ -182,15 +185,23 @@ def s14_listed_columns(spark, d):
 @query("SELECT 'r' || c_custkey AS code, 'c' || c_nationkey AS \"column\", c_mktsegment AS description FROM customer")
 def s15_registry_columns(spark, d):
     columns = F.create_map(F.concat(F.lit("c"), "c_nationkey"), F.col("c_mktsegment"))
-    rows = given(spark, d, "SELECT c_custkey, c_nationkey, c_mktsegment FROM {customer}").select(F.concat(F.lit("r"), "c_custkey").alias("code"), F.to_json(columns).alias("j"))
-    return rows.select("code", F.explode(F.from_json("j", "map<string,string>")).alias("column", "description"))
+    rows = given(spark, d, "SELECT c_custkey, c_nationkey, c_mktsegment FROM {customer}").select(F.concat(F.lit("r"), "c_custkey").alias("code"), F.to_json(columns).alias("columns"))
+    return S.registry_columns(rows)
+
+
+SHORT_MONTH = "substr('janfebmaraprmayjunjulaugsepoctnovdec', {0} % 12 * 3 + 1, 3)"
 
 
-@query(None)
+@query(f"""WITH p AS (SELECT page_id, url, {SITE} AS site, rtrim(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/') AS path FROM pages),
+l AS (SELECT page_id, page_id % 4 < 3 AS by_file, true AS file, CAST((page_id + k) % 12 + 1 AS INT) AS m, 2021 AS y, site || '/files/data-' || {SHORT_MONTH.format('(page_id + k)')} || '-2021.csv' AS link FROM p, (VALUES (0), (1)) v(k)
+UNION ALL SELECT page_id, page_id % 4 < 3, false, CAST((page_id + k) % 12 + 1 AS INT), 2019, site || path || '/' || {SHORT_MONTH.format('(page_id + k)')} || '-2019' FROM p, (VALUES (1), (2), (3)) v(k) WHERE k <= page_id % 4)
+SELECT page_id, format('{{:04d}}-{{:02d}}', y, m) AS code, CAST(y * 100 + m AS INT) AS sort_key, link FROM l WHERE file = by_file""")
 def p12_landing_page_periods(spark, d):
-    # through explode the long expression is worked out once, not once for each field
-    rows = given(spark, d, FILES).select("url", F.explode(F.array(periods.period_of(F.col("url")))).alias("p")).select("url", "p.*").where("code is not null")
-    return rows.groupBy("code").agg(F.max_by("url", F.struct("sort_key", "url")).alias("url"))
+    """Two files a page and up to three sub-pages, each named for a month."""
+    path = "regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/+$', '')"
+    files = ", ".join(f"concat('<a href=\"/files/data-', {SHORT_MONTH.format(f'(page_id + {k})')}, '-2021.csv\">')" for k in (0, 1))
+    pages = ", ".join(f"CASE WHEN {k} <= page_id % 4 THEN concat('<a href=\"', {path}, '/', {SHORT_MONTH.format(f'(page_id + {k})')}, '-2019\">') ELSE '' END" for k in (1, 2, 3))
+    return S.landing_periods(given(spark, d, f"SELECT page_id, url, concat({files}, {pages}) AS html FROM {{pages}}"))
 
 
 # --- the query API ---------------------------------------------------------------------------------------
@@ -207,7 +218,7 @@ def q02_metadata(spark, d):
     return api.metadata(given(spark, d, "SELECT * FROM {part}"), "part")
 
 
-@query(None)
+@query("""SELECT column_name, kind, n_rows FROM (VALUES ('o_orderkey', 'numeric'), ('o_custkey', 'numeric'), ('o_totalprice', 'numeric'), ('o_orderdate', 'date'), ('o_orderstatus', 'text'), ('o_orderpriority', 'text'), ('SELECT count(*) FROM data', 'suggestion'), ('SELECT sum(o_orderkey) FROM data', 'suggestion'), ('SELECT o_orderstatus, count(*) FROM data GROUP BY o_orderstatus', 'suggestion')) t(column_name, kind), (SELECT count(*) AS n_rows FROM orders)""")
 def q03_schema(spark, d):
     rows = given(spark, d, "SELECT * FROM {orders}")
     return api.schema(rows).crossJoin(rows.agg(F.count("*").alias("n_rows")))
@@ -223,7 +234,7 @@ def q04_ask_total(spark, d):
     return api.ask(given(spark, d, "SELECT p_size, p_type FROM {part}"), "What is the total size?")
 
 
-@query(None)
+@query(f"SELECT col AS \"column\", unit, aggregation, metric_type FROM ({TOLD}) WHERE tbl = 't_3' AND is_measure")
 def q06_kpis(spark, d):
     return api.kpis(MD.rolled_up(meta(spark, d)), "t_3")
 
@@ -277,7 +288,8 @@ def t01_landing_ingest(spark, d):
     return spark.read.parquet(store).groupBy("period").agg(F.count("*").alias("n"))
 
 
-@query(None)
+@query("""WITH r AS (SELECT 'r' || (event_id % 97) AS run_id, count(*) FILTER (event_type = 'signup') AS started, count(*) FILTER (event_type = 'purchase') AS completed, count(*) FILTER (event_type = 'error') AS failed, max(ts) AS seen FROM events GROUP BY 1)
+SELECT run_id, CASE WHEN failed > 0 THEN 'FAILED' WHEN started > 0 AND completed + failed >= started THEN 'SUCCESS' ELSE 'INCOMPLETE' END AS status, started, completed, failed FROM r WHERE (started > 0 AND completed + failed >= started) OR seen + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events)""")
 def t03_run_states(spark, d):
     path, out = folder(spark, "t03"), folder(spark, "t03-out")
     rows = given(spark, d, "SELECT concat('r', event_id % 97) AS run_id, CAST(ts AS TIMESTAMP) AS ts, CASE event_type WHEN 'signup' THEN 'started' WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' ELSE 'other' END AS kind FROM {events}")

@@ -149,7 +149,7 @@ def meta(spark, d):
 N = ", ".join(f"'{x}'" for x in MD.NUMERIC)
 MEASURE = f"((regexp_matches(lower(col), '(^|_)({MD.MEASURES})$|^({MD.MEASURES})_') AND NOT regexp_matches(lower(col), '_id|_code|_key')) OR (data_type IN ({N}) AND NOT regexp_matches(lower(col), '_id|_code|_key|identifier') AND regexp_matches(lower(coalesce(description, '')), '{MD.MEASURES}')))"
 DIMENSION = f"(data_type IN ('DATE', 'TIMESTAMP') OR regexp_matches(lower(col), '{MD.TIMES}') OR regexp_matches(lower(col) || chr(10) || lower(coalesce(description, '')), '{MD.PLACES}|{MD.PEOPLE}') OR regexp_matches(lower(col), '{MD.KINDS}') OR regexp_matches(lower(col), '(_code|_name|_id)$'))"
-UNIT = "CASE WHEN regexp_matches(lower(coalesce(description, '')), 'percentage|percent|rate|proportion') THEN 'percentage' WHEN regexp_matches(lower(col) || chr(10) || lower(coalesce(description, '')), 'count|number of|total') THEN 'count' WHEN contains(col, 'week') THEN 'weeks' WHEN regexp_matches(lower(coalesce(description, '')), '£|gbp|pounds|cost|spend') THEN 'GBP' WHEN data_type IN ('INTEGER', 'BIGINT') THEN 'count' WHEN data_type IN ('NUMERIC', 'DECIMAL') THEN 'numeric' ELSE 'unknown' END"
+UNIT = "CASE WHEN regexp_matches(lower(coalesce(description, '')), 'percentage|percent|rate|proportion') THEN 'percentage' WHEN regexp_matches(lower(col) || chr(10) || lower(coalesce(description, '')), 'count|number of|total') THEN 'count' WHEN contains(lower(col), 'week') THEN 'weeks' WHEN regexp_matches(lower(col), 'days|time.*day|day.*time') THEN 'days' WHEN regexp_matches(lower(col), 'months|time.*month|month.*time') THEN 'months' WHEN regexp_matches(lower(col), 'years|time.*year|year.*time') THEN 'years' WHEN contains(lower(col), 'time') THEN 'time_period' WHEN regexp_matches(lower(coalesce(description, '')), '£|gbp|pounds|cost|spend') THEN 'GBP' WHEN data_type IN ('INTEGER', 'BIGINT') THEN 'count' WHEN data_type IN ('NUMERIC', 'DECIMAL') THEN 'numeric' ELSE 'unknown' END"
 
 
 @query(f"""SELECT tbl AS "table", col AS "column", data_type, description, {MEASURE} AS is_measure, {DIMENSION} AS is_dimension, {UNIT} AS unit, regexp_matches(lower(col || ' ' || coalesce(description, '')), '{MD.TARGETS}') AS has_target FROM ({META_SQL})""")
@@ -157,9 +157,26 @@ def d24_column_roles(spark, d):
     return MD.described(meta(spark, d)).select("table", "column", "data_type", "description", "is_measure", "is_dimension", "unit", "has_target")
 
 
-@query(None)
+TARGET = f"regexp_matches(lower(col || ' ' || coalesce(description, '')), '{MD.TARGETS}')"
+TOLD = f"""SELECT *, CASE WHEN unit IN ('percentage', 'rate') THEN 'weighted_average' WHEN unit = 'count' OR contains(lower(col), 'count') THEN 'sum' WHEN unit IN ('weeks', 'days', 'months', 'years') AND contains(lower(col), 'median') THEN 'median' ELSE 'average' END AS aggregation, CASE WHEN target THEN 'performance' ELSE 'intelligence' END AS metric_type
+FROM (SELECT tbl, col, {MEASURE} AS is_measure, {DIMENSION} AND NOT {MEASURE} AS is_dimension, {UNIT} AS unit, {TARGET} AS target FROM ({META_SQL}))"""
+
+
+def first_sql(pattern: str) -> str:
+    return f"min(replace(col, '_', ' ')) FILTER (is_dimension AND regexp_matches(lower(col), '{pattern}'))"
+
+
+@query(f"""WITH t AS (SELECT tbl, list({{'c': col, 'u': unit, 'a': aggregation, 'm': metric_type}} ORDER BY col, unit, aggregation, metric_type) FILTER (is_measure) AS k, list({{'c': col, 'n': n}} ORDER BY col) FILTER (is_dimension) AS g,
+ {first_sql('^provider')} AS provider, {first_sql(MD.TIMES)} AS timed, {first_sql(MD.PLACES)} AS place, {first_sql(MD.PEOPLE)} AS people, {', '.join(f"{first_sql(x)} AS lens_{x}" for x in MD.LENSES)} FROM ({TOLD}) JOIN (SELECT tbl, col, count(*) AS n FROM ({META_SQL}) GROUP BY ALL) USING (tbl, col) GROUP BY tbl),
+q AS (SELECT *, replace(k[1].c, '_', ' ') AS label FROM t)
+SELECT tbl AS "table", '[' || coalesce(array_to_string(list_transform(k, lambda x: '{{"column":"' || x.c || '","unit":"' || x.u || '","aggregation":"' || x.a || '","metric_type":"' || x.m || '"}}'), ','), '') || ']' AS kpis,
+ '[' || coalesce(array_to_string(list_transform(g, lambda x: '{{"column":"' || x.c || '","distinct_values":' || x.n || '}}'), ','), '') || ']' AS dimensions, CAST(coalesce(len(k), 0) AS INT) AS n_kpis, CAST(coalesce(len(g), 0) AS INT) AS n_dimensions,
+ concat_ws(',', {', '.join(f"CASE WHEN lens_{x} IS NOT NULL THEN '{x}' END" for x in MD.LENSES)}) AS lenses,
+ CASE WHEN provider IS NULL AND timed IS NULL THEN 'unknown' ELSE concat_ws('_', CASE WHEN provider IS NOT NULL THEN 'provider' END, CASE WHEN timed IS NOT NULL THEN 'periodic' END) END AS granularity,
+ concat_ws(' | ', CASE WHEN timed IS NOT NULL THEN label || ' trend over time' END, label || ' by ' || place, label || ' by ' || people, label || ' compared with ' || replace(k[2].c, '_', ' ')) AS typical_queries FROM q""")
 def a20_metadata_roll_up(spark, d):
-    return MD.rolled_up(meta(spark, d))
+    known = meta(spark, d).groupBy("table", "column").agg(F.count("*").alias("distinct_values"))
+    return MD.rolled_up(meta(spark, d), known)
 
 
 @query(f"""SELECT tbl AS "table", count(*) AS columns, count(*) FILTER (description IS NULL) AS no_description, count(*) FILTER (data_type IS NULL) AS no_type, count(*) FILTER (NOT ({DIMENSION} OR {MEASURE})) AS no_role,
@@ -202,7 +219,11 @@ def w07_export_by_prefix(spark, d):
     return E.exported_all({t: given(spark, d, f"SELECT * FROM {{{t}}}") for t in EXPORTED}, "pa", folder(spark, "w07")).select("code", "n_rows", "n_columns")
 
 
-@query(None)
+SECTIONS = (("Dimensions", 0), ("Measures", 1), ("Other", 2), ("System", 3))
+
+
+@query(f"""WITH r AS (SELECT tbl, col, CASE WHEN col LIKE '\\_%' ESCAPE '\\' THEN 3 WHEN {DIMENSION} THEN 0 WHEN {MEASURE} THEN 1 ELSE 2 END AS g, '#### `' || col || '` ✓' || chr(10) || '- ' || coalesce(description, '') || chr(10) || '- type: ' || coalesce(data_type, '?') AS line FROM ({META_SQL}))
+SELECT tbl AS "table", concat_ws(chr(10), '# ' || tbl, {', '.join(f"'### {t}' || chr(10) || string_agg(line, chr(10) ORDER BY col, line) FILTER (g = {k})" for t, k in SECTIONS)}) AS markdown FROM r GROUP BY tbl""")
 def w08_dictionaries(spark, d):
     return E.dictionaries(MD.described(meta(spark, d)).withColumn("confidence", F.lit(0.95)), "table")
 
@@ -214,6 +235,20 @@ def u03_export_verification(spark, d):
     return E.verification(rows, stored(spoilt, "u03"))
 
 
+@query("SELECT *, deleted = 1 AND spoilt = 2 AND untouched = 0 AS detected FROM (SELECT 1 AS deleted, 2 AS spoilt, 0 AS untouched FROM part WHERE p_partkey = (SELECT min(p_partkey) FROM part))")
+def u04_verifier_self_test(spark, d):
+    """Rows that the export check finds wrong after one row is deleted, after 9999 is added to one value, and in a true copy."""
+    rows = given(spark, d, "SELECT * FROM {part}")
+    least = F.broadcast(rows.agg(F.min("p_partkey").alias("least")))  # one row
+    marked = rows.join(least, F.col("p_partkey") == F.col("least"), "left")
+    cases = {"deleted": marked.where("least is null").drop("least"), "spoilt": marked.withColumn("p_size", F.col("p_size") + F.when(F.col("least").isNotNull(), 9999).otherwise(0)).drop("least"), "untouched": rows}
+    found = None
+    for name, case in cases.items():
+        one = E.differences(rows, stored(case, "u04")).agg(F.count("*").cast("int").alias(name))
+        found = one if found is None else found.crossJoin(one)  # of one row each
+    return found.withColumn("detected", (F.col("deleted") == 1) & (F.col("spoilt") == 2) & (F.col("untouched") == 0))
+
+
 @query(f"""SELECT domain, count(*) AS datasets, string_agg(code, ',' ORDER BY code) AS codes FROM (SELECT code, CASE WHEN regexp_matches(lower(code), 'widget|bolt') THEN 'Hardware' WHEN regexp_matches(lower(code), 'historic') THEN 'Archive' ELSE 'Other' END AS domain FROM ({plain(CODES)})) GROUP BY 1""")
 def w18_registry_by_domain(spark, d):
     rows = given(spark, d, CODES).withColumn("domain", names.domain(F.col("code"), [("widget|bolt", "Hardware"), ("historic", "Archive")]))

@@ -56,8 +56,9 @@ q AS (SELECT *, CASE WHEN w IN ({', '.join(f"'{x}'" for x in S.names.RESERVED_IN
 SELECT file, sheet, col, array_to_string(t, '|') AS headers, CASE WHEN k > 0 THEN q || '_' || k ELSE q END AS name FROM q"""
 
 
-@query(f"""WITH m AS (SELECT DISTINCT file, sheet FROM ({SQL}) WHERE sheet = 'ECONOMY'), c AS ({SQL}), s AS (SELECT m.file, m.sheet, 3 AS row, unnest([4, 5, 6]) AS col FROM m)
-SELECT coalesce(c.file, s.file) AS file, coalesce(c.sheet, s.sheet) AS sheet, coalesce(c.row, s.row) AS row, coalesce(c.col, s.col) AS col, CASE WHEN s.file IS NOT NULL THEN coalesce((SELECT x.value FROM c x WHERE x.file = s.file AND x.sheet = s.sheet AND x.row = 3 AND x.col = 4), '') ELSE trim(c.value) END AS value, s.file IS NOT NULL AS is_merged
+@query(f"""WITH c AS MATERIALIZED ({SQL}), m AS (SELECT DISTINCT file, sheet FROM c WHERE sheet = 'ECONOMY'), x AS (SELECT m.file, m.sheet, coalesce(any_value(c.value), '') AS anchor FROM m LEFT JOIN c ON c.file = m.file AND c.sheet = m.sheet AND c.row = 3 AND c.col = 4 GROUP BY ALL),
+s AS (SELECT file, sheet, anchor, 3 AS row, unnest([4, 5, 6]) AS col FROM x)
+SELECT coalesce(c.file, s.file) AS file, coalesce(c.sheet, s.sheet) AS sheet, coalesce(c.row, s.row) AS row, coalesce(c.col, s.col) AS col, CASE WHEN s.file IS NOT NULL THEN s.anchor ELSE trim(c.value) END AS value, s.file IS NOT NULL AS is_merged
 FROM c FULL JOIN s ON c.file = s.file AND c.sheet = s.sheet AND c.row = s.row AND c.col = s.col""")
 def c01_merged_cells(spark, d):
     all_cells = cells(spark, d)
@@ -65,8 +66,11 @@ def c01_merged_cells(spark, d):
     return S.resolved(all_cells, merges).drop("ctype")
 
 
-@query(f"""WITH c AS ({SQL}), z AS (SELECT file, sheet, max(row) AS max_row, max(col) AS max_col, max(lower(value)) FILTER (row = 1 AND col = 1) AS a1 FROM c GROUP BY ALL), r AS (SELECT file, sheet, row, count(*) AS n FROM c WHERE row <= 29 AND col <= 19 GROUP BY ALL), k AS (SELECT file, sheet, count(*) FILTER (n >= 3) AS multi, count(*) FILTER (n = 1) AS single FROM r GROUP BY ALL)
-SELECT z.file, z.sheet, CASE WHEN max_row < 2 OR max_col < 2 THEN 'EMPTY' WHEN multi >= 3 THEN 'TABULAR' WHEN regexp_matches(a1, '{S.ABOUT}') AND multi < 2 THEN 'METADATA' WHEN single > 2 * multi AND multi < 3 THEN 'METADATA' WHEN multi >= 2 THEN 'TABULAR' ELSE 'METADATA' END AS kind FROM z JOIN k ON z.file = k.file AND z.sheet = k.sheet""")
+KINDS = f"""WITH c AS ({SQL}), z AS (SELECT file, sheet, max(row) AS max_row, max(col) AS max_col, max(lower(value)) FILTER (row = 1 AND col = 1) AS a1 FROM c GROUP BY ALL), r AS (SELECT file, sheet, row, count(*) AS n FROM c WHERE row <= 29 AND col <= 19 GROUP BY ALL), k AS (SELECT file, sheet, count(*) FILTER (n >= 3) AS multi, count(*) FILTER (n = 1) AS single FROM r GROUP BY ALL)
+SELECT z.file, z.sheet, CASE WHEN max_row < 2 OR max_col < 2 THEN 'EMPTY' WHEN multi >= 3 THEN 'TABULAR' WHEN regexp_matches(a1, '{S.ABOUT}') AND multi < 2 THEN 'METADATA' WHEN single > 2 * multi AND multi < 3 THEN 'METADATA' WHEN multi >= 2 THEN 'TABULAR' ELSE 'METADATA' END AS kind, max_row, max_col FROM z JOIN k ON z.file = k.file AND z.sheet = k.sheet"""
+
+
+@query(f"SELECT file, sheet, kind FROM ({KINDS})")
 def c02_sheet_kinds(spark, d):
     return S.sheet_kinds(cells(spark, d)).select("file", "sheet", "kind")
 
@@ -108,21 +112,36 @@ def c07_id_columns(spark, d):
     return S.id_columns(c, ends, S.column_names(c, starts))
 
 
-@query(None)
+NUMBER = "CASE WHEN NOT regexp_matches(value, ' - | to ') THEN try_cast(regexp_replace(value, '[,£$%]', '', 'g') AS DOUBLE) END"
+
+
+@query(f"""WITH e AS MATERIALIZED ({ENDS}), n AS MATERIALIZED ({NAMES}), v AS (SELECT c.*, lower(trim(value)) IN ({MARKS}) AS marked, {NUMBER} AS number FROM ({SQL}) c JOIN e ON c.file = e.file AND c.sheet = e.sheet WHERE c.row BETWEEN e.data_start AND e.data_end),
+o AS (SELECT *, number = floor(number) AS whole, NOT marked AND row_number() OVER (PARTITION BY file, sheet, col, marked ORDER BY row) <= 25 AS sample, row_number() OVER (PARTITION BY file, sheet, col ORDER BY row) AS k FROM v),
+g AS (SELECT file, sheet, col, bool_or(ctype IN ('n', 'd')) AS has_n, bool_or(ctype = 's') AS has_s, coalesce(bool_or(ctype = 'n' AND NOT whole), false) AS has_fraction, bool_or(marked AND k <= 100) AS has_mark, count(*) FILTER (sample) AS sampled, count(number) FILTER (sample) AS numeric,
+ count(*) FILTER (sample AND whole) AS wholes, max(number) FILTER (sample) AS most, max(length(value)) FILTER (sample) AS longest FROM o GROUP BY ALL)
+SELECT n.file, n.sheet, n.col, n.name, CASE WHEN has_n AND has_s THEN 'VARCHAR(255)' WHEN has_n AND has_fraction THEN 'DOUBLE PRECISION' WHEN has_mark OR regexp_matches(name, 'date|month|year|quarter|period|name|description|category|group|trust|type') THEN 'VARCHAR(255)' WHEN regexp_matches(name, 'code|org|ics|nhse') THEN 'VARCHAR(20)'
+ WHEN wholes > 0.7 * sampled AND wholes = numeric THEN CASE WHEN most > 2147483647 THEN 'BIGINT' ELSE 'INTEGER' END WHEN numeric > 0.7 * sampled AND regexp_matches(name, 'percent|rate') THEN 'NUMERIC(10,4)' WHEN numeric > 0.7 * sampled AND regexp_matches(name, '000|cost|budget') THEN 'NUMERIC(18,2)'
+ WHEN numeric > 0.7 * sampled THEN 'DOUBLE PRECISION' WHEN coalesce(longest, 0) <= 100 THEN 'VARCHAR(255)' ELSE 'TEXT' END AS stored_type FROM n LEFT JOIN g ON n.file = g.file AND n.sheet = g.sheet AND n.col = g.col""")
 def c08_c09_column_types(spark, d):
     c, starts, ends = extents(spark, d)
     return S.column_types(c, ends, S.column_names(c, starts))
 
 
-@query(f"""WITH e AS MATERIALIZED ({ENDS}), v AS (SELECT c.*, row_number() OVER (PARTITION BY c.file, c.sheet ORDER BY c.row) AS k FROM ({SQL}) c JOIN e ON c.file = e.file AND c.sheet = e.sheet WHERE c.row BETWEEN e.data_start AND e.data_end AND c.col = 1),
+FIRST = f"""WITH e AS MATERIALIZED ({ENDS}), v AS (SELECT c.*, row_number() OVER (PARTITION BY c.file, c.sheet ORDER BY c.row) AS k FROM ({SQL}) c JOIN e ON c.file = e.file AND c.sheet = e.sheet WHERE c.row BETWEEN e.data_start AND e.data_end AND c.col = 1),
 s AS (SELECT file, sheet, avg(CASE WHEN regexp_matches(trim(value), '^[A-Z0-9]{{2,5}}$') THEN 1 ELSE 0 END) AS org FROM v WHERE k <= 10 GROUP BY ALL)
-SELECT e.file, e.sheet, CASE WHEN org IS NULL THEN 'UNKNOWN' WHEN org > 0.5 THEN 'ORG_CODE' ELSE 'CATEGORY' END AS first_column FROM e LEFT JOIN s ON e.file = s.file AND e.sheet = s.sheet""")
+SELECT e.file, e.sheet, CASE WHEN org IS NULL THEN 'UNKNOWN' WHEN org > 0.5 THEN 'ORG_CODE' ELSE 'CATEGORY' END AS first_column FROM e LEFT JOIN s ON e.file = s.file AND e.sheet = s.sheet"""
+
+
+@query(FIRST)
 def c10_first_column(spark, d):
     c, _, ends = extents(spark, d)
     return S.first_column_kinds(c, ends)
 
 
-@query(f"""WITH s AS MATERIALIZED ({STARTS}) SELECT s.file, s.sheet, CASE WHEN count(DISTINCT c.col) >= 3 THEN 'HORIZONTAL' ELSE 'VERTICAL' END AS orientation FROM s LEFT JOIN ({SQL}) c ON c.file = s.file AND c.sheet = s.sheet AND c.row BETWEEN first_header AND last_header AND c.col BETWEEN 3 AND 14 AND regexp_matches(c.value, '^\\d{{4}}[-/]\\d{{2,4}}$') GROUP BY s.file, s.sheet""")
+ORIENTED = f"""WITH s AS MATERIALIZED ({STARTS}) SELECT s.file, s.sheet, CASE WHEN count(DISTINCT c.col) >= 3 THEN 'HORIZONTAL' ELSE 'VERTICAL' END AS orientation FROM s LEFT JOIN ({SQL}) c ON c.file = s.file AND c.sheet = s.sheet AND c.row BETWEEN first_header AND last_header AND c.col BETWEEN 3 AND 14 AND regexp_matches(c.value, '^\\d{{4}}[-/]\\d{{2,4}}$') GROUP BY s.file, s.sheet"""
+
+
+@query(ORIENTED)
 def c11_orientation(spark, d):
     c, starts, _ = extents(spark, d)
     return S.orientations(c, starts)
@@ -144,6 +163,8 @@ def c13_preview(spark, d):
     return S.preview(c, ends, S.column_names(c, starts))
 
 
-@query(None)
+@query(f"""WITH e AS MATERIALIZED ({ENDS}), z AS MATERIALIZED ({KINDS}), f AS MATERIALIZED ({FIRST}), o AS MATERIALIZED ({ORIENTED}), n AS (SELECT file, sheet, count(*) AS n_columns FROM ({NAMES}) GROUP BY ALL)
+SELECT z.file, z.sheet, CASE WHEN kind = 'TABULAR' AND first_header IS NULL THEN 'UNRECOGNISED' ELSE kind END AS kind, max_row, max_col, first_header, last_header, data_start, data_end, first_column, orientation, n_columns, kind = 'TABULAR' AND first_header IS NOT NULL AS is_valid, CAST(data_end - data_start + 1 AS INT) AS n_rows
+FROM z LEFT JOIN e ON z.file = e.file AND z.sheet = e.sheet LEFT JOIN f ON z.file = f.file AND z.sheet = f.sheet LEFT JOIN o ON z.file = o.file AND z.sheet = o.sheet LEFT JOIN n ON z.file = n.file AND z.sheet = n.sheet""")
 def c15_structures(spark, d):
     return S.structures(cells(spark, d)).withColumn("n_rows", F.col("n_rows").cast("int"))
