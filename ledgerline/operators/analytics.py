@@ -67,12 +67,50 @@ def snapshot_comparison(df: DataFrame, snapshot: str, band: str, value: str, now
     return both.withColumns({"change": F.col("now") - F.col("then"), "growth_pct": F.round(F.try_divide((F.col("now") - F.col("then")) * 100, F.col("then")), 1), "share_now": F.round(share["now"], 1), "share_change": F.round(share["now"] - share["then"], 1)})
 
 
+def counted_ranks(df: DataFrame, by: str, value: str, ranges: int = 256) -> DataFrame:
+    """by, value, n (rows), smaller (rows of the group below the value, nulls first) and total (rows of the group), for each distinct value.
+
+    A group's values are counted by range, so that no task sorts a whole group: the ranges lie between approximate
+    quantiles, which decide where the work is done and not what is found.
+    """
+    counted = df.groupBy(by, value).agg(F.count("*").alias("n"))
+    marks = [k / ranges for k in range(1, ranges)]
+    groups = counted.groupBy(by).agg(F.percentile_approx(value, marks, 4 * ranges).alias("_marks"), F.sum("n").alias("total")).withColumnRenamed(by, "_by")
+    placed = counted.join(groups, F.col(by).eqNullSafe(F.col("_by")))
+    below = F.filter(F.coalesce("_marks", F.array()), lambda m: m < F.col(value))
+    placed = placed.withColumn("_range", F.size(below)).drop("_by", "_marks")
+    ordered = Window.partitionBy(by).orderBy("_range")  # a row for each range
+    sizes = placed.groupBy(by, "_range").agg(F.sum("n").alias("_in"))
+    sizes = sizes.select(F.col(by).alias("_by"), F.col("_range").alias("_r"), (F.sum("_in").over(ordered) - F.col("_in")).alias("_before"))
+    up_to = F.sum("n").over(Window.partitionBy(by, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    within = placed.withColumn("smaller", up_to - F.col("n"))
+    joined = within.join(sizes, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_range") == F.col("_r")))
+    return joined.select(by, value, "n", (F.col("smaller") + F.col("_before")).alias("smaller"), "total")
+
+
 def benchmark(df: DataFrame, region: str, value: str) -> DataFrame:
     """Each row's value against its region and all: averages, percentile and rank."""
-    own = Window.partitionBy(region)
-    overall = df.agg(F.avg(value).alias("overall_avg"))
-    placed = df.withColumns({"region_avg": F.avg(value).over(own), "percentile": F.percent_rank().over(own.orderBy(value)), "place": F.rank().over(own.orderBy(F.desc(value)))})
-    return placed.crossJoin(F.broadcast(overall))
+    averages = df.groupBy(region).agg(F.avg(value).alias("region_avg")).withColumnRenamed(region, "_region")
+    percentile = F.coalesce(F.try_divide(F.col("smaller"), F.col("total") - 1), F.lit(0.0))
+    ranks = counted_ranks(df, region, value).select(F.col(region).alias("_r"), F.col(value).alias("_v"), percentile.alias("percentile"), (F.col("total") - F.col("smaller") - F.col("n") + 1).alias("place"))
+    placed = df.join(ranks, F.col(region).eqNullSafe(F.col("_r")) & F.col(value).eqNullSafe(F.col("_v")))
+    placed = placed.join(averages, F.col(region).eqNullSafe(F.col("_region"))).drop("_r", "_v", "_region")
+    return placed.crossJoin(F.broadcast(df.agg(F.avg(value).alias("overall_avg"))))
+
+
+def quantiles(df: DataFrame, by: str, value: str, wanted: dict[str, float]) -> DataFrame:
+    """by and for each name its exact quantile, between the two nearest values in proportion; nulls don't count."""
+    ranks = counted_ranks(df.where(F.col(value).isNotNull()), by, value)
+
+    def at(position: Column) -> Column:
+        return F.max(F.when(F.col("smaller") <= position, F.col(value)))
+
+    found = {}
+    for name, q in wanted.items():
+        place = (F.col("total") - 1) * q
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        found[name] = low + (high - low) * F.max(place - F.floor(place))
+    return ranks.groupBy(by).agg(*[c.alias(n) for n, c in found.items()])
 
 
 def profile(df: DataFrame, columns: list[str] | None = None, approximate: bool = False) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -66,27 +66,51 @@ def where_equal(df: DataFrame, filters: dict[str, object]) -> tuple[DataFrame, l
     return reduce(lambda x, item: x.where(F.col(item[0]) == item[1]), known.items(), df), sorted(set(filters) - set(known))
 
 
+#: Groups of columns that a preview shows whole, without and with a look for a sequence; a larger preview's size.
+WHOLE, WHOLE_UNPATTERNED, PREVIEW = 50, 75, 30
+
+
 def sampled_columns(columns: DataFrame, by: list[str], name: str, position: str) -> DataFrame:
-    """Of each group's columns a preview: all of 50, else ids, and the first, middle and last of each other kind."""
+    """A preview of each group's columns, with their `kind` and the group's `strategy`.
+
+    full: all, of up to 50 columns, or up to 75 without a sequence. sequence: of the sequence that begins first, its first,
+    middle and last column, and all others. strata: ids, then the first, middle and last of each other kind, 30 at most.
+    """
     low = F.lower(name)
-    kind = (
-        F.when(low.rlike("_id|_code") & ~low.rlike("diagnosis"), "ids")
-        .when(low.rlike("_date|_time"), "dates")
-        .when(low.rlike("_name|_description"), "names")
-        .when(low.rlike("_count|_total|_percentage|_score|_number"), "measures")
-        .when(low.rlike("diagnosis_|procedure_|medication_"), "codes")
-        .otherwise("other")
-    )
-    group, each = Window.partitionBy(*by), Window.partitionBy(*by, "kind")
-    ranked = columns.withColumn("kind", kind).withColumns({"all": F.count("*").over(group), "n": F.count("*").over(each), "k": F.row_number().over(each.orderBy(position))})
-    middle = F.floor(F.col("n") / 2) + 1
-    keep = (F.col("all") <= 50) | (F.col("kind") == "ids") | (F.col("n") <= 2) | (F.col("k") == 1) | (F.col("k") == middle) | (F.col("k") == F.col("n"))
-    return ranked.where(keep).drop("all", "n", "k")
+    kinds = {
+        "ids": low.rlike("_id|_code") & ~low.rlike("diagnosis"),
+        "dates": low.rlike("_date|_time"),
+        "names": low.rlike("_name|_description"),
+        "measures": low.rlike("_count|_total|_percentage|_score|_number"),
+        "codes": low.rlike("diagnosis_|procedure_|medication_"),
+    }
+    kind, rank = F.lit("other"), F.lit(len(kinds))
+    for number, (label, fits) in reversed(list(enumerate(kinds.items()))):
+        kind, rank = F.when(fits, label).otherwise(kind), F.when(fits, number).otherwise(rank)
+    sequences = sequential_groups(columns, by, name).select(*by, "prefix", F.lit(True).alias("_found"))
+    group = Window.partitionBy(*by)  # the columns of one table
+    rows = columns.withColumns({"kind": kind, "_rank": rank, "prefix": numbered_prefix(name)}).join(sequences, [*by, "prefix"], "left")
+    first = F.min(F.when(F.col("_found"), F.struct(F.col(position).alias("at"), "prefix"))).over(group)["prefix"]
+    rows = rows.withColumns({"_first": first, "_all": F.count("*").over(group)})
+    rows = rows.withColumns({
+        "_part": F.when(F.col("_first").isNull(), F.col("kind")).otherwise((F.col("prefix") == F.col("_first")).cast("string")),
+        "strategy": F.when((F.col("_all") <= WHOLE) | ((F.col("_all") <= WHOLE_UNPATTERNED) & F.col("_first").isNull()), "full").when(F.col("_first").isNotNull(), "sequence").otherwise("strata"),
+    })
+    part = Window.partitionBy(*by, "_part")
+    rows = rows.withColumns({"_n": F.count("*").over(part), "_k": F.row_number().over(part.orderBy(position))})
+    spread = (F.col("_n") <= 2) | F.col("_k").isin(1, F.col("_n")) | (F.col("_k") == F.floor(F.col("_n") / 2) + 1)
+    whole = (F.col("strategy") == "full") | ((F.col("strategy") == "sequence") & (F.col("_part") == "false")) | ((F.col("strategy") == "strata") & (F.col("kind") == "ids"))
+    kept = rows.where(whole | spread).withColumn("_place", F.row_number().over(group.orderBy("_rank", position)))
+    return kept.where((F.col("strategy") != "strata") | (F.col("_place") <= PREVIEW)).select(*columns.columns, "kind", "strategy")
+
+
+def numbered_prefix(name: str) -> Column:
+    return F.regexp_extract(name, "(?i)^([a-z_]+?)_*([0-9]+)", 1)
 
 
 def sequential_groups(columns: DataFrame, by: list[str], name: str) -> DataFrame:
     """Prefixes that at least ten numbered columns of a group share, with over 70 % of steps of at most two, in numeric order."""
-    prefix = F.regexp_extract(name, "(?i)^([a-z_]+?)_*([0-9]+)", 1)
+    prefix = numbered_prefix(name)
     number = F.regexp_extract(name, "(?i)^([a-z_]+?)_*([0-9]+)", 2).try_cast("long")
     rows = columns.select(*by, name, prefix.alias("prefix"), number.alias("number")).where("prefix <> ''")
     step = F.lead("number").over(Window.partitionBy(*by, "prefix").orderBy("number", name)) - F.col("number")

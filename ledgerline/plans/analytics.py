@@ -167,12 +167,23 @@ def r10_first_of_month(spark, d):
 NUMBERED = "SELECT concat(source, '_', doc_id % 60) AS name, lang FROM {documents} GROUP BY source, lang, doc_id % 60 UNION ALL SELECT concat(p_brand, '_id'), 'pt' FROM {part} GROUP BY p_brand UNION ALL SELECT concat(replace(p_name, ' ', '_'), '_count'), 'pt' FROM {part} GROUP BY p_name"
 
 
+#: Besides numbered columns, a table of part names and one of 75 columns without a sequence.
+SAMPLED = NUMBERED + " UNION ALL SELECT concat(replace(p_name, ' ', '_'), CASE p_size % 5 WHEN 0 THEN '_date' WHEN 1 THEN '_name' WHEN 2 THEN '_score' ELSE '' END), 'parts' FROM {part} GROUP BY 1 UNION ALL SELECT concat('diagnosis_', translate(n_name, '0123456789', 'abcdefghij'), k), 'nations' FROM {nation}, (SELECT '_x' AS k UNION ALL SELECT '_date' UNION ALL SELECT '_id')"
+
+
 @query(f"""WITH k AS (SELECT lang, name, CASE WHEN regexp_matches(lower(name), '_id|_code') AND NOT contains(lower(name), 'diagnosis') THEN 'ids' WHEN regexp_matches(lower(name), '_date|_time') THEN 'dates' WHEN regexp_matches(lower(name), '_name|_description') THEN 'names'
- WHEN regexp_matches(lower(name), '_count|_total|_percentage|_score|_number') THEN 'measures' WHEN regexp_matches(lower(name), 'diagnosis_|procedure_|medication_') THEN 'codes' ELSE 'other' END AS kind FROM ({plain(NUMBERED)})),
- r AS (SELECT *, count(*) OVER (PARTITION BY lang) AS a, count(*) OVER (PARTITION BY lang, kind) AS n, row_number() OVER (PARTITION BY lang, kind ORDER BY name) AS k FROM k)
-SELECT lang, name, kind FROM r WHERE a <= 50 OR kind = 'ids' OR n <= 2 OR k IN (1, n // 2 + 1, n)""")
+ WHEN regexp_matches(lower(name), '_count|_total|_percentage|_score|_number') THEN 'measures' WHEN regexp_matches(lower(name), 'diagnosis_|procedure_|medication_') THEN 'codes' ELSE 'other' END AS kind,
+ regexp_extract(name, '(?i)^([a-z_]+?)_*([0-9]+)', 1) AS prefix, try_cast(regexp_extract(name, '(?i)^([a-z_]+?)_*([0-9]+)', 2) AS BIGINT) AS number FROM ({plain(SAMPLED)})),
+ s AS (SELECT *, lead(number) OVER (PARTITION BY lang, prefix ORDER BY number, name) - number AS step FROM k WHERE prefix <> ''),
+ p AS (SELECT lang, prefix AS pattern FROM (SELECT lang, prefix, min(name) AS first FROM s GROUP BY ALL HAVING count(*) >= 10 AND count(*) FILTER (step <= 2) > 0.7 * count(step)) QUALIFY row_number() OVER (PARTITION BY lang ORDER BY first) = 1),
+ c AS (SELECT k.*, pattern IS NOT NULL AS patterned, coalesce(prefix = pattern, false) AS member, count(*) OVER (PARTITION BY lang) AS a FROM k LEFT JOIN p USING (lang)),
+ r AS (SELECT *, CASE WHEN a <= 50 OR (a <= 75 AND NOT patterned) THEN 'full' WHEN patterned THEN 'sequence' ELSE 'strata' END AS strategy,
+  CASE WHEN patterned THEN member::VARCHAR ELSE kind END AS part, count(*) OVER (PARTITION BY lang, part) AS n, row_number() OVER (PARTITION BY lang, part ORDER BY name) AS k FROM c),
+ t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY list_position(['ids', 'dates', 'names', 'measures', 'codes', 'other'], kind), name) AS place FROM r
+  WHERE strategy = 'full' OR (strategy = 'sequence' AND NOT member) OR (strategy = 'strata' AND kind = 'ids') OR n <= 2 OR k IN (1, n // 2 + 1, n))
+SELECT lang, name, kind, strategy FROM t WHERE strategy <> 'strata' OR place <= 30""")
 def r14_sampled_columns(spark, d):
-    return R.sampled_columns(given(spark, d, NUMBERED), ["lang"], "name", "name")
+    return R.sampled_columns(given(spark, d, SAMPLED), ["lang"], "name", "name")
 
 
 @query(f"""WITH p AS (SELECT lang, name, regexp_extract(name, '(?i)^([a-z_]+?)_*([0-9]+)', 1) AS prefix, try_cast(regexp_extract(name, '(?i)^([a-z_]+?)_*([0-9]+)', 2) AS BIGINT) AS number FROM ({plain(NUMBERED)})),
@@ -261,7 +272,9 @@ def a34_metric_by_dimension(spark, d):
 
 @query("SELECT event_type, count(*) AS calls, round(avg(value), 4) AS mean, median(value) AS middle, quantile_cont(value, 0.95) AS p95 FROM events WHERE event_type <> 'error' GROUP BY 1")
 def a38_latency(spark, d):
-    return given(spark, d, "SELECT event_type, value FROM {events} WHERE event_type <> 'error'").groupBy("event_type").agg(F.count("*").alias("calls"), F.round(F.avg("value"), 4).alias("mean"), F.percentile("value", F.lit(0.5)).alias("middle"), F.percentile("value", F.lit(0.95)).alias("p95"))
+    calls = given(spark, d, "SELECT event_type, value FROM {events} WHERE event_type <> 'error'")
+    means = calls.groupBy("event_type").agg(F.count("*").alias("calls"), F.round(F.avg("value"), 4).alias("mean"))
+    return means.join(A.quantiles(calls, "event_type", "value", {"middle": 0.5, "p95": 0.95}), "event_type", "left")
 
 
 @query("""SELECT s_suppkey, s_nationkey, s_acctbal, round(avg(s_acctbal) OVER (PARTITION BY s_nationkey), 4) AS region_avg, percent_rank() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal) AS percentile, rank() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC) AS place, round(avg(s_acctbal) OVER (), 4) AS overall_avg FROM supplier""")

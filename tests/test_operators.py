@@ -10,6 +10,7 @@ from ledgerline.operators import analytics, export, load, match, metadata, ops,
 from ledgerline.plans import api
 from ledgerline.sources import files
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def values(spark, given, expression):
@@ -290,3 +291,46 @@ def test_unknown_registry_codes_are_refused(spark):
     assert [tuple(r) for r in registry_columns(rows, "a").collect()] == [("a", "x", "first")]
     with pytest.raises(ValueError):
         registry_columns(rows, "b")
+
+
+def test_ranks_are_those_of_windows(spark):
+    rows = [(i, None if i % 11 == 0 else f"r{i % 3}", None if i % 7 == 0 else float(i * i % 40)) for i in range(200)]
+    rows += [(1000, "alone", 5.0), (1001, "empty", None)] + [(2000 + i, "same", 1.0) for i in range(50)]
+    given = spark.createDataFrame(rows, "id int, region string, v double")
+    own = Window.partitionBy("region")
+    want = given.select("id", F.avg("v").over(own).alias("a"), F.percent_rank().over(own.orderBy("v")).alias("p"), F.rank().over(own.orderBy(F.desc("v"))).alias("k"))
+    got = analytics.benchmark(given, "region", "v").select("id", "region_avg", "percentile", "place")
+    rounded = [sorted((r[0], None if r[1] is None else round(r[1], 9), round(r[2], 12), r[3]) for r in x.collect()) for x in (got, want)]
+    assert rounded[0] == rounded[1]
+    for ranges in (2, 5):
+        ranks = analytics.counted_ranks(given.where("region = 'r1'"), "region", "v", ranges)
+        values = [r[2] for r in rows if r[1] == "r1"]
+        low = {v: sum(1 for x in values if x is None or (v is not None and x < v)) for v in set(values)}
+        low[None] = 0
+        assert {r["v"]: (r["n"], r["smaller"], r["total"]) for r in ranks.collect()} == {v: (values.count(v), n, len(values)) for v, n in low.items()}
+
+
+def test_quantiles(spark):
+    rows = [(k, None if i % 9 == 0 else float(i * 37 % 101)) for k, n in (("a", 100), ("b", 3), ("c", 1)) for i in range(n)] + [("d", 2.5)]
+    given = spark.createDataFrame(rows, "k string, v double")
+    want = given.where("v is not null").groupBy("k").agg(F.percentile("v", F.lit(0.5)).alias("m"), F.percentile("v", F.lit(0.95)).alias("p"))
+    got = analytics.quantiles(given, "k", "v", {"m": 0.5, "p": 0.95})
+    assert {r["k"]: tuple(r)[1:] for r in got.collect()} == {r["k"]: pytest.approx(tuple(r)[1:]) for r in want.collect()}
+
+
+def test_previews_of_columns(spark):
+    tables = {
+        "small": [f"week_{i}" for i in range(50)],
+        "sequence": ["code", "name"] + [f"week_{i}_{i + 1}" for i in range(60)] + [f"later_{i}" for i in range(20)],
+        "medium": [f"x{'abcde'[i % 5]}{'abcdefghijklmno'[i // 5]}y" for i in range(75)],
+        "large": [f"{'abcdefgh'[i % 8]}{'abcdefghijklm'[i // 8]}{s}" for i, s in enumerate((["_id"] * 20 + ["_date"] * 20 + ["_name"] * 20 + ["_count"] * 20 + [""] * 24))],
+    }
+    rows = [(t, n, i) for t, names in tables.items() for i, n in enumerate(names)]
+    got = reshape.sampled_columns(spark.createDataFrame(rows, "t string, c string, i int"), ["t"], "c", "i").orderBy("t", "i").collect()
+    kept = {t: [r["c"] for r in got if r["t"] == t] for t in tables}
+    large = tables["large"]
+    assert kept["small"] == tables["small"] and kept["medium"] == tables["medium"]
+    assert kept["sequence"] == ["code", "name", "week_0_1", "week_30_31", "week_59_60"] + [f"later_{i}" for i in range(20)]
+    # 20 ids, three dates, three names, three measures, and one of the rest
+    assert kept["large"] == large[:20] + [large[i] for i in (20, 30, 39, 40, 50, 59, 60, 70, 79, 80)]
+    assert {r["t"]: r["strategy"] for r in got} == {"small": "full", "sequence": "sequence", "medium": "full", "large": "strata"}
