@@ -24,7 +24,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_templates.filtered(table(spark, sf_dir, "pages"))
+    return url_templates.filtered(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_index.scanned(table(spark, sf_dir, "documents"))
+    return license_index.scanned(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
