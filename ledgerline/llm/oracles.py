@@ -81,4 +81,64 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_b
  greatest(coalesce(share, 0), CASE WHEN n_base > 0 THEN 0.5 ELSE 0 END)::DOUBLE AS score FROM d LEFT JOIN base USING (r) LEFT JOIN method USING (r)
 """
 
-ORACLES: dict[str, str] = {"op2_quality_rules": OP2, "op4_url_filters": OP4, "op10_license_scans": OP10}
+def edit(before: str, letter: str, cost: str, line: str = "''") -> str:
+    """A way through the rest of a conversation, `before`, with one more edit in front."""
+    return f"{{'cost': {before}.cost + {cost}, 'audit': {letter} || {before}.audit, 'lines': {line} || {before}.lines}}"
+
+
+def line(role: str) -> str:
+    return f"chr(10) || {role} || ':' || text"
+
+
+TURNED = [edit(f"v[{state}]", f"CASE initial WHEN '{initial}' THEN 'K' ELSE 'R' END", f"extra + CASE initial WHEN '{initial}' THEN 0 ELSE 3 END", line(f"CASE initial WHEN '{initial}' THEN role ELSE '{role}' END")) for state, initial, role in ((3, "u", "user"), (4, "a", "assistant"))]
+GONE = [edit(f"v[{state}]", "'D'", "4") for state in (1, 2, 3, 4)]
+CHOICES = [f"[{gone}] || CASE WHEN must_go THEN [] ELSE [{turned}] END" for gone, turned in zip(GONE, (TURNED[0], TURNED[0], TURNED[1], TURNED[0]), strict=True)]
+CHOICES[0] += f" || CASE WHEN initial = 's' AND NOT must_go THEN [{edit('v[2]', chr(39) + 'K' + chr(39), 'extra', line('role'))}] ELSE [] END"
+ADDED = {state: edit(f"b[{state}]", "'I'", "3", f"chr(10) || '{role}:'") for state, role in ((3, "user"), (4, "assistant"))}
+OP11 = rf"""
+WITH RECURSIVE remainders AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([i], range(8)), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END) AS v FROM range(256) x(i))),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+c AS (SELECT k.*, xor(list_reduce(list_concat([4294967295], list_transform(string_split(key, ''), lambda x: ascii(x))), lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295) % 20 AS kind FROM k, remainders),
+convs AS (SELECT conv_id, row_number() OVER () AS g FROM (SELECT DISTINCT conv_id FROM conversations)),
+d AS (SELECT g, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+ FROM c JOIN convs ON c.conv_id IS NOT DISTINCT FROM convs.conv_id),
+o AS (SELECT *, row_number() OVER (PARTITION BY g, role, text ORDER BY i) AS time FROM (SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM d)),
+f AS (SELECT *, NOT regexp_matches(text, '{WORD}') AS blank, time > 1 AND regexp_matches(text, '{WORD}') AS duplicate, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AND time = 1 AND regexp_matches(text, '{WORD}') AS truncated,
+ i > 1 AND initial || lag(initial) OVER (PARTITION BY g ORDER BY i) NOT IN ('us', 'au', 'ua') AS illegal FROM o),
+m AS (SELECT g, count(f.g) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(duplicate) AS duplicate, count_if(truncated) AS truncated, count_if(illegal) AS illegal FROM convs LEFT JOIN f USING (g) GROUP BY g),
+w AS (SELECT g, n AS i, [{{'cost': 0, 'audit': '', 'lines': ''}}, {{'cost': 6, 'audit': 'II', 'lines': chr(10) || 'user:' || chr(10) || 'assistant:'}}, {{'cost': 3, 'audit': 'I', 'lines': chr(10) || 'assistant:'}}, {{'cost': 0, 'audit': '', 'lines': ''}}] AS v FROM m
+ UNION ALL SELECT g, i - 1, [list_min([b[1], {edit('u', "'I'", '3', "chr(10) || 'user:'")}]), list_min([b[2], {edit('u', "'I'", '3', "chr(10) || 'user:'")}]), u, list_min([b[4], {ADDED[3]}])]
+ FROM (SELECT g, i, b, list_min([b[3], {ADDED[4].replace("'user:'", "'assistant:'")}]) AS u FROM (SELECT w.g, w.i, [{', '.join(f'list_min({x})' for x in CHOICES)}] AS b
+ FROM w JOIN (SELECT *, blank OR duplicate AS must_go, CASE WHEN truncated THEN 3 ELSE 0 END AS extra FROM f) f ON f.g = w.g AND f.i = w.i)))
+SELECT conv_id, CAST(gaps AS BIGINT) AS gaps, CAST(blank AS BIGINT) AS blank, CAST(duplicate AS BIGINT) AS duplicate, CAST(truncated AS BIGINT) AS truncated, CAST(illegal AS BIGINT) AS illegal, CAST(v[1].cost AS BIGINT) AS cost, v[1].audit AS audit, sha256(substr(v[1].lines, 2)) AS repaired_sha256
+FROM w JOIN m USING (g) JOIN convs USING (g) WHERE i = 0
+"""
+
+OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+w AS (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM d),
+k AS (SELECT r, i, md5(array_to_string(words[i:i + 34], ' ')) AS key FROM w),
+again AS (SELECT key FROM k GROUP BY key HAVING count(*) > 1),
+starts AS (SELECT r, list(i) AS spots FROM k JOIN again USING (key) GROUP BY r),
+p AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d),
+s AS (SELECT DISTINCT r, unnest(spots) AS i, true AS start FROM starts),
+c AS (SELECT p.r, p.i, word, max(CASE WHEN start THEN p.i END) OVER (PARTITION BY p.r ORDER BY p.i) AS last FROM p LEFT JOIN s ON s.r = p.r AND s.i = p.i),
+t AS (SELECT r, count_if(last IS NOT NULL AND i < last + 35) AS n_removed, string_agg(CASE WHEN last IS NULL OR i >= last + 35 THEN word END, ' ' ORDER BY i) AS kept FROM c GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN t USING (r)
+"""
+
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+s AS (SELECT count_if(len(terms) > 0) AS documents, CAST(sum(len(terms)) AS BIGINT) AS length FROM d),
+q AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+asked AS (SELECT q, term, count(*) AS times FROM (SELECT q, unnest(terms) AS term FROM q) GROUP BY ALL),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+w AS (SELECT q, term, times * CAST(floor(1000 * ln((2 * documents + 2) / (2 * df + 1))) AS BIGINT) AS weight FROM asked JOIN df USING (term), s),
+m AS (SELECT r, doc_id, 25 + (75 * len(terms) * documents) // length AS m FROM d, s WHERE len(terms) > 0),
+scored AS (SELECT q, r, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score FROM w JOIN tf USING (term) JOIN m USING (r) GROUP BY ALL),
+ranked AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scored JOIN m USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN q USING (q) WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op2_quality_rules": OP2, "op4_url_filters": OP4, "op10_license_scans": OP10, "op11_conversation_repair": OP11, "op12_substring_dedup": OP12, "op13_ranked_search": OP13}

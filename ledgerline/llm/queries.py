@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, license_index, line_quality, ogg, packing, pii, quality_crf, simhash, token_counts, url_templates
+from . import byte_bpe, conversations, license_index, line_quality, ogg, packing, pii, quality_crf, ranked_search, simhash, substrings, token_counts, url_templates
 from .common import table
 
 
@@ -52,8 +52,20 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_index.scanned(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("kept")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.searched(table(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_token_counts, op2_quality_rules, op3_simhash, op4_url_filters, op5_pii, op6_quality_classifier, op7_best_fit_packing, op8_media_columns, op9_byte_bpe, op10_license_scans)
+    own = (op1_token_counts, op2_quality_rules, op3_simhash, op4_url_filters, op5_pii, op6_quality_classifier, op7_best_fit_packing, op8_media_columns, op9_byte_bpe, op10_license_scans, op11_conversation_repair, op12_substring_dedup, op13_ranked_search)
     return {f.__name__: f for f in own}
 
 
