@@ -282,8 +282,8 @@ def t02_event_windows(spark, d):
 def t01_landing_ingest(spark, d):
     landing, store, ledger = (folder(spark, f"t01-{n}") for n in ("in", "store", "ledger"))
     rows = given(spark, d, "SELECT o_orderkey, o_custkey, concat(year(o_orderdate), '-', substr(concat('0', month(o_orderdate)), -2, 2)) AS period FROM {orders}")
-    rows.write.parquet(landing)
-    stream = spark.readStream.schema(rows.schema).parquet(landing)
+    rows.repartition(3).write.parquet(landing)  # files that share their periods
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landing)
     M.ingested(stream, store, ledger, folder(spark, "t01-state"))
     return spark.read.parquet(store).groupBy("period").agg(F.count("*").alias("n"))
 
@@ -297,3 +297,34 @@ def t03_run_states(spark, d):
     stream = spark.readStream.schema(rows.schema).parquet(path)
     M.run_states(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", folder(spark, "t03-state")).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out)
+
+
+RUNS = "SELECT concat('r', event_id % 97) AS run_id, CAST(ts AS TIMESTAMP) AS ts, CASE event_type WHEN 'signup' THEN 'started' WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' ELSE 'other' END AS kind FROM {events}"
+
+
+@query("""WITH e AS (SELECT 'r' || (event_id % 97) AS run_id, ts, event_type FROM events),
+b AS (SELECT *, coalesce(ts >= lag(ts) OVER (PARTITION BY run_id ORDER BY ts) + INTERVAL 8 HOUR, true) AS breaks FROM e),
+s AS (SELECT *, sum(CASE WHEN breaks THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM b),
+r AS (SELECT run_id, min(ts) AS began, max(ts) AS seen, count(*) FILTER (event_type = 'signup') AS started, count(*) FILTER (event_type = 'purchase') AS completed, count(*) FILTER (event_type = 'error') AS failed FROM s GROUP BY run_id, n)
+SELECT run_id, began, CASE WHEN failed > 0 THEN 'FAILED' WHEN started > 0 AND completed >= started THEN 'SUCCESS' ELSE 'INCOMPLETE' END AS status, started, completed, failed FROM r WHERE seen + INTERVAL 8 HOUR <= (SELECT max(ts) FROM events)""")
+def t03_run_sessions(spark, d):
+    """Sessions of runs in Spark's state; those that the watermark, here the newest event, hasn't passed are still open."""
+    path, out = folder(spark, "t03s"), folder(spark, "t03s-out")
+    rows = given(spark, d, RUNS)
+    rows.write.parquet(path)
+    stream = spark.readStream.schema(rows.schema).parquet(path)
+    M.run_sessions(stream, "8 hours").writeStream.format("parquet").option("path", out).option("checkpointLocation", folder(spark, "t03s-state")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).withColumn("began", F.col("began").cast("timestamp_ntz"))
+
+
+@query("SELECT date_trunc('day', ts) AS starts, event_type, count(*) AS events, count(*) FILTER (event_type = 'error') AS errors, round(count(*) FILTER (event_type = 'error') / count(*), 4) AS error_rate FROM events GROUP BY ALL")
+def t02_closed_windows(spark, d):
+    """The windows of a month's log that comes in thirds: those closed and, at its end, those still open."""
+    path, out, late, state = (folder(spark, f"t02-{n}") for n in ("log", "out", "late", "state"))
+    rows = given(spark, d, LOG)
+    for days in ("day(ts) < 11", "day(ts) between 11 and 20", "day(ts) > 20"):  # files are taken by age
+        rows.where(days).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    M.closed_windows(stream, out, late, state, folder(spark, "t02-checkpoint"), late="12 days")
+    both = spark.read.parquet(out).drop("batch").unionByName(M.open_windows(spark, state))
+    return both.withColumn("starts", F.col("starts").cast("timestamp_ntz"))
