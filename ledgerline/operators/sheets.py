@@ -20,15 +20,35 @@ ID = "code|name|region|ics|nhse|org|group|month|year|quarter|period|area|breakdo
 SHEET_MARKERS = clean.MARKERS[:13]
 
 
-def resolved(cells: DataFrame, merges: DataFrame) -> DataFrame:
-    """Every cell of a merged range with the anchor's text; merges have file, sheet, first_row, last_row, first_col, last_col.
+#: Rows of a sheet that share a bin.
+BIN = 512
+#: Rows of a merged range, and columns of its first row, that are opened though the sheet holds nothing in them.
+BLANK = 64
+
 
-    Ranges are opened into their cells, so that cells and ranges meet by equality.
+def spread(cells: DataFrame, merges: DataFrame) -> DataFrame:
+    """(file, sheet, row, col, anchor_row, anchor_col) of what merged ranges cover up to the sheet's last row and column in use (the first row
+    up to BLANK columns at least): the first BLANK rows, and of later ones those that hold a cell. So a range costs rows in proportion to what
+    the sheet holds. Ranges meet the sheet's rows by the bins they touch.
     """
-    at = merges.select(*SHEET, "first_row", "first_col", F.explode(F.sequence("first_row", "last_row")).alias("row"), "last_col").select(*SHEET, "first_row", "first_col", "row", F.explode(F.sequence("first_col", "last_col")).alias("col"))
-    anchor = cells.select(*SHEET, F.col("row").alias("first_row"), F.col("col").alias("first_col"), F.col("value").alias("anchor_value"), F.col("ctype").alias("anchor_type"))
-    spread = at.join(anchor, [*SHEET, "first_row", "first_col"], "left").select(*SHEET, "row", "col", "anchor_value", "anchor_type", F.lit(True).alias("is_merged"))
-    out = cells.join(spread, [*SHEET, "row", "col"], "full")
+    used = cells.groupBy(*SHEET, "row").agg(F.max("col").alias("far"))
+    box = used.groupBy(*SHEET).agg(F.max("row").alias("max_row"), F.max("far").alias("max_col"))
+    until, near = F.greatest("first_row", F.least("last_row", "max_row")), F.least("until", F.col("first_row") + (BLANK - 1))
+    ranges = merges.join(box, SHEET, "left").withColumn("until", until).withColumn("near", near)
+    binned = ranges.where("until > near").withColumn("bin", F.explode(F.sequence(F.floor(F.col("near") / BIN), F.floor(F.col("until") / BIN))))
+    rows = used.select(*SHEET, "row", F.floor(F.col("row") / BIN).alias("bin"))
+    later = binned.join(rows, [*SHEET, "bin"]).where("row > near and row <= until").drop("bin")
+    opened = ranges.withColumn("row", F.explode(F.sequence("first_row", "near"))).unionByName(later)
+    wide = F.when(F.col("row") == F.col("first_row"), F.greatest("max_col", F.col("first_col") + (BLANK - 1))).otherwise(F.col("max_col"))
+    opened = opened.withColumn("to_col", F.least("last_col", wide)).where("to_col >= first_col")
+    return opened.select(*SHEET, "row", F.explode(F.sequence("first_col", "to_col")).alias("col"), F.col("first_row").alias("anchor_row"), F.col("first_col").alias("anchor_col"))
+
+
+def resolved(cells: DataFrame, merges: DataFrame) -> DataFrame:
+    """Every cell, those of merged ranges with the anchor's text; merges have file, sheet, first_row, last_row, first_col, last_col."""
+    anchor = cells.select(*SHEET, F.col("row").alias("anchor_row"), F.col("col").alias("anchor_col"), F.col("value").alias("anchor_value"), F.col("ctype").alias("anchor_type"))
+    covered = spread(cells, merges).join(anchor, [*SHEET, "anchor_row", "anchor_col"], "left").select(*SHEET, "row", "col", "anchor_value", "anchor_type", F.lit(True).alias("is_merged"))
+    out = cells.join(covered, [*SHEET, "row", "col"], "full")
     text = F.trim(F.regexp_replace(F.coalesce(F.when(F.col("is_merged"), F.col("anchor_value")).otherwise(F.col("value")), F.lit("")), r"[\r\n]+", " "))
     return out.select(*SHEET, "row", "col", text.alias("value"), F.coalesce(F.when(F.col("is_merged"), F.col("anchor_type")).otherwise(F.col("ctype")), F.lit("s")).alias("ctype"), F.coalesce("is_merged", F.lit(False)).alias("is_merged"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import io
 import zipfile
 
@@ -9,7 +10,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ledgerline.operators import metadata as MD
+from ledgerline.operators import sheets
 from ledgerline.sources import files as S
+from ledgerline.sources import workbooks as W
 from ledgerline.streaming import monitor as M
 
 from . import api
@@ -74,24 +77,37 @@ def s03_zip_members(spark, d):
     return counted.groupBy(F.split_part("archive", F.lit("-"), F.lit(1)).alias("name")).agg(F.count("*").alias("members"), F.sum("n").alias("n_parts"))
 
 
+def plain_workbook(frame):
+    rows = [[int(k), n, int(z)] for k, n, z in frame[["p_partkey", "p_name", "p_size"]].itertuples(index=False)]
+    return W.workbook_bytes({"Data": ([["Part", "Name", "Size"], *rows], [])})
+
+
 def workbook(frame):
-    out = io.BytesIO()
-    cell = lambda at, v: f'<c r="{at}" t="inlineStr"><is><t>{v}</t></is></c>' if isinstance(v, str) else f'<c r="{at}"><v>{v}</v></c>'
-    rows = [("Part", "Name", "Size"), *frame[["p_partkey", "p_name", "p_size"]].itertuples(index=False)]
-    body = "".join(f'<row r="{i}">' + "".join(cell(f"{c}{i}", v if isinstance(v, str) else int(v)) for c, v in zip("ABC", r, strict=True)) + "</row>" for i, r in enumerate(rows, 1))
-    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-    with zipfile.ZipFile(out, "w") as z:
-        z.writestr("xl/workbook.xml", f'<workbook {ns}><sheets><sheet name="Data" sheetId="1"/></sheets></workbook>')
-        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData>{body}</sheetData></worksheet>")
-    return out.getvalue()
+    """Two sheets: parts below a heading merged over all columns, and a title merged over a whole sheet."""
+    rows = [[int(k), n, int(z), datetime.date(2024, 1, 1) + datetime.timedelta(days=int(z))] for k, n, z in frame[["p_partkey", "p_name", "p_size"]].itertuples(index=False)]
+    return W.workbook_bytes({"Data": ([[f"Parts of {frame['p_brand'].iloc[0]}"], ["Part", "Name", "Size", "Day"], *rows], ["A1:D1"]), "Notes": ([["All parts"]], ["A1:XFD1048576"])})
 
 
 @query(f"SELECT replace(p_brand, '#', '') AS file, count(*) * 3 + 3 * count(DISTINCT p_partkey // {A_FILE}) AS cells, count(*) * 2 AS numbers, CAST(max(p_size) AS INT) AS largest FROM part GROUP BY 1")
 def s04_workbook_cells(spark, d):
-    cells = S.cells_of(packed(spark, d, "xlsx", workbook))
+    cells = S.cells_of(packed(spark, d, "xlsx", plain_workbook))
     return cells.groupBy(F.split_part("file", F.lit("-"), F.lit(1)).alias("file")).agg(F.count("*").alias("cells"), F.count_if(F.col("ctype") == "n").alias("numbers"), F.max(F.when((F.col("col") == 3) & (F.col("ctype") == "n"), F.col("value").cast("int"))).alias("largest"))
 
 
+@query(f"""WITH p AS (SELECT replace(p_brand, '#', '') || '-' || (p_partkey // {A_FILE}) AS file, p_brand, p_partkey, p_name, p_size, CAST(row_number() OVER (PARTITION BY p_brand, p_partkey // {A_FILE} ORDER BY p_partkey) + 2 AS INT) AS row FROM part),
+f AS (SELECT DISTINCT file, p_brand FROM p)
+SELECT file, 'Data' AS sheet, 1 AS row, unnest([1, 2, 3, 4]) AS col, 'Parts of ' || p_brand AS value, 's' AS ctype, true AS is_merged FROM f
+UNION ALL SELECT file, 'Data', 2, unnest([1, 2, 3, 4]), unnest(['Part', 'Name', 'Size', 'Day']), 's', false FROM f
+UNION ALL SELECT file, 'Data', row, unnest([1, 2, 3, 4]), unnest([CAST(p_partkey AS VARCHAR), p_name, CAST(p_size AS VARCHAR), strftime(DATE '2024-01-01' + p_size, '%Y-%m-%d')]), unnest(['n', 's', 'n', 'd']), false FROM p
+UNION ALL SELECT file, 'Notes', 1, CAST(unnest(range(1, 65)) AS INT), 'All parts', 's', true FROM f""")
+def c01_workbook_merges(spark, d):
+    """Cells under the merged ranges that their workbooks have, one of them over a whole sheet."""
+    path = folder(spark, "contents")
+    W.contents_of(packed(spark, d, "xlsx", workbook)).write.parquet(path)  # each file is read once
+    contents = spark.read.parquet(path)
+    return sheets.resolved(contents.where("ctype <> 'm'").drop("last_row", "last_col"), W.merges_of(contents))
+
+
 @query("SELECT p_type, count(*) AS n FROM part GROUP BY 1")
 def s05_sql_over_dataset(spark, d):
     return S.as_view(given(spark, d, "SELECT * FROM {part}"), "SELECT p_type, count(*) AS n FROM {data} GROUP BY p_type")
@@ -125,14 +141,7 @@ def s09_manifest_files(spark, d):
 def s10_dictionary_columns(spark, d):
     text = F.concat(F.lit("# x\n## Purpose\nParts of a kind\n\n### Columns\n#### `col_"), F.col("p_size"), F.lit("`\n- **Description:** "), F.col("p_name"), F.lit("\n- **Type:** INTEGER\n- **Search terms:** a, b\n"))
     rows = given(spark, d, "SELECT p_partkey, p_name, p_size FROM {part}").select("p_partkey", text.alias("value"))
-    return _dictionary(rows)
-
-
-def _dictionary(rows):
-    parsed = S.dictionary_columns(rows)
-    keyed = rows.select("p_partkey", F.regexp_extract("value", "#### `([^`]+)`", 1).alias("c"), F.regexp_extract("value", r"Description:\*\* ([^\n]*)", 1).alias("t"))
-    distinct = parsed.select("column", "description").distinct()
-    return keyed.join(distinct, (F.col("c") == F.col("column")) & (F.col("t") == F.col("description"))).select("p_partkey", "column", "description")
+    return S.dictionary_columns(rows, keys=("p_partkey",)).select("p_partkey", "column", "description")
 
 
 PAGES = "SELECT page_id, url, concat(html, '<a href=\"/files/a', page_id % 7, '.xlsx\">x</a><a HREF=\"b', page_id, '.csv\">y</a>') AS html FROM {pages} WHERE page_id % 2 = 0 UNION ALL SELECT page_id, url, html FROM {pages} WHERE page_id % 2 = 1"

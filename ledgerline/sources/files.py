@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-import io
 import re
-import zipfile
 from collections.abc import Iterator
-from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.functions.names import sheet_name
 from ledgerline.functions.periods import period_of
+from ledgerline.sources.workbooks import MEMBERS, cells_of, members, read_cells
 
+__all__ = ["cells_of", "read_cells"]
 EXTENSIONS = (".xlsx", ".xls", ".zip", ".csv", ".ods")
-DATA_MEMBERS = (".csv", ".xlsx", ".xls")
 EVENT = "event_type string, timestamp timestamp, run_id string, level string, publication string, period string, stage string, message string, details map<string,string>"
 MANIFEST = "manifest struct<name:string,description:string,created_at:string>, sources array<struct<code:string,name:string,`table`:string,enabled:boolean,files:array<struct<url:string,period:string,mode:string,sheet:string,extract:string>>,columns:array<struct<name:string,original_name:string,description:string,data_type:string>>>>"
 
@@ -50,15 +48,12 @@ def inferred_types(df: DataFrame) -> DataFrame:
 def archive_members(files: DataFrame) -> DataFrame:
     """(archive, member, size, content) of the data members of archives (path, content); one member at a time is held."""
 
-    def members(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                with zipfile.ZipFile(io.BytesIO(row.content)) as archive:
-                    for info in archive.infolist():  # one member at a time is held
-                        if not info.is_dir() and info.filename.lower().endswith(DATA_MEMBERS):
-                            yield pd.DataFrame([(row.path, info.filename, info.file_size, archive.read(info))], columns=["archive", "member", "size", "content"])
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for path, content in zip(part["path"].to_pylist(), part["content"], strict=True):
+                yield from members(path, pa.BufferReader(content.as_buffer()))
 
-    return files.mapInPandas(members, "archive string, member string, size long, content binary")
+    return files.select("path", "content").mapInArrow(run, MEMBERS)
 
 
 def zip_members(spark: SparkSession, path: str) -> DataFrame:
@@ -75,60 +70,6 @@ def zip_member(spark: SparkSession, path: str, name: str) -> DataFrame:
     return out
 
 
-MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-
-
-def column_number(reference: str) -> int:
-    n = 0
-    for c in re.match("[A-Z]+", reference).group():
-        n = n * 26 + ord(c) - 64
-    return n
-
-
-def workbook_cells(content: bytes) -> Iterator[tuple[str, int, int, str, str]]:
-    """(sheet, row, col, value, ctype) of the filled cells of a workbook's bytes."""
-    with zipfile.ZipFile(io.BytesIO(content)) as book:
-        shared: list[str] = []
-        if "xl/sharedStrings.xml" in book.namelist():
-            shared = ["".join(t.text or "" for t in item.iter(f"{MAIN}t")) for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).iter(f"{MAIN}si")]
-        titles = [s.get("name") for s in ElementTree.fromstring(book.read("xl/workbook.xml")).iter(f"{MAIN}sheet")]
-        parts = sorted((n for n in book.namelist() if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)), key=lambda n: int(re.search(r"\d+", n).group()))
-        for title, part in zip(titles, parts, strict=True):
-            with book.open(part) as xml:
-                for _, cell in ElementTree.iterparse(xml):
-                    if cell.tag != f"{MAIN}c":
-                        continue
-                    value, kind = cell.find(f"{MAIN}v"), cell.get("t", "n")
-                    text = "".join(t.text or "" for t in cell.iter(f"{MAIN}t")) if kind == "inlineStr" else None if value is None else shared[int(value.text)] if kind == "s" else value.text
-                    if text:
-                        at = cell.get("r")
-                        yield title, int(re.search(r"\d+", at).group()), column_number(at), text, "n" if kind == "n" else "b" if kind == "b" else "s"
-                    cell.clear()
-
-
-def cells_of(files: DataFrame) -> DataFrame:
-    """The cells of workbooks (path, content), some thousands at a time."""
-
-    def cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["file", "sheet", "row", "col", "value", "ctype"]
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                held = []
-                for cell in workbook_cells(row.content):
-                    held.append((row.path, *cell))
-                    if len(held) == 50_000:
-                        yield pd.DataFrame(held, columns=names)
-                        held = []
-                yield pd.DataFrame(held, columns=names)
-
-    return files.mapInPandas(cells, "file string, sheet string, row int, col int, value string, ctype string")
-
-
-def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    """The cells of every sheet of every workbook in a folder, each file read once."""
-    return cells_of(spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", "content"))
-
-
 def as_view(df: DataFrame, sql: str) -> DataFrame:
     """The rows of `sql` over `df`, which it names {data}."""
     return df.sparkSession.sql(sql, data=df)
@@ -149,17 +90,17 @@ def read_manifests(spark: SparkSession, path: str) -> DataFrame:
     return manifest_files(spark.read.schema(MANIFEST).json(path, multiLine=True))
 
 
-def dictionary_columns(texts: DataFrame, text: str = "value") -> DataFrame:
-    """purpose, column, description, data_type and search terms of each column block of dictionary texts."""
+def dictionary_columns(texts: DataFrame, text: str = "value", keys: tuple[str, ...] = ()) -> DataFrame:
+    """The `keys` of the text, purpose, column, description, data_type and search terms of each column block of dictionary texts."""
     purpose = F.substring(F.trim(F.regexp_extract(text, r"(?s)## Purpose\s*\n(.*?)(?:\n#|\z)", 1)), 1, 500)
     blocks = F.regexp_extract_all(text, F.lit(r"(?s)(#### `[^`]+`.*?)(?=\n#### |\n### |\z)"), 1)
-    out = texts.select(purpose.alias("purpose"), F.explode(blocks).alias("b"))
+    out = texts.select(*keys, purpose.alias("purpose"), F.explode(blocks).alias("b"))
 
     def line(label: str) -> Column:
         return F.trim(F.regexp_extract("b", rf"(?i){label}:\**\s*([^\n]*)", 1))
 
     terms = F.transform(F.split(line("search terms"), ","), F.trim)
-    return out.select("purpose", F.regexp_extract("b", "#### `([^`]+)`", 1).alias("column"), line("description").alias("description"), line("type").alias("data_type"), F.filter(terms, lambda t: t != "").alias("search_terms"))
+    return out.select(*keys, "purpose", F.regexp_extract("b", "#### `([^`]+)`", 1).alias("column"), line("description").alias("description"), line("type").alias("data_type"), F.filter(terms, lambda t: t != "").alias("search_terms"), F.nullif(F.lower(line("role")), F.lit("")).alias("role"))
 
 
 def hrefs(pages: DataFrame) -> DataFrame:
