@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.functions import names, periods
-
-
-def first_by(df: DataFrame, key: list[str], *order: Column) -> DataFrame:
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_n = 1").drop("_n")
+from ledgerline.operators.analytics import latest_per_key
+from ledgerline.sources.tables import kept
 
 
 def fingerprints(columns: DataFrame, by: str, column: str) -> DataFrame:
@@ -47,12 +45,12 @@ def overlaps(draft: DataFrame, reference: DataFrame, least: float) -> DataFrame:
 def best_overlap(draft: DataFrame, reference: DataFrame, least: float = 0.7) -> DataFrame:
     """For each draft table the reference with the greatest part of its columns, if that is enough; the first by name of equals."""
     scored = overlaps(draft, reference, least).withColumn("score", F.col("shared") / F.col("n_draft"))
-    return first_by(scored.where(F.col("score") >= least), ["draft"], F.desc("score"), F.col("reference")).select("draft", "reference", "score")
+    return latest_per_key(scored.where(F.col("score") >= least), ["draft"], F.desc("score"), F.col("reference")).select("draft", "reference", "score")
 
 
 def best_jaccard(draft: DataFrame, reference: DataFrame, least: float = 0.8) -> DataFrame:
     scored = overlaps(draft, reference, least).withColumn("score", F.col("shared") / (F.col("n_draft") + F.col("n_reference") - F.col("shared")))
-    return first_by(scored.where(F.col("score") >= least), ["draft"], F.desc("score"), F.col("reference")).select("draft", "reference", "score")
+    return latest_per_key(scored.where(F.col("score") >= least), ["draft"], F.desc("score"), F.col("reference")).select("draft", "reference", "score")
 
 
 def forgiving(columns: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -64,34 +62,41 @@ def forgiving(columns: DataFrame, metadata: DataFrame) -> DataFrame:
     keys = F.array(n, F.concat(F.lit("~"), F.regexp_replace(n, bare, "")))
     known = metadata.select("name", "description", F.explode(F.array_distinct(keys)).alias("key"))
     asked = columns.select("column", F.explode(tries).alias("t")).select("column", "t.*")
-    hit = first_by(asked.join(known, "key"), ["column"], F.col("priority"), F.col("name"))
+    hit = latest_per_key(asked.join(known, "key"), ["column"], F.col("priority"), F.col("name"))
     return columns.select("column").distinct().join(hit.select("column", "name", "description", "priority"), "column", "left")
 
 
 def matched_columns(draft: DataFrame, reference: DataFrame, by: str = "source", least: float = 0.8) -> DataFrame:
     """(source, column, reference, score): equal names first, then the most similar unused reference, in draft order.
 
-    Equal names meet by a join, similar ones through letters that they share; the pairs of one source, a sheet's columns, are assigned in one task.
+    Equal names meet by a join, similar ones through letters that they share.
     """
     d = draft.select(by, "position", "column", names.matching_name(F.col("column")).alias("key"))
     r = reference.select(by, F.col("column").alias("reference"), names.matching_name(F.col("column")).alias("key"))
-    once = first_by(r, [by, "key"], F.col("reference"))
-    exact = first_by(d.join(once, [by, "key"]), [by, "key"], F.col("position")).select(by, "position", "column", "reference", F.lit(1.0).alias("score"))
-    kind = dict(draft.dtypes)[by]
+    once = latest_per_key(r, [by, "key"], F.col("reference"))
+    exact = latest_per_key(d.join(once, [by, "key"]), [by, "key"], F.col("position")).select(by, "position", "column", "reference", F.lit(1.0).alias("score"))
     left = d.join(exact.select(by, "position"), [by, "position"], "left_anti").select(by, "position", "column", "key")
     free = r.join(exact.select(by, "reference"), [by, "reference"], "left_anti").select(by, "reference", F.col("key").alias("other"))
-    scored = similar_names(left, free, by, least)
+    return exact.withColumn("position", F.col("position").cast("long")).unionByName(assigned(similar_names(left, free, by, least), by))
 
-    def assign(frame: pd.DataFrame) -> pd.DataFrame:
-        taken, rows = set(), []
-        for row in frame.sort_values(["position", "column", "score", "reference"], ascending=[True, True, False, True]).itertuples(index=False):
-            if (own := (row.position, row.column)) not in taken and row.reference not in taken:
-                taken |= {own, row.reference}
-                rows.append((getattr(row, by), row.position, row.column, row.reference, row.score))
-        return pd.DataFrame(rows, columns=[by, "position", "column", "reference", "score"])
 
-    fuzzy = scored.groupBy(by).applyInPandas(assign, f"{by} {kind}, position long, column string, reference string, score double")
-    return exact.withColumn("position", F.col("position").cast("long")).unionByName(fuzzy)
+def assigned(pairs: DataFrame, by: str) -> DataFrame:
+    """Of pairs (by, position, column, reference, score) those that are taken if each column in its turn takes its best unused reference.
+
+    By deferred acceptance, in rounds over all sources at once: every column proposes to the best reference it has left, and a reference keeps
+    the first column that proposed. No later one can have it any more, so that those pairs go. As all references prefer columns in the same order,
+    what remains when no pair goes is what the columns would take one after the other. Rounds are at most the columns of one source that vie.
+    """
+    own = [by, "position", "column"]
+    left = kept(pairs)
+    while True:
+        proposed = latest_per_key(left, own, F.desc("score"), F.col("reference"))
+        holds = latest_per_key(proposed, [by, "reference"], F.col("position"), F.col("column"))
+        holder = holds.select(by, "reference", F.struct("position", "column").alias("_holder"))
+        judged = kept(left.join(holder, [by, "reference"], "left").withColumn("_gone", F.coalesce(F.struct("position", "column") > F.col("_holder"), F.lit(False))))
+        if judged.where("_gone").isEmpty():
+            return holds
+        left = judged.where("not _gone").drop("_holder", "_gone")
 
 
 def similar_names(left: DataFrame, free: DataFrame, by: str, least: float) -> DataFrame:
@@ -106,10 +111,13 @@ def similar_names(left: DataFrame, free: DataFrame, by: str, least: float) -> Da
 
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+        matchers = (SequenceMatcher(None, x, y) for x, y in zip(a, b, strict=True))
+        return pd.Series([m.ratio() if m.quick_ratio() >= least else 0.0 for m in matchers], dtype="float64")
 
     mine, theirs = left.withColumn("part", F.explode(parts(F.col("key")))), free.withColumn("part", F.explode(parts(F.col("other"))))
     met = mine.join(theirs, [by, "part"]).where(2 * F.least(F.length("key"), F.length("other")) >= least * (F.length("key") + F.length("other"))).drop("part").distinct()
+    # few bytes and much work: as many tasks as a shuffle has, however small
+    met = met.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "other")
     return met.withColumn("score", ratio("key", "other")).where(F.col("score") >= least).select(by, F.col("position").cast("long").alias("position"), "column", "reference", "score")
 
 
@@ -125,7 +133,7 @@ def matched_sources(draft: DataFrame, reference: DataFrame) -> DataFrame:
     hits = tries[0]
     for t in tries[1:]:
         hits = hits.unionByName(t)
-    return first_by(hits, ["url"], F.col("priority"), F.col("code"))
+    return latest_per_key(hits, ["url"], F.col("priority"), F.col("code"))
 
 
 def reference_before(work: DataFrame, references: DataFrame, key: str, period: str) -> DataFrame:
@@ -152,7 +160,7 @@ def urls_by_period(urls: DataFrame, wanted: DataFrame) -> DataFrame:
     parts = urls.select("url", F.explode(F.regexp_extract_all("url", F.lit(pattern), 1)).alias("part")).select("url", F.lower("part").alias("part"))
     spellings = wanted.select("code", F.explode(F.transform(periods.month_spellings(F.col("code")), F.lower)).alias("part")).distinct()
     hits = parts.join(spellings, "part").select("code", "url").distinct()
-    return first_by(hits, ["code"], F.contains(F.lower("url"), F.lit("prov")), F.length("url"), F.col("url"))
+    return latest_per_key(hits, ["code"], F.contains(F.lower("url"), F.lit("prov")), F.length("url"), F.col("url"))
 
 
 def coverage(actual: DataFrame, tracked: DataFrame, by: str) -> DataFrame:

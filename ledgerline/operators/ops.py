@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerline.functions import periods
 
@@ -77,7 +76,3 @@ def metadata_audit(metadata: DataFrame, by: str, max_gaps: int = 3) -> DataFrame
     out = metadata.groupBy(by).agg(F.count("*").alias("columns"), *[F.count(F.when(c, 1)).alias(n) for n, c in gap.items()])
     gaps = F.col("no_description") + F.col("no_role")
     return out.withColumn("verdict", F.when(F.col("columns") == 0, "NO_METADATA").when(F.col("no_type") > 0, "ISSUES_FOUND").when(gaps > max_gaps, "WARNINGS").otherwise("OK"))
-
-
-def latest_first(df: DataFrame, key: list[str], *order: Column) -> DataFrame:
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_n = 1").drop("_n")

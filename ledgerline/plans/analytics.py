@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.operators import analytics as A
+from ledgerline.operators import profiles as PR
 from ledgerline.operators import reshape as R
 
 from .inputs import given, plain, total_sql
 from .registry import query
+from .shared import folder
 
 BANDS = ["urgent", "high", "medium", "unspecified", "low"]
 PRIORITY = dict(zip(BANDS, ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"], strict=True))
@@ -247,7 +249,22 @@ def a08_profile(spark, d):
     return A.profile(given(spark, d, "SELECT * FROM {part}"), PROFILED)
 
 
-@query("SELECT count(*) AS total_rows, 6 AS total_columns FROM customer CROSS JOIN (SELECT 1)".replace("6 AS", "5 AS"))
+BY_PERIOD = "SELECT o_orderkey, o_totalprice, o_orderpriority, CASE WHEN o_orderkey % 7 > 0 THEN o_custkey END AS customer, concat(year(o_orderdate), '-', month(o_orderdate)) AS period FROM {orders}"
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS column_name, count(*) AS total, count({c}) AS non_null, count(*) - count({c}) AS nulls, CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS most, true AS near FROM orders" for name, c in (("o_orderkey", "o_orderkey"), ("o_orderpriority", "o_orderpriority"), ("customer", "CASE WHEN o_orderkey % 7 > 0 THEN o_custkey END"))))
+def a08_period_profiles(spark, d):
+    """The profile of all periods from a stored row of sketches for each; near: the estimates lie within 5 % of the exact figures."""
+    rows = given(spark, d, BY_PERIOD)
+    path = folder(spark, "sketches")
+    PR.sketched(rows, "period").write.parquet(path)
+    told = PR.profile_of(spark.read.parquet(path)).where("column_name <> 'o_totalprice'")
+    exact = A.profile(rows.drop("period")).select("column_name", F.col("distinct_values").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.05 * F.col("exact") + 1
+    return told.join(exact, "column_name").select("column_name", "total", "non_null", "nulls", "least", "most", near.alias("near"))
+
+
+@query("SELECT count(*) AS total_rows, 5 AS total_columns FROM customer")
 def a09_dataset_stats(spark, d):
     rows = given(spark, d, "SELECT * FROM {customer}")
     return rows.agg(F.count("*").alias("total_rows")).withColumn("total_columns", F.lit(len(rows.columns)))

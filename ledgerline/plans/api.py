@@ -70,12 +70,40 @@ def discover(columns: DataFrame, keywords: list[str], most: int = 50) -> DataFra
 def metric(df: DataFrame, name: str, filters: dict[str, object], most: int = 100) -> DataFrame:
     """A metric with the columns that say when, where and who; unknown filters are skipped, an unknown metric is refused."""
     if name not in df.columns:
-        raise ValueError(f"no metric {name}; there are {', '.join(kinds(df)['numeric'])}")
+        raise ValueError(unknown_metric(df, name))
     rows, _ = where_equal(df, filters)
     context = [c for c in df.columns if c != name and re.search("date|period|age|geography|icb|provider|segment|type", c)]
     return rows.select(*context, name).orderBy(*context, name).limit(most)
 
 
+def unknown_metric(df: DataFrame, name: str) -> str:
+    alike = [c for c in df.columns if name.lower() in c.lower() or c.lower() in name.lower()]
+    return f"no metric {name}; {'like it are ' + ', '.join(alike[:5]) if alike else 'there are ' + ', '.join(kinds(df)['numeric'][:20])}"
+
+
+def metric_context(df: DataFrame, name: str, filters: dict[str, object], kpis: DataFrame, most: int = 100) -> DataFrame:
+    """One row on a metric: its label and unit as the measures (column, label, unit) tell them, rows before and after the filters, filters that
+    fit no column, whether `most` rows leave some out, and, if no row is left, the latest period that there is."""
+    if name not in df.columns:
+        raise ValueError(unknown_metric(df, name))
+    rows, skipped = where_equal(df, filters)
+    dated = next((c for c in df.columns if re.search("period|date", c.lower())), None)
+    before = df.agg(F.count("*").alias("total_rows"), (F.max(dated).cast("string") if dated else F.lit("unknown")).alias("_latest"))
+    after = rows.agg(F.count("*").alias("rows_found"))
+    told = kpis.where(F.col("column") == name).agg(F.min("label").alias("label"), F.min("unit").alias("unit"))
+    one = before.crossJoin(after).crossJoin(told)  # one row each
+    return one.select(
+        F.lit(name).alias("metric"),
+        F.coalesce("label", F.lit(name)).alias("label"),
+        F.coalesce("unit", F.lit("unknown")).alias("unit"),
+        "total_rows",
+        "rows_found",
+        F.lit(",".join(sorted(skipped))).alias("invalid_filters"),
+        (F.col("rows_found") > most).alias("truncated"),
+        F.when(F.col("rows_found") == 0, F.coalesce("_latest", F.lit("unknown"))).alias("latest_period"),
+    )
+
+
 def search_columns(columns: DataFrame, keyword: str, role: str | None = None, most: int = 100) -> DataFrame:
     text = F.lower(F.concat_ws(" ", "column", "description", "keywords"))
     rows = columns.where(F.contains(text, F.lit(keyword.lower())))

@@ -9,6 +9,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
+from ledgerline.operators import keywords as K
 from ledgerline.operators import metadata as MD
 from ledgerline.operators import sheets
 from ledgerline.sources import files as S
@@ -258,6 +259,79 @@ def q08_search_columns(spark, d):
     return api.search_columns(MD.described(meta(spark, d)).withColumn("keywords", F.lit("")), "region")
 
 
+@query("SELECT 'l_quantity' AS metric, 'Quantity of a line' AS label, 'items' AS unit, count(*) AS total_rows, count(*) FILTER (l_returnflag = 'R') AS rows_found, 'absent' AS invalid_filters, count(*) FILTER (l_returnflag = 'R') > 100 AS truncated, CASE WHEN count(*) FILTER (l_returnflag = 'R') = 0 THEN max(CAST(l_shipdate AS VARCHAR)) END AS latest_period FROM lineitem")
+def q07_metric_context(spark, d):
+    kpis = spark.createDataFrame([("l_quantity", "Quantity of a line", "items")], "`column` string, label string, unit string")
+    return api.metric_context(given(spark, d, "SELECT l_shipdate, l_returnflag, l_quantity FROM {lineitem}"), "l_quantity", {"l_returnflag": "R", "absent": 1}, kpis)
+
+
+@query("SELECT 'l_tax' AS metric, 'l_tax' AS label, 'unknown' AS unit, count(*) AS total_rows, CAST(0 AS BIGINT) AS rows_found, '' AS invalid_filters, false AS truncated, strftime(max(l_shipdate), '%Y-%m-%d') AS latest_period FROM lineitem")
+def q07_metric_missed(spark, d):
+    """A filter that leaves nothing: the answer names the latest period."""
+    kpis = spark.createDataFrame([("l_quantity", "Quantity of a line", "items")], "`column` string, label string, unit string")
+    return api.metric_context(given(spark, d, "SELECT CAST(l_shipdate AS DATE) AS l_shipdate, l_returnflag, l_tax FROM {lineitem}"), "l_tax", {"l_returnflag": "none"}, kpis)
+
+
+# --- the keyword index -----------------------------------------------------------------------------------
+
+
+def keyword_index(spark, d):
+    """The stored postings of all columns, tagged by the domain of their table."""
+    columns = meta(spark, d).withColumn("keywords", F.array(F.col("data_type")))
+    tags = columns.select("table").distinct().withColumn("tags", F.array(F.concat(F.lit("area-"), F.substring("table", 3, 1)), F.lit("All")))
+    path = folder(spark, "keywords")
+    K.postings(columns, tags).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+WORDS = "regexp_split_to_array(lower(concat_ws(' ', col, description, data_type)), '[^a-z0-9]+')"
+
+
+def found_sql(words):
+    return f"SELECT tbl, col FROM ({META_SQL}) GROUP BY tbl, col HAVING " + " AND ".join(f"bool_or(len(list_filter({WORDS}, lambda w: contains(w, '{w}'))) > 0)" for w in words)
+
+
+def answer_sql(words):
+    return f"""WITH f AS (SELECT tbl, count(*) AS hits FROM ({found_sql(words)}) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50), r AS (SELECT *, row_number() OVER (ORDER BY hits DESC, tbl) AS rank, count(*) OVER () AS found FROM f), n AS (SELECT tbl, count(DISTINCT col) AS n_columns FROM ({META_SQL}) GROUP BY 1)
+SELECT CASE WHEN found > 20 THEN 'narrow' ELSE 'datasets' END AS answer, CAST(found AS INT) AS found, CAST(rank AS INT) AS rank, tbl AS "table", hits, CASE WHEN found <= 20 THEN n_columns END AS n_columns FROM r JOIN n USING (tbl) WHERE found <= 20 OR rank <= 10"""
+
+
+def answered(spark, d, keywords):
+    details = meta(spark, d).groupBy("table").agg(F.count_distinct("column").alias("n_columns"))
+    return K.discovered(keyword_index(spark, d), keywords, details)
+
+
+@query(answer_sql(["build", "rate"]))
+def q05_datasets_found(spark, d):
+    """Datasets with a column that is told of in both words."""
+    return answered(spark, d, ["build rate"])
+
+
+@query(answer_sql(["region"]))
+def q05_narrow_down(spark, d):
+    return answered(spark, d, ["region"])
+
+
+@query(f"SELECT DISTINCT tbl AS \"table\", col AS \"column\" FROM ({found_sql(['target'])}) ORDER BY 1, 2 LIMIT 50")
+def q08_columns_by_index(spark, d):
+    columns = MD.described(meta(spark, d)).withColumn("role", F.when(F.col("is_measure"), "measure").when(F.col("is_dimension"), "dimension"))
+    one = columns.groupBy("table", "column").agg(F.min("description").alias("description"), F.min("data_type").alias("data_type"), F.min("role").alias("role"))
+    return K.searched(keyword_index(spark, d), "Target", one).select("table", "column")
+
+
+REGISTERED = "SELECT c_custkey, CASE WHEN c_custkey % 5 > 0 THEN c_mktsegment END AS domain, array(concat('n', c_nationkey), lower(c_mktsegment), 'all') AS tags FROM {customer}"
+
+
+@query("SELECT CASE WHEN c_custkey % 5 > 0 THEN c_mktsegment ELSE 'other' END AS domain, count(*) AS datasets FROM customer GROUP BY 1")
+def q08_domains(spark, d):
+    return K.domains(given(spark, d, REGISTERED))
+
+
+@query("SELECT tag, count(*) AS datasets FROM (SELECT unnest(['n' || c_nationkey, lower(c_mktsegment), 'all']) AS tag FROM customer) GROUP BY 1")
+def q08_all_tags(spark, d):
+    return K.all_tags(given(spark, d, REGISTERED))
+
+
 # --- streams ---------------------------------------------------------------------------------------------
 
 LOG = "SELECT CAST(ts AS TIMESTAMP) AS ts, event_type, CASE WHEN event_type = 'error' THEN 'error' ELSE 'info' END AS level FROM {events}"

@@ -9,6 +9,7 @@ from ledgerline.operators import analytics as A
 from ledgerline.operators import export as E
 from ledgerline.operators import metadata as MD
 from ledgerline.operators import ops as O
+from ledgerline.sources.tables import table
 
 from .inputs import CODES, given, plain
 from .loading import HISTORY_SQL, LEDGER_SQL, SOURCES, SOURCES_SQL, history, ledger
@@ -216,10 +217,47 @@ def w09_catalog(spark, d):
 
 @query("SELECT 'part' AS code, count(*) AS n_rows, 6 AS n_columns FROM part")
 def w07_export_by_prefix(spark, d):
-    return E.exported_all({t: given(spark, d, f"SELECT * FROM {{{t}}}") for t in EXPORTED}, "pa", folder(spark, "w07")).select("code", "n_rows", "n_columns")
+    return E.exported_all(spark, EXPORTED, lambda t: given(spark, d, f"SELECT * FROM {{{t}}}"), "pa", folder(spark, "w07")).select("code", "n_rows", "n_columns")
 
 
-SECTIONS = (("Dimensions", 0), ("Measures", 1), ("Other", 2), ("System", 3))
+@query("""SELECT 'customer' AS code, true AS success, count(*) AS n_rows, 5 AS n_columns, true AS sized, false AS failed FROM customer UNION ALL SELECT 'nowhere', false, 0, 0, false, true
+UNION ALL SELECT 'part', true, count(*), 6, true, false FROM part""")
+def w07_export_results(spark, d):
+    """Exports with their sizes, and one of a source that has no table."""
+    done = E.exported_all(spark, ["part", "customer", "nowhere"], lambda t: table(spark, d, t), "", folder(spark, "w07r"))
+    return done.select("code", "success", "n_rows", "n_columns", (F.col("size_bytes") > 0).alias("sized"), F.col("error").isNotNull().alias("failed"))
+
+
+@query("SELECT 'orders' AS code, count(*) AS n_rows, 6 AS n_columns, CAST(min(o_orderdate) AS DATE) AS min_date, CAST(max(o_orderdate) AS DATE) AS max_date, true AS sized FROM orders UNION ALL SELECT 'customer', count(*), 5, NULL, NULL, true FROM customer")
+def w09_sized_catalog(spark, d):
+    return E.sized_catalog(spark, {t: f"{d}/{t}.parquet" for t in ("orders", "customer")}).withColumn("sized", F.col("size_kb") > 0).drop("size_kb")
+
+
+@query(f"""WITH r AS (SELECT tbl, col, CASE WHEN {DIMENSION} THEN 0 WHEN {MEASURE} THEN 1 ELSE 2 END AS g, data_type, description, n FROM (SELECT tbl, col, min(data_type) AS data_type, min(description) AS description, count(*) AS n FROM ({META_SQL}) GROUP BY ALL)),
+l AS (SELECT *, '#### `' || col || '`' || chr(10) || '  ' || chr(10) || '**Type:** ' || coalesce(data_type, '?') || coalesce('  ' || chr(10) || '**Description:** ' || nullif(description, ''), '') || '  ' || chr(10) || '**Distinct Values:** ' || n || '  ' || chr(10) || '**Search Terms:** ' || replace(col, '_', ', ') || '  ' || chr(10) || '**Metadata Quality:** ~ enrichment (confidence: 0.85)' || chr(10) AS line FROM r)
+SELECT tbl AS "table", '# ' || tbl || chr(10) || chr(10) || '**Rows:** ' || sum(n) || chr(10) || '**Columns:** ' || count(*) || chr(10) || chr(10) || '## Purpose' || chr(10) || chr(10) || 'Columns of ' || tbl || chr(10) || chr(10) || '## Columns' || chr(10) || chr(10) ||
+ concat_ws(chr(10), {', '.join(f"'### {t}' || chr(10) || string_agg(line, chr(10) ORDER BY col) FILTER (g = {k})" for k, t in enumerate(("Dimensions", "Measures", "Other")))}) AS markdown FROM l GROUP BY tbl""")
+def w08_full_dictionaries(spark, d):
+    columns = meta(spark, d).groupBy("table", "column").agg(F.min("data_type").alias("data_type"), F.min("description").alias("description"), F.count("*").alias("distinct_values"))
+    told = MD.described(columns).withColumns({"original_name": F.col("column"), "least": F.lit(None).cast("string"), "most": F.lit(None).cast("string"), "null_rate": F.lit(None).cast("double"), "search_terms": F.split("column", "_"), "confidence": F.lit(0.85), "metadata_source": F.lit("enrichment")})
+    purposes = columns.groupBy("table").agg(F.sum("distinct_values").alias("n_rows")).withColumn("purpose", F.concat(F.lit("Columns of "), "table"))
+    return E.full_dictionaries(told, "table", purposes)
+
+
+@query(f"""SELECT DISTINCT 'd' || p_partkey % 50 AS code, 'error' AS level, 'section missing' AS finding, 'Search Terms:' AS detail FROM part WHERE p_partkey % 50 % 7 = 0
+UNION ALL SELECT DISTINCT 'd' || p_partkey % 50, 'error', 'documented column absent', 'c' || p_size FROM part WHERE p_size % 10 = 3
+UNION ALL SELECT DISTINCT 'd' || p_partkey % 50, 'warning', 'undocumented column', 'c' || p_size FROM part WHERE p_size % 10 = 4""")
+def u03_dictionary_findings(spark, d):
+    """Dictionaries that document a column too many where its number ends in 3, and one too few where it ends in 4."""
+    columns = given(spark, d, "SELECT DISTINCT concat('d', p_partkey % 50) AS code, p_partkey % 50 AS k, concat('c', p_size) AS `column`, p_size FROM {part}")
+    block = F.concat(F.lit("#### `"), "column", F.lit("`\n**Description:** x\n**Type:** INTEGER\n"), F.when(F.col("k") % 7 == 0, "").otherwise("**Search Terms:** y\n"))
+    blocks = columns.withColumn("block", F.when(F.col("p_size") % 10 != 4, block)).groupBy("code", "k").agg(F.array_join(F.array_sort(F.collect_list("block")), "\n").alias("blocks"))
+    head = F.concat(F.lit("# x\n## Columns\nType: Description: "), F.when(F.col("k") % 7 == 0, "\n").otherwise("Search Terms:\n"))
+    texts = blocks.select("code", F.concat(head, F.col("blocks")).alias("markdown"))
+    return E.dictionary_findings(texts, columns.where("p_size % 10 <> 3"))
+
+
+SECTIONS = tuple((t, k) for k, t in enumerate(E.TITLES))
 
 
 @query(f"""WITH r AS (SELECT tbl, col, CASE WHEN col LIKE '\\_%' ESCAPE '\\' THEN 3 WHEN {DIMENSION} THEN 0 WHEN {MEASURE} THEN 1 ELSE 2 END AS g, '#### `' || col || '` ✓' || chr(10) || '- ' || coalesce(description, '') || chr(10) || '- type: ' || coalesce(data_type, '?') AS line FROM ({META_SQL}))

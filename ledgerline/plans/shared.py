@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from ledgerline.sources.tables import shared_folder
+
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; one of our own only where that is unset and all runs on one machine, as in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="ledgerline-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder below spark.checkpoint.dir."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

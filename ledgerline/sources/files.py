@@ -99,7 +99,7 @@ def dictionary_columns(texts: DataFrame, text: str = "value", keys: tuple[str, .
     def line(label: str) -> Column:
         return F.trim(F.regexp_extract("b", rf"(?i){label}:\**\s*([^\n]*)", 1))
 
-    terms = F.transform(F.split(line("search terms"), ","), F.trim)
+    terms = F.transform(F.split(line("search terms"), ","), lambda t: F.trim(t))
     return out.select(*keys, "purpose", F.regexp_extract("b", "#### `([^`]+)`", 1).alias("column"), line("description").alias("description"), line("type").alias("data_type"), F.filter(terms, lambda t: t != "").alias("search_terms"), F.nullif(F.lower(line("role")), F.lit("")).alias("role"))
 
 
