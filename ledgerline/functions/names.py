@@ -60,10 +60,25 @@ def generic_name(name: Column) -> Column:
     return name.rlike("^col(umn)?_[0-9a-z]{1,2}$") | (F.length(name) < 3) | name.rlike("^[0-9]+$")
 
 
+# The dates of a code, in the order in which they must be taken out, and what stands in their place.
+CODE_DATES = (
+    (rf"(?i)_(?:{SHORT})\d{{2,4}}", ""),
+    (r"_?\d{4}[-_]\d{2}", ""),
+    (r"_?20\d{2}", ""),
+    (rf"(?i)_(?:{LONG})", ""),
+    (rf"(?i)_(?:{SHORT})", ""),
+    (r"(?i)_?q[1-4]", ""),
+    (r"_\d{2}(?=_|$)", ""),
+    (r"_0?[1-9](?=_|$)", ""),
+    (r"_1[0-2](?=_|$)", ""),
+    ("_+", "_"),
+    ("^_+|_+$", ""),
+)
+
+
 def undated_code(code: Column) -> Column:
     """A source code without its dates: month-year, ISO month, year, month names, quarter, then lone numbers."""
-    steps = [(rf"(?i)_({SHORT})\d{{2,4}}", ""), (r"_?\d{4}[-_]\d{2}", ""), (r"_?20\d{2}", ""), (rf"(?i)_({LONG})", ""), (rf"(?i)_({SHORT})", ""), (r"(?i)_?q[1-4]", ""), (r"_\d{2}(?=_|$)", ""), (r"_0?[1-9](?=_|$)", ""), (r"_1[0-2](?=_|$)", ""), ("_+", "_"), ("^_+|_+$", "")]
-    for pattern, by in steps:
+    for pattern, by in CODE_DATES:
         code = F.regexp_replace(code, pattern, by)
     return code
 
@@ -94,26 +109,25 @@ def base_pattern(path: Column) -> Column:
     return short_code(F.regexp_replace(F.regexp_replace(F.lower(path), rf"_({SHORT})_\d{{2,4}}", ""), r"_\d{4}", ""))
 
 
+# What of a file's name changes with its period, in the order in which it must be taken out, and what stands in its place.
+URL_PARTS = (
+    (r"(?i)\bOnline\s+Consultation\b", "OC"),
+    (rf"(?i)\b(?:{SHORT}|(?:{LONG})\s*)\d{{2,4}}\b", "PERIOD"),
+    (rf"(?i)\b(?:{LONG}|{SHORT})\b", "MONTH"),
+    (r"\b20\d{2}\b", "YEAR"),
+    (r"[-_\s]MONTH[-_\s]?YEAR", "-PERIOD"),
+    (r"MONTH[-_\s]?YEAR", "PERIOD"),
+    (r"-(?:\d{5,6}|(?i:revised|corrected|updated|final)|[A-Za-z0-9]{5,7})(?=\.)", "-FILEID"),
+    (r"\s+", " "),
+    ("^ | $", ""),
+    ("-+", "-"),
+)
+
+
 def stable_url(url: Column) -> Column:
     """A URL's file name with dates and identifiers replaced, alike for all periods of a file."""
     name = F.url_decode(F.regexp_extract(F.regexp_replace(url, "/+$", ""), "([^/]*)$", 1))
-    steps = [
-        (r"(?i)\bOnline\s+Consultation\b", "OC"),
-        (rf"(?i)\b({SHORT})\d{{2,4}}\b", "PERIOD"),
-        (rf"(?i)\b({LONG})\s*\d{{2,4}}\b", "PERIOD"),
-        (rf"(?i)\b({LONG})\b", "MONTH"),
-        (rf"(?i)\b({SHORT})\b", "MONTH"),
-        (r"\b20\d{2}\b", "YEAR"),
-        (r"[-_\s]MONTH[-_\s]?YEAR", "-PERIOD"),
-        (r"MONTH[-_\s]?YEAR", "PERIOD"),
-        (r"-\d{5,6}(?=\.)", "-FILEID"),
-        (r"(?i)-(revised|corrected|updated|final)(?=\.)", "-FILEID"),
-        (r"-[A-Za-z0-9]{5,7}(?=\.)", "-FILEID"),
-        (r"\s+", " "),
-        (r"^ | $", ""),
-        ("-+", "-"),
-    ]
-    for pattern, by in steps:
+    for pattern, by in URL_PARTS:
         name = F.regexp_replace(name, pattern, by)
     return name
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -33,9 +33,19 @@ def date_columns(df: DataFrame) -> tuple[list[str], list[str]]:
 def unpivoted(df: DataFrame, static: list[str], dates: list[str], value: str = "value", period: str = "period") -> DataFrame:
     """One row for each row and date column: the static columns, the header's day, the header, the value. Nulls stay."""
     require(df, [*static, *dates])
-    quoted = [F.col(f"`{c}`") for c in dates]
-    long = df.unpivot([F.col(f"`{c}`") for c in static], quoted, "_raw_period", value)
-    return long.select(*static, header_date(F.col("_raw_period")).alias(period), "_raw_period", value)
+    days = header_days(df.sparkSession, dates)
+    # the day travels in the column's name, so that no row works it out again
+    tagged = df.withColumnsRenamed({c: f"{days[c] or ''}|{c}" for c in dates})
+    long = tagged.unpivot([F.col(f"`{c}`") for c in static], [F.col(f"`{days[c] or ''}|{c}`") for c in dates], "_tagged", value)
+    bar = F.instr("_tagged", F.lit("|"))
+    day, raw = F.nullif(F.substring_index("_tagged", "|", 1), F.lit("")), F.substring(F.col("_tagged"), bar + 1, F.length("_tagged"))
+    return long.select(*static, day.alias(period), raw.alias("_raw_period"), value)
+
+
+def header_days(spark: SparkSession, headers: list[str]) -> dict[str, str | None]:
+    """The day that each header stands for; headers are few and are read in one small job."""
+    rows = spark.createDataFrame([(h,) for h in headers], "h string").select("h", header_date(F.col("h")).alias("d")).collect()
+    return {r["h"]: r["d"] for r in rows}
 
 
 def unpivoted_if_wide(df: DataFrame, value: str = "value", period: str = "period") -> tuple[DataFrame, bool]:

@@ -92,7 +92,7 @@ def read_manifests(spark: SparkSession, path: str) -> DataFrame:
 
 def dictionary_columns(texts: DataFrame, text: str = "value", keys: tuple[str, ...] = ()) -> DataFrame:
     """The `keys` of the text, purpose, column, description, data_type and search terms of each column block of dictionary texts."""
-    purpose = F.substring(F.trim(F.regexp_extract(text, r"(?s)## Purpose\s*\n(.*?)(?:\n#|\z)", 1)), 1, 500)
+    purpose = F.substring(F.regexp_replace(F.regexp_extract(text, r"(?s)## Purpose\s*\n(.*?)(?:\n#|\z)", 1), r"^\s+|\s+$", ""), 1, 500)
     blocks = F.regexp_extract_all(text, F.lit(r"(?s)(#### `[^`]+`.*?)(?=\n#### |\n### |\z)"), 1)
     out = texts.select(*keys, purpose.alias("purpose"), F.explode(blocks).alias("b"))
 
