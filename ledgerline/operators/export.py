@@ -76,6 +76,27 @@ def sized_catalog(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return reduce(DataFrame.unionByName, [row(code, path) for code, path in sorted(paths.items()) if code != "catalog"])
 
 
+def dataset_stats(files: DataFrame) -> DataFrame:
+    """One row on a table that was read from files: total_rows, total_columns, size_mb and row_bytes (what a row takes on average)."""
+    mb = F.round(F.col("size_bytes") / 1_048_576, 4)
+    return sizes(files).select(F.col("n_rows").alias("total_rows"), F.lit(len(files.columns)).alias("total_columns"), mb.alias("size_mb"), F.round(F.try_divide("size_bytes", "n_rows"), 2).alias("row_bytes"))
+
+
+def largest(datasets: DataFrame, most: int = 5) -> DataFrame:
+    """The largest of datasets (code, n_rows, size_bytes) by rows, with the bytes of a row and the share of all rows."""
+    whole = datasets.agg(F.sum("n_rows").alias("_all"))
+    top = datasets.orderBy(F.desc("n_rows"), "code").limit(most).crossJoin(F.broadcast(whole))  # one row
+    return top.select("code", "n_rows", F.round(F.try_divide("size_bytes", "n_rows"), 2).alias("row_bytes"), F.round(F.try_divide(F.col("n_rows") * 100, "_all"), 2).alias("share_pct"))
+
+
+def overview(sources: DataFrame, history: DataFrame, ledger: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """One row on a store: sources, loads, ledger rows, tables with their rows, files and MB (of tables that were read from files)."""
+    each = reduce(DataFrame.unionByName, [sizes(t) for t in tables.values()])
+    total = each.agg(F.sum("n_rows").alias("n_rows"), F.sum("n_files").alias("n_files"), F.round(F.sum("size_bytes") / 1_048_576, 4).alias("size_mb")).withColumn("n_tables", F.lit(len(tables)))
+    counts = [df.agg(F.count("*").alias(n)) for n, df in (("sources", sources), ("loads", history), ("ledger_rows", ledger))]
+    return reduce(DataFrame.crossJoin, [*counts, total])  # of one row each
+
+
 TITLES = ("Dimensions", "Measures", "Other", "System")
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerline.functions import clean, periods
+from ledgerline.functions.names import is_date_header
+from ledgerline.operators.analytics import latest_per_key
 
 PROVENANCE = ["_load_id", "_loaded_at", "_period", "_period_start", "_period_end", "_manifest_file_id"]
 WIDER = ["int", "bigint", "decimal(38,6)", "double", "string"]
@@ -76,13 +78,36 @@ def replaced_for(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
 
 
+#: New date columns from which on a table has gone wide.
+WIDE = 3
+
+
 def drift(found: DataFrame, stored: DataFrame) -> DataFrame:
-    """(table, event, columns) of what tables' columns gained, lost or changed in type; both have table, column, type."""
+    """(table, event, columns) of what tables' columns gained, lost or changed in type; both have table, column, type.
+
+    Where three new columns or more are named for dates, a further event says so and names them.
+    """
     real = stored.where(~F.startswith("column", F.lit("_")))
     both = found.alias("f").join(real.alias("s"), (F.col("f.table") == F.col("s.table")) & (F.col("f.column") == F.col("s.column")), "full")
     event = F.when(F.col("s.column").isNull(), "new_columns").when(F.col("f.column").isNull(), "missing_columns").when(F.col("f.type") != F.col("s.type"), "type_change")
     rows = both.select(F.coalesce("f.table", "s.table").alias("table"), event.alias("event"), F.coalesce("f.column", "s.column").alias("column")).where("event is not null")
-    return rows.groupBy("table", "event").agg(F.array_join(F.array_sort(F.collect_set("column")), ",").alias("columns"))
+    names = F.array_join(F.array_sort(F.collect_set("column")), ",").alias("columns")
+    dated = rows.where((F.col("event") == "new_columns") & is_date_header(F.col("column")))
+    wide = dated.groupBy("table").agg(F.count_distinct("column").alias("n"), names).where(F.col("n") >= WIDE)
+    return rows.groupBy("table", "event").agg(names).unionByName(wide.select("table", F.lit("wide_date_detected").alias("event"), "columns"))
+
+
+def tracking_id(url: Column, sheet: Column | None = None, member: Column | None = None) -> Column:
+    """What a load is known by: its URL, with the archive's member or the workbook's sheet behind it."""
+    part = F.coalesce(*[F.nullif(c, F.lit("")) for c in (member, sheet) if c is not None], F.lit(None).cast("string"))
+    return F.when(part.isNotNull(), F.concat(url, F.lit("#"), part)).otherwise(url)
+
+
+def loaded_state(work: DataFrame, history: DataFrame) -> DataFrame:
+    """`work` (source, url) with the newest load of each: loaded, load_id, rows, loaded_at, mode; `history` has source, url, id, rows_loaded, loaded_at, mode."""
+    newest = latest_per_key(history, ["source", "url"], F.desc("loaded_at"), F.desc("id"))
+    last = newest.select("source", "url", F.col("id").alias("load_id"), F.col("rows_loaded").alias("rows"), "loaded_at", "mode")
+    return work.join(last, ["source", "url"], "left").withColumn("loaded", F.col("load_id").isNotNull())
 
 
 def pending(work: DataFrame, history: DataFrame) -> DataFrame:
@@ -103,8 +128,15 @@ SNAPSHOT = "as_of|snapshot|end_of_period|closing|at_date|position_as_at"
 INCREMENTAL = "new_|during_period|in_period|this_month|current_period|period_only"
 
 
-def load_modes(columns: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """table, pattern, confidence and mode, from the columns (table, column) or else the descriptions (table, description)."""
+#: Confidence from which on an external verdict counts before what columns say.
+TRUSTED = 0.75
+
+
+def load_modes(columns: DataFrame, descriptions: DataFrame, verdicts: DataFrame | None = None) -> DataFrame:
+    """table, pattern, confidence and mode, from the columns (table, column) or else the descriptions (table, description).
+
+    An external verdict (table, verdict, sure; null: 0.80) of 0.75 or more comes first; a weaker one only where it is surer than all else.
+    """
     low = F.lower("column")
     count = {n: F.count(F.when(low.rlike(p), 1)).alias(n) for n, p in (("dated", DATED), ("ytd", YEAR_TO_DATE), ("snap", SNAPSHOT), ("incr", INCREMENTAL))}
     tallied = columns.groupBy("table").agg(*count.values()).join(descriptions, "table", "left")
@@ -115,6 +147,11 @@ def load_modes(columns: DataFrame, descriptions: DataFrame) -> DataFrame:
     for when, name, sure in reversed(by_column + by_text):
         pattern, confidence = F.when(when, name).otherwise(pattern), F.when(when, sure).otherwise(confidence)
     out = tallied.withColumns({"pattern": pattern, "confidence": confidence})
+    if verdicts is not None:
+        told = latest_per_key(verdicts, ["table"], F.desc("sure")).select("table", "verdict", F.when(F.col("verdict").isNotNull(), F.coalesce("sure", F.lit(0.80))).alias("sure"))
+        out = out.join(told, "table", "left")
+        first = (F.col("sure") >= TRUSTED) | ((F.col("confidence") < 0.65) & (F.col("sure") > F.col("confidence")))
+        out = out.withColumns({"pattern": F.when(first, F.col("verdict")).otherwise(F.col("pattern")), "confidence": F.when(first, F.col("sure")).otherwise(F.col("confidence"))})
     append_it = (F.col("confidence") >= 0.8) & F.col("pattern").isin("incremental_transactional", "point_in_time_snapshot")
     return out.select("table", "pattern", "confidence", F.when(append_it, "append").otherwise("replace").alias("mode"))
 

@@ -22,6 +22,15 @@ def fingerprints(columns: DataFrame, by: str, column: str) -> DataFrame:
     return out.select(by, F.size("names").alias("n_columns"), F.md5(joined).alias("fingerprint"), F.substring(F.md5(F.concat(F.size("names").cast("string"), F.lit("|"), joined)), 1, 12).alias("sheet_fingerprint"))
 
 
+def header_fingerprints(headers: DataFrame, by: str, header: str, position: str) -> DataFrame:
+    """The two shorter marks of a sheet's headers, blank ones left out: short_fingerprint, 8 characters, whatever their order, with repeats, and
+    ordered_fingerprint, 16 characters, by their order."""
+    named = headers.withColumn("_name", names.schema_name(F.col(header))).where(F.coalesce(F.col(header), F.lit("")) != "").where("_name <> ''")
+    kept = named.groupBy(by).agg(F.array_sort(F.collect_list("_name")).alias("sorted"), F.array_sort(F.collect_list(F.struct(position, "_name"))).alias("ordered"))
+    in_order = F.transform("ordered", lambda x: x["_name"])
+    return kept.select(by, F.substring(F.md5(F.array_join("sorted", "|")), 1, 8).alias("short_fingerprint"), F.substring(F.sha2(F.array_join(in_order, "|"), 256), 1, 16).alias("ordered_fingerprint"))
+
+
 def overlaps(draft: DataFrame, reference: DataFrame, least: float) -> DataFrame:
     """(draft, reference, shared, n_draft, n_reference) of tables that share columns; both have table and column.
 

@@ -51,6 +51,48 @@ def run_analysis(events: DataFrame, run: str, stage: str, kind: str, at: str, st
     return out.withColumn("status", status)
 
 
+def analysed_runs(events: DataFrame) -> DataFrame:
+    """One row for each run of an event log (run_id, event_type, timestamp, level, publication, period, stage, message, details map).
+
+    status: by what the newest run_completed counts as failed and processed; INCOMPLETE without one, UNKNOWN where there is no run_started either.
+    Further: began, ended, seconds, publications, errors, warnings, sources_loaded and rows_loaded (of completed loads that name their rows),
+    reference_matches, calls, and where the first failed stage was and what it said.
+    """
+    kind, at = F.col("event_type"), F.col("timestamp")
+    of = lambda name: kind == name
+    rows_said = F.when(of("stage_completed") & (F.col("stage") == "load"), F.regexp_extract("message", r"(\d+) rows", 1).try_cast("long"))
+    failure = F.struct(at, F.coalesce("stage", F.lit("unknown")).alias("stage"), "publication", "period", "message", F.col("details")["error"].alias("error"))
+    out = events.groupBy("run_id").agg(
+        F.min(F.when(of("run_started"), at)).alias("began"),
+        F.max(F.when(of("run_completed"), at)).alias("ended"),
+        F.max(F.when(of("run_completed"), F.struct(at, F.col("details")["failed"].try_cast("long").alias("failed"), F.col("details")["processed"].try_cast("long").alias("processed")))).alias("told"),
+        F.count_distinct("publication").alias("publications"),
+        F.count_if(of("error") | (F.col("level") == "ERROR")).alias("errors"),
+        F.count_if(of("warning") & (F.col("level") == "WARNING")).alias("warnings"),
+        F.count(rows_said).alias("sources_loaded"),
+        F.coalesce(F.sum(rows_said), F.lit(0)).alias("rows_loaded"),
+        F.coalesce(F.sum(F.when(of("reference_matched"), F.col("details")["matched"].try_cast("long"))), F.lit(0)).alias("reference_matches"),
+        F.count_if(of("llm_call")).alias("calls"),
+        F.min(F.when(of("stage_failed"), failure)).alias("failure"),
+    )
+    status = F.when(F.col("ended").isNull(), F.when(F.col("began").isNotNull(), "INCOMPLETE").otherwise("UNKNOWN")).when(F.col("told.failed") > 0, "FAILED").when(F.col("told.processed") > 0, "SUCCESS").otherwise("NO_WORK")
+    parts = {f"failed_{c}": F.col(f"failure.{c}") for c in ("stage", "publication", "period", "message", "error")}
+    seconds = F.unix_timestamp("ended") - F.unix_timestamp("began")
+    return out.withColumns({"status": status, "seconds": seconds, **parts}).drop("told", "failure")
+
+
+def run_stages(events: DataFrame) -> DataFrame:
+    """(run_id, stage, started, completed, failed) of every stage that a run's events name."""
+    counts = [F.count_if(F.col("event_type") == f"stage_{k}").alias(k) for k in ("started", "completed", "failed")]
+    return events.where(F.col("event_type").isin("stage_started", "stage_completed", "stage_failed")).groupBy("run_id", F.coalesce("stage", F.lit("unknown")).alias("stage")).agg(*counts)
+
+
+def restart_list(runs: DataFrame, events: DataFrame) -> DataFrame:
+    """(run_id, publication) of the publications of runs that failed or didn't end, a row each."""
+    open_runs = runs.where(F.col("status").isin("FAILED", "INCOMPLETE")).select("run_id")
+    return events.where("publication is not null").join(open_runs, "run_id", "left_semi").select("run_id", "publication").distinct()
+
+
 def rule_findings(df: DataFrame, rules: list[tuple[str, str, Column]], keep: list[str]) -> DataFrame:
     """A row (keep…, level, finding) for every rule that a row breaks: rules are (level, finding, broken)."""
     found = F.array_compact(F.array(*[F.when(broken, F.struct(F.lit(level).alias("level"), F.lit(text).alias("finding"))) for level, text, broken in rules]))

@@ -17,6 +17,8 @@ STOP = "^(note|source|copyright|©|please|this worksheet|this table)"
 ABOUT = "contents|title|notes|definition|about|introduction"
 NO_ID = "confidence|interval|ci|variance|var|actual|plan|budget|fte|cost|attend|wait"
 ID = "code|name|region|ics|nhse|org|group|month|year|quarter|period|area|breakdown|trust|category|description|centre|staff|type"
+#: Length over which a text that begins with a star is a footnote.
+LONG_NOTE = 50
 SHEET_MARKERS = clean.MARKERS[:13]
 
 
@@ -210,9 +212,17 @@ def orientations(cells: DataFrame, starts: DataFrame) -> DataFrame:
     return starts.select(*SHEET).join(n, SHEET, "left").select(*SHEET, F.when(F.col("n") >= 3, "HORIZONTAL").otherwise("VERTICAL").alias("orientation"))
 
 
+def before_footers(inside: DataFrame, columns: int = 5) -> DataFrame:
+    """Data cells of the rows above a sheet's footer: a stop word, or a long text that begins with a star, in the first columns."""
+    text = F.lower(F.trim("value"))
+    is_footer = (F.col("col") <= columns) & (text.rlike(STOP) | (F.startswith(text, F.lit("*")) & (F.length(text) > LONG_NOTE)))
+    footers = inside.where(is_footer).groupBy(*SHEET).agg(F.min("row").alias("footer"))
+    return inside.join(footers, SHEET, "left").where("footer is null or row < footer").drop("footer")
+
+
 def extracted(cells: DataFrame, extents: DataFrame, columns: DataFrame) -> DataFrame:
-    """file, sheet, row, name, value of the data rows with content in the first five columns; marked values are null."""
-    inside = data_cells(cells, extents)
+    """file, sheet, row, name, value of the data rows above the footer with content in the first five columns; marked values are null."""
+    inside = before_footers(data_cells(cells, extents))
     filled = inside.where("col <= 5").select(*SHEET, "row").distinct()
     out = inside.join(filled, [*SHEET, "row"], "left_semi").join(columns.select(*SHEET, "col", "name"), [*SHEET, "col"])
     return out.select(*SHEET, "row", "name", clean.unsuppressed(F.col("value"), SHEET_MARKERS).alias("value"))

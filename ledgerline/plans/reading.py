@@ -78,12 +78,12 @@ def s03_zip_members(spark, d):
     return counted.groupBy(F.split_part("archive", F.lit("-"), F.lit(1)).alias("name")).agg(F.count("*").alias("members"), F.sum("n").alias("n_parts"))
 
 
-def plain_workbook(frame):
+def workbook(frame):
     rows = [[int(k), n, int(z)] for k, n, z in frame[["p_partkey", "p_name", "p_size"]].itertuples(index=False)]
     return W.workbook_bytes({"Data": ([["Part", "Name", "Size"], *rows], [])})
 
 
-def workbook(frame):
+def merged_workbook(frame):
     """Two sheets: parts below a heading merged over all columns, and a title merged over a whole sheet."""
     rows = [[int(k), n, int(z), datetime.date(2024, 1, 1) + datetime.timedelta(days=int(z))] for k, n, z in frame[["p_partkey", "p_name", "p_size"]].itertuples(index=False)]
     return W.workbook_bytes({"Data": ([[f"Parts of {frame['p_brand'].iloc[0]}"], ["Part", "Name", "Size", "Day"], *rows], ["A1:D1"]), "Notes": ([["All parts"]], ["A1:XFD1048576"])})
@@ -91,7 +91,7 @@ def workbook(frame):
 
 @query(f"SELECT replace(p_brand, '#', '') AS file, count(*) * 3 + 3 * count(DISTINCT p_partkey // {A_FILE}) AS cells, count(*) * 2 AS numbers, CAST(max(p_size) AS INT) AS largest FROM part GROUP BY 1")
 def s04_workbook_cells(spark, d):
-    cells = S.cells_of(packed(spark, d, "xlsx", plain_workbook))
+    cells = S.cells_of(packed(spark, d, "xlsx", workbook))
     return cells.groupBy(F.split_part("file", F.lit("-"), F.lit(1)).alias("file")).agg(F.count("*").alias("cells"), F.count_if(F.col("ctype") == "n").alias("numbers"), F.max(F.when((F.col("col") == 3) & (F.col("ctype") == "n"), F.col("value").cast("int"))).alias("largest"))
 
 
@@ -104,7 +104,7 @@ UNION ALL SELECT file, 'Notes', 1, CAST(unnest(range(1, 65)) AS INT), 'All parts
 def c01_workbook_merges(spark, d):
     """Cells under the merged ranges that their workbooks have, one of them over a whole sheet."""
     path = folder(spark, "contents")
-    W.contents_of(packed(spark, d, "xlsx", workbook)).write.parquet(path)  # each file is read once
+    W.contents_of(packed(spark, d, "xlsx", merged_workbook)).write.parquet(path)  # each file is read once
     contents = spark.read.parquet(path)
     return sheets.resolved(contents.where("ctype <> 'm'").drop("last_row", "last_col"), W.merges_of(contents))
 
@@ -128,6 +128,22 @@ def s08_event_log(spark, d):
     return S.read_events(spark, path).groupBy("event_type").agg(F.count("*").alias("n"), F.sum(F.col("details")["k"].cast("long")).alias("total"))
 
 
+@query("""SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS INT)) AS BIGINT) AS total, count(*) FILTER (user_id % 2 = 0) AS nested, 0 AS malformed FROM events GROUP BY 1
+UNION ALL SELECT NULL, 0, NULL, 0, count(*) FROM events WHERE event_id % 10 = 0""")
+def s08_event_variants(spark, d):
+    """A log whose details nest, with a line in ten cut off; each line is parsed once."""
+    path = folder(spark, "events-lines")
+    nested = F.struct(F.get_json_object("props", "$.k").cast("int").alias("k"), F.struct(F.when(F.col("user_id") % 2 == 0, F.array("user_id")).alias("users")).alias("more"))
+    rows = given(spark, d, "SELECT event_id, user_id, event_type, ts, props FROM {events}").select("event_id", F.to_json(F.struct("event_type", F.col("ts").alias("timestamp"), F.concat(F.lit("r"), "user_id").alias("run_id"), nested.alias("details"))).alias("line"))
+    cut = rows.where("event_id % 10 = 0").select(F.substring("line", 1, 30).alias("line"))
+    rows.select("line").unionByName(cut).unionByName(spark.createDataFrame([("",), ("  ",)], "line string")).write.text(path)
+    good, bad = S.event_lines(spark, path)
+    k, users = F.expr("variant_get(details, '$.k', 'bigint')"), F.expr("try_variant_get(details, '$.more.users[0]', 'bigint')")
+    counts = good.groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("total"), F.count(users).alias("nested")).withColumn("malformed", F.lit(0).cast("long"))
+    lost = bad.agg(F.lit(None).cast("string").alias("event_type"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("total"), F.lit(0).cast("long").alias("nested"), F.count("*").alias("malformed"))
+    return counts.unionByName(lost)
+
+
 @query("SELECT 'm' || (o_custkey % 40) AS manifest_name, 's' || o_custkey AS code, 'u' || o_orderkey AS url FROM orders")
 def s09_manifest_files(spark, d):
     # a manifest holds the files of few customers

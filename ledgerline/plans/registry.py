@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: Modules of this package that register queries.
-MODULES: tuple[str, ...] = ("scalar", "analytics", "loading", "sheets", "reports", "reading")
+MODULES: tuple[str, ...] = ("scalar", "analytics", "loading", "sheets", "reports", "reading", "governance")
 
 
 @dataclass(frozen=True)

@@ -79,6 +79,23 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVENT).json(path).where("event_type is not null")
 
 
+#: Fields of an event that are columns; all else of it stays in `details`.
+EVENT_FIELDS = ("event_type", "run_id", "level", "publication", "period", "stage", "message")
+
+
+def event_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The events of a log, one JSON object a line, with nested details as VARIANT; and apart (line) what is no such object. Blank lines are neither.
+
+    A line is parsed once, into a variant from which the columns are taken.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "").select(F.col("value").alias("line"), F.try_parse_json("value").alias("v"))
+    is_event = F.col("v").isNotNull() & F.coalesce(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")), F.lit(False))
+    fields = [F.try_variant_get("v", f"$.{name}", "string").alias(name) for name in EVENT_FIELDS]
+    at = F.try_variant_get("v", "$.timestamp", "string").try_cast("timestamp").alias("timestamp")
+    good = lines.where(is_event).select(*fields, at, F.try_variant_get("v", "$.details", "variant").alias("details")).where("event_type is not null")
+    return good, lines.where(~is_event).select("line")
+
+
 def manifest_files(manifests: DataFrame) -> DataFrame:
     """One row for each source and file of parsed manifests; a manifest without its sections is an error."""
     checked = manifests.withColumn("sources", F.when(F.col("manifest").isNull() | F.col("sources").isNull(), F.raise_error(F.lit("a manifest needs the sections manifest and sources"))).otherwise(F.col("sources")))
