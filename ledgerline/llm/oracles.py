@@ -6,6 +6,7 @@ greedy bins (7) and page checksums (8) are held against libraries, brute force a
 
 from .license_index import LOWER, UPPER, key_phrases, places
 from .license_texts import PHRASES, TEMPLATES
+from .url_templates import bound
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -31,30 +32,39 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM base LEFT JOIN gone ON gone.host = coalesce(base.source, chr(1)) AND gone.t = base.t
 """
 
-OP4 = r"""
-WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+OP4 = (r"""
+WITH RECURSIVE u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 rules AS (SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')) r(says, rhost, rpath)),
 k AS (SELECT p.*, (SELECT arg_max(rhost || rpath, length(rhost || rpath)) FROM rules WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS rule FROM p),
 v AS (SELECT k.*, says AS ruling, list_filter(string_split(path, '/'), lambda s: s <> '') AS segments FROM k LEFT JOIN rules ON rule = rhost || rpath),
 h AS (SELECT *, list_concat(list_transform(segments[1:8], lambda s: CASE WHEN regexp_matches(s, '^(?:[0-9][0-9.,_-]*|[0-9a-fA-F]{8,}|[A-Za-z_-]*[0-9]+[A-Za-z_-]+[0-9]+[0-9A-Za-z_-]*|.{41,})(\.[A-Za-z]{1,5})?$')
  THEN '*' || CASE WHEN regexp_matches(s, '^(?:[0-9][0-9.,_-]*|[0-9a-fA-F]{8,}|[A-Za-z_-]*[0-9]+[A-Za-z_-]+[0-9]+[0-9A-Za-z_-]*)(\.[A-Za-z]{1,5})$') THEN regexp_extract(s, '(\.[A-Za-z]{1,5})$', 1) ELSE '' END ELSE s END), CASE WHEN len(segments) > 8 THEN ['**'] ELSE [] END) AS shaped FROM v),
-y AS (SELECT host, shaped, count(*) FILTER (ruling = 'block') AS blocked, count(ruling) AS decided FROM h GROUP BY ALL),
+y AS (SELECT host, shaped, count(*) FILTER (ruling = 'block') AS blocked, count(ruling) AS decided, count(*) AS pages FROM h GROUP BY ALL),
 s AS (SELECT host, shaped, unnest(shaped) AS segment, generate_subscripts(shaped, 1) AS i FROM y),
 crowded AS (SELECT host, above FROM (SELECT DISTINCT host, list_slice(shaped, 1, i - 1) AS above, segment FROM s WHERE NOT starts_with(segment, '*')) GROUP BY ALL HAVING count(*) > 16),
 opened AS (SELECT s.host, s.shaped, list(DISTINCT i) AS o FROM s JOIN crowded c ON c.host = s.host AND c.above = list_slice(s.shaped, 1, i - 1) WHERE NOT starts_with(segment, '*') GROUP BY ALL),
 t AS (SELECT y.*, list_transform(y.shaped, lambda x, i: CASE WHEN list_contains(coalesce(o, []), i) THEN '*' ELSE x END) AS template FROM y LEFT JOIN opened ON opened.host = y.host AND opened.shaped = y.shaped),
-f AS (SELECT host, template, sum(blocked) AS blocked, sum(decided) AS decided FROM t GROUP BY ALL),
+f AS (SELECT host, template, sum(blocked) AS blocked, sum(decided) AS decided, sum(pages) AS pages FROM t GROUP BY ALL),
 e AS (SELECT host, template, blocked, decided, generate_subscripts(template, 1) AS i FROM f),
 b AS (SELECT host, list_slice(template, 1, i - 1) AS above, list_slice(template, 1, i) AS branch, sum(blocked) AS blocked, sum(decided) AS decided FROM e GROUP BY ALL),
 g AS (SELECT *, sum(blocked) OVER a AS all_blocked, sum(decided) OVER a AS all_decided, count(*) FILTER (decided > 0) OVER a AS voters, coalesce(sum((blocked + 1.0::DOUBLE) / (decided + 2.0::DOUBLE)) FILTER (decided > 0) OVER a, 0) AS votes FROM b WINDOW a AS (PARTITION BY host, above)),
-r AS (SELECT host, branch, voters, votes, coalesce(decided > 0 AND decided < all_decided AND abs(blocked / nullif(decided, 0) - all_blocked / nullif(all_decided, 0)) <= 1.96 * sqrt(all_blocked / nullif(all_decided, 0) * (1 - all_blocked / nullif(all_decided, 0)) / nullif(decided, 0)), false) AS alike FROM g),
-w AS (SELECT e.host, e.template, list(alike ORDER BY i) AS alike, list({'votes': votes, 'voters': CAST(voters AS DOUBLE), 'p': 0.0::DOUBLE} ORDER BY i) AS way FROM e JOIN r ON r.host = e.host AND r.branch = list_slice(e.template, 1, i) GROUP BY ALL),
-m AS (SELECT f.*, list_transform(f.template, lambda x, i: CASE WHEN alike[i] THEN '+' ELSE x END) AS merged, list_reduce(list_prepend({'votes': 0.0::DOUBLE, 'voters': 0.0::DOUBLE, 'p': 0.5::DOUBLE}, coalesce(way, [])), lambda a, x: {'votes': 0.0::DOUBLE, 'voters': 0.0::DOUBLE, 'p': (x.votes + 2 * a.p) / (x.voters + 2)}).p AS told FROM f LEFT JOIN w ON w.host = f.host AND w.template = f.template),
+c AS (SELECT host, above, segment, child, sum(pages) AS k, sum(blocked) AS blocked, sum(decided) AS decided FROM (SELECT host, list_slice(template, 1, i - 1) AS above, template[i] AS segment, coalesce(template[i + 1], '') AS child, pages, blocked, decided FROM (SELECT host, template, pages, blocked, decided, generate_subscripts(template, 1) AS i FROM f)) GROUP BY ALL),
+n AS (SELECT host, above, segment, sum(k) AS n, sum(blocked) AS blocked, sum(decided) AS decided FROM c GROUP BY ALL),
+q AS (SELECT a.host, a.above, a.segment AS a, b.segment AS b, a.n AS na, b.n AS nb, BOUND * (1 / sqrt(a.n) + 1 / sqrt(b.n)) AS most FROM n a JOIN n b ON a.host = b.host AND a.above = b.above AND a.segment < b.segment WHERE BOUND * (1 / sqrt(a.n) + 1 / sqrt(b.n)) <= 1
+ AND NOT coalesce(a.decided > 0 AND b.decided > 0 AND abs(a.blocked / nullif(a.decided, 0) - b.blocked / nullif(b.decided, 0)) > BOUND * (1 / sqrt(a.decided) + 1 / sqrt(b.decided)), false)),
+shares AS (SELECT q.host, q.above, a, b, most, child, sum(CASE WHEN c.segment = a THEN k ELSE 0 END) / na AS pa, sum(CASE WHEN c.segment = b THEN k ELSE 0 END) / nb AS pb FROM q JOIN c ON c.host = q.host AND c.above = q.above AND c.segment IN (a, b) GROUP BY q.host, q.above, a, b, na, nb, most, child),
+pairs AS (SELECT host, above, a, b FROM shares GROUP BY ALL HAVING bool_and(abs(pa - pb) <= most)),
+ties AS (SELECT * FROM pairs UNION ALL SELECT host, above, b, a FROM pairs),
+reach AS (SELECT host, above, segment AS a, segment AS b FROM n UNION SELECT r.host, r.above, r.a, x.b FROM reach r JOIN ties x ON x.host = r.host AND x.above = r.above AND x.a = r.b),
+classes AS (SELECT host, list_append(above, a) AS branch, CASE WHEN count(*) > 1 THEN '+' || min(b) ELSE a END AS label FROM reach GROUP BY host, above, a),
+r AS (SELECT g.host, g.branch, voters, votes, label FROM g JOIN classes l ON l.host = g.host AND l.branch = g.branch),
+w AS (SELECT e.host, e.template, list(label ORDER BY i) AS labels, list({'votes': votes, 'voters': CAST(voters AS DOUBLE), 'p': 0.0::DOUBLE} ORDER BY i) AS way FROM e JOIN r ON r.host = e.host AND r.branch = list_slice(e.template, 1, i) GROUP BY ALL),
+m AS (SELECT f.*, coalesce(labels, []) AS merged, list_reduce(list_prepend({'votes': 0.0::DOUBLE, 'voters': 0.0::DOUBLE, 'p': 0.5::DOUBLE}, coalesce(way, [])), lambda a, x: {'votes': 0.0::DOUBLE, 'voters': 0.0::DOUBLE, 'p': (x.votes + 2 * a.p) / (x.voters + 2)}).p AS told FROM f LEFT JOIN w ON w.host = f.host AND w.template = f.template),
 j AS (SELECT host, template, merged, round((sum(blocked) OVER z + 2 * told) / (sum(decided) OVER z + 2), 6) AS purity FROM m WINDOW z AS (PARTITION BY host, merged))
 SELECT page_id, h.host, path, rule, coalesce(ruling, CASE WHEN purity >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict, '/' || array_to_string(merged, '/') AS template, purity::DOUBLE AS purity, CASE WHEN purity >= 0.8 THEN 'block' ELSE 'allow' END AS judgement
 FROM h JOIN t ON t.host = h.host AND t.shaped = h.shaped JOIN j ON j.host = t.host AND j.template = t.template
-"""
+""").replace("BOUND", repr(bound(0.05)))
 
 
 def rows(values: list[tuple]) -> str:

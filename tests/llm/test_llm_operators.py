@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -232,7 +233,7 @@ def test_templates_are_learnt_from_rules(spark):
     assert got[3] == "block" and got[50] == "allow"
 
 
-def brute_tree(pages, rules, max_children=16, depth=8, prior=1.0, purity=0.8, z=1.96):
+def brute_tree(pages, rules, max_children=16, depth=8, prior=1.0, purity=0.8, confidence=0.05):
     """{(host, path): (template, purity, judgement)} by walking each host's tree."""
     varies = re.compile(r"(?:[0-9][0-9.,_-]*|[0-9a-fA-F]{8,}|[A-Za-z_-]*[0-9]+[A-Za-z_-]+[0-9]+[0-9A-Za-z_-]*|.{41,})(\.[A-Za-z]{1,5})?")
 
@@ -254,7 +255,7 @@ def brute_tree(pages, rules, max_children=16, depth=8, prior=1.0, purity=0.8, z=
                 if not x.startswith("*"):
                     kids.setdefault(s[:i], set()).add(x)
         place = {p: tuple("*" if len(kids.get(shaped(p)[:i], ())) > max_children and not x.startswith("*") else x for i, x in enumerate(shaped(p))) for p in set(paths)}
-        totals, below = {}, {}
+        totals, below, goes_on = {}, {}, {}
         for p in paths:
             t, v = place[p], says(host, p)
             for i in range(len(t) + 1):
@@ -262,15 +263,33 @@ def brute_tree(pages, rules, max_children=16, depth=8, prior=1.0, purity=0.8, z=
                 totals[t[:i]] = b + (v == "block"), d + (v is not None)
                 if i:
                     below.setdefault(t[: i - 1], set()).add(t[:i])
+                    goes_on.setdefault(t[:i], Counter())[t[i] if i < len(t) else ""] += 1
+
+        def alike(a, b):
+            (ba, da), (bb, db) = totals[a], totals[b]
+            most_for = lambda m, n: (0.5 * math.log(2 / confidence)) ** 0.5 * (1 / m**0.5 + 1 / n**0.5)
+            if da and db and abs(ba / da - bb / db) > most_for(da, db):
+                return False
+            a, b = goes_on[a], goes_on[b]
+            most = most_for(a.total(), b.total())
+            return most <= 1 and all(abs(a[x] / a.total() - b[x] / b.total()) <= most for x in {*a, *b})
+
+        def name(branch):
+            kin, met, todo = below[branch[:-1]], {branch}, [branch]
+            while todo:
+                now = todo.pop()
+                new = {k for k in kin - met if alike(now, k)}
+                met |= new
+                todo += new
+            return "+" + min(k[-1] for k in met) if len(met) > 1 else branch[-1]
+
         merged, told, pooled = {}, {}, {}
         for t in set(place.values()):
             way, p = [], 0.5
-            for i, x in enumerate(t):
+            for i in range(len(t)):
                 kin = [totals[k] for k in below[t[:i]]]
-                (b, d), votes = totals[t[: i + 1]], [(kb + prior) / (kd + 2 * prior) for kb, kd in kin if kd]
-                all_b, all_d = sum(k[0] for k in kin), sum(k[1] for k in kin)
-                alike = 0 < d < all_d and abs(b / d - all_b / all_d) <= z * (all_b / all_d * (1 - all_b / all_d) / d) ** 0.5
-                way.append("+" if alike else x)
+                votes = [(kb + prior) / (kd + 2 * prior) for kb, kd in kin if kd]
+                way.append(name(t[: i + 1]))
                 p = (sum(votes) + 2 * prior * p) / (len(votes) + 2 * prior)
             merged[t], told[t] = tuple(way), p
         leaves = Counter()
@@ -309,6 +328,18 @@ def test_branches_without_labels_take_over_what_their_siblings_agree_on(spark):
     assert got[501]["verdict"] == "allow" and got[501]["purity"] == 0.5
 
 
+def test_alike_branches_share_their_labels(spark):
+    """Sections of the same make-up: the ones that rules block decide for the one that no rule names, not for one that is made otherwise."""
+    rules = (("block", "h.net/es/"), ("block", "h.net/fr/"))
+    parts = {"es": "0", "fr": "0", "de": "0", "about": "team/page"}
+    rows = [(k * 100 + i, f"http://h.net/{lang}/{1000 + i if below == '0' else below + str(i % 3)}") for k, (lang, below) in enumerate(parts.items()) for i in range(20)]
+    rows += [(900, "http://h.net/it/1"), (901, "http://h.org/es/1")]
+    got = {r["page_id"]: r for r in url_templates.filtered(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert {got[200 + i]["verdict"] for i in range(20)} == {"block"} and got[200]["rule"] is None and got[200]["template"] == "/+de/*"
+    assert {got[300 + i]["verdict"] for i in range(20)} == {"allow"}
+    assert got[900]["template"] == "/it/*" and got[901]["verdict"] == "allow"  # one page tells nothing
+
+
 EMAIL, IP = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
 
 
@@ -627,6 +658,6 @@ def test_common_words_are_told_by_their_document_frequency(spark):
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_empty_tables(spark, tmp_path, name):
-    for table, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("labels", "doc_id long, quality int, toxic int"), ("pages", "page_id long, url string, html string")):
+    for table, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("labels", "doc_id long, quality int, toxic int"), ("pages", "page_id long, url string, html string"), ("benchmark", "item_id long, text string"), ("conversations", "conv_id long, turn long, role string, text string")):
         spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{table}.parquet"))
     assert queries()[name](spark, str(tmp_path)).count() == 0
