@@ -45,10 +45,10 @@ def matching_name(name: Column) -> Column:
 
 
 def numbered(df: DataFrame, name: str, position: str, by: list[str]) -> DataFrame:
-    """`df` with `column_name`: a name's second holder within `by` gets _2, the third _3; and `first_header` of each name."""
+    """`df` with `column_name`: a name's second holder within `by` gets _2, the third _3; and `first_header`, the first `position` of each name."""
     order = Window.partitionBy(*by, name).orderBy(position)
-    number = F.row_number().over(order)
-    return df.withColumn("ordinal", number).withColumn("column_name", F.when(F.col("ordinal") > 1, F.concat(name, F.lit("_"), F.col("ordinal").cast("string"))).otherwise(F.col(name)))
+    number, first = F.row_number().over(order), F.first(position).over(order)
+    return df.withColumns({"ordinal": number, "first_header": first}).withColumn("column_name", F.when(F.col("ordinal") > 1, F.concat(name, F.lit("_"), F.col("ordinal").cast("string"))).otherwise(F.col(name)))
 
 
 def valid_name(name: Column) -> Column:

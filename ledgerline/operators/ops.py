@@ -38,6 +38,74 @@ def status_counts(ledger: DataFrame, by: str, statuses: list[str]) -> DataFrame:
     return ledger.groupBy(by).agg(*[F.count(F.when(F.col("status") == s, 1)).alias(s) for s in statuses])
 
 
+def load_status(ledger: DataFrame, by: str = "period") -> DataFrame:
+    """Files, rows and last load of each period, and files that aren't loaded yet."""
+    done = F.col("status") == "loaded"
+    return ledger.groupBy(by).agg(F.count("*").alias("files"), F.sum(F.when(done, F.col("rows_loaded"))).alias("total_rows"), F.max("updated_at").alias("last_load"), F.count_if(~done).alias("pending"))
+
+
+def daily_summary(ledger: DataFrame, since: Column, by: str = "manifest_name") -> DataFrame:
+    """Files, rows, manifests and failures of each day from `since` on."""
+    rows = ledger.where(F.col("updated_at") >= since)
+    return rows.groupBy(F.to_date("updated_at").alias("day")).agg(F.count("*").alias("files"), F.sum("rows_loaded").alias("total_rows"), F.count_distinct(by).alias("manifests"), F.count_if(F.col("status") == "failed").alias("failures"))
+
+
+def publication_health(sources: DataFrame, ledger: DataFrame, active_since: Column) -> DataFrame:
+    """Periods, rows and last load of each source, Active if that is no earlier than a day, else Stale."""
+    loads = ledger.groupBy(F.col("source").alias("code")).agg(F.count_distinct("period").alias("periods"), F.sum("rows_loaded").alias("total_rows"), F.max("updated_at").alias("last_load"))
+    out = sources.select("code").join(loads, "code", "left").na.fill(0, ["periods", "total_rows"])
+    return out.withColumn("health", F.when(F.col("last_load") >= active_since, "Active").otherwise("Stale"))
+
+
+def completeness(ledger: DataFrame, by: str = "source") -> DataFrame:
+    """Rows, periods, and first and last period of each source."""
+    return ledger.groupBy(by).agg(F.sum("rows_loaded").alias("total_rows"), F.count_distinct("period").alias("periods"), F.min("period").alias("first_period"), F.max("period").alias("last_period"))
+
+
+def stage_performance(events: DataFrame, by: str, value: str) -> DataFrame:
+    """Calls, mean and greatest value of each stage."""
+    return events.groupBy(by).agg(F.count("*").alias("calls"), F.round(F.avg(value), 4).alias("mean"), F.max(value).alias("most"))
+
+
+def cost_per_day(calls: DataFrame, at: str, tokens: str, price: float) -> DataFrame:
+    """Calls, tokens and their cost of each day."""
+    days = calls.groupBy(F.date_trunc("day", at).cast("timestamp_ntz").alias("day"))
+    return days.agg(F.count("*").alias("calls"), F.sum(tokens).cast("long").alias("tokens")).withColumn("cost", F.col("tokens") * F.lit(price))
+
+
+def prompt_reuse(prompts: DataFrame, text: str, by: str, least: int = 2) -> DataFrame:
+    """Prompts, as their md5, that are used `least` times or more, and in how many of `by`."""
+    return prompts.groupBy(F.md5(text).alias("prompt")).agg(F.count("*").alias("uses"), F.count_distinct(by).alias("conversations")).where(F.col("uses") >= least)
+
+
+def batch_statistics(ledger: DataFrame, as_of: Column, recent: int = 2, by: str = "manifest_name") -> DataFrame:
+    """Files by outcome and rows of each manifest, the months since its newest period, and whether these are `recent` at most."""
+    loaded = F.col("status") == "loaded"
+    out = ledger.groupBy(by).agg(F.count("*").alias("total"), F.count_if(loaded).alias("loaded"), F.count_if(F.col("status") == "failed").alias("failed"), F.coalesce(F.sum(F.when(loaded, F.col("rows_loaded"))), F.lit(0)).alias("total_rows"), F.max("period").alias("last"))
+    age = F.months_between(as_of, F.to_date(F.concat("last", F.lit("-01")))).cast("long")
+    return out.withColumns({"age_months": age, "current": age <= recent}).drop("last")
+
+
+def without_source(rows: DataFrame, sources: DataFrame, key: str, code: str = "code") -> DataFrame:
+    """Rows whose `key` is no source's code; rows without a key are such."""
+    return rows.join(sources.select(F.col(code).alias(key)).distinct(), key, "left_anti")
+
+
+def lineage(ledger: DataFrame, sources: DataFrame, history: DataFrame) -> DataFrame:
+    """Loaded files with their source and the number of its loads."""
+    loads = history.groupBy(F.col("source").alias("_source")).agg(F.count("*").alias("loads"))
+    known = sources.select(F.col("code").alias("_code"), "domain")
+    out = ledger.where("status = 'loaded'").join(known, F.col("source") == F.col("_code"), "left").join(loads, F.col("_code") == F.col("_source"), "left")
+    return out.drop("_code", "_source")
+
+
+def grouped_files(ledger: DataFrame, by: str = "source") -> DataFrame:
+    """Sources with their files' periods in order, nulls last, whether one is loaded, and the mode that failures ask for."""
+    files = F.array_sort(F.collect_list(F.struct(F.col("period").isNull().alias("last"), "period", "id")))  # a source's files
+    out = ledger.groupBy(by).agg(F.count("*").alias("files"), F.bool_or(F.col("status") == "loaded").alias("enabled"), files.alias("f"), F.bool_or(F.col("status") == "failed").alias("bad"))
+    return out.select(by, "files", "enabled", F.array_join(F.transform("f", lambda x: x["period"]), ",").alias("periods"), F.when(F.col("bad"), "append").otherwise("replace").alias("mode"))
+
+
 def run_analysis(events: DataFrame, run: str, stage: str, kind: str, at: str, started: str, completed: str, failed: str) -> DataFrame:
     """One row for each run: status, seconds, stages begun, done and failed, and the first failure."""
     is_kind = {n: F.col(kind) == v for n, v in (("started", started), ("completed", completed), ("failed", failed))}

@@ -77,10 +77,20 @@ def cell_class(value: Column) -> Column:
     return F.when(F.lower(text).isin(SHEET_MARKERS), "suppressed").when(clean.is_unit(text), "unit").when(clean.is_year(text), "year").when(text.rlike("(?i)^[QH][1-4]$"), "period").when(clean.is_number(text), "number").otherwise("text")
 
 
+def classified(cells: DataFrame) -> DataFrame:
+    """`cells` with the class of each, so that a stored table is classified once."""
+    return cells.withColumn("class", cell_class(F.col("value")))
+
+
+def class_of(cells: DataFrame) -> Column:
+    """The class that `classified` stored, else worked out here."""
+    return F.col("class") if "class" in cells.columns else cell_class(F.col("value"))
+
+
 def row_classes(cells: DataFrame, rows: int = 29) -> DataFrame:
     """Counts of cell classes, and the verdicts header and data, for the first rows of every sheet."""
     top = cells.where(F.col("row") <= rows)
-    kind = cell_class(F.col("value"))
+    kind = class_of(cells)
     near = F.col("col") <= 19
     counts = {k: F.count(F.when(near & (kind == k), 1)).alias(k) for k in ("unit", "year", "period", "number", "text")}
     a, b = (F.coalesce(F.max(F.when(F.col("col") == k, F.col("value"))), F.lit("")) for k in (1, 2))
@@ -101,7 +111,7 @@ def header_rows(cells: DataFrame) -> DataFrame:
 
 def data_starts(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """The first of five rows after the headers with two numbers, or three cells and a number; else the row after them."""
-    rows = cells.join(headers, SHEET).where("row > last_header and row <= last_header + 5").groupBy(*SHEET, "row").agg(F.count("*").alias("filled"), F.count(F.when(cell_class(F.col("value")) == "number", 1)).alias("number"))
+    rows = cells.join(headers, SHEET).where("row > last_header and row <= last_header + 5").groupBy(*SHEET, "row").agg(F.count("*").alias("filled"), F.count(F.when(class_of(cells) == "number", 1)).alias("number"))
     start = rows.where("number >= 2 or (filled >= 3 and number >= 1)").groupBy(*SHEET).agg(F.min("row").alias("start"))
     return headers.join(start, SHEET, "left").select(*SHEET, "first_header", "last_header", F.coalesce("start", F.col("last_header") + 1).alias("data_start"))
 

@@ -232,7 +232,9 @@ def a06_variation(spark, d):
 @query("""SELECT l_returnflag, round(var_samp(l_quantity), 4) AS variance, median(l_quantity) AS middle, quantile_cont(l_quantity, 0.9) AS p90, round(corr(l_quantity, l_extendedprice), 6) AS correlation, round(regr_slope(l_extendedprice, l_quantity), 3) AS slope FROM lineitem GROUP BY 1""")
 def a07_spread_and_slope(spark, d):
     rows = given(spark, d, "SELECT l_returnflag, l_quantity, l_extendedprice FROM {lineitem}")
-    return rows.groupBy("l_returnflag").agg(F.round(F.var_samp("l_quantity"), 4).alias("variance"), F.median("l_quantity").alias("middle"), F.percentile("l_quantity", F.lit(0.9)).alias("p90"), F.round(F.corr("l_quantity", "l_extendedprice"), 6).alias("correlation"), F.round(F.regr_slope("l_extendedprice", "l_quantity"), 3).alias("slope"))
+    middle = A.quantiles(rows, "l_returnflag", "l_quantity", {"middle": 0.5, "p90": 0.9}).withColumnRenamed("l_returnflag", "_flag")
+    spread = rows.groupBy("l_returnflag").agg(F.round(F.var_samp("l_quantity"), 4).alias("variance"), F.round(F.corr("l_quantity", "l_extendedprice"), 6).alias("correlation"), F.round(F.regr_slope("l_extendedprice", "l_quantity"), 3).alias("slope"))
+    return spread.join(middle, F.col("l_returnflag").eqNullSafe(F.col("_flag"))).drop("_flag")
 
 
 @query("""SELECT day, band, n, round((n - avg(n) OVER (PARTITION BY band)) / stddev_samp(n) OVER (PARTITION BY band), 4) AS z FROM ({})""".format(LONG))

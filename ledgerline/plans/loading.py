@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.functions import names
+from ledgerline.operators import export as E
 from ledgerline.operators import load as L
 from ledgerline.operators import match as M
+from ledgerline.operators import ops as O
 
 from .inputs import CODES, FILES, given, plain
 from .registry import query
@@ -93,7 +95,7 @@ def w05_widened(spark, d):
 @query("SELECT p_brand, p_partkey FROM part")
 def w06_sorted_export(spark, d):
     path = folder(spark, "w06")
-    given(spark, d, "SELECT p_brand, p_partkey FROM {part}").orderBy("p_brand").write.option("compression", "snappy").parquet(path)
+    E.exported(given(spark, d, "SELECT p_brand, p_partkey FROM {part}"), path)
     return spark.read.parquet(path)
 
 
@@ -120,9 +122,7 @@ def w12_registry_with_last_load(spark, d):
 @query(f"""SELECT 'sources' AS what, count(*) AS n FROM ({SOURCES_SQL}) WHERE table_name LIKE 'tbl_build%' UNION ALL SELECT 'ledger', count(*) FROM ({LEDGER_SQL}) WHERE source IN (SELECT code FROM ({SOURCES_SQL}) WHERE table_name LIKE 'tbl_build%')
 UNION ALL SELECT 'history', count(*) FROM ({HISTORY_SQL}) WHERE source IN (SELECT code FROM ({SOURCES_SQL}) WHERE table_name LIKE 'tbl_build%')""")
 def w14_cascade_delete_counts(spark, d):
-    from ledgerline.operators.ops import cascade
-
-    counts, _ = cascade(given(spark, d, SOURCES), {"ledger": ledger(spark, d), "history": history(spark, d)}, "tbl_build%")
+    counts, _ = O.cascade(given(spark, d, SOURCES), {"ledger": ledger(spark, d), "history": history(spark, d)}, "tbl_build%")
     return counts
 
 
@@ -162,29 +162,30 @@ def j02_pending_work(spark, d):
 
 @query(f"SELECT code FROM ({SOURCES_SQL}) WHERE code NOT IN (SELECT source FROM ({HISTORY_SQL}))")
 def j03_sources_without_tables(spark, d):
-    return given(spark, d, SOURCES).join(history(spark, d).select(F.col("source").alias("code")), "code", "left_anti").select("code")
+    return O.without_source(given(spark, d, SOURCES), history(spark, d), "code", "source").select("code")
 
 
 @query(f"SELECT source, url, id, line FROM ({HISTORY_SQL}) WHERE source NOT IN (SELECT code FROM ({SOURCES_SQL}) WHERE nation > 5)")
 def j04_history_without_source(spark, d):
-    return history(spark, d).join(given(spark, d, SOURCES).where("nation > 5").select(F.col("code").alias("source")), "source", "left_anti").select("source", "url", "id", "line")
+    return O.without_source(history(spark, d), given(spark, d, SOURCES).where("nation > 5"), "source").select("source", "url", "id", "line")
 
 
 @query(f"SELECT source, id FROM ({LEDGER_SQL}) WHERE source NOT IN (SELECT code FROM ({SOURCES_SQL}) WHERE nation > 5)")
 def j05_ledger_without_source(spark, d):
-    return ledger(spark, d).join(given(spark, d, SOURCES).where("nation > 5").select(F.col("code").alias("source")), "source", "left_anti").select("source", "id")
+    return O.without_source(ledger(spark, d), given(spark, d, SOURCES).where("nation > 5"), "source").select("source", "id")
 
 
 @query("SELECT 'p' || page_id || '.parquet' AS file, page_id % 2 = 0 AS has_dictionary FROM pages WHERE page_id NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey > 10)")
 def j06_files_without_source(spark, d):
     files = given(spark, d, "SELECT page_id, concat('p', page_id, '.parquet') AS file, page_id % 2 = 0 AS has_dictionary FROM {pages}")
-    return files.join(given(spark, d, "SELECT c_custkey AS page_id FROM {customer} WHERE c_nationkey > 10"), "page_id", "left_anti").select("file", "has_dictionary")
+    known = given(spark, d, "SELECT c_custkey FROM {customer} WHERE c_nationkey > 10")
+    return O.without_source(files, known, "page_id", "c_custkey").select("file", "has_dictionary")
 
 
 @query(f"SELECT DISTINCT \"table\" FROM ({columns_sql(NEW)}) WHERE \"table\" NOT IN (SELECT concat('tBrand#', c_nationkey) FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 9000)")
 def j07_tables_without_source(spark, d):
-    known = given(spark, d, "SELECT concat('tBrand#', c_nationkey) AS `table` FROM {customer} WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 9000")
-    return columns(spark, d, NEW).select("table").distinct().join(known, "table", "left_anti")
+    known = given(spark, d, "SELECT concat('tBrand#', c_nationkey) AS code FROM {customer} WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 9000")
+    return O.without_source(columns(spark, d, NEW).select("table").distinct(), known, "table")
 
 
 @query(f"SELECT a.\"table\", a.\"column\", b.type AS told FROM ({columns_sql(NEW)}) a LEFT JOIN ({columns_sql(OLD)}) b ON lower(a.\"table\") = lower(b.\"table\") AND lower(a.\"column\") = lower(b.\"column\")")
@@ -208,10 +209,7 @@ def j09_forgiving_match(spark, d):
 
 @query(f"SELECT l.id, l.source, l.status, s.domain, h.n AS loads FROM ({LEDGER_SQL}) l LEFT JOIN ({SOURCES_SQL}) s ON s.code = l.source LEFT JOIN (SELECT source, count(*) AS n FROM ({HISTORY_SQL}) GROUP BY 1) h ON h.source = s.code WHERE l.status = 'loaded'")
 def j10_lineage(spark, d):
-    loads = history(spark, d).groupBy(F.col("source").alias("h_source")).agg(F.count("*").alias("loads"))
-    sources = given(spark, d, SOURCES).select("code", "domain")
-    out = ledger(spark, d).where("status = 'loaded'").join(sources, F.col("source") == F.col("code"), "left").join(loads, F.col("code") == F.col("h_source"), "left")
-    return out.select("id", "source", "status", "domain", "loads")
+    return O.lineage(ledger(spark, d), given(spark, d, SOURCES), history(spark, d)).select("id", "source", "status", "domain", "loads")
 
 
 @query(f"SELECT s.code, coalesce(c.n, 0) AS n_files, CASE WHEN nation < 5 THEN 'north' WHEN nation < 15 THEN 'middle' ELSE 'south' END AS region FROM ({SOURCES_SQL}) s LEFT JOIN (SELECT source, count(*) AS n FROM ({LEDGER_SQL}) GROUP BY 1) c ON c.source = s.code WHERE coalesce(c.n, 0) > 0")

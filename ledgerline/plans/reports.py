@@ -32,21 +32,17 @@ def a10_status_counts(spark, d):
 
 @query(f"SELECT period, count(*) AS files, CAST(sum(rows_loaded) FILTER (status = 'loaded') AS BIGINT) AS total_rows, max(updated_at) AS last_load, count(*) FILTER (status <> 'loaded') AS pending FROM ({LEDGER_SQL}) GROUP BY 1")
 def a11_load_status(spark, d):
-    done = F.col("status") == "loaded"
-    return ledger(spark, d).groupBy("period").agg(F.count("*").alias("files"), F.sum(F.when(done, F.col("rows_loaded"))).alias("total_rows"), F.max("updated_at").alias("last_load"), F.count(F.when(~done, 1)).alias("pending"))
+    return O.load_status(ledger(spark, d))
 
 
 @query(f"SELECT CAST(updated_at AS DATE) AS day, count(*) AS files, CAST(sum(rows_loaded) AS BIGINT) AS total_rows, count(DISTINCT manifest_name) AS manifests, count(*) FILTER (status = 'failed') AS failures FROM ({LEDGER_SQL}) WHERE updated_at >= TIMESTAMP '2000-01-01' GROUP BY 1")
 def a12_daily_summary(spark, d):
-    rows = ledger(spark, d).where("updated_at >= timestamp_ntz '2000-01-01 00:00:00'")
-    return rows.groupBy(F.to_date("updated_at").alias("day")).agg(F.count("*").alias("files"), F.sum("rows_loaded").alias("total_rows"), F.count_distinct("manifest_name").alias("manifests"), F.count_if(F.col("status") == "failed").alias("failures"))
+    return O.daily_summary(ledger(spark, d), F.expr("timestamp_ntz '2000-01-01 00:00:00'"))
 
 
 @query(f"SELECT s.code, count(DISTINCT l.period) AS periods, CAST(coalesce(sum(l.rows_loaded), 0) AS BIGINT) AS total_rows, max(l.updated_at) AS last_load, CASE WHEN max(l.updated_at) >= TIMESTAMP '2000-06-01' THEN 'Active' ELSE 'Stale' END AS health FROM ({SOURCES_SQL}) s LEFT JOIN ({LEDGER_SQL}) l ON l.source = s.code GROUP BY 1")
 def a13_publication_health(spark, d):
-    loads = ledger(spark, d).groupBy(F.col("source").alias("code")).agg(F.count_distinct("period").alias("periods"), F.sum("rows_loaded").alias("total_rows"), F.max("updated_at").alias("last_load"))
-    out = given(spark, d, SOURCES).select("code").join(loads, "code", "left").na.fill(0, ["periods", "total_rows"])
-    return out.withColumn("health", F.when(F.col("last_load") >= F.lit("2000-06-01").cast("timestamp_ntz"), "Active").otherwise("Stale"))
+    return O.publication_health(given(spark, d, SOURCES), ledger(spark, d), F.lit("2000-06-01").cast("timestamp_ntz"))
 
 
 @query(f"SELECT k % 5 AS error_type, count(*) AS errors, array_to_string(list_sort(list_distinct(list(CAST(run_id AS VARCHAR)))), ',') AS runs FROM ({EVENTS_SQL}) WHERE event_type = 'error' GROUP BY 1")
@@ -56,30 +52,27 @@ def a14_error_breakdown(spark, d):
 
 @query(f"SELECT event_type, count(*) AS calls, round(avg(value), 4) AS mean, max(value) AS most FROM ({EVENTS_SQL}) GROUP BY 1")
 def a15_stage_performance(spark, d):
-    return events(spark, d).groupBy("event_type").agg(F.count("*").alias("calls"), F.round(F.avg("value"), 4).alias("mean"), F.max("value").alias("most"))
+    return O.stage_performance(events(spark, d), "event_type", "value")
 
 
 @query(f"SELECT date_trunc('day', ts) AS day, count(*) AS calls, CAST(sum(k) AS BIGINT) AS tokens, CAST(sum(k) AS BIGINT) * 0.000001 AS cost FROM ({EVENTS_SQL}) GROUP BY 1")
 def a16_a18_cost_per_day(spark, d):
-    return events(spark, d).groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).agg(F.count("*").alias("calls"), F.sum("k").cast("long").alias("tokens")).withColumn("cost", F.col("tokens") * F.lit(0.000001))
+    return O.cost_per_day(events(spark, d), "ts", "k", 0.000001)
 
 
 @query("SELECT md5(text) AS prompt, count(*) AS uses, count(DISTINCT conv_id) AS conversations FROM conversations GROUP BY 1 HAVING count(*) > 1")
 def a17_prompt_reuse(spark, d):
-    return given(spark, d, "SELECT conv_id, text FROM {conversations}").groupBy(F.md5("text").alias("prompt")).agg(F.count("*").alias("uses"), F.count_distinct("conv_id").alias("conversations")).where("uses > 1")
+    return O.prompt_reuse(given(spark, d, "SELECT conv_id, text FROM {conversations}"), "text", "conv_id")
 
 
 @query(f"SELECT source, CAST(sum(rows_loaded) AS BIGINT) AS total_rows, count(DISTINCT period) AS periods, min(period) AS first_period, max(period) AS last_period FROM ({LEDGER_SQL}) GROUP BY 1")
 def a19_completeness(spark, d):
-    return ledger(spark, d).groupBy("source").agg(F.sum("rows_loaded").alias("total_rows"), F.count_distinct("period").alias("periods"), F.min("period").alias("first_period"), F.max("period").alias("last_period"))
+    return O.completeness(ledger(spark, d))
 
 
 @query(f"SELECT manifest_name, count(*) AS total, count(*) FILTER (status = 'loaded') AS loaded, count(*) FILTER (status = 'failed') AS failed, CAST(coalesce(sum(rows_loaded) FILTER (status = 'loaded'), 0) AS BIGINT) AS total_rows, date_diff('month', CAST(max(period) || '-01' AS DATE), DATE '2001-01-01') AS age_months, date_diff('month', CAST(max(period) || '-01' AS DATE), DATE '2001-01-01') <= 2 AS current FROM ({LEDGER_SQL}) GROUP BY 1")
 def a24_batch_statistics(spark, d):
-    status = F.col("status")
-    out = ledger(spark, d).groupBy("manifest_name").agg(F.count("*").alias("total"), F.count_if(status == "loaded").alias("loaded"), F.count_if(status == "failed").alias("failed"), F.coalesce(F.sum(F.when(status == "loaded", F.col("rows_loaded"))), F.lit(0)).alias("total_rows"), F.max("period").alias("last"))
-    age = F.months_between(F.lit("2001-01-01").cast("date"), F.to_date(F.concat("last", F.lit("-01")))).cast("long")
-    return out.withColumns({"age_months": age, "current": age <= 2}).drop("last")
+    return O.batch_statistics(ledger(spark, d), F.lit("2001-01-01").cast("date"))
 
 
 RUN = f"""SELECT run_id, min(ts) AS began, max(ts) AS ended, count(*) FILTER (event_type = 'signup') AS started, count(*) FILTER (event_type = 'purchase') AS completed, count(*) FILTER (event_type = 'error' AND k < 10) AS failed, arg_min(k, CASE WHEN event_type = 'error' AND k < 10 THEN ts END) AS first_failure FROM ({EVENTS_SQL}) GROUP BY 1"""
@@ -318,9 +311,7 @@ def r12_manifest_findings(spark, d):
 
 @query(f"""SELECT source, count(*) AS files, bool_or(status = 'loaded') AS enabled, string_agg(period, ',' ORDER BY period NULLS LAST, id) AS periods, CASE WHEN bool_or(status = 'failed') THEN 'append' ELSE 'replace' END AS mode FROM ({LEDGER_SQL}) GROUP BY 1""")
 def r13_r16_grouped_files(spark, d):
-    files = F.array_sort(F.collect_list(F.struct(F.col("period").isNull().alias("last"), "period", "id")))
-    out = ledger(spark, d).groupBy("source").agg(F.count("*").alias("files"), F.bool_or(F.col("status") == "loaded").alias("enabled"), files.alias("f"), F.bool_or(F.col("status") == "failed").alias("bad"))
-    return out.select("source", "files", "enabled", F.array_join(F.transform("f", lambda x: x["period"]), ",").alias("periods"), F.when(F.col("bad"), "append").otherwise("replace").alias("mode"))
+    return O.grouped_files(ledger(spark, d))
 
 
 @query(f"SELECT code FROM (SELECT code, CASE WHEN contains(lower(code), 'widget') THEN 1.0 ELSE 0.0 END + CASE WHEN contains(lower(code), 'red') THEN 1 ELSE 0 END + CASE WHEN length(code) > 18 THEN 0.5 ELSE 0 END AS score FROM ({plain(CODES)})) ORDER BY score DESC, code LIMIT 1")

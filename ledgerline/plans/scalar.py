@@ -35,9 +35,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY h) AS ordinal, fir
 SELECT h, name, CASE WHEN ordinal > 1 THEN name || '_' || ordinal ELSE name END AS column_name, first_header FROM r""")
 def d03_column_mapping(spark, d):
     named = given(spark, d, HEADERS).select("h", names.schema_name(F.col("h")).alias("name"))
-    numbered = names.numbered(named, "name", "h", [])
-    first = numbered.where("ordinal = 1").select("name", F.col("h").alias("first_header"))
-    return numbered.join(first, "name").select("h", "name", "column_name", "first_header")
+    return names.numbered(named, "name", "h", []).select("h", "name", "column_name", "first_header")
 
 
 @query(f"""SELECT h, regexp_full_match(h, '[a-z_][a-z0-9_]*') AND length(h) <= 63 AS valid,

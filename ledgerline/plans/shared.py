@@ -6,9 +6,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from ledgerline.sources.tables import shared_folder
+from ledgerline.sources.tables import at_end_removed, shared_folder
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder below spark.checkpoint.dir, which goes when the driver ends."""
+    return at_end_removed(spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")

@@ -32,7 +32,7 @@ def stored(df, name):
 
 
 def cells(spark, d):
-    return stored(given(spark, d, CELLS), "cells")
+    return stored(S.classified(given(spark, d, CELLS)), "cells")
 
 
 MARKS = ", ".join(f"'{m}'" for m in S.SHEET_MARKERS)

@@ -22,6 +22,16 @@ def shared_folder(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+def at_end_removed(spark: SparkSession, path: str) -> str:
+    """`path`, which goes when the session's driver ends: what queries write there lives as long as what reads it may."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(where)
+    system.deleteOnExit(where)  # only what is there can be marked
+    system.delete(where, True)  # so that a writer may make it
+    return path
+
+
 def kept(df: DataFrame) -> DataFrame:
     """`df` computed once, as a checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
