@@ -59,6 +59,23 @@ def seasonality(df: DataFrame, day: str, value: str) -> DataFrame:
     return df.groupBy(F.month(day).alias("month")).agg(F.count("*").alias("periods"), F.round(F.avg(value), 2).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"), F.round(F.stddev_samp(value), 2).alias("spread"))
 
 
+def band_totals(df: DataFrame, band: str, value: str) -> DataFrame:
+    """Total, mean, least and most of each band."""
+    return df.groupBy(band).agg(F.sum(value).alias("total"), F.round(F.avg(value), 4).alias("mean"), F.min(value).alias("least"), F.max(value).alias("most"))
+
+
+def variation(df: DataFrame, band: str, value: str) -> DataFrame:
+    """Each band's coefficient of variation, null where the mean is zero."""
+    return df.groupBy(band).agg(F.round(F.try_divide(F.stddev_samp(value), F.avg(value)), 6).alias("variation"))
+
+
+def share_of(df: DataFrame, keep: list[str], parts: dict[str, list[str]]) -> DataFrame:
+    """For each name the share, in per cent, of its columns in the sum of all columns named; null where that is zero."""
+    every = list(dict.fromkeys(c for columns in parts.values() for c in columns))
+    whole = sum((F.col(c) for c in every), F.lit(0))
+    return df.select(*keep, *[F.round(F.try_divide(sum((F.col(c) for c in columns), F.lit(0)) * 100, whole), 2).alias(name) for name, columns in parts.items()])
+
+
 def snapshot_comparison(df: DataFrame, snapshot: str, band: str, value: str, now: object, then: object) -> DataFrame:
     """For each band two snapshots' values, change, growth, and shares with their change in points."""
     both = df.where(F.col(snapshot).isin(now, then)).groupBy(band).agg(F.sum(F.when(F.col(snapshot) == now, F.col(value))).alias("now"), F.sum(F.when(F.col(snapshot) == then, F.col(value))).alias("then"))

@@ -99,6 +99,23 @@ def lineage(ledger: DataFrame, sources: DataFrame, history: DataFrame) -> DataFr
     return out.drop("_code", "_source")
 
 
+def work_list(ledger: DataFrame, enabled: DataFrame, done: tuple[str, ...] = ("loaded",)) -> DataFrame:
+    """Files of enabled sources (code) that aren't done yet."""
+    open_files = ledger.where(~F.col("status").isin(*done))
+    return open_files.join(enabled.select(F.col("code").alias("source")), "source", "left_semi")
+
+
+def manifest_files(ledger: DataFrame, manifest: str) -> DataFrame:
+    """A manifest's files, the last changed first."""
+    return ledger.where(F.col("manifest_name") == manifest).orderBy(F.desc("updated_at"), "id")
+
+
+def best_for(datasets: DataFrame, words: list[str], is_large: Column, code: str = "code") -> DataFrame:
+    """The dataset whose code holds most of the words, half a point more for a large one; the first by code of equals."""
+    score = sum((F.contains(F.lower(code), F.lit(w.lower())).cast("int") for w in words), F.lit(0)) + F.when(is_large, 0.5).otherwise(0.0)
+    return datasets.orderBy(F.desc(score), code).limit(1)
+
+
 def grouped_files(ledger: DataFrame, by: str = "source") -> DataFrame:
     """Sources with their files' periods in order, nulls last, whether one is loaded, and the mode that failures ask for."""
     files = F.array_sort(F.collect_list(F.struct(F.col("period").isNull().alias("last"), "period", "id")))  # a source's files

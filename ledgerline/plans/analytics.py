@@ -54,8 +54,7 @@ def n03_latest_snapshot(spark, d):
 
 @query(f"SELECT day, round((urgent + high) * 100 / nullif(urgent + high + medium + unspecified + low, 0), 2) AS short_pct, round((medium + unspecified + low) * 100 / nullif(urgent + high + medium + unspecified + low, 0), 2) AS long_pct FROM ({MONTHLY})")
 def n04_short_and_long(spark, d):
-    whole = sum((F.col(b) for b in BANDS), F.lit(0))
-    return monthly(spark, d).select("day", F.round(F.try_divide((F.col("urgent") + F.col("high")) * 100, whole), 2).alias("short_pct"), F.round(F.try_divide((F.col("medium") + F.col("unspecified") + F.col("low")) * 100, whole), 2).alias("long_pct"))
+    return A.share_of(monthly(spark, d), ["day"], {"short_pct": ["urgent", "high"], "long_pct": ["medium", "unspecified", "low"]})
 
 
 @query("SELECT o_custkey, o_orderkey, o_orderdate FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1")
@@ -221,12 +220,12 @@ def a04_seasonality(spark, d):
 
 @query(f"SELECT band, CAST(sum(n) AS BIGINT) AS total, round(avg(n), 4) AS mean, min(n) AS least, max(n) AS most FROM ({LONG}) GROUP BY 1")
 def a05_band_totals(spark, d):
-    return long(spark, d).groupBy("band").agg(F.sum("n").alias("total"), F.round(F.avg("n"), 4).alias("mean"), F.min("n").alias("least"), F.max("n").alias("most"))
+    return A.band_totals(long(spark, d), "band", "n")
 
 
 @query(f"SELECT band, round(stddev_samp(n) / avg(n), 6) AS variation FROM ({LONG}) GROUP BY 1")
 def a06_variation(spark, d):
-    return long(spark, d).groupBy("band").agg(F.round(F.stddev_samp("n") / F.avg("n"), 6).alias("variation"))
+    return A.variation(long(spark, d), "band", "n")
 
 
 @query("""SELECT l_returnflag, round(var_samp(l_quantity), 4) AS variance, median(l_quantity) AS middle, quantile_cont(l_quantity, 0.9) AS p90, round(corr(l_quantity, l_extendedprice), 6) AS correlation, round(regr_slope(l_extendedprice, l_quantity), 3) AS slope FROM lineitem GROUP BY 1""")

@@ -296,8 +296,7 @@ def r07_catalog_filter(spark, d):
 
 @query(f"SELECT l.id, l.source FROM ({LEDGER_SQL}) l JOIN ({SOURCES_SQL}) s ON s.code = l.source WHERE s.weight > 0 AND l.status <> 'loaded'")
 def r11_work_list(spark, d):
-    enabled = given(spark, d, SOURCES).where("weight > 0").select(F.col("code").alias("source"))
-    return ledger(spark, d).where("status <> 'loaded'").join(enabled, "source", "left_semi").select("id", "source")
+    return O.work_list(ledger(spark, d), given(spark, d, SOURCES).where("weight > 0")).select("id", "source")
 
 
 @query(f"""SELECT id, level, finding FROM (SELECT id, 'error' AS level, 'failed file' AS finding FROM ({LEDGER_SQL}) WHERE status = 'failed' UNION ALL SELECT id, 'warning', 'few rows' FROM ({LEDGER_SQL}) WHERE rows_loaded < 5000 UNION ALL SELECT id, 'warning', 'odd period' FROM ({LEDGER_SQL}) WHERE period LIKE '%-13' UNION ALL
@@ -316,11 +315,9 @@ def r13_r16_grouped_files(spark, d):
 
 @query(f"SELECT code FROM (SELECT code, CASE WHEN contains(lower(code), 'widget') THEN 1.0 ELSE 0.0 END + CASE WHEN contains(lower(code), 'red') THEN 1 ELSE 0 END + CASE WHEN length(code) > 18 THEN 0.5 ELSE 0 END AS score FROM ({plain(CODES)})) ORDER BY score DESC, code LIMIT 1")
 def k05_best_dataset(spark, d):
-    low = F.lower("code")
-    score = F.contains(low, F.lit("widget")).cast("int") + F.contains(low, F.lit("red")).cast("int") + F.when(F.length("code") > 18, 0.5).otherwise(0.0)
-    return given(spark, d, CODES).orderBy(F.desc(score), "code").limit(1)
+    return O.best_for(given(spark, d, CODES), ["widget", "red"], F.length("code") > 18)
 
 
 @query(f"SELECT id, manifest_name, period FROM ({LEDGER_SQL}) WHERE manifest_name = 'm7'")
 def k07_manifest_files(spark, d):
-    return ledger(spark, d).where("manifest_name = 'm7'").orderBy(F.desc("updated_at"), "id").select("id", "manifest_name", "period")
+    return O.manifest_files(ledger(spark, d), "m7").select("id", "manifest_name", "period")
