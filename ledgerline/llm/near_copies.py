@@ -9,8 +9,12 @@ In a group, simhash's Gray-order hierarchical index searches for fingerprints wi
 it finds those are near that agree in half of the 48 minima, which one in 10^6 texts of similarity 0.8 don't. Texts
 that chains of near pairs join are gathered once, with their shingles. There the index searches again, and a pair
 is linked if the exact similarity of the two sets is `alike` or more. Tasks pass on a spanning forest of what they
-find, never the pairs; simhash.components joins the forests. A group of more texts than BLOCK (SETS where shingles
-come along) is dealt as pairs of blocks, so that tasks are of bounded size.
+find, never the pairs; simhash.components joins the forests.
+
+A group of more texts than BLOCK (SETS where shingles come along) is first compared with its middle, the text whose fingerprint is nearest
+the bitwise majority of the group's. Those that pass hang together by the middle and need no comparison with one another. The others are dealt in
+blocks, and each such block meets every block, so that tasks are of bounded size. A family of copies around a text, of any
+size, so costs rows in proportion to it; a large group that has no such middle still costs pairs of blocks.
 
 Defined cases: words are those of simhash.fingerprint; fewer words than a shingle form one shingle; null and
 wordless texts have an empty set and equal one another; rows without a doc_id stay; repeated doc_ids stay or
@@ -97,12 +101,55 @@ def shingled(docs: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
     return map_batches(rows, batch, "key long, fp long, shingles binary").groupBy("key").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles"))
 
 
-def in_blocks(members: DataFrame, block: int) -> DataFrame:
-    """`members` (value, key and more) with x and y: 0 in groups of up to `block` texts, else each pair of blocks that a text belongs to."""
-    sizes = members.groupBy("value").agg(F.count("*").alias("size")).where(F.col("size") > block)
-    blocks = F.ceil(F.coalesce("size", F.lit(1)) / block).cast("int")
-    dealt = members.join(stored(sizes), "value", "left").withColumns({"_own": F.pmod(F.xxhash64("key"), blocks).cast("int"), "_with": F.explode(F.sequence(F.lit(0), blocks - 1))})
-    return dealt.withColumns({"x": F.least("_own", "_with"), "y": F.greatest("_own", "_with")}).drop("size", "_own", "_with")
+def large_groups(members: DataFrame, block: int) -> DataFrame:
+    """value and middle (a key) of the groups of more than `block` of the `members` (value, key, fp)."""
+    sizes = stored(members.groupBy("value").agg(F.count("*").alias("size")).where(F.col("size") > block))
+    if sizes.isEmpty():
+        return sizes.select("value", F.lit(0).cast("long").alias("middle")).limit(0)
+    ones = [F.sum(F.shiftright("fp", n).bitwiseAND(1)).alias(f"ones{n}") for n in range(BITS)]
+    own = members.select("value", "key", "fp").join(sizes, "value")
+    counts = own.groupBy("value").agg(F.count("*").alias("all"), *ones)
+    majority_bits = F.lit(0).cast("long")
+    for n in range(BITS):
+        majority_bits = majority_bits.bitwiseOR(F.when(2 * F.col(f"ones{n}") > F.col("all"), F.shiftleft(F.lit(1).cast("long"), n)).otherwise(F.lit(0).cast("long")))
+    told = stored(counts.select("value", majority_bits.alias("majority")))
+    away = F.bit_count(F.col("fp").bitwiseXOR(F.col("majority")))
+    return stored(own.join(told, "value").groupBy("value").agg(F.min(F.struct(away.alias("away"), "key")).alias("first")).select("value", F.col("first.key").alias("middle")))
+
+
+def around_middles(members: DataFrame, large: DataFrame, column: str, passes: Callable[[bytes, bytes], bool]) -> DataFrame:
+    """value, key, middle and passed of the members of large groups: whether `passes` holds of their `column` and their middle's."""
+    centres = members.join(large, "value").where("key = middle").groupBy("value").agg(F.first("middle").alias("middle"), F.first(column).alias("_centre"))
+
+    def batch(columns: dict[str, list]) -> dict[str, object]:
+        found = [k == m or passes(x, c) for k, m, x, c in zip(columns["key"], columns["middle"], columns[column], columns["_centre"], strict=True)]
+        return {"value": pa.array(columns["value"], pa.int64()), "key": pa.array(columns["key"], pa.int64()), "middle": pa.array(columns["middle"], pa.int64()), "passed": pa.array(found, pa.bool_())}
+
+    return map_batches(members.select("value", "key", column).join(centres, "value"), batch, "value long, key long, middle long, passed boolean")
+
+
+def in_blocks(members: DataFrame, judged: DataFrame | None, block: int) -> DataFrame:
+    """`members` with x and y: 0 in groups that aren't `judged`, else each pair of blocks that a text belongs to, one of them of texts that didn't pass."""
+    if judged is None:
+        return members.withColumns({"x": F.lit(0), "y": F.lit(0)})
+    groups = stored(judged.groupBy("value").agg(F.ceil(F.count_if("passed") / block).cast("int").alias("near"), F.ceil(F.count_if(~F.col("passed")) / block).cast("int").alias("far")))
+    small = members.join(groups.select("value"), "value", "left_anti").withColumns({"x": F.lit(0), "y": F.lit(0)})
+    own = F.when(F.col("passed"), F.pmod(F.xxhash64("key"), "near")).otherwise(F.col("near") + F.pmod(F.xxhash64("key"), "far")).cast("int")
+    first, last = F.when(F.col("passed"), F.col("near")).otherwise(0), F.col("near") + F.col("far") - 1
+    partners = F.when(F.col("far") > 0, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    dealt = members.join(judged.select("value", "key", "passed"), ["value", "key"]).join(groups, "value").withColumns({"_own": own, "_with": F.explode(partners)})
+    dealt = dealt.withColumns({"x": F.least("_own", "_with"), "y": F.greatest("_own", "_with")})
+    return small.unionByName(dealt.drop("passed", "near", "far", "_own", "_with"))
+
+
+def with_middles(members: DataFrame, block: int, column: str, passes: Callable[[bytes, bytes], bool], search: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Edges (a, b) that `search` finds in groups in blocks, and those of large groups to their middles."""
+    large = large_groups(members, block)
+    if large.isEmpty():
+        return search(in_blocks(members, None, block))
+    judged = stored(around_middles(members, large, column, passes))
+    stars = judged.where("passed and key <> middle").select(F.col("key").alias("a"), F.col("middle").alias("b"))
+    return search(in_blocks(members, judged, block)).unionByName(stars)
 
 
 def by_groups(df: DataFrame, columns: list[str], chunk: int, fn: Callable[..., tuple[np.ndarray, np.ndarray]]) -> DataFrame:
@@ -157,6 +204,19 @@ def joined(fps: np.ndarray, number: np.ndarray, distance: int, test: Callable[[n
     return root
 
 
+def agree(a: bytes, b: bytes) -> bool:
+    return int(np.count_nonzero(np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8))) >= AGREE
+
+
+def similar_sets(alike: float) -> Callable[[bytes, bytes], bool]:
+    def similar(a: bytes, b: bytes) -> bool:
+        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return both >= alike * (len(x) + len(y) - both)
+
+    return similar
+
+
 def near_pairs(members: DataFrame, distance: int) -> DataFrame:
     """Edges (a, b) between texts of a group whose fingerprints and sketches are near."""
 
@@ -218,9 +278,11 @@ def near_copies(docs: DataFrame, alike: float = 0.8, shingle: int = 5, distance:
     rows = stored(marked(docs, shingle))
     texts = stored(rows.groupBy("key").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("fp", "groups", "sketch")]))
     members = texts.select(F.explode("groups").alias("value"), "key", "fp", "sketch")
-    near = stored(components(stored(near_pairs(in_blocks(members, BLOCK), distance))).select(F.col("root").alias("value"), F.col("node").alias("key")))
-    sets = shingled(docs, near.select("key"), shingle)
-    roots = stored(components(stored(links(in_blocks(near, SETS).join(sets, "key"), distance, alike))))
+    weak = stored(with_middles(members, BLOCK, "sketch", agree, lambda m: near_pairs(m, distance)))
+    near = stored(components(weak).select(F.col("root").alias("value"), F.col("node").alias("key")))
+    sets = stored(shingled(docs, near.select("key"), shingle))
+    linked = with_middles(near.join(sets, "key"), SETS, "shingles", similar_sets(alike), lambda m: links(m, distance, alike))
+    roots = stored(components(stored(linked)))
     placed = texts.select("key", "least").join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root"))
     named = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("key", "component_id")
     return rows.select("doc_id", "key").join(stored(named), "key").select("doc_id", "component_id")

@@ -67,6 +67,23 @@ def test_components_equal_brute_force(spark, monkeypatch, texts, block):
     assert got == brute(texts)
 
 
+@pytest.mark.parametrize("strays", [0, 25])
+def test_a_large_family_around_a_text_costs_rows_in_proportion(spark, monkeypatch, strays):
+    """Variants of one text, alike to it though not to one another, in groups far over the block: each is compared with the middle alone."""
+    monkeypatch.setattr(near_copies, "BLOCK", 40)
+    monkeypatch.setattr(near_copies, "SETS", 40)
+    dealt = []
+    was = near_copies.in_blocks
+    monkeypatch.setattr(near_copies, "in_blocks", lambda m, judged, block: dealt.append((m.count(), was(m, judged, block))) or dealt[-1][1])
+    rng = random.Random(5)
+    base = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(200))
+    rows = [(0, base), *((k, changed(rng, base, 4)) for k in range(1, 300)), *((1000 + k, changed(rng, base, 5 + k % 10)) for k in range(strays))]
+    got = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == brute(rows)
+    texts, blocks = dealt[1]  # where shingles come along
+    assert blocks.count() <= (0 if not strays else 3 * texts)
+
+
 def test_stage_removes_near_copies_that_two_bits_miss(spark, texts):
     df = spark.createDataFrame([*texts, (None, texts[0][1])], "doc_id long, text string")
     got = [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()]
