@@ -25,8 +25,8 @@ def renamed(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 def date_columns(df: DataFrame) -> tuple[list[str], list[str]]:
     """The columns whose names are dates, and the others; names are few and are classified in one small job."""
-    rows = df.sparkSession.createDataFrame([(n,) for n in df.columns], "n string").select("n", is_date_header(F.col("n")).alias("d")).collect()
-    dates = {r["n"] for r in rows if r["d"]}
+    rows = literal_rows(df.sparkSession, df.columns).select("h", is_date_header(F.col("h")).alias("d")).collect()
+    dates = {r["h"] for r in rows if r["d"]}
     return [c for c in df.columns if c in dates], [c for c in df.columns if c not in dates]
 
 
@@ -44,10 +44,15 @@ def unpivoted(df: DataFrame, static: list[str], dates: list[str], value: str = "
 
 def header_days(spark: SparkSession, headers: list[str]) -> dict[str, str | None]:
     """The day that each header stands for; headers are few and are read in one small job."""
-    rows = spark.createDataFrame([(h,) for h in headers], "h string").select("h", header_date(F.col("h")).alias("d")).collect()
+    rows = literal_rows(spark, headers).select("h", header_date(F.col("h")).alias("d")).collect()
     return {r["h"]: r["d"] for r in rows}
 
 
+def literal_rows(spark: SparkSession, texts: list[str]) -> DataFrame:
+    """A row (h) for each text, without a Python worker."""
+    return spark.range(0, 1, 1, 1).select(F.explode(F.array(*[F.lit(t) for t in texts]).cast("array<string>")).alias("h"))
+
+
 def unpivoted_if_wide(df: DataFrame, value: str = "value", period: str = "period") -> tuple[DataFrame, bool]:
     """The long form where at least three columns are dates, else the table itself."""
     dates, static = date_columns(df)
