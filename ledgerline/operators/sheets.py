@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.functions import clean, names
+from ledgerline.sources.tables import kept
 
 SHEET = ["file", "sheet"]
 # Fixed values.
@@ -122,8 +123,8 @@ def data_ends(cells: DataFrame, starts: DataFrame) -> DataFrame:
     rows = near.groupBy(*SHEET, "data_start", "row").agg(F.bool_or(F.lower(F.trim("value")).rlike(STOP)).alias("stops"))
     gap = F.col("row") - F.lag("row").over(Window.partitionBy(*SHEET).orderBy("row"))
     broken = rows.withColumn("gap", gap).groupBy(*SHEET).agg(F.min(F.when(F.col("stops") | (F.col("gap") >= 6), F.col("row"))).alias("breaks"))
-    kept = rows.join(broken, SHEET).where("breaks is null or row < breaks")
-    end = kept.groupBy(*SHEET).agg(F.max("row").alias("data_end"))
+    above = rows.join(broken, SHEET).where("breaks is null or row < breaks")
+    end = above.groupBy(*SHEET).agg(F.max("row").alias("data_end"))
     return starts.join(end, SHEET, "left").withColumn("data_end", F.coalesce("data_end", F.col("data_start") - 1))
 
 
@@ -244,8 +245,8 @@ def preview(cells: DataFrame, extents: DataFrame, columns: DataFrame, rows: int
 
 def structures(cells: DataFrame) -> DataFrame:
     """One row for each sheet: kind, extents, first column, orientation and number of columns; sheets without headers are UNRECOGNISED."""
-    starts = data_starts(cells, header_rows(cells))
-    extents = data_ends(cells, starts)
+    starts = kept(data_starts(cells, header_rows(cells)))
+    extents = kept(data_ends(cells, starts))
     columns = column_names(cells, starts).groupBy(*SHEET).agg(F.count("*").alias("n_columns"))
     out = sheet_kinds(cells).join(extents, SHEET, "left").join(first_column_kinds(cells, extents), SHEET, "left").join(orientations(cells, starts), SHEET, "left").join(columns, SHEET, "left")
     valid = (F.col("kind") == "TABULAR") & F.col("first_header").isNotNull()

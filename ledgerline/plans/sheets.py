@@ -25,9 +25,12 @@ SQL = plain(CELLS)
 
 
 def stored(df, name):
-    """`df` as a stored table: sheets are read many times."""
+    """`df` as a stored table: sheets are read many times.
+
+    Spark takes a table's size on disk for its size in memory. Repeated texts would shrink to a hundredth there and be broadcast, so they're written as they are.
+    """
     path = folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
