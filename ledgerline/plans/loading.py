@@ -10,7 +10,7 @@ from ledgerline.operators import load as L
 from ledgerline.operators import match as M
 from ledgerline.operators import ops as O
 
-from .inputs import CODES, FILES, given, plain
+from .inputs import CODES, FILES, given, plain, settled
 from .registry import query
 from .scalar import stable_sql
 from .shared import folder
@@ -359,7 +359,7 @@ def a23_load_check(spark, d):
 SELECT t AS "table", CASE WHEN dated >= 6 THEN 'time_series_wide' WHEN snap > 0 THEN 'point_in_time_snapshot' WHEN incr > 0 THEN 'incremental_transactional' WHEN regexp_matches(lower('History over time ' || t), 'historical|time series|trend|over time') THEN 'time_series_wide' ELSE 'unknown' END AS pattern,
 CASE WHEN dated >= 6 THEN 0.95 WHEN snap > 0 THEN 0.8 WHEN incr > 0 THEN 0.75 ELSE 0.7 END::DOUBLE AS confidence, CASE WHEN dated < 6 AND snap > 0 THEN 'append' ELSE 'replace' END AS mode FROM k""")
 def a32_load_mode(spark, d):
-    rows = given(spark, d, CODES).select(F.regexp_extract("code", "^[a-z0-9]+", 0).alias("table"), F.col("code").alias("column")).where("`table` <> ''")
+    rows = settled(given(spark, d, CODES)).select(F.regexp_extract("code", "^[a-z0-9]+", 0).alias("table"), F.col("code").alias("column")).where("`table` <> ''")
     return L.load_modes(rows, rows.select("table").distinct().withColumn("description", F.lit("History over time")))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 
@@ -13,3 +15,12 @@ def test_stored_tables_are_estimated_as_large_as_they_are(spark):
     back = stored(cells, "cells")
     assert int(back._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > 200_000 * 24
     assert back.exceptAll(cells).isEmpty() and back.count() == 200_000
+
+
+def test_lines_meet_orders_and_parts_without_sorts_or_broadcasts(spark):
+    """d08 to d23, a32, k05, w18: what sorted the lines grew with them; repeats go before codes are spelt, and lines are joined once."""
+    from ledgerline.plans.inputs import CODES, FILES, given
+
+    for sql in (CODES, FILES):
+        plan = given(spark, "/root/testdata/sf0.001", sql)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and "ShuffledHashJoin" in plan
