@@ -136,7 +136,8 @@ def matched_sources(draft: DataFrame, reference: DataFrame) -> DataFrame:
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumns({"file": F.regexp_extract("url", "([^/]*)$", 1), "pattern": names.stable_url(F.col("url"))})
 
-    d, r = keyed(draft), keyed(reference).select("code", "file", "pattern", "sheet", "member")
+    # computed once: every way reads both, and a join would test each name for null wherever it was made
+    d, r = kept(keyed(draft)), kept(keyed(reference).select("code", "file", "pattern", "sheet", "member"))
     ways = [["file"], ["pattern", "sheet"], ["pattern", "member"], ["pattern"]]
     tries = [d.select("url", *way).distinct().join(r.groupBy(*way).agg(F.min("code").alias("code")), way).select("url", "code", F.lit(k).alias("priority")) for k, way in enumerate(ways)]
     hits = tries[0]

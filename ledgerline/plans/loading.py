@@ -9,6 +9,7 @@ from ledgerline.operators import export as E
 from ledgerline.operators import load as L
 from ledgerline.operators import match as M
 from ledgerline.operators import ops as O
+from ledgerline.sources.tables import kept
 
 from .inputs import CODES, FILES, given, plain, settled
 from .registry import query
@@ -252,7 +253,7 @@ SELECT DISTINCT url, code, priority FROM h QUALIFY row_number() OVER (PARTITION
 
 @query(J15_SQL)
 def j15_matched_sources(spark, d):
-    rows = given(spark, d, J15)
+    rows = kept(given(spark, d, J15))
     return M.matched_sources(rows, rows.withColumns({"url": F.regexp_replace("url", "(-revised)?\\.csv$", "-final.csv"), "code": F.md5("url")}))
 
 

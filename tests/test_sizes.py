@@ -24,3 +24,11 @@ def test_lines_meet_orders_and_parts_without_sorts_or_broadcasts(spark):
     for sql in (CODES, FILES):
         plan = given(spark, "/root/testdata/sf0.001", sql)._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and "ShuffledHashJoin" in plan
+
+
+def test_matched_sources_works_file_names_out_once(spark):
+    """j15 read all tables for every way, and tested every pattern of every line."""
+    from ledgerline.plans.registry import load
+
+    plan = plan_of(load()["j15_matched_sources"].run(spark, "/root/testdata/sf0.001"))
+    assert "Relation" not in plan and "regexp_replace" not in plan
