@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import clean, names, periods
 
-from .inputs import CODES, FILES, HEADERS, PERIOD_TEXTS, PERIODS, VALUES, given, plain
+from .inputs import CODES, FILES, HEADERS, PERIOD_TEXTS, PERIODS, VALUES, given, plain, settled
 from .registry import query
 
 QUOTED = ", ".join(f"'{w}'" for w in names.RESERVED)
@@ -285,7 +285,7 @@ def p08_schedule(spark, d):
 
 @query(f"""SELECT code, 'https://x.example.org/' || lower(strftime(s, '%B')) || '-' || year(s) || '/' || day(last_day(s)) || '-' || strftime(s + INTERVAL 2 MONTH, '%Y%m') || '.csv' AS url FROM ({SPANNED}) WHERE s IS NOT NULL""")
 def p09_filled_url(spark, d):
-    rows = given(spark, d, PERIODS).where(periods.period_start(F.col("code")).isNotNull())
+    rows = settled(given(spark, d, PERIODS)).where(periods.period_start(F.col("code")).isNotNull())
     template = F.lit("{landing_page}/{month_name}-{year}/{day}-{pub_year}{pub_month}.csv")
     return rows.select("code", periods.filled_url(template, F.col("code"), F.lit("https://x.example.org/"), 2).alias("url"))
 
@@ -294,7 +294,7 @@ def p09_filled_url(spark, d):
 e + INTERVAL 42 DAY <= DATE '2000-01-01' AS past FROM ({SPANNED}) WHERE regexp_full_match(code, '\\d{{4}}-(0[1-9]|1[0-2])')""")
 def p10_month_spellings(spark, d):
     code = F.col("code")
-    rows = given(spark, d, PERIODS).where(code.rlike(r"^\d{4}-(0[1-9]|1[0-2])$"))
+    rows = settled(given(spark, d, PERIODS)).where(code.rlike(r"^\d{4}-(0[1-9]|1[0-2])$"))
     return rows.select("code", F.array_join(periods.month_spellings(code), "|").alias("spellings"), periods.is_past(code, F.lit("2000-01-01").cast("date")).alias("past"))
 
 

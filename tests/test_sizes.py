@@ -26,6 +26,16 @@ def test_lines_meet_orders_and_parts_without_sorts_or_broadcasts(spark):
         assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and "ShuffledHashJoin" in plan
 
 
+def test_conditions_on_distinct_values_are_tested_after_the_repeats_go(spark):
+    """p09 read every order's five codes by patterns before it dropped repeats."""
+    from ledgerline.plans.registry import load
+
+    for name in ("p09_filled_url", "p10_month_spellings"):
+        plan = plan_of(load()[name].run(spark, "/root/testdata/sf0.001"))
+        below = plan[plan.rindex("Aggregate [", 0, plan.index("Union")):]
+        assert "regexp_extract" not in below and "RLIKE" not in below, name
+
+
 def test_matched_sources_works_file_names_out_once(spark):
     """j15 read all tables for every way, and tested every pattern of every line."""
     from ledgerline.plans.registry import load
