@@ -133,12 +133,24 @@ def quantiles(df: DataFrame, by: str, value: str, wanted: dict[str, float]) -> D
 def profile(df: DataFrame, columns: list[str] | None = None, approximate: bool = False) -> DataFrame:
     """total, non_null, nulls, distinct, least and most of every column, from one pass."""
     names = columns or df.columns
-    count = F.approx_count_distinct if approximate else F.count_distinct
+    values = df.select(*[F.col(f"`{n}`").alias(f"v{k}") for k, n in enumerate(names)])
+    own = [f"v{k}" for k in range(len(names))]
+    if approximate:
+        counts = {c: (F.count(c), F.approx_count_distinct(c)) for c in own}
+        total = F.count("*")
+    else:
+        # each value with its number, in a row of its own column: what repeats in a task's rows goes there, all else by a shuffle
+        dealt = values.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *own)
+        kinds = dict(values.dtypes)
+        alone = [F.struct(F.lit(k).alias("k"), *[(F.col(c) if c == one else F.lit(None).cast(kinds[c])).alias(c) for c in own]) for k, one in enumerate(own)]
+        values = dealt.select(F.explode(F.array(*alone)).alias("r")).select("r.*").groupBy("k", *own).agg(F.count("*").alias("n"))
+        counts = {c: (F.coalesce(F.sum(F.when(F.col(c).isNotNull(), F.col("n"))), F.lit(0)), F.count(c)) for c in own}
+        total = F.coalesce(F.sum(F.when(F.col("k") == 0, F.col("n"))), F.lit(0))
     measures = []
-    for k, n in enumerate(names):
-        c = F.col(f"`{n}`")
-        measures += [F.count(c).alias(f"c{k}"), count(c).alias(f"d{k}"), F.min(c).cast("string").alias(f"l{k}"), F.max(c).cast("string").alias(f"m{k}")]
-    one = df.agg(F.count("*").alias("total"), *measures)
+    for k, c in enumerate(own):
+        number, distinct = counts[c]
+        measures += [number.alias(f"c{k}"), distinct.alias(f"d{k}"), F.min(c).cast("string").alias(f"l{k}"), F.max(c).cast("string").alias(f"m{k}")]
+    one = values.agg(total.alias("total"), *measures)
     rows = [F.struct(F.lit(n).alias("column_name"), F.col("total"), F.col(f"c{k}").alias("non_null"), (F.col("total") - F.col(f"c{k}")).alias("nulls"), F.col(f"d{k}").alias("distinct_values"), F.col(f"l{k}").alias("least"), F.col(f"m{k}").alias("most")) for k, n in enumerate(names)]
     out = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
     return out.withColumn("null_rate", F.round(F.try_divide(F.col("nulls") * 100, F.col("total")), 2))

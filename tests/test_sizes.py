@@ -42,3 +42,18 @@ def test_matched_sources_works_file_names_out_once(spark):
 
     plan = plan_of(load()["j15_matched_sources"].run(spark, "/root/testdata/sf0.001"))
     assert "Relation" not in plan and "regexp_replace" not in plan
+
+
+def test_profiles_do_not_gather_all_columns_values_in_one_task(spark):
+    """a08 sorted every row, once for each column, in the task that read it."""
+    from ledgerline.operators.analytics import profile
+
+    rows = spark.createDataFrame([(1, "b", 0.0), (1, None, -0.0), (2, "a", None), (None, "a", float("nan"))], "i int, s string, x double")
+    profiled = profile(rows)
+    plan = profiled._jdf.queryExecution().executedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "Aggregate(" in line and not re.search("keys?=\\[\\]", line)]
+    assert grouped and all("HashAggregate" in line for line in grouped) and "Expand" not in plan
+    found = {r["column_name"]: (r["total"], r["non_null"], r["nulls"], r["distinct_values"], r["least"], r["most"], r["null_rate"]) for r in profiled.collect()}
+    assert found == {"i": (4, 3, 1, 2, "1", "2", 25.0), "s": (4, 3, 1, 2, "a", "b", 25.0), "x": (4, 3, 1, 2, found["x"][4], "NaN", 25.0)}
+    empty = profile(rows.where("i > 9")).collect()
+    assert [(r["total"], r["non_null"], r["distinct_values"], r["least"], r["null_rate"]) for r in empty] == [(0, 0, 0, None, None)] * 3
