@@ -17,6 +17,10 @@ def test_stored_tables_are_estimated_as_large_as_they_are(spark):
     assert back.exceptAll(cells).isEmpty() and back.count() == 200_000
 
 
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_lines_meet_orders_and_parts_without_sorts_or_broadcasts(spark):
     """d08 to d23, a32, k05, w18: what sorted the lines grew with them; repeats go before codes are spelt, and lines are joined once."""
     from ledgerline.plans.inputs import CODES, FILES, given
@@ -57,3 +61,24 @@ def test_profiles_do_not_gather_all_columns_values_in_one_task(spark):
     assert found == {"i": (4, 3, 1, 2, "1", "2", 25.0), "s": (4, 3, 1, 2, "a", "b", 25.0), "x": (4, 3, 1, 2, found["x"][4], "NaN", 25.0)}
     empty = profile(rows.where("i > 9")).collect()
     assert [(r["total"], r["non_null"], r["distinct_values"], r["least"], r["null_rate"]) for r in empty] == [(0, 0, 0, None, None)] * 3
+
+
+def test_latency_means_do_not_depend_on_the_order_of_adding_up(spark, tmp_path):
+    """a38 and its SQL added doubles up: of a mean in the middle between two results each gave either."""
+    import random
+
+    import duckdb
+
+    from ledgerline.plans.registry import load
+
+    rows = []
+    for seed, kind in enumerate(("click", "view", "purchase", "signup")):
+        cents = [random.Random(seed * 100_000 + k).randrange(0, 10_000) for k in range(19_999)]
+        rows += [(kind, c / 100) for c in cents] + [(kind, (100_000_100 - sum(cents)) / 100)]  # 20,000 values, mean 50.00005
+    spark.createDataFrame(rows, "event_type string, value double").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    entry = load()["a38_latency"]
+    found = {r["event_type"]: (r["mean"], r["middle"], r["p95"]) for r in entry.run(spark, str(tmp_path)).collect()}
+    assert [found[k][0] for k in sorted(found)] == [50.0001] * 4
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    assert {k: (mean, middle, p95) for k, _, mean, middle, p95 in con.execute(entry.sql).fetchall()} == found
