@@ -111,7 +111,8 @@ def assigned(pairs: DataFrame, by: str) -> DataFrame:
 def similar_names(left: DataFrame, free: DataFrame, by: str, least: float) -> DataFrame:
     """Pairs of `left` (key) and `free` (other) of one source whose names are at least `least` similar, with the score.
 
-    Names meet if they share two letters in a row, or one where they are short, and their lengths allow the score: similar ones do.
+    Names meet if they share two letters in a row, or one where they are short, and their lengths allow the score: similar ones do. Two names
+    are compared once, however many sources have both.
     """
 
     def parts(key: Column) -> Column:
@@ -123,11 +124,13 @@ def similar_names(left: DataFrame, free: DataFrame, by: str, least: float) -> Da
         matchers = (SequenceMatcher(None, x, y) for x, y in zip(a, b, strict=True))
         return pd.Series([m.ratio() if m.quick_ratio() >= least else 0.0 for m in matchers], dtype="float64")
 
-    mine, theirs = left.withColumn("part", F.explode(parts(F.col("key")))), free.withColumn("part", F.explode(parts(F.col("other"))))
-    met = mine.join(theirs, [by, "part"]).where(2 * F.least(F.length("key"), F.length("other")) >= least * (F.length("key") + F.length("other"))).drop("part").distinct()
     # few bytes and much work: as many tasks as a shuffle has, however small
-    met = met.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key", "other")
-    return met.withColumn("score", ratio("key", "other")).where(F.col("score") >= least).select(by, F.col("position").cast("long").alias("position"), "column", "reference", "score")
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mine, theirs = (t.select(by, c).distinct().withColumn("part", F.explode(parts(F.col(c)))).repartition(tasks, by, "part") for t, c in ((left, "key"), (free, "other")))
+    met = kept(mine.join(theirs, [by, "part"]).where(2 * F.least(F.length("key"), F.length("other")) >= least * (F.length("key") + F.length("other"))).drop("part").distinct())
+    asked = met.select("key", "other").distinct().repartition(tasks, "key", "other")
+    similar = met.join(asked.withColumn("score", ratio("key", "other")).where(F.col("score") >= least), ["key", "other"])
+    return left.join(similar, [by, "key"]).join(free, [by, "other"]).select(by, F.col("position").cast("long").alias("position"), "column", "reference", "score")
 
 
 def matched_sources(draft: DataFrame, reference: DataFrame) -> DataFrame:

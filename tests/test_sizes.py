@@ -82,3 +82,14 @@ def test_latency_means_do_not_depend_on_the_order_of_adding_up(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
     assert {k: (mean, middle, p95) for k, _, mean, middle, p95 in con.execute(entry.sql).fetchall()} == found
+
+
+def test_names_of_many_sources_are_compared_once(spark):
+    """j14 compared the same two names anew in each source that had both."""
+    from ledgerline.operators.match import similar_names
+
+    left = spark.createDataFrame([(s, 1, "Large ring", "large_ring") for s in "abc"], "source string, position int, column string, key string")
+    free = spark.createDataFrame([(s, "Large rings", "large_rings") for s in "abd"], "source string, reference string, other string")
+    pairs = similar_names(left, free, "source", 0.8)
+    assert sorted((r["source"], r["position"], r["reference"], round(r["score"], 4)) for r in pairs.collect()) == [("a", 1, "Large rings", 0.9524), ("b", 1, "Large rings", 0.9524)]
+    assert re.search(r"ArrowEvalPython[^\n]*\n[^\n]*RepartitionByExpression[^\n]*\n[^\n]*Aggregate \[key#\d+, other#\d+\]", plan_of(pairs))
