@@ -53,13 +53,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, object]], schema: str) -> DataFrame:
-    """Apply `fn` to each Arrow batch of `df`, given and returned as columns by name."""
+def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, object]], schema: str, rows: int | None = None) -> DataFrame:
+    """Apply `fn` to each Arrow batch of `df`, or to `rows` of it at a time, given and returned as columns by name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(fn({n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}))
+            for start in range(0, batch.num_rows, rows or max(1, batch.num_rows)):
+                part = batch.slice(start, rows)
+                yield pa.RecordBatch.from_pydict(fn({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}))
 
     return df.mapInArrow(run, schema)
 

@@ -11,9 +11,9 @@ that chains of near pairs join are gathered once, with their shingles. There the
 is linked if the exact similarity of the two sets is `alike` or more. Tasks pass on a spanning forest of what they
 find, never the pairs; simhash.components joins the forests.
 
-A group of more texts than BLOCK (SETS where shingles come along) is first compared with its middle, the text whose fingerprint is nearest
+A group of more texts than BLOCK (where shingles come along, SETS, or BYTES of them) is first compared with its middle, the text whose fingerprint is nearest
 the bitwise majority of the group's. Those that pass hang together by the middle and need no comparison with one another. The others are dealt in
-blocks, and each such block meets every block, so that tasks are of bounded size. A family of copies around a text, of any
+blocks, and each such block meets every block, so that tasks are of bounded size. A task searches whole groups, a bounded number of rows and bytes at once. A family of copies around a text, of any
 size, so costs rows in proportion to it; a large group that has no such middle still costs pairs of blocks.
 
 Defined cases: words are those of simhash.fingerprint; fewer words than a shingle form one shingle; null and
@@ -28,6 +28,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,9 @@ from .simhash import BITS, components, gray_rank, linked_pairs, spanning
 KEYS, MINIMA, BLOCK, SETS = 16, 3, 8000, 1000
 #: Minima in which near texts agree; rows of whole groups that a task searches at once; bytes of a table of shingles and of what is looked up in it.
 AGREE, CHUNK, TABLE = 24, 20_000, 16 << 20
+#: Bytes of the shingles of a block, and of those searched at once; rows that are compared with middles or shingled at once, and that share a copy of their
+#: middle; pairs that a search holds, and that are tested at once.
+BYTES, ROWS, PAIRS = 4 << 20, 256, 100_000
 _DRAWN = np.random.default_rng(20).integers(0, 1 << 64, (2, KEYS * MINIMA), np.uint64)
 FACTORS, ADDENDS = _DRAWN[0] | np.uint64(1), _DRAWN[1]
 
@@ -83,7 +87,7 @@ def marked(docs: DataFrame, shingle: int) -> DataFrame:
             sketches.append((least >> np.uint64(56)).astype(np.uint8).tobytes())
         return {"doc_id": pa.array(columns["doc_id"], pa.int64()), "key": pa.array(columns["key"], pa.int64()), "fp": pa.array(fps, pa.int64()), "groups": pa.array(groups, pa.list_(pa.int64())), "sketch": pa.array(sketches, pa.binary())}
 
-    return map_batches(keyed(docs), batch, "doc_id long, key long, fp long, groups array<long>, sketch binary")
+    return map_batches(keyed(docs), batch, "doc_id long, key long, fp long, groups array<long>, sketch binary", ROWS)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -98,41 +102,60 @@ def shingled(docs: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
         return {"key": pa.array(columns["key"], pa.int64()), "fp": pa.array(list(map(majority, sets)), pa.int64()), "shingles": pa.array([s.tobytes() for s in sets], pa.binary())}
 
     rows = keyed(docs).select("key", "text").join(needed, "key", "left_semi")
-    return map_batches(rows, batch, "key long, fp long, shingles binary").groupBy("key").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles"))
+    return map_batches(rows, batch, "key long, fp long, shingles binary", ROWS).groupBy("key").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles"))
 
 
-def large_groups(members: DataFrame, block: int) -> DataFrame:
-    """value and middle (a key) of the groups of more than `block` of the `members` (value, key, fp)."""
-    sizes = stored(members.groupBy("value").agg(F.count("*").alias("size")).where(F.col("size") > block))
+def large_groups(members: DataFrame, block: int, column: str) -> DataFrame:
+    """value, size and middle (a key) of the groups of more than `block` of the `members` (value, key, fp), or of more than BYTES of their `column`."""
+    size = F.greatest(F.count("*"), F.ceil(F.sum(F.length(column)) * block / BYTES))
+    sizes = stored(members.groupBy("value").agg(size.alias("size")).where(F.col("size") > block))
     if sizes.isEmpty():
-        return sizes.select("value", F.lit(0).cast("long").alias("middle")).limit(0)
+        return sizes.select("value", "size", F.lit(0).cast("long").alias("middle")).limit(0)
     ones = [F.sum(F.shiftright("fp", n).bitwiseAND(1)).alias(f"ones{n}") for n in range(BITS)]
-    own = members.select("value", "key", "fp").join(sizes, "value")
+    own = members.select("value", "key", "fp").join(sizes.select("value"), "value")
     counts = own.groupBy("value").agg(F.count("*").alias("all"), *ones)
     majority_bits = F.lit(0).cast("long")
     for n in range(BITS):
         majority_bits = majority_bits.bitwiseOR(F.when(2 * F.col(f"ones{n}") > F.col("all"), F.shiftleft(F.lit(1).cast("long"), n)).otherwise(F.lit(0).cast("long")))
     told = stored(counts.select("value", majority_bits.alias("majority")))
     away = F.bit_count(F.col("fp").bitwiseXOR(F.col("majority")))
-    return stored(own.join(told, "value").groupBy("value").agg(F.min(F.struct(away.alias("away"), "key")).alias("first")).select("value", F.col("first.key").alias("middle")))
+    middles = own.join(told, "value").groupBy("value").agg(F.min(F.struct(away.alias("away"), "key")).alias("first"))
+    return stored(middles.join(sizes, "value").select("value", "size", F.col("first.key").alias("middle")))
 
 
 def around_middles(members: DataFrame, large: DataFrame, column: str, passes: Callable[[bytes, bytes], bool]) -> DataFrame:
-    """value, key, middle and passed of the members of large groups: whether `passes` holds of their `column` and their middle's."""
-    centres = members.join(large, "value").where("key = middle").groupBy("value").agg(F.first("middle").alias("middle"), F.first(column).alias("_centre"))
+    """value, key, middle, bytes and passed of the members of large groups: whether `passes` holds of their `column` and their middle's.
 
-    def batch(columns: dict[str, list]) -> dict[str, object]:
-        found = [k == m or passes(x, c) for k, m, x, c in zip(columns["key"], columns["middle"], columns[column], columns["_centre"], strict=True)]
-        return {"value": pa.array(columns["value"], pa.int64()), "key": pa.array(columns["key"], pa.int64()), "middle": pa.array(columns["middle"], pa.int64()), "passed": pa.array(found, pa.bool_())}
+    Members go in parts, each with its own copy of the middle in front.
+    """
+    parts = F.ceil(F.col("size") / ROWS)
+    own = members.select("value", "key", column).join(large, "value")
+    placed = own.select("value", F.pmod(F.xxhash64("key"), parts).alias("part"), F.lit(False).alias("centre"), "key", "middle", column)
+    centres = own.where("key = middle").dropDuplicates(["value"]).select("value", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(True).alias("centre"), "key", "middle", column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre = b""
+        for batch in batches:
+            found = []
+            for first, key, middle, x in zip(*(batch.column(n) for n in ("centre", "key", "middle", column)), strict=True):
+                if first.as_py():
+                    centre = x.as_py()
+                found.append(key == middle or passes(x.as_py(), centre))
+            names = batch.schema.names
+            lengths = pc.binary_length(batch.column(names.index(column))).cast(pa.int64())
+            told = [*(batch.column(names.index(n)) for n in ("value", "key", "middle")), lengths, pa.array(found, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(told, ["value", "key", "middle", "bytes", "passed"]).filter(pc.invert(batch.column(names.index("centre"))))
 
-    return map_batches(members.select("value", "key", column).join(centres, "value"), batch, "value long, key long, middle long, passed boolean")
+    rows = placed.unionByName(centres).repartition("value", "part").sortWithinPartitions("value", "part", F.desc("centre"))
+    return rows.mapInArrow(run, "value long, key long, middle long, bytes long, passed boolean")
 
 
 def in_blocks(members: DataFrame, judged: DataFrame | None, block: int) -> DataFrame:
     """`members` with x and y: 0 in groups that aren't `judged`, else each pair of blocks that a text belongs to, one of them of texts that didn't pass."""
     if judged is None:
         return members.withColumns({"x": F.lit(0), "y": F.lit(0)})
-    groups = stored(judged.groupBy("value").agg(F.ceil(F.count_if("passed") / block).cast("int").alias("near"), F.ceil(F.count_if(~F.col("passed")) / block).cast("int").alias("far")))
+    blocks = lambda which: F.ceil(F.greatest(F.count_if(which) / block, F.coalesce(F.sum(F.when(which, F.col("bytes"))), F.lit(0)) / BYTES)).cast("int")
+    groups = stored(judged.groupBy("value").agg(blocks(F.col("passed")).alias("near"), blocks(~F.col("passed")).alias("far")))
     small = members.join(groups.select("value"), "value", "left_anti").withColumns({"x": F.lit(0), "y": F.lit(0)})
     own = F.when(F.col("passed"), F.pmod(F.xxhash64("key"), "near")).otherwise(F.col("near") + F.pmod(F.xxhash64("key"), "far")).cast("int")
     first, last = F.when(F.col("passed"), F.col("near")).otherwise(0), F.col("near") + F.col("far") - 1
@@ -144,7 +167,7 @@ def in_blocks(members: DataFrame, judged: DataFrame | None, block: int) -> DataF
 
 def with_middles(members: DataFrame, block: int, column: str, passes: Callable[[bytes, bytes], bool], search: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Edges (a, b) that `search` finds in groups in blocks, and those of large groups to their middles."""
-    large = large_groups(members, block)
+    large = large_groups(members, block, column)
     if large.isEmpty():
         return search(in_blocks(members, None, block))
     judged = stored(around_middles(members, large, column, passes))
@@ -153,7 +176,8 @@ def with_middles(members: DataFrame, block: int, column: str, passes: Callable[[
 
 
 def by_groups(df: DataFrame, columns: list[str], chunk: int, fn: Callable[..., tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """Edges (a, b) that `fn` gives for the numbers of the groups (value, x, y), the keys and `columns`, of about `chunk` rows of whole groups at once."""
+    """Edges (a, b) that `fn` gives for the numbers of the groups (value, x, y), the keys and `columns`, the last of them binary, of whole groups:
+    as many at once as have up to `chunk` rows and 2 * BYTES, one at least."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -162,16 +186,24 @@ def by_groups(df: DataFrame, columns: list[str], chunk: int, fn: Callable[..., t
             held.append(batch)
             rows += batch.num_rows
             if rows >= chunk:
-                table = pa.Table.from_batches(held).combine_chunks()
+                table = pa.Table.from_batches(held)
                 new = begins(table)
                 cut = int(new[-1])  # the last group may go on in the next batch
-                if cut:
-                    yield edges(table.slice(0, cut), new[:-1])
-                    table = table.slice(cut)
-                held, rows = table.to_batches(), table.num_rows
+                yield from packs(table.slice(0, cut), new[:-1])
+                held = table.slice(cut).to_batches()
+                rows -= cut
         if rows:
-            table = pa.Table.from_batches(held).combine_chunks()
-            yield edges(table, begins(table))
+            table = pa.Table.from_batches(held)
+            yield from packs(table, begins(table))
+
+    def packs(table: pa.Table, new: np.ndarray) -> Iterator[pa.RecordBatch]:
+        lengths = pc.binary_length(table.column(columns[-1])).to_numpy()
+        rows = np.r_[new, table.num_rows]
+        size, at = np.r_[0, np.cumsum(lengths)][rows], 0
+        while at < len(new):
+            to = max(at + 1, min(np.searchsorted(rows, rows[at] + chunk, "right"), np.searchsorted(size, size[at] + 2 * BYTES, "right")) - 1)
+            yield edges(table.slice(rows[at], rows[to] - rows[at]), new[at:to] - new[at])
+            at = to
 
     def begins(table: pa.Table) -> np.ndarray:
         names = [table.column(n).to_numpy() for n in ("value", "x", "y")]
@@ -193,9 +225,9 @@ def by_groups(df: DataFrame, columns: list[str], chunk: int, fn: Callable[..., t
 def joined(fps: np.ndarray, number: np.ndarray, distance: int, test: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
     """For each text the first of those that pairs of a group join, which the index finds and `test` confirms; in Gray order by group."""
     root = np.arange(len(fps))
-    for a, b in linked_pairs(fps, number, distance):
-        for at in range(0, len(a), 200_000):
-            x, y = a[at : at + 200_000], b[at : at + 200_000]
+    for a, b in linked_pairs(fps, number, distance, PAIRS):
+        for at in range(0, len(a), PAIRS):
+            x, y = a[at : at + PAIRS], b[at : at + PAIRS]
             differ = root[x] != root[y]  # what is joined already needs no test
             x, y = x[differ], y[differ]
             good = test(x, y)
@@ -231,18 +263,26 @@ def near_pairs(members: DataFrame, distance: int) -> DataFrame:
     return by_groups(members, ["fp", "sketch"], CHUNK, search)
 
 
-def tables_of(sets: list[np.ndarray]) -> list[np.ndarray]:
-    """The sets as rows of bits, in tables of some columns each; a shingle that only one text has is in no intersection and left out."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = times[number] > 1
-    owner, number, width = owner[shared], (np.cumsum(times > 1) - 1)[number[shared]], int((times > 1).sum())
+def tables_of(sets: list[np.ndarray], number: np.ndarray) -> list[np.ndarray]:
+    """The sets as rows of bits, in tables of some columns each; `number` is each set's group, sorted.
+
+    Groups use the same columns for shingles of their own, as only sets of a group are compared; a shingle that only one of them has is in no intersection and left out.
+    """
+    owners, columns, width = [], [], 0
+    begins = np.flatnonzero(np.r_[True, number[1:] != number[:-1]])
+    for start, end in zip(begins, np.r_[begins[1:], len(sets)], strict=True):
+        _, place, times = np.unique(np.concatenate(sets[start:end]), return_inverse=True, return_counts=True)
+        shared = times[place] > 1
+        owners.append(np.repeat(np.arange(start, end, dtype=np.int32), [len(s) for s in sets[start:end]])[shared])
+        columns.append((np.cumsum(times > 1, dtype=np.int32) - 1)[place[shared]])
+        width = max(width, int((times > 1).sum()))
+    owner, column = np.concatenate(owners), np.concatenate(columns)
     step = max(64, TABLE // len(sets) // 64 * 64)
     out = []
     for start in range(0, width, step):
         cells = np.zeros((len(sets), min(step, -(-(width - start) // 64) * 64)), bool)
-        inside = (number >= start) & (number < start + step)
-        cells[owner[inside], number[inside] - start] = True
+        inside = (column >= start) & (column < start + step)
+        cells[owner[inside], column[inside] - start] = True
         out.append(np.packbits(cells, axis=1).view(np.uint64))
     return out
 
@@ -253,9 +293,9 @@ def links(members: DataFrame, distance: int, alike: float) -> DataFrame:
     def check(number: np.ndarray, keys: np.ndarray, fp: pa.ChunkedArray, shingles: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
         fps = fp.to_numpy().view(np.uint64)
         order = np.lexsort((gray_rank(fps), number))
-        given = shingles.to_pylist()
-        sets = [np.frombuffer(given[i], np.uint64) for i in order]
-        sizes, tables = np.array([len(s) for s in sets]), tables_of(sets)
+        given = shingles.combine_chunks()
+        sets = [np.frombuffer(given[i].as_buffer(), np.uint64) for i in order.tolist()]
+        sizes, tables = np.array([len(s) for s in sets]), tables_of(sets, number[order])
 
         def similar(x: np.ndarray, y: np.ndarray) -> np.ndarray:
             both = np.zeros(len(x), np.int64)

@@ -66,7 +66,7 @@ def gray_rank(fps: np.ndarray) -> np.ndarray:
     return rank
 
 
-def linked_pairs(fps: np.ndarray, group: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def linked_pairs(fps: np.ndarray, group: np.ndarray, distance: int, frontier: int = FRONTIER) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (i, j), i < j, of the same group within `distance` bits; `group` is sorted, and within a group `fps` by Gray rank.
 
     levels[0] has a node for each fingerprint; a node above has up to FANOUT nodes of one group below it
@@ -87,10 +87,10 @@ def linked_pairs(fps: np.ndarray, group: np.ndarray, distance: int) -> Iterator[
     tops = np.searchsorted(owner, group)  # a group's only node on the highest level
     for start in range(0, len(fps), CHUNK // 10):
         query = np.arange(start, min(len(fps), start + CHUNK // 10))
-        yield from descend(levels, fps, len(levels) - 1, query, tops[query], distance)
+        yield from descend(levels, fps, len(levels) - 1, query, tops[query], distance, frontier)
 
 
-def descend(levels: list, fps: np.ndarray, level: int, query: np.ndarray, node: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def descend(levels: list, fps: np.ndarray, level: int, query: np.ndarray, node: np.ndarray, distance: int, frontier: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     while True:
         value, mask, starts, ends = levels[level]
         near = np.bitwise_count((fps[query] ^ value[node]) & mask[node]) <= distance
@@ -99,24 +99,24 @@ def descend(levels: list, fps: np.ndarray, level: int, query: np.ndarray, node:
             keep = query < node
             yield query[keep], node[keep]
             return
-        if len(query) * FANOUT > FRONTIER and len(query) > 1:
+        if len(query) * FANOUT > frontier and len(query) > 1:
             half = len(query) // 2
             for part in (slice(None, half), slice(half, None)):
-                yield from expand(levels, fps, level, query[part], node[part], distance)
+                yield from expand(levels, fps, level, query[part], node[part], distance, frontier)
             return
         query, node = children(starts, ends, query, node)
         level -= 1
 
 
-def expand(levels: list, fps: np.ndarray, level: int, query: np.ndarray, node: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def expand(levels: list, fps: np.ndarray, level: int, query: np.ndarray, node: np.ndarray, distance: int, frontier: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The rest of a search whose nodes have passed at `level`, in halves until it fits."""
-    if len(query) * FANOUT > FRONTIER and len(query) > 1:
+    if len(query) * FANOUT > frontier and len(query) > 1:
         half = len(query) // 2
         for part in (slice(None, half), slice(half, None)):
-            yield from expand(levels, fps, level, query[part], node[part], distance)
+            yield from expand(levels, fps, level, query[part], node[part], distance, frontier)
     else:
         query, node = children(levels[level][2], levels[level][3], query, node)
-        yield from descend(levels, fps, level - 1, query, node, distance)
+        yield from descend(levels, fps, level - 1, query, node, distance, frontier)
 
 
 def children(starts: np.ndarray, ends: np.ndarray, query: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -6,6 +6,7 @@ import corpus_pipeline
 import pytest
 from conftest import SF
 from ledgerline.llm import near_copies
+from pyspark.sql import functions as F
 
 
 def shingles(t):
@@ -94,3 +95,44 @@ def test_stage_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     want = brute([(r["doc_id"], r["text"]) for r in docs.collect()])
     assert {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(docs).collect()} == want
+
+
+def test_a_task_searches_a_bounded_number_of_rows_and_bytes_at_once(spark):
+    """All rows of an Arrow batch went to one search, however many groups they were of: its tables grew with the square of the rows."""
+    import numpy as np
+
+    rows = spark.range(3000).selectExpr("id div 2 value", "0 x", "0 y", "id key", "cast(repeat('x', cast(if(id < 1000, 40000, 8) as int)) as binary) shingles").coalesce(1)
+
+    def told(number, keys, shingles):
+        assert number[0] == 0 and len(set(number.tolist())) == len(number) / 2  # whole groups
+        return np.array([len(number)]), np.array([sum(map(len, shingles.to_pylist()))])
+
+    found = near_copies.by_groups(rows, ["shingles"], 500, told).collect()
+    assert max(r["a"] for r in found) <= 500 and max(r["b"] for r in found) <= 2 * near_copies.BYTES
+
+
+def test_groups_of_few_long_texts_are_dealt_in_blocks_too(spark):
+    members = spark.range(64).selectExpr("7 value", "id key", "id fp", "cast(repeat('x', 262144) as binary) shingles").withColumn("value", F.col("value").cast("long"))
+    found = []
+    near_copies.with_middles(members, 1000, "shingles", lambda a, b: False, lambda m: found.append(m) or m.selectExpr("key a", "key b"))
+    sizes = found[0].groupBy("value", "x", "y").agg(F.sum(F.length("shingles")).alias("bytes"), F.collect_set("key").alias("keys")).collect()
+    assert max(r["bytes"] for r in sizes) <= 3 * near_copies.BYTES  # 16 MB in all
+    met = {(a, b) for r in sizes for a in r["keys"] for b in r["keys"] if a < b}
+    assert len(met) == 64 * 63 // 2
+
+
+def test_a_search_holds_few_of_the_pairs_of_a_large_group():
+    import tracemalloc
+
+    import numpy as np
+    from ledgerline.llm.simhash import gray_rank
+
+    rng = np.random.default_rng(3)
+    fps = np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (6, 4000), np.uint64), axis=0)  # at most 12 bits apart
+    fps = fps[np.argsort(gray_rank(fps))]
+    tracemalloc.start()
+    root = near_copies.joined(fps, np.zeros(len(fps), np.int64), 24, lambda x, y: (x % 2 == 0) & (y % 2 == 0))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40e6
+    assert sorted(np.unique(root, return_counts=True)[1].tolist()) == [1] * 2000 + [2000]
