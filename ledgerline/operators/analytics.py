@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerline.sources.tables import at_end_removed, shared_folder
+
 
 def exact_sum(value: str | Column) -> Column:
     """A sum that does not depend on the order of rows, for values of two decimals."""
@@ -84,18 +88,26 @@ def snapshot_comparison(df: DataFrame, snapshot: str, band: str, value: str, now
     return both.withColumns({"change": F.col("now") - F.col("then"), "growth_pct": F.round(F.try_divide((F.col("now") - F.col("then")) * 100, F.col("then")), 1), "share_now": F.round(share["now"], 1), "share_change": F.round(share["now"] - share["then"], 1)})
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` worked out once and read from a table that goes when the driver ends."""
+    path = at_end_removed(df.sparkSession, f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def counted_ranks(df: DataFrame, by: str, value: str, ranges: int = 256) -> DataFrame:
     """by, value, n (rows), smaller (rows of the group below the value, nulls first) and total (rows of the group), for each distinct value.
 
     A group's values are counted by range, so that no task sorts a whole group: the ranges lie between approximate
-    quantiles, which decide where the work is done and not what is found.
+    quantiles, which decide where the work is done and not what is found. Those differ each time that they are worked
+    out, by the order in which parts arrive; so the ranges of values are stored, and both uses see the same.
     """
     counted = df.groupBy(by, value).agg(F.count("*").alias("n"))
     marks = [k / ranges for k in range(1, ranges)]
     groups = counted.groupBy(by).agg(F.percentile_approx(value, marks, 4 * ranges).alias("_marks"), F.sum("n").alias("total")).withColumnRenamed(by, "_by")
     placed = counted.join(groups, F.col(by).eqNullSafe(F.col("_by")))
     below = F.filter(F.coalesce("_marks", F.array()), lambda m: m < F.col(value))
-    placed = placed.withColumn("_range", F.size(below)).drop("_by", "_marks")
+    placed = stored(placed.withColumn("_range", F.size(below)).drop("_by", "_marks"), "ranges")
     ordered = Window.partitionBy(by).orderBy("_range")  # a row for each range
     sizes = placed.groupBy(by, "_range").agg(F.sum("n").alias("_in"))
     sizes = sizes.select(F.col(by).alias("_by"), F.col("_range").alias("_r"), (F.sum("_in").over(ordered) - F.col("_in")).alias("_before"))

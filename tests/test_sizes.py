@@ -84,6 +84,28 @@ def test_latency_means_do_not_depend_on_the_order_of_adding_up(spark, tmp_path):
     assert {k: (mean, middle, p95) for k, _, mean, middle, p95 in con.execute(entry.sql).fetchall()} == found
 
 
+def test_quantiles_do_not_depend_on_ranges_that_change_when_worked_out_again(spark, monkeypatch):
+    """a38: approximate quantiles differ from one evaluation to the next on a cluster; values and their ranges' sizes were placed by two of them."""
+    from ledgerline.operators import analytics
+    from pyspark.sql import functions as F
+
+    @F.udf("array<double>")
+    def drawn(values):
+        import random
+
+        return sorted(random.SystemRandom().sample(values, 20))
+
+    monkeypatch.setattr(analytics.F, "percentile_approx", lambda value, marks, accuracy: drawn.asNondeterministic()(F.collect_list(value)))
+    calls = spark.range(4000).selectExpr("concat('t', id % 2) kind", "cast(id div 2 as double) value")
+    reuse = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        found = analytics.quantiles(calls, "kind", "value", {"middle": 0.5, "p95": 0.95}).collect()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+    assert sorted((r["kind"], r["middle"], round(r["p95"], 6)) for r in found) == [("t0", 999.5, 1899.05), ("t1", 999.5, 1899.05)]
+
+
 def test_names_of_many_sources_are_compared_once(spark):
     """j14 compared the same two names anew in each source that had both."""
     from ledgerline.operators.match import similar_names
