@@ -105,9 +105,9 @@ def shingled(docs: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
     return map_batches(rows, batch, "key long, fp long, shingles binary", ROWS).groupBy("key").agg(F.first("fp").alias("fp"), F.first("shingles").alias("shingles"))
 
 
-def large_groups(members: DataFrame, block: int, column: str) -> DataFrame:
-    """value, size and middle (a key) of the groups of more than `block` of the `members` (value, key, fp), or of more than BYTES of their `column`."""
-    size = F.greatest(F.count("*"), F.ceil(F.sum(F.length(column)) * block / BYTES))
+def large_groups(members: DataFrame, block: int) -> DataFrame:
+    """value, size and middle (a key) of the groups of more than `block` of the `members` (value, key, fp), or of more than BYTES where they have `bytes`."""
+    size = F.greatest(F.count("*"), F.ceil(F.sum("bytes") * block / BYTES)) if "bytes" in members.columns else F.count("*")
     sizes = stored(members.groupBy("value").agg(size.alias("size")).where(F.col("size") > block))
     if sizes.isEmpty():
         return sizes.select("value", "size", F.lit(0).cast("long").alias("middle")).limit(0)
@@ -167,7 +167,7 @@ def in_blocks(members: DataFrame, judged: DataFrame | None, block: int) -> DataF
 
 def with_middles(members: DataFrame, block: int, column: str, passes: Callable[[bytes, bytes], bool], search: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Edges (a, b) that `search` finds in groups in blocks, and those of large groups to their middles."""
-    large = large_groups(members, block, column)
+    large = large_groups(members, block)
     if large.isEmpty():
         return search(in_blocks(members, None, block))
     judged = stored(around_middles(members, large, column, passes))
@@ -321,7 +321,8 @@ def near_copies(docs: DataFrame, alike: float = 0.8, shingle: int = 5, distance:
     weak = stored(with_middles(members, BLOCK, "sketch", agree, lambda m: near_pairs(m, distance)))
     near = stored(components(weak).select(F.col("root").alias("value"), F.col("node").alias("key")))
     sets = stored(shingled(docs, near.select("key"), shingle))
-    linked = with_middles(near.join(sets, "key"), SETS, "shingles", similar_sets(alike), lambda m: links(m, distance, alike))
+    sized = near.join(sets.withColumn("bytes", F.length("shingles")), "key")  # before the join, so that sizes alone are shuffled
+    linked = with_middles(sized, SETS, "shingles", similar_sets(alike), lambda m: links(m, distance, alike))
     roots = stored(components(stored(linked)))
     placed = texts.select("key", "least").join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("root", "key").alias("root"))
     named = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("key", "component_id")

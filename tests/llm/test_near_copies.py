@@ -112,7 +112,7 @@ def test_a_task_searches_a_bounded_number_of_rows_and_bytes_at_once(spark):
 
 
 def test_groups_of_few_long_texts_are_dealt_in_blocks_too(spark):
-    members = spark.range(64).selectExpr("7 value", "id key", "id fp", "cast(repeat('x', 262144) as binary) shingles").withColumn("value", F.col("value").cast("long"))
+    members = spark.range(64).selectExpr("7 value", "id key", "id fp", "cast(repeat('x', 262144) as binary) shingles", "262144 bytes").withColumn("value", F.col("value").cast("long"))
     found = []
     near_copies.with_middles(members, 1000, "shingles", lambda a, b: False, lambda m: found.append(m) or m.selectExpr("key a", "key b"))
     sizes = found[0].groupBy("value", "x", "y").agg(F.sum(F.length("shingles")).alias("bytes"), F.collect_set("key").alias("keys")).collect()
